@@ -2,23 +2,94 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
+from . import importance, langid, lattice, minhash, mixing, packing, pii, spotsigs, suffixes, toxicity
+from .common import with_ids
+
+#: Target weights of the languages for op5.
+MIX_WEIGHTS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file() -> str:
+    """Vocabulary for packing; FOLIOFLOW_TOKENIZER names another file."""
+    if path := os.environ.get("FOLIOFLOW_TOKENIZER"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def _remainder(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.98)
+
+
+def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    target = with_ids(docs, importance.good_ids(labels), "doc_id", "left_semi")
+    return importance.resample(docs, target, importance.target_share(labels))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.extract(_table(spark, sf_dir, "documents")))
+
+
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labelled = with_ids(docs, _table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    return mixing.rated(docs, mixing.mix(docs, mixing.fit(labelled, "lang"), MIX_WEIGHTS))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs.where(_remainder(4) != 2)), _remainder(4) == 2)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where(_remainder(5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return toxicity.predict(docs, toxicity.fit(with_ids(docs.select("doc_id", "text"), labels, "doc_id", "inner")), _remainder(5) == 0)
+
+
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.stability(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lattice": op1_lattice,
+    "op2_importance": op2_importance,
+    "op3_pii": op3_pii,
+    "op4_suffixes": op4_suffixes,
+    "op5_mixing": op5_mixing,
+    "op6_packing": op6_packing,
     "op7_minhash": op7_minhash,
+    "op8_langid": op8_langid,
+    "op9_toxicity": op9_toxicity,
+    "op10_spotsigs": op10_spotsigs,
 }
 
 ORACLES: dict[str, str] = {}
