@@ -1,8 +1,94 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences, in five stages.
 
-ORACLE_SQL = None
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which run() writes as
+Parquet and reads again as the next stage's docs. All but the last return the columns of
+documents; the last returns the packed pieces.
 
+A stage that drops documents finds the ids to drop first and joins them away, so texts
+are shuffled only when those ids are too many to broadcast. Rows with a null id are never
+dropped; rows that repeat an id share its fate.
+"""
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioflow.llm import importance, minhash, mixing, packing, pii
+from folioflow.llm.common import release, shared_dir, with_ids
+from folioflow.llm.queries import tokenizer_file
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: Mixing raises the shares of the smaller languages to this power of their own.
+MIX_POWER = 0.7
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs whose id is not among ids (doc_id, not null)."""
+    return with_ids(docs, ids.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops what importance resampling towards the documents labelled as good doesn't draw."""
+    labels = _table(spark, sf_dir, "labels")
+    target = with_ids(docs, importance.good_ids(labels), "doc_id", "left_semi")
+    drawn = importance.resample(docs, target, importance.target_share(labels))
+    return _without(docs, drawn.where("not kept"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near-duplicates, once."""
+    found = minhash.near_duplicates(docs, shingle=5, percent=80, n_bands=30)
+    out = _without(docs, found.where("not kept"))
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    if not repeated:
+        return out
+    return out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id is null"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by its kind."""
+    return pii.redact(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats documents so that the languages' expected tokens meet tempered targets."""
+    labelled = with_ids(docs, _table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    return mixing.apply(docs, mixing.mix(docs, mixing.fit(labelled, "lang"), None, MIX_POWER))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the tokenized documents and their places in sequences."""
+    return packing.pack(docs, tokenizer_file())
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("source_mix", source_mix),
+    ("packing", packed),
+]
+
+#: No stage but the last could be told in SQL, so the whole is tested against a brute-force version.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; every stage's table goes to the shared folder."""
+    base = f"{shared_dir(spark)}/folioflow/pipeline-{uuid.uuid4().hex}"
+    docs = _table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        path = f"{base}/{k}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        release(spark)
+    return docs.select([F.col(c) for c in docs.columns])
