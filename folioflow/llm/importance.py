@@ -4,18 +4,17 @@ Texts are cut into tokens (runs of letters and digits, runs of marks). Their fea
 hashed single tokens and pairs, where a pair of equal tokens and a token in capitals each
 are a feature of their own. Two generative models hold the features' frequencies: one of
 the target text (labelled as good), one of the raw text (all documents). A document's
-weight is the log ratio of its probabilities under the two; adding Gumbel noise and
+weight is the log ratio of its probabilities under the two, tempered by its length; adding Gumbel noise and
 keeping the k largest draws k documents without replacement in proportion to the weights.
 
 Results for odd input: null and empty texts have weight 0; a null id gets noise from its
 text alone and is kept or not like any other row; repeated rows have equal keys, so rows that tie
 at the last place are kept together; extra columns are ignored; an empty table gives an
-empty result; without a target text all weights are 0.
+empty result; without a target text all weights are 0 and all documents are kept.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _LOWER, mix, stage, text_chunks
+from .common import _LOWER, mix, stage, text_chunks, with_ids
 
 #: Buckets of single tokens and of pairs; more are for pairs of equal tokens and capitals.
 BUCKETS = 1 << 15
 _SIZE = 2 * BUCKETS + 2
+#: Share of the good documents' weights that may lie below the weights that are counted for k.
+LOSS = 0.002
+#: How far below those weights a document may lie and still count for k: noise moves keys by about as much.
+SLACK = 8.0
+#: Features that a weight counts: a longer text weighs as much as LENGTH features of its average, else the
+#: sampling noise of the models, which adds up over a long text, would outweigh what it says.
+LENGTH = 64
 _CLASS = np.ones(256, dtype=np.uint8)
 _CLASS[:128] = 2
 _CLASS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
@@ -110,7 +116,7 @@ def weighted(docs: DataFrame, ratio: np.ndarray, seed: int, id_col: str = "doc_i
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
             found, begin = features(texts)
-            own = [float(np.add.reduce(sent.value[found[a:b]])) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
+            own = [float(sent.value[found[a:b]].mean()) * min(b - a, LENGTH) if b > a else 0.0 for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
             yield pa.record_batch([batch.column("doc_id"), pa.array(own, pa.float64()), batch.column("noise")], names=["doc_id", "log_weight", "noise"])
 
     h = F.coalesce(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(0))
@@ -150,20 +156,23 @@ def threshold(table: DataFrame, column: str, k: int) -> float | None:
     return table.where((F.col(column) >= low) & (F.col(column) <= high)).select(column).orderBy(F.desc(column)).limit(k - above).agg(F.min(column)).first()[0]
 
 
-def resample(docs: DataFrame, target: DataFrame, share: float, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, log_weight, gumbel_key, kept: ceil(share * rows) documents are drawn."""
+def resample(docs: DataFrame, good: DataFrame, loss: float = LOSS, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, log_weight, gumbel_key, kept: k documents are drawn.
+
+    good: ids (id_col) of the documents labelled as good. Half of them, by a hash, are the target text;
+    k is how many documents weigh as much as all but a share `loss` of the other half do, less SLACK.
+    """
+    held = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(id_col)), F.lit(2)) == 1
+    target = with_ids(docs, good.where(~held), id_col, "left_semi")
     ratio = log_ratio(counts(target, text_col), counts(docs, text_col))
     table = stage(weighted(docs, ratio, seed, id_col, text_col), "weights")
-    least = threshold(table, "gumbel_key", math.ceil(share * table.count()))
+    known = table.join(good.where(held).select(F.col(id_col).cast("long").alias("doc_id")), "doc_id", "left_semi")
+    lowest = known.agg(F.percentile_approx("log_weight", loss, 10_000)).first()[0]
+    k = table.count() if lowest is None else table.where(F.col("log_weight") >= F.lit(lowest - SLACK)).count()
+    least = threshold(table, "gumbel_key", k)
     return table.withColumn("kept", F.lit(False) if least is None else F.col("gumbel_key") >= F.lit(least))
 
 
 def good_ids(labels: DataFrame, label_col: str = "quality") -> DataFrame:
     """doc_id of the documents labelled as good."""
-    return labels.where(F.col(label_col) == 1).select("doc_id").distinct()
-
-
-def target_share(labels: DataFrame, label_col: str = "quality") -> float:
-    """Share of the labelled rows that are labelled as good; 1 where nothing is labelled."""
-    share = labels.where(F.col(label_col).isNotNull()).agg(F.avg((F.col(label_col) == 1).cast("double"))).first()[0]
-    return 1.0 if share is None else share
+    return labels.where((F.col(label_col) == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()

@@ -37,9 +37,7 @@ def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    target = with_ids(docs, importance.good_ids(labels), "doc_id", "left_semi")
-    return importance.resample(docs, target, importance.target_share(labels))
+    return importance.resample(_table(spark, sf_dir, "documents"), importance.good_ids(_table(spark, sf_dir, "labels")))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,7 +56,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def train(rows: list[np.ndarray], y: np.ndarray, share: float, penalty: float = 3e-4, rounds: int = 150) -> Model:
+def train(rows: list[np.ndarray], y: np.ndarray, share: float, penalty: float = 3e-3, rounds: int = 60) -> Model:
     """Logistic regression on ratio-scaled features; share: of toxic documents among all labelled."""
     d = 1 << BITS
     size = np.array([len(r) for r in rows])
@@ -64,11 +64,11 @@ def train(rows: list[np.ndarray], y: np.ndarray, share: float, penalty: float =
     of = np.repeat(np.arange(len(rows)), size)
     toxic = np.bincount(every, y[of], minlength=d)
     other = np.bincount(every, 1 - y[of], minlength=d)
-    seen = np.flatnonzero(toxic + other >= 3)  # rarer ones are dropped from training and weigh nothing
+    seen = np.flatnonzero(toxic + other >= 3)  # rarer ones, and ones that tell little, weigh nothing
     ratio = np.zeros(d, dtype=np.float32)
     p, q = toxic[seen] + 1, other[seen] + 1
     ratio[seen] = np.log(p / (y.sum() + 2)) - np.log(q / ((1 - y).sum() + 2))
-    use = ratio[every] != 0
+    use = np.abs(ratio[every]) >= 0.5
     every, of = every[use], of[use]
     scale = ratio[every]
     weights, intercept, sample = np.zeros(d, dtype=np.float32), 0.0, y.mean()
