@@ -38,9 +38,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what importance resampling towards the documents labelled as good doesn't draw."""
-    labels = _table(spark, sf_dir, "labels")
-    target = with_ids(docs, importance.good_ids(labels), "doc_id", "left_semi")
-    drawn = importance.resample(docs, target, importance.target_share(labels))
+    drawn = importance.resample(docs, importance.good_ids(_table(spark, sf_dir, "labels")))
     return _without(docs, drawn.where("not kept"))
 
 
