@@ -1,0 +1 @@
+"""Document-extraction analytics on Spark DataFrames."""

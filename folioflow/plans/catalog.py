@@ -1,4 +1,432 @@
-"""Query catalogue: each query with the SQL it is held against."""
+"""Query catalogue: each query over the test tables with the SQL it is held against."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..config import EngineConfig
+from ..functions import recovery
+from ..functions.tokens import count_tokens
+from ..operators import batches, chunking, layout, results, routing, rules
+from ..schemas import corpus_chunk_error
+from ..session import reachable
+from ..sources import sinks
+from ..streaming import flows
+from .pipeline import views
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+_DOCS = """v_docs AS (SELECT doc_id, 'PRJ' || lpad(CAST(doc_id % 10 AS VARCHAR), 3, '0') AS project_name,
+ ['IXP','ROP','INI','DEC','IFS','IVS','RAS'][doc_id % 7 + 1] || '-' || doc_id || '.pdf' AS document_name, text AS content,
+ CASE WHEN doc_id % 11 = 0 THEN 'error' ELSE 'success' END AS processing_status, 'batch_' || (doc_id % 5) AS batch_id, lang, source FROM documents)"""
+_RULES = """rules AS (SELECT * FROM (VALUES ('IXP',1,'auditoria'),('ROP',2,'productos'),('INI',2,'productos'),('DEC',2,'productos'),('IFS',2,'productos'),
+ ('ROP',3,'desembolsos'),('INI',3,'desembolsos'),('DEC',3,'desembolsos'),('IFS',3,'desembolsos')) r(prefix, prompt_number, prompt_type))"""
+_ROUTED = f"{_DOCS}, {_RULES}, routed AS (SELECT d.*, r.* FROM v_docs d JOIN rules r ON r.prefix = split_part(d.document_name, '-', 1))"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function's name."""
+
+    def add(f: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(reachable(spark), sf_dir)
+
+        QUERIES[f.__name__] = run
+        if sql:
+            ORACLES[f.__name__] = sql
+        return run
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- listings, routing, requests ---------------------------------------------------------------
+
+
+@query(f"WITH {_ROUTED} SELECT project_name, prompt_type, count(*) AS n_requests, CAST(sum(length(content)) AS BIGINT) AS n_chars FROM routed GROUP BY ALL")
+def route_prompt_counts(spark, sf_dir):
+    routed = routing.route(views(spark, sf_dir))
+    return routed.groupBy("project_name", "prompt_type").agg(F.count("*").alias("n_requests"), F.sum(F.length("content").cast("long")).alias("n_chars"))
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, document_name FROM v_docs WHERE regexp_matches(upper(document_name), '^(INI|IXP|DEC|ROP|IFS)')")
+def required_prefix_filter(spark, sf_dir):
+    return views(spark, sf_dir).where(routing.has_required_prefix("document_name")).select("doc_id", "document_name")
+
+
+_EDGE = "CASE doc_id % 4 WHEN 0 THEN document_name WHEN 1 THEN replace(document_name, '-', '_a-') WHEN 2 THEN replace(document_name, '-', '') ELSE replace(document_name, '.pdf', '_chunk_003.json') END"
+
+
+@query(f"WITH {_DOCS}, e AS (SELECT doc_id, {_EDGE} AS name FROM v_docs), c AS (SELECT *, split_part(name, '_chunk_', 1) AS n FROM e) SELECT doc_id, name, upper(CASE WHEN contains(n, '-') THEN split_part(n, '-', 1) ELSE left(n, 3) END) AS prefix, regexp_matches(upper(name), '^(INI|IXP|DEC|ROP|IFS)') AS required FROM c")
+def prefix_extract_edge(spark, sf_dir):
+    e = views(spark, sf_dir).select("doc_id", F.expr(_EDGE).alias("name"))
+    return e.select("doc_id", "name", routing.extract_prefix("name").alias("prefix"), routing.has_required_prefix("name").alias("required"))
+
+
+_KIND = "document_name || CASE doc_id % 3 WHEN 0 THEN '_Desembolso' WHEN 1 THEN '_prd' ELSE '_Auditor' END"
+
+
+@query(f"WITH {_DOCS}, n AS (SELECT doc_id, lower({_KIND}) AS n FROM v_docs) SELECT doc_id, CASE WHEN regexp_matches(n, 'auditor|ixp') THEN 'Auditoria' WHEN regexp_matches(n, 'desembolso|des') THEN 'Desembolsos' WHEN regexp_matches(n, 'producto|prd') THEN 'Productos' ELSE 'Auditoria' END AS folder FROM n")
+def document_type_heuristic(spark, sf_dir):
+    return views(spark, sf_dir).select("doc_id", routing.document_type(F.expr(_KIND)).alias("folder"))
+
+
+@query(f"WITH {_DOCS} SELECT project_name, count(*) AS n_documents, min(document_name) AS first_name FROM v_docs GROUP BY ALL")
+def project_listing(spark, sf_dir):
+    return views(spark, sf_dir).groupBy("project_name").agg(F.count("*").alias("n_documents"), F.min("document_name").alias("first_name"))
+
+
+@query(f"WITH {_DOCS} SELECT project_name, count(*) AS total, count(*) FILTER (WHERE processing_status = 'success') AS successful, count(*) FILTER (WHERE processing_status = 'error') AS failed, count(*) FILTER (WHERE processing_status LIKE 'skipped%') AS skipped FROM v_docs GROUP BY ALL")
+def project_rollup(spark, sf_dir):
+    return layout.rollup(views(spark, sf_dir))
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, project_name, document_name FROM v_docs WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def pending_documents_anti(spark, sf_dir):
+    return views(spark, sf_dir).select("doc_id", "project_name", "document_name").join(_table(spark, sf_dir, "labels"), "doc_id", "left_anti")
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, project_name, document_name FROM v_docs WHERE doc_id IN (SELECT doc_id FROM labels)")
+def chunked_documents_semi(spark, sf_dir):
+    return views(spark, sf_dir).select("doc_id", "project_name", "document_name").join(_table(spark, sf_dir, "labels"), "doc_id", "left_semi")
+
+
+@query(f"WITH {_DOCS} SELECT project_name, document_name, length(content) AS n_chars FROM v_docs WHERE doc_id % 3 <> 0 UNION ALL SELECT project_name, replace(document_name, '.pdf', '_chunk_000'), length(content) FROM v_docs WHERE doc_id % 3 = 0")
+def di_union_chunks(spark, sf_dir):
+    v = views(spark, sf_dir)
+    chunks = v.where("doc_id % 3 = 0").select("project_name", F.replace("document_name", F.lit(".pdf"), F.lit("_chunk_000")).alias("document_name"), "content", F.col("document_name").alias("original_document"))
+    return routing.inputs(v, chunks).select("project_name", "document_name", F.length("content").cast("long").alias("n_chars"))
+
+
+@query(f"""WITH {_DOCS}, s AS (SELECT project_name, string_agg('--- DOCUMENT: ' || document_name || ' ---' || chr(10) || content || chr(10) || repeat('-', 50) || chr(10), '' ORDER BY document_name) AS body FROM v_docs WHERE processing_status = 'success' GROUP BY ALL),
+t AS (SELECT project_name, count(*) AS total, count(*) FILTER (WHERE processing_status = 'success') AS ok FROM v_docs GROUP BY ALL)
+SELECT project_name, length(c) AS n_chars, md5(c) AS digest FROM (SELECT project_name, repeat('=', 80) || chr(10) || 'PROJECT: ' || project_name || chr(10) || 'Documents: ' || total || ', successful: ' || ok || chr(10) || repeat('=', 80) || chr(10) || coalesce(body, '') AS c FROM t LEFT JOIN s USING (project_name))""")
+def concat_corpus(spark, sf_dir):
+    return layout.corpus(views(spark, sf_dir)).select("project_name", F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("digest"))
+
+
+@query(f"WITH {_ROUTED} SELECT project_name || '_' || replace(document_name, '.pdf', '') || '_prompt' || prompt_number AS custom_id, project_name || '_' || replace(document_name, '.pdf', '') || '_' || prompt_type AS file_id FROM routed")
+def request_ids(spark, sf_dir):
+    return routing.route(views(spark, sf_dir)).select(routing.custom_id("project").alias("custom_id"), routing.custom_id("file").alias("file_id"))
+
+
+_LENGTHS = ", ".join(f"('{k}', {len(v)})" for k, v in routing.PROMPTS.items())
+
+
+@query(f"WITH {_ROUTED}, p AS (SELECT * FROM (VALUES {_LENGTHS}) p(prompt_type, n)) SELECT project_name, prompt_number, count(*) AS n_requests, CAST(sum(length(content) + n + 20) AS BIGINT) AS message_chars FROM routed JOIN p USING (prompt_type) GROUP BY ALL")
+def request_manifest_size(spark, sf_dir):
+    made = routing.requests(views(spark, sf_dir), EngineConfig())
+    size = F.length(F.get(F.col("body.messages"), F.lit(0))["content"]).cast("long")
+    return made.groupBy("project_name", "prompt_number").agg(F.count("*").alias("n_requests"), F.sum(size).alias("message_chars"))
+
+
+@query(f"WITH {_ROUTED} SELECT project_name, document_name, prefix, string_agg(prompt_type, ',' ORDER BY prompt_number) AS prompts_applied, count(*) AS n_requests FROM routed GROUP BY ALL")
+def batch_info_rollup(spark, sf_dir):
+    made = routing.route(views(spark, sf_dir))
+    return routing.documents_info(made).select("project_name", "document_name", "prefix", F.array_join("prompts_applied", ",").alias("prompts_applied"), "n_requests")
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, project_name, document_name FROM v_docs ORDER BY length(content) DESC, doc_id LIMIT 10")
+def top_documents(spark, sf_dir):
+    return views(spark, sf_dir).orderBy(F.length("content").desc(), "doc_id").limit(10).select("doc_id", "project_name", "document_name")
+
+
+@query(f"WITH {_DOCS} SELECT count(*) FILTER (WHERE doc_id % 4 = 0) AS single, count(*) FILTER (WHERE doc_id % 4 IN (1, 2)) AS whole, count(*) FILTER (WHERE doc_id % 4 = 3) AS rejected FROM v_docs")
+def message_dispatch(spark, sf_dir):
+    v = views(spark, sf_dir)
+    m = v.select("project_name", F.when(F.col("doc_id") % 4 != 3, "processing").alias("queue_type"), F.when(F.col("doc_id") % 4 == 0, F.col("document_name")).when(F.col("doc_id") % 4 == 1, "").alias("document_name"))
+    parts = [p.select(F.lit(k).alias("k")) for p, k in zip(routing.dispatch(m), ("single", "whole", "rejected"), strict=True)]
+    return parts[0].union(parts[1]).union(parts[2]).agg(*[F.count_if(F.col("k") == k).alias(k) for k in ("single", "whole", "rejected")])
+
+
+# --- text and chunks ----------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, count(*) AS n_paragraphs, CAST(sum(length(p)) AS BIGINT) AS n_chars FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS p FROM documents) WHERE trim(p) <> '' GROUP BY ALL")
+def paragraphs(spark, sf_dir):
+    each = _table(spark, sf_dir, "documents").select("doc_id", F.explode(chunking.paragraphs("text", "\n")).alias("p"))
+    return each.groupBy("doc_id").agg(F.count("*").alias("n_paragraphs"), F.sum(F.length("p").cast("long")).alias("n_chars"))
+
+
+_SPLIT = r"regexp_replace(text, chr(10) || '([A-Z])', chr(1) || '\1', 'g')"
+
+
+@query(f"SELECT doc_id, count(*) AS n_sections, max(length(s)) AS longest FROM (SELECT doc_id, unnest(string_split({_SPLIT}, chr(1))) AS s FROM documents) WHERE trim(s) <> '' GROUP BY ALL")
+def sections(spark, sf_dir):
+    each = _table(spark, sf_dir, "documents").select("doc_id", F.explode(chunking.sections("text", (r"\n[A-Z]",))).alias("s"))
+    return each.groupBy("doc_id").agg(F.count("*").alias("n_sections"), F.max(F.length("s").cast("long")).alias("longest"))
+
+
+@query()
+def sentences(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", F.size(chunking.sentences("text")).alias("n_sentences"))
+
+
+@query(r"SELECT doc_id, CAST(len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')) AS BIGINT) AS n_tokens FROM documents")
+def token_counts(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", count_tokens("text").cast("long").alias("n_tokens"))
+
+
+@query("SELECT doc_id, k AS piece, length(substr(text, CAST(k * 600 + 1 AS BIGINT), 600)) AS n_chars, md5(substr(text, CAST(k * 600 + 1 AS BIGINT), 600)) AS digest FROM (SELECT doc_id, text, unnest(range((length(text) + 599) // 600)) AS k FROM documents)")
+def chunk_fixed_window(spark, sf_dir):
+    n = F.floor((F.length("text") + 599) / 600)
+    each = _table(spark, sf_dir, "documents").where("length(text) > 0").select("doc_id", "text", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("piece"))
+    part = F.substring("text", (F.col("piece") * 600 + 1).cast("int"), F.lit(600))
+    return each.select("doc_id", "piece", F.length(part).cast("long").alias("n_chars"), F.md5(part).alias("digest"))
+
+
+def _chunked(spark, sf_dir, overlap: int) -> DataFrame:
+    cfg = EngineConfig(max_tokens=256, overlap_tokens=overlap, section_patterns=(r"\n",))
+    return chunking.stored_chunks(chunking.chunk(views(spark, sf_dir), cfg)).drop("original_document")
+
+
+@query()
+def chunk_packed_no_overlap(spark, sf_dir):
+    return _chunked(spark, sf_dir, 0)
+
+
+@query()
+def chunk_packed_overlap(spark, sf_dir):
+    return _chunked(spark, sf_dir, 32)
+
+
+@query(f"""WITH {_DOCS} SELECT format('{{}}_chunk_{{:03d}}', project_name, doc_id % 7) AS id_chunk, project_name AS proyecto, CASE WHEN doc_id % 13 = 0 THEN '' ELSE md5(content) END AS contenido, CASE WHEN doc_id % 17 = 0 THEN -1 ELSE 5 END AS tokens,
+CASE WHEN doc_id % 17 = 0 THEN 'tokens is negative' WHEN doc_id % 13 = 0 THEN 'contenido is blank' END AS reason FROM v_docs""")
+def corpus_validation(spark, sf_dir):
+    v = views(spark, sf_dir).select("project_name", (F.col("doc_id") % 7).cast("int").alias("chunk_index"), F.when(F.col("doc_id") % 13 == 0, "").otherwise(F.md5("content")).alias("content"), F.when(F.col("doc_id") % 17 == 0, -1).otherwise(5).alias("tokens"), F.lit("x").alias("sections_range"), F.lit("none").alias("chunking_strategy"))
+    r = chunking.corpus_records(v, EngineConfig(), F.lit("2024-01-01"))
+    return r.select("id_chunk", "proyecto", "contenido", "tokens", corpus_chunk_error(r).alias("reason"))
+
+
+# --- batches ------------------------------------------------------------------------------------
+
+_BATCHES = """infos AS (SELECT 'b' || doc_id AS batch_id, 'PRJ' || lpad(CAST(doc_id % 10 AS VARCHAR), 3, '0') AS project_name, doc_id FROM documents),
+st AS (SELECT *, ['validating','in_progress','finalizing','completed','failed'][doc_id % 5 + 1] AS status FROM infos), mk AS (SELECT batch_id FROM st WHERE doc_id % 2 = 0 AND status = 'completed')"""
+
+
+def _batches(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    v = views(spark, sf_dir)
+    infos = v.select(F.concat(F.lit("b"), F.col("doc_id").cast("string")).alias("batch_id"), "project_name", "doc_id", F.col("doc_id").alias("created_at"), F.lit("submitted").alias("status"))
+    names = F.array(*map(F.lit, ("validating", "in_progress", "finalizing", "completed", "failed")))
+    status = infos.select("batch_id", "doc_id", F.get(names, (F.col("doc_id") % 5).cast("int")).alias("status"))
+    return infos.drop("doc_id"), status, status.where("doc_id % 2 = 0 and status = 'completed'").select("batch_id")
+
+
+@query(f"""WITH {_BATCHES}, a AS (SELECT * FROM st WHERE status IN ('validating','in_progress','finalizing','completed') AND NOT (status = 'completed' AND batch_id IN (SELECT batch_id FROM mk)) AND project_name IN ('PRJ001', 'PRJ003', 'PRJ004')),
+b AS (SELECT * FROM st WHERE status = 'completed' AND batch_id NOT IN (SELECT batch_id FROM mk))
+SELECT batch_id, coalesce(a.project_name, b.project_name) AS project_name, coalesce(a.status, b.status) AS status, b.batch_id IS NOT NULL AS is_orphaned FROM a FULL OUTER JOIN b USING (batch_id)""")
+def pending_orphan_merge(spark, sf_dir):
+    folders = spark.createDataFrame([("PRJ001",), ("PRJ003",), ("PRJ004",)], "folderName string")
+    return batches.pending(*_batches(spark, sf_dir), folders)
+
+
+@query(f"WITH {_BATCHES} SELECT count(*) AS batches, count(*) FILTER (WHERE status = 'completed') AS completed, count(*) FILTER (WHERE status IN ('validating','in_progress','finalizing')) AS in_flight, count(*) FILTER (WHERE status = 'failed') AS other FROM st")
+def batch_dispatch_counts(spark, sf_dir):
+    infos, status, _ = _batches(spark, sf_dir)
+    return batches.dispatch_counts(batches.with_status(infos, status))
+
+
+@query(f"WITH {_BATCHES} SELECT batch_id, project_name, status FROM st WHERE status = 'failed'")
+def dead_batches(spark, sf_dir):
+    infos, status, _ = _batches(spark, sf_dir)
+    return batches.dead(infos, status).select("batch_id", "project_name", "status")
+
+
+@query("SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
+def last_writer_wins(spark, sf_dir):
+    e = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return sinks.last_writer_wins(e, ["user_id", "event_type"], ["ts", "event_id"]).select("event_id", "user_id", "event_type", "value")
+
+
+@query("SELECT user_id, count(*) AS expired FROM events WHERE ts < TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 24 HOURS GROUP BY ALL")
+def expired_batches_24h(spark, sf_dir):
+    e = _table(spark, sf_dir, "events").withColumn("created_at", F.col("ts"))
+    return batches.expired(e, F.lit("2024-01-30 00:00:00").cast("timestamp")).groupBy("user_id").agg(F.count("*").alias("expired"))
+
+
+@query("SELECT event_id, user_id, event_type, lag(event_type) OVER w AS before, lead(event_type) OVER w AS after FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
+def status_timeline(spark, sf_dir):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.lag("event_type").over(w).alias("before"), F.lead("event_type").over(w).alias("after"))
+
+
+@query("SELECT strftime(time_bucket(INTERVAL 5 MINUTES, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def tumbling_5min(spark, sf_dir):
+    return flows.tumbling(_table(spark, sf_dir, "events")).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n")
+
+
+# --- responses ----------------------------------------------------------------------------------
+
+_RESPONSE_SQL = "'PRJ' || (doc_id % 10) || '_IXP-' || doc_id || '_prompt' || (doc_id % 4 + 1)"
+
+
+def _ids(spark, sf_dir) -> DataFrame:
+    i = F.col("doc_id").cast("string")
+    return _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("PRJ"), (F.col("doc_id") % 10).cast("string"), F.lit("_IXP-"), i, F.when(F.col("doc_id") % 3 == 0, F.lit("_chunk_002")).otherwise(""), F.lit("_prompt"), (F.col("doc_id") % 4 + 1).cast("string")).alias("custom_id"))
+
+
+@query("""WITH i AS (SELECT doc_id, 'PRJ' || (doc_id % 10) || '_IXP-' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '_chunk_002' ELSE '' END || '_prompt' || (doc_id % 4 + 1) AS custom_id FROM documents)
+SELECT custom_id, split_part(custom_id, '_', 1) AS project_name, regexp_extract(custom_id, '^[^_]*_(.*)_prompt[0-9]+$', 1) AS document_name, CASE doc_id % 4 WHEN 0 THEN 'auditoria' WHEN 1 THEN 'productos' WHEN 2 THEN 'desembolsos' END AS prompt_type, CASE WHEN doc_id % 3 = 0 THEN 'chunk_002' END AS chunk_info FROM i""")
+def parse_custom_id(spark, sf_dir):
+    return _ids(spark, sf_dir).select("custom_id", results.parse_id("custom_id").alias("id")).select("custom_id", "id.*")
+
+
+def _lines(spark, sf_dir) -> DataFrame:
+    """Response lines whose contents cycle through six shapes; every tenth failed, every 23rd isn't JSON."""
+    d = _ids(spark, sf_dir)
+    i = F.col("doc_id").cast("string")
+    one = F.concat(F.lit('{"a":'), i, F.lit("}"))
+    shapes = [one, F.concat(F.lit("```json\n"), one, F.lit("\n```")), F.concat(F.lit("["), one, F.lit(","), one, F.lit("]")), F.concat(one, one), F.concat(F.lit("["), one, F.lit(","), one, F.lit(',{"a":')), F.lit("nothing found")]
+    content = F.get(F.array(*shapes), (F.col("doc_id") % 6).cast("int"))
+    body = F.struct(F.array(F.struct(F.struct(content.alias("content")).alias("message"))).alias("choices"))
+    response = F.struct(F.when(F.col("doc_id") % 10 == 9, 429).otherwise(200).alias("status_code"), body.alias("body"))
+    line = F.to_json(F.struct("custom_id", response.alias("response")))
+    return d.select(F.concat(F.lit("batch_"), (F.col("doc_id") % 5).cast("string")).alias("batch_id"), F.when(F.col("doc_id") % 23 == 22, F.lit("{broken")).otherwise(line).alias("value"))
+
+
+_ITEMS = """l AS (SELECT doc_id, 'batch_' || (doc_id % 5) AS batch_id, doc_id % 23 = 22 AS broken, doc_id % 10 = 9 AS refused, CASE doc_id % 6 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 5 THEN 1 ELSE 2 END AS n,
+ 'PRJ' || (doc_id % 10) || '_IXP-' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '_chunk_002' ELSE '' END AS stem, doc_id % 4 + 1 AS number FROM documents),
+items AS (SELECT *, unnest(range(n)) + 1 AS part FROM l WHERE NOT broken AND NOT refused)"""
+
+
+@query(f"""WITH {_ITEMS} SELECT batch_id, stem || '_prompt' || number || CASE WHEN n > 1 THEN '_part_' || lpad(CAST(part AS VARCHAR), 3, '0') ELSE '' END AS item_id,
+CASE WHEN doc_id % 6 = 5 THEN '{{"_raw_text":"nothing found","_parse_error":"no JSON object"}}' ELSE '{{"a":' || doc_id || '}}' END AS object, doc_id % 6 <> 5 AS recovered FROM items""")
+def response_objects(spark, sf_dir):
+    return results.objects(results.parse_lines(_lines(spark, sf_dir))).select("batch_id", "item_id", "object", "recovered")
+
+
+@query(f"""WITH {_ITEMS}, f AS (SELECT batch_id, count(*) FILTER (WHERE broken OR refused) AS failed FROM l GROUP BY ALL), s AS (SELECT batch_id, count(*) AS ok FROM items GROUP BY ALL)
+SELECT batch_id, ok + failed AS total, ok AS successful, failed, round(100.0 * ok / (ok + failed), 6) AS success_rate FROM f JOIN s USING (batch_id)""")
+def response_statistics(spark, sf_dir):
+    parsed = results.parse_lines(_lines(spark, sf_dir))
+    return results.statistics(parsed, results.objects(parsed), ["batch_id"]).select("batch_id", "total", "successful", "failed", F.round("success_rate", 6).alias("success_rate"))
+
+
+@query("SELECT user_id, count(*) AS total, count(*) FILTER (WHERE event_type <> 'error') AS successful, count(*) FILTER (WHERE event_type = 'error') AS failed, round(100.0 * count(*) FILTER (WHERE event_type <> 'error') / count(*), 6) AS success_rate FROM events GROUP BY ALL")
+def result_status_stats(spark, sf_dir):
+    ok = F.count_if(F.col("event_type") != "error")
+    return _table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("total"), ok.alias("successful"), F.count_if(F.col("event_type") == "error").alias("failed"), F.round(100.0 * ok / F.count("*"), 6).alias("success_rate"))
+
+
+@query(f"""WITH {_ITEMS} SELECT regexp_replace(stem, '^[^_]*_', '') AS document_name, CASE number WHEN 1 THEN 'auditoria' WHEN 2 THEN 'productos' WHEN 3 THEN 'desembolsos' END AS prompt_type, count(*) AS n_objects FROM items GROUP BY ALL""")
+def group_by_document_type(spark, sf_dir):
+    items = results.objects(results.parse_lines(_lines(spark, sf_dir)))
+    return results.by_document(items).select("document_name", "prompt_type", F.size("objects").cast("long").alias("n_objects"))
+
+
+@query(f"WITH {_ITEMS}, d AS (SELECT regexp_replace(stem, '^[^_]*_', '') AS document_name, number FROM items) SELECT document_name, count(*) FILTER (WHERE number = 1) AS auditoria, count(*) FILTER (WHERE number = 2) AS productos, count(*) FILTER (WHERE number = 3) AS desembolsos FROM d GROUP BY ALL")
+def pivot_by_type(spark, sf_dir):
+    return results.pivot_types(results.objects(results.parse_lines(_lines(spark, sf_dir))))
+
+
+@query(f"WITH {_ITEMS}, t AS (SELECT unnest(['auditoria','productos','desembolsos']) AS prompt_type, unnest([1,2,3]) AS number) SELECT prompt_type, count(i.part) AS n FROM t LEFT JOIN items i USING (number) GROUP BY ALL")
+def group_by_type(spark, sf_dir):
+    return results.by_type(results.objects(results.parse_lines(_lines(spark, sf_dir))))
+
+
+@query(f"""WITH {_ITEMS} SELECT batch_id, count(DISTINCT regexp_replace(stem, '^[^_]*_', '')) AS documents_processed, count(*) FILTER (WHERE number = 1) AS auditoria, count(*) FILTER (WHERE number = 2) AS productos, count(*) FILTER (WHERE number = 3) AS desembolsos FROM items GROUP BY ALL""")
+def batch_summary(spark, sf_dir):
+    s = results.summary(results.objects(results.parse_lines(_lines(spark, sf_dir))))
+    return s.select("batch_id", "documents_processed", *[F.coalesce(F.try_element_at("prompts_results", F.lit(t)), F.lit(0)).alias(t) for t in results.TYPES])
+
+
+@query("""WITH r AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN 'proyectado' ELSE 'realizado' END AS tag, CAST(l_linenumber AS VARCHAR) AS monto FROM lineitem)
+SELECT l_orderkey, tag AS tipo, monto, CASE WHEN monto = '2' THEN 'own' ELSE 'meta' END AS origen FROM r""")
+def flatten_nested(spark, sf_dir):
+    line = F.when(F.col("l_linenumber") == 2, F.struct(F.col("l_linenumber").cast("string").alias("monto"), F.lit("x").alias("tipo_registro_norm"), F.lit("own").alias("origen"))).otherwise(F.struct(F.col("l_linenumber").cast("string").alias("monto"), F.lit("x").alias("tipo_registro_norm"), F.lit(None).cast("string").alias("origen")))
+    rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_linenumber") % 2 == 0).alias("planned"), line.alias("r"))
+    nested = rows.groupBy("l_orderkey").agg(F.collect_list(F.when(F.col("planned"), F.col("r"))).alias("proyectados"), F.collect_list(F.when(~F.col("planned"), F.col("r"))).alias("realizados"))
+    made = nested.select("l_orderkey", F.to_json(F.struct(F.struct("proyectados", "realizados").alias("desembolsos"), F.struct(F.lit("meta").alias("origen"), F.lit("y").alias("tipo_registro_norm")).alias("metadata"))).alias("object"))
+    flat = results.flatten_disbursements(made)
+    return flat.select("l_orderkey", *[F.get_json_object("object", f"$.{p}").alias(n) for n, p in (("tipo", "tipo_registro_norm"), ("monto", "monto"), ("origen", "origen"))])
+
+
+_CUT = "left(props, CAST(length(props) - event_id % 3 AS INT))"
+
+
+@query(f"""WITH c AS (SELECT event_id, {_CUT} AS t FROM events), q AS (SELECT event_id, CASE WHEN (length(t) - length(replace(t, '"', ''))) % 2 = 1 THEN t || '"' ELSE t END AS t FROM c), b AS (SELECT event_id, regexp_replace(rtrim(t), ',$', '') AS t FROM q)
+SELECT event_id, t || repeat('}}', greatest(0, (length(t) - length(replace(t, '{{', ''))) - (length(t) - length(replace(t, '}}', ''))))) AS repaired FROM b""")
+def repair_truncated(spark, sf_dir):
+    return _table(spark, sf_dir, "events").select("event_id", recovery.repair_json(F.expr(_CUT)).alias("repaired"))
+
+
+@query(f"""WITH c AS (SELECT event_id, {_CUT} AS t FROM events) SELECT event_id, concat_ws('; ', CASE WHEN length(replace(t, '{{', '')) <> length(replace(t, '}}', '')) THEN 'unbalanced braces' END, CASE WHEN rtrim(t) LIKE '%,' OR rtrim(t) LIKE '%"' THEN 'cut at the end' END) AS found FROM c""")
+def diagnose_json(spark, sf_dir):
+    return _table(spark, sf_dir, "events").select("event_id", recovery.diagnose_json(F.expr(_CUT)).alias("found"))
+
+
+@query("""WITH a AS (SELECT user_id, event_type, event_id, value FROM events), r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn FROM a) SELECT user_id, event_type, event_id, value FROM r WHERE rn = 1""")
+def consolidate_latest(spark, sf_dir):
+    e = _table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value")
+    return results.consolidate(e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1"), ["user_id", "event_type"], "event_id")
+
+
+@query("SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events")
+def json_path_props(spark, sf_dir):
+    return _table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+
+
+# --- layout and rules ---------------------------------------------------------------------------
+
+
+@query("SELECT user_id, round(avg(CASE WHEN value > 0 THEN value END), 6) AS confidence FROM events GROUP BY ALL")
+def confidence_average(spark, sf_dir):
+    part = F.struct(F.col("value").alias("confidence"))
+    per = _table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_list(part).alias("tables"))
+    none = F.array().cast("array<struct<confidence:double>>")
+    built = per.select("user_id", F.struct("tables", none.alias("paragraphs"), none.alias("key_value_pairs")).alias("json_data"))
+    return built.select("user_id", F.round(layout.average_confidence("json_data"), 6).alias("confidence"))
+
+
+@query("""WITH c AS (SELECT n_regionkey, n_name, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS INT) AS r FROM nation), m AS (SELECT n_regionkey, r, '| ' || n_name || ' | ' || CASE WHEN r % 2 = 0 THEN 'even' ELSE '' END || ' |' || CASE WHEN r = 0 THEN chr(10) || '| --- | --- |' ELSE '' END AS line FROM c)
+SELECT n_regionkey, string_agg(line, chr(10) ORDER BY r) AS markdown FROM m GROUP BY ALL""")
+def table_markdown(spark, sf_dir):
+    n = _table(spark, sf_dir, "nation").withColumn("r", F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")) - 1)
+    name = F.struct(F.col("n_name").alias("content"), F.col("r").alias("row_index"), F.lit(0).alias("column_index"))
+    even = F.struct(F.lit("even").alias("content"), F.col("r").alias("row_index"), F.lit(1).alias("column_index"))
+    cells = n.groupBy("n_regionkey").agg(F.flatten(F.collect_list(F.when(F.col("r") % 2 == 0, F.array(name, even)).otherwise(F.array(name)))).alias("cells"))
+    return cells.select("n_regionkey", layout.table_markdown(F.struct("cells")).alias("markdown"))
+
+
+@query("""WITH d AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS period, o_orderpriority AS currency, o_orderstatus AS record_type, ['ROP','INI','DEC'][o_custkey % 3 + 1] AS source, CAST(o_custkey % 3 AS INT) AS p FROM orders)
+SELECT period, currency, record_type, o_orderkey, source FROM (SELECT *, row_number() OVER (PARTITION BY period, currency, record_type ORDER BY p, o_orderkey DESC) AS rn FROM d) WHERE rn = 1""")
+def dedup_period_currency(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders")
+    rows = o.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("period"), F.col("o_orderpriority").alias("currency"), F.col("o_orderstatus").alias("record_type"), F.get(F.array(*map(F.lit, rules.SOURCE_ORDER)), (F.col("o_custkey") % 3).cast("int")).alias("source"))
+    return rules.dedup_disbursements(rows, revised="o_orderkey").select("period", "currency", "record_type", "o_orderkey", "source")
+
+
+@query("SELECT lang, source, round(avg(CASE WHEN quality = 1 THEN 1.0 ELSE 0.0 END), 6) AS coverage, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY ROLLUP (lang, source)")
+def coverage_rollup(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source").join(_table(spark, sf_dir, "labels"), "doc_id")
+    c = d.withColumn("confidence", F.when(F.col("quality") == 1, "EXTRAIDO_DIRECTO").otherwise("NO_EXTRAIDO"))
+    return c.rollup("lang", "source").agg(F.round(rules.coverage("confidence"), 6).alias("coverage"), F.count("*").alias("n"))
+
+
+_GOAL = "CASE p_partkey % 4 WHEN 0 THEN p_size || ' km' WHEN 1 THEN '1.' || lpad(CAST(p_size AS STRING), 3, '0') || ' personas' WHEN 2 THEN p_size || '%' ELSE p_size || ',5 ha' END"
+
+
+@query("SELECT p_partkey, CAST(CASE p_partkey % 4 WHEN 1 THEN 1000 + p_size WHEN 3 THEN p_size + 0.5 ELSE p_size END AS DOUBLE) AS number, ['km','personas','%','ha'][p_partkey % 4 + 1] AS unit FROM part")
+def goal_unit_split(spark, sf_dir):
+    number, unit = rules.goal(F.expr(_GOAL))
+    return _table(spark, sf_dir, "part").select("p_partkey", number.alias("number"), unit.alias("unit"))
+
+
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Favorable' WHEN 1 THEN 'Favorable con reservas' WHEN 2 THEN 'Desfavorable' END AS opinion FROM documents")
+def opinion_class(spark, sf_dir):
+    phrases = F.array(*map(F.lit, ("presenta razonablemente la situación", "opinión favorable con salvedades", "Opinión DESFAVORABLE", "sin texto")))
+    return _table(spark, sf_dir, "documents").select("doc_id", rules.opinion(F.get(phrases, (F.col("doc_id") % 4).cast("int"))).alias("opinion"))
+
+
+@query("SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18, 2)) AS amount FROM orders")
+def amount_parse(spark, sf_dir):
+    text = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("US$ "), F.format_number("o_totalprice", 2))).otherwise(F.concat(F.lit("Bs "), F.translate(F.format_number("o_totalprice", 2), ",.", ".,")))
+    return _table(spark, sf_dir, "orders").select("o_orderkey", rules.amount(text).cast("decimal(18,2)").alias("amount"))
