@@ -11,8 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import reachable
+
 #: Bytes of text that a Python worker handles at once; larger texts are handled alone.
 CHUNK_BYTES = 1_000_000
+#: Bytes of an Arrow batch, of which Spark and the worker each hold several.
+BATCH_BYTES = 4_000_000
 #: Ids that may be broadcast (8 bytes each); beyond it the join is shuffled.
 BROADCAST_IDS = 500_000
 
@@ -37,6 +41,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def ready(spark: SparkSession) -> None:
+    """Keeps what passes between Spark and its Python workers small, and lets them import this package."""
+    reachable(spark)
+    spark.sparkContext.environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of plans that nothing refers to any more."""
     import gc

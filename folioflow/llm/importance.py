@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _LOWER, mix, stage, text_chunks, with_ids
+from .common import _LOWER, mix, ready, stage, text_chunks, with_ids
 
 #: Buckets of single tokens and of pairs; more are for pairs of equal tokens and capitals.
 BUCKETS = 1 << 15
@@ -162,6 +162,7 @@ def resample(docs: DataFrame, good: DataFrame, loss: float = LOSS, seed: int = 0
     good: ids (id_col) of the documents labelled as good. Half of them, by a hash, are the target text;
     k is how many documents weigh as much as all but a share `loss` of the other half do, less SLACK.
     """
+    ready(docs.sparkSession)
     held = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(id_col)), F.lit(2)) == 1
     target = with_ids(docs, good.where(~held), id_col, "left_semi")
     ratio = log_ratio(counts(target, text_col), counts(docs, text_col))

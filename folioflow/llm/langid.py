@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import ready, text_chunks
 
 #: Documents that the model is learned from at most (expected; taken by a hash of the id), and the
 #: words and n-grams that it keeps, the most frequent ones.
@@ -94,6 +94,7 @@ def _table(counts: dict[str, dict[str, int]], languages: list[str], keep: int) -
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS) -> Model:
     """A model from labelled texts; its size is bounded by KEEP_WORDS, KEEP_GRAMS and the languages."""
+    ready(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null and doc_id is not null")
     n = rows.count()
     if n > train_docs:
@@ -138,6 +139,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 def predict(docs: DataFrame, model: Model, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every whole text."""
+    ready(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded, see fit
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Forest, block_pairs, connected_components, digest, grouped, mix, parallelism, stage
+from .common import Forest, block_pairs, connected_components, digest, grouped, mix, parallelism, ready, stage
 
 #: A pair at the least cosine misses one table with a probability of 0.024, all six with 2e-10.
 TABLES, PROBES, SCALE = 6, 4, 5.0
@@ -116,6 +116,7 @@ def links(unit: np.ndarray, own: np.ndarray, here: int, side: np.ndarray | None,
 def near_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str | None = "label") -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per input row."""
     spark = vectors.sparkSession
+    ready(spark)
     label = F.lit(0) if label_col is None else F.col(label_col)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), label.cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
     inf = float("inf")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Forest, block_pairs, connected_components, digest, grouped, mix, parallelism, release, shingle_sets, stage, text_chunks, with_ids
+from .common import Forest, block_pairs, connected_components, digest, grouped, mix, parallelism, ready, release, shingle_sets, stage, text_chunks, with_ids
 
 #: Documents and words that a block of a large candidate group holds on average, at most.
 BLOCK_DOCS, BLOCK_CHARS = 1024, 8_000_000
@@ -95,6 +95,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt out as pairs of blocks.
     """
     spark = docs.sparkSession
+    ready(spark)
     rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

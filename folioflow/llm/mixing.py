@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_chunks, word_hashes
+from .common import ready, stage, text_chunks, word_hashes
 
 BUCKETS = 1 << 15
 #: Labelled documents that the classifier is fitted on at most (expected; taken by a hash of the id).
@@ -49,6 +49,7 @@ class Classifier:
 
 def fit(labelled: DataFrame, domain_col: str, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS) -> Classifier:
     """Naive Bayes on hashed words; BUCKETS weights per domain."""
+    ready(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(domain_col).cast("string").alias("domain")).where("doc_id is not null and domain is not null")
     shares = {r[0]: r[1] for r in rows.groupBy("domain").count().collect()}
     n = sum(shares.values())
@@ -152,6 +153,7 @@ def mix(docs: DataFrame, classifier: Classifier, weights: dict[str, float] | Non
     d = len(classifier.domains)
     if not d:
         return Mixer(Classifier(["all"], np.ones(1), np.zeros((BUCKETS, 1), np.float32)), np.empty((0, 1)), seed)
+    ready(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,6 +180,7 @@ def mix(docs: DataFrame, classifier: Classifier, weights: dict[str, float] | Non
 def rated(docs: DataFrame, mixer: Mixer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, one p_<domain> per domain, rate, copies: the rate rounded up or down at random by
     its fraction, by a hash of the id."""
+    ready(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(mixer)
     names = [f"p_{x}" for x in mixer.classifier.domains]
 
@@ -198,6 +201,7 @@ def _uniform(seed: int, id_col: str, text_col: str):
 
 def apply(docs: DataFrame, mixer: Mixer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents' own columns, each row as often as its copies say."""
+    ready(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(mixer)
     names = docs.columns
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_chunks
+from .common import ready, stage, text_chunks
 
 CAPACITY, CLOSING_ID = 4096, 1
 #: Words whose ids a Python worker remembers.
@@ -246,6 +246,7 @@ def pack(docs: DataFrame, file: str, capacity: int = CAPACITY, id_col: str = "do
     if not Path(file).name:
         raise ValueError("a tokenizer file is needed")
     spark = docs.sparkSession
+    ready(spark)
     cut = stage(pieces(docs, file, capacity, id_col, text_col), "pieces")
     histogram = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
     if not histogram:

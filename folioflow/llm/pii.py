@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_chunks, with_ids
+from .common import ready, stage, text_chunks, with_ids
 
 KINDS = ("email", "ip", "card", "phone", "id")
 ROUNDS, TRUST, LEAST_SEEDS = 3, 0.6, 3
@@ -185,6 +185,7 @@ def _pointed(places: DataFrame, good: DataFrame) -> DataFrame:
 
 def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, base, extra: base spans and discovered places of every document."""
+    ready(docs.sparkSession)
     scanned = stage(scan(docs, id_col, text_col), "scanned")
     extra = discover(scanned)
     return scanned.select("doc_id", "base").join(extra, "doc_id", "left")
@@ -206,6 +207,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coun
 
     Only rows with discovered places are joined with them; the others find their base spans on the way.
     """
+    ready(docs.sparkSession)
     scanned = stage(scan(docs, id_col, text_col), "scanned")
     extra = stage(discover(scanned), "extra")
     names, schema = docs.columns, docs.schema

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, connected_components, parallelism, sequence_hash, stage, text_chunks, with_ids, word_hashes
+from .common import chunks, connected_components, parallelism, ready, sequence_hash, stage, text_chunks, with_ids, word_hashes
 
 # Common words of four languages that start chains.
 ANTECEDENTS = (
@@ -123,6 +123,7 @@ def stability(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     after it, so only each range's last text waits for another range's first one.
     """
     spark = docs.sparkSession
+    ready(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(parallelism(spark), "doc_id", "text").sortWithinPartitions("doc_id", "text")
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, parallelism, release, stage, text_chunks, with_ids
+from .common import mix, parallelism, ready, release, stage, text_chunks, with_ids
 
 SPAN, GRAM = 200, 64
 #: Contexts of one anchor that a task may hold.
@@ -340,6 +340,7 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = GRAM, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per input row."""
+    ready(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit(1), text)).alias("uid"), text.alias("text"))
     named = stage(rows.select("doc_id", "uid", F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("key"), F.sha2("text", 256).alias("sha")), "texts")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, text_chunks
+from .common import mix, ready, text_chunks
 
 BITS, SIZES = 20, (3, 4, 5, 6)
 #: Training documents of each label at most (expected; taken by a hash of the id).
@@ -90,6 +90,7 @@ def train(rows: list[np.ndarray], y: np.ndarray, share: float, penalty: float =
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic: int = TRAIN_TOXIC, other: int = TRAIN_OTHER) -> Model:
     """A model from labelled texts, of 2^BITS weights."""
+    ready(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     n = {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
     total = sum(n.values())
@@ -111,6 +112,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
 
 def predict(docs: DataFrame, model: Model, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted of every whole text."""
+    ready(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 4 MB
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
