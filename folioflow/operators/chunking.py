@@ -131,8 +131,9 @@ def chunk(docs: DataFrame, cfg: EngineConfig, content: str = "content", file: st
         return texts.map(lambda t: [] if t is None else chunk_text(t, cfg, file))
 
     one = F.array(F.struct(F.lit(0).alias("index"), F.col(content).alias("content"), F.col("total_tokens").cast("int").alias("tokens"), F.lit("Documento completo").alias("sections_range")))
-    # a Python function runs for every row of its stage, so short texts are hidden from it
-    made = counted.withColumn("_long", packed(F.when(long, F.col(content))))
+    # a Python function runs for every row of its stage, so short texts are hidden from it; as
+    # nondeterministic, the optimizer doesn't copy it into filters
+    made = counted.withColumn("_long", packed.asNondeterministic()(F.when(long, F.col(content))))
     return made.select(*counted.columns, long.alias("requires_chunking"), F.when(long, "sections_with_overlap").otherwise("none").alias("chunking_strategy"), F.when(long, F.col("_long")).otherwise(one).alias("chunks"))
 
 
