@@ -20,10 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Forest, block_pairs, connected_components, digest, grouped, mix, parallelism, ready, release, shingle_sets, stage, text_chunks, with_ids
+from .common import digest, mix, ready, release, shingle_sets, stage, text_chunks
+from .verify import components
 
-#: Documents and words that a block of a large candidate group holds on average, at most.
-BLOCK_DOCS, BLOCK_CHARS = 1024, 8_000_000
+#: Documents and shingles that a block of a large candidate group holds on average, at most.
+BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_300_000
 
 
 def signatures(sets: list[np.ndarray], n: int) -> np.ndarray:
@@ -45,48 +46,6 @@ def bands(signature: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-def jaccard_links(sets: list[np.ndarray], side: np.ndarray | None, percent: int) -> Forest:
-    """Classes of sets with 100 * intersection >= percent * union.
-
-    side: compare only sets of different sides. An inverted index counts intersections;
-    sets whose sizes rule a link out are not looked at.
-    """
-    forest, m = Forest(len(sets)), len(sets)
-    size = np.array([len(s) for s in sets])
-
-    def near(shared: np.ndarray, a: int, b: np.ndarray) -> np.ndarray:
-        return 100 * shared >= percent * (size[a] + size[b] - shared)
-
-    if m <= 24:
-        for i in range(m):
-            for j in range(i):
-                if side is not None and side[i] == side[j] or forest.find(i) == forest.find(j):
-                    continue
-                if 100 * min(size[i], size[j]) < percent * max(size[i], size[j]):
-                    continue
-                if near(np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True))]), i, np.array([j]))[0]:
-                    forest.join(i, j)
-        return forest
-    owner = np.repeat(np.arange(m), size)
-    every = np.concatenate(sets)
-    order = np.argsort(every, kind="stable")
-    owner, every = owner[order], every[order]
-    lead = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
-    runs = dict(zip(every[lead].tolist(), zip(lead.tolist(), np.append(lead[1:], len(every)).tolist(), strict=True), strict=True))
-    for i in range(m):
-        found = [owner[a:b] for a, b in (runs[x] for x in sets[i].tolist()) if b - a > 1]
-        if not found:
-            continue
-        shared = np.bincount(np.concatenate(found), minlength=m)
-        shared[i:] = 0
-        if side is not None:
-            shared[side == side[i]] = 0
-        others = np.flatnonzero(shared)
-        for j in others[near(shared[others], i, others)].tolist():
-            forest.join(i, j)
-    return forest
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, percent: int = 85, n_bands: int = 24, rows: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per input row.
 
@@ -116,30 +75,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     entries = classes.select("node", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("most")).where("lead < most").select("band", "lead")
     proposed = entries.join(shared, "band").where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
-    members = stage(connected_components(proposed), "candidates")
-
-    texts = with_ids(rows_in.where("doc_id is not null"), members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").withColumn("chars", F.length("text"))
-    sizes = members.join(named.groupBy(F.col("doc_id").alias("node")).agg(F.max("n_shingles").alias("n")), "node").groupBy("component").agg(F.count("*").alias("docs"), F.sum("n").alias("words"))
-    sizes = sizes.select("component", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("words") / (BLOCK_CHARS // 6)), F.lit(1)).cast("long").alias("n_blocks"))
-    dealt = block_pairs(members, sizes, "component", "node", 7).select("part", "block", "alone", F.col("node").alias("doc_id"))
-    dealt = dealt.join(texts.select("doc_id", "text"), "doc_id").repartition(parallelism(spark), "part").sortWithinPartitions("part", "doc_id")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        for group in grouped(batches, ["part"]):
-            ids = group.column("doc_id").to_numpy()
-            texts = [x.as_py() or "" for x in group.column("text")]
-            sets: list[np.ndarray] = []
-            for t in texts:
-                sets += shingle_sets([t.encode()], shingle)
-            side = None if group.column("alone")[0].as_py() else group.column("block").to_numpy()
-            forest = jaccard_links(sets, side, percent)
-            found = [(ids[i], ids[r]) for i in range(len(ids)) if (r := forest.find(i)) != i and ids[i] != ids[r]]
-            if found:
-                a, b = zip(*found, strict=True)
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
-
-    labels = stage(connected_components(dealt.mapInArrow(verify, "a long, b long")), "labels")
+    sizes = named.groupBy(F.col("doc_id").alias("node")).agg(F.max("n_shingles").alias("n"))
+    labels = components(proposed, rows_in, sizes, lambda texts: shingle_sets(texts, shingle), percent, BLOCK_DOCS, BLOCK_SHINGLES)
     same = described.where("doc_id is not null and set_key is not null").groupBy("doc_id").agg(F.min("set_key").alias("set_key"))
     found = classes.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     release(spark)

@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, connected_components, parallelism, ready, sequence_hash, stage, text_chunks, with_ids, word_hashes
+from .common import chunks, digest, parallelism, ready, sequence_hash, stage, text_chunks, word_hashes
+from .verify import components
 
 # Common words of four languages that start chains.
 ANTECEDENTS = (
@@ -32,6 +33,8 @@ ANTECEDENTS = (
     "el los las una unos unas y o es son del al por para con que no se su lo en como más"
 ).split()
 CHAIN, DISTANCE = 2, 1
+#: Documents and signatures that a block of a large candidate group holds on average, at most.
+BLOCK_DOCS, BLOCK_SIGNATURES = 1024, 1_300_000
 _MARKS = b".,!?:;|&%$#*()[]\"'"
 
 
@@ -172,42 +175,38 @@ def stability(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return body.unionByName(edges.select("doc_id", "tail", "following").mapInArrow(finish, _FIELDS))
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_links, component_id of texts whose signature sets have a likeness of `least` or more.
+def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, component_id, kept: texts whose signature sets have a Jaccard coefficient of `percent` or more link.
 
-    Sets are partitioned by their length (ratio 1 / least, so linked sets lie in the same or the next
-    partition); within a partition only sets sharing one of their rarest signatures meet, which
-    every linked pair does (prefix filter). Equal sets are compared once. n_links counts the other rows
-    that a row links with. Empty sets link with nothing.
+    Sets are partitioned by their length (ratio 100 / percent, so linked sets lie in the same or the next
+    partition); within a partition only sets that share one of their rarest signatures are proposed, which
+    every linked pair does (prefix filter). Equal sets are one node. Empty sets and null ids link with
+    nothing.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+    ready(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
             sets = signature_sets(texts)
-            yield pa.record_batch([batch.column("doc_id"), pa.array([x.tolist() for x in sets], pa.list_(pa.int64()))], names=["doc_id", "signatures"])
+            keys = [digest(x) if len(x) else None for x in sets]
+            yield pa.record_batch([batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array([x.tolist() for x in sets], pa.list_(pa.int64()))], names=["doc_id", "key", "signatures"])
 
-    described = stage(rows.mapInArrow(describe, "doc_id long, signatures array<long>"), "sets")
-    full = described.where(F.size("signatures") > 0)
-    classes = stage(full.groupBy("signatures").agg(F.min("doc_id").alias("node"), F.countDistinct("doc_id").alias("copies")), "classes")
+    described = stage(rows.mapInArrow(describe, "doc_id long, key binary, signatures array<long>"), "sets")
+    named = described.where("doc_id is not null and key is not null")
+    classes = stage(named.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("signatures").alias("signatures")), "classes")
     spread = classes.select("node", F.size("signatures").alias("n"), F.explode("signatures").alias("s"))
     rarity = spread.groupBy("s").agg(F.count("*").alias("df"))
     ranked = spread.join(rarity, "s").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("r"))
-    kept = F.col("n") - F.ceil(F.col("n") * least) + 1
-    slot = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / least)))
-    prefix = ranked.select("node", "n", slot.alias("slot"), F.explode(F.slice("r", F.lit(1), kept.cast("int"))).alias("x")).select("node", "n", "slot", "x.s")
-    here = prefix.select(F.col("node").alias("a"), F.col("n").alias("na"), "s", F.explode(F.array("slot", F.col("slot") + 1)).alias("slot"))
-    there = prefix.select(F.col("node").alias("b"), F.col("n").alias("nb"), "s", "slot")
-    met = here.join(there, ["s", "slot"]).where((F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    pairs = met.where(F.col("na") >= F.col("nb") * least).select("a", "b").distinct()
-    sets = classes.select("node", "signatures", "copies")
-    both = pairs.join(sets.toDF("a", "sa", "ca"), "a").join(sets.toDF("b", "sb", "cb"), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    links = stage(both.where(shared >= least * (F.size("sa") + F.size("sb") - shared)).select("a", "b", "ca", "cb"), "links")
-    degree = links.select(F.col("a").alias("node"), F.col("cb").alias("n")).union(links.select("b", "ca")).groupBy("node").agg(F.sum("n").alias("n"))
-    labels = connected_components(links.select("a", "b"))
-    known = classes.join(degree, "node", "left").join(labels, "node", "left")
-    known = known.select("signatures", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
-    out = described.join(known, "signatures", "left")
-    return out.select("doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    slot = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9)
+    entries = ranked.select("node", F.explode(F.slice("r", F.lit(1), prefix.cast("int"))).alias("x"), F.array(slot, slot + 1).alias("slots")).select("node", "x.s", F.explode("slots").alias("slot"))
+    leads = entries.groupBy("slot", "s").agg(F.min("node").alias("lead"), F.max("node").alias("most")).where("lead < most").select("slot", "s", "lead")
+    proposed = entries.join(leads, ["slot", "s"]).where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+    sizes = named.groupBy(F.col("doc_id").alias("node")).agg(F.max(F.size("signatures")).alias("n"))
+    labels = components(proposed, rows, sizes, signature_sets, percent, BLOCK_DOCS, BLOCK_SIGNATURES)
+    found = classes.select("key", "node").join(labels, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
+    of = named.groupBy("doc_id").agg(F.min("key").alias("key")).join(found, "key").select("doc_id", "component")
+    component = F.coalesce("component", "doc_id")
+    out = described.select("doc_id").join(of, "doc_id", "left")
+    return out.select("doc_id", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
