@@ -10,9 +10,10 @@ members are told apart by what precedes them (left-extension diversity), which g
 maximal repeats in the interval and for each occurrence how far it repeats on both sides.
 No more than span - k bytes on either side are needed: longer repeats hold more anchors.
 
-Texts that are equal as a whole are represented by one of them. Groups of one anchor with
-more than HOT contexts are counted by their exact strings of `span` bytes instead, by
-aggregation, so no task holds an unbounded group.
+Texts that are equal as a whole are represented by one of them. Of anchors that occur more
+than FREQUENT times only the distinct contexts are brought together, and where even those
+are more than HOT, the strings of `span` bytes in them are counted by aggregation instead,
+so no task holds an unbounded group.
 
 Results for odd input: null and empty texts have no bytes and nothing removed; texts shorter than
 `span` keep all; repeated rows are copies of each other; a null id is kept in the
@@ -33,8 +34,11 @@ from pyspark.sql import functions as F
 from .common import mix, parallelism, ready, release, stage, text_chunks, with_ids
 
 SPAN, GRAM = 200, 64
-#: Contexts of one anchor that a task may hold.
-HOT = 50_000
+#: Occurrences from which on an anchor's equal contexts are merged first, and distinct contexts of one
+#: anchor that a task may hold.
+FREQUENT, HOT = 1_000, 100_000
+#: Contexts that a task remembers having sent.
+SENT = 100_000
 SLICE = 1_000_000
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 _BYTES = np.random.PCG64(71).random_raw(256)
@@ -162,9 +166,10 @@ def _text_key(*columns: np.ndarray) -> np.ndarray:
     return joined.view(f"S{joined.shape[1]}").ravel()
 
 
-def reach(anchor: np.ndarray, before: tuple[np.ndarray, np.ndarray], after: tuple[np.ndarray, np.ndarray], need: int) -> tuple[np.ndarray, np.ndarray]:
+def reach(anchor: np.ndarray, before: tuple[np.ndarray, np.ndarray], after: tuple[np.ndarray, np.ndarray], need: int, copies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """How many bytes before and after its anchor each occurrence shares with others, in repeats
-    with before + after >= need; -1 where there are none. before: reversed, so both read outward."""
+    with before + after >= need; -1 where there are none. before: reversed, so both read outward.
+    copies: how many occurrences a row stands for."""
     (left, left_n), (right, right_n) = before, after
     n = len(anchor)
     key = _text_key(anchor.astype(">u8").view(np.uint8).reshape(n, 8), right, right_n[:, None].astype(np.uint8), left, left_n[:, None].astype(np.uint8))
@@ -173,7 +178,7 @@ def reach(anchor: np.ndarray, before: tuple[np.ndarray, np.ndarray], after: tupl
     of = np.empty(n, dtype=np.int64)
     of[order] = np.cumsum(fresh) - 1
     u = order[fresh]
-    times = np.bincount(of)
+    times = np.bincount(of, copies)
     a, left, left_n, right, right_n = anchor[u], left[u], left_n[u], right[u], right_n[u]
     out_l, out_r = np.full(len(u), -1), np.full(len(u), -1)
     same = (times > 1) & (left_n + right_n >= need)
@@ -229,7 +234,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 20_00
         yield pa.Table.from_batches(held)
 
 
-def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = GRAM, hot: int = HOT) -> DataFrame:
+def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = GRAM, frequent: int = FREQUENT, hot: int = HOT) -> DataFrame:
     """uid, start, stop: bytes of each text (uid, text) that lie in strings of `span` bytes starting at
     two places or more; spans overlap."""
     spark, width = texts.sparkSession, span - k
@@ -263,25 +268,29 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = GRAM, hot: int =
 
     shared = stage(dealt.mapInArrow(several, "anchor long, uid long, place int"), "anchors")
     release(spark)
-    common = stage(shared.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "hot")
-    by_text = shared.groupBy("uid").agg(F.collect_list(F.struct("place", "anchor")).alias("found"))
-    joined = by_text.join(texts, "uid")
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw in text_chunks(batches):
-            ids = batch.column("uid").to_pylist()
-            rows: list[list] = [[], [], [], [], []]
-            for i, (uid, t) in enumerate(zip(ids, raw, strict=True)):
-                found = batch.column("found")[i].values
-                back = t[::-1]
-                for p, a in zip(found.field("place").to_pylist(), found.field("anchor").to_pylist(), strict=True):
-                    begin = len(t) - p
-                    for column, x in zip(rows, (a, uid, p, back[begin : begin + width], t[p + k : p + k + width]), strict=True):
-                        column.append(x)
-            yield pa.record_batch([pa.array(x, y) for x, y in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["anchor", "uid", "place", "before", "after"])
-
-    fields = "anchor long, uid long, place int, before binary, after binary"
-    around = joined.mapInArrow(contexts, fields)
+    def contexts(found: DataFrame) -> DataFrame:
+        """anchor, uid, place, before, after of the anchors found; a text goes with its own ones."""
+        by_text = found.groupBy("uid").agg(F.collect_list(F.struct("place", "anchor")).alias("found"))
+
+        def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, raw in text_chunks(batches):
+                ids = batch.column("uid").to_pylist()
+                rows: list[list] = [[], [], [], [], []]
+                for i, (uid, t) in enumerate(zip(ids, raw, strict=True)):
+                    own = batch.column("found")[i].values
+                    back = t[::-1]
+                    for p, a in zip(own.field("place").to_pylist(), own.field("anchor").to_pylist(), strict=True):
+                        begin = len(t) - p
+                        for column, x in zip(rows, (a, uid, p, back[begin : begin + width], t[p + k : p + k + width]), strict=True):
+                            column.append(x)
+                        if len(rows[0]) >= 10_000:
+                            yield _context_batch(rows)
+                            rows = [[], [], [], [], []]
+                if rows[0]:
+                    yield _context_batch(rows)
+
+        return by_text.join(texts, "uid").mapInArrow(around, "anchor long, uid long, place int, before binary, after binary")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, "anchor"):
@@ -290,34 +299,87 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = GRAM, hot: int =
             place = table.column("place").to_numpy()[hit].astype(np.int64)
             yield pa.record_batch([pa.array(table.column("uid").to_numpy()[hit], pa.int64()), pa.array(place - l[hit], pa.int64()), pa.array(place + k + r[hit], pa.int64())], names=["uid", "start", "stop"])
 
-    spans = "uid long, start long, stop long"
-    if not common.limit(1).count():
-        return stage(around.repartition(parallelism(spark), "anchor").sortWithinPartitions("anchor").mapInArrow(scan, spans), "spans")
-    around = stage(around, "contexts")
-    rare = around.join(common, "anchor", "left_anti").repartition(parallelism(spark), "anchor").sortWithinPartitions("anchor").mapInArrow(scan, spans)
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.repartition(parallelism(spark), "anchor").sortWithinPartitions("anchor")
+
+    often = stage(shared.groupBy("anchor").count().where(F.col("count") > frequent).select("anchor"), "frequent")
+    spans = together(contexts(with_ids(shared, often, "anchor", "left_anti"))).mapInArrow(scan, "uid long, start long, stop long")
+    if often.limit(1).count():
+        spans = stage(spans, "spans")
+        release(spark)
+        spans = spans.unionByName(_frequent_spans(contexts(with_ids(shared, often, "anchor", "left_semi")), span, k, hot, together))
+    return stage(spans, "spans")
+
+
+def _context_batch(rows: list[list]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(x, y) for x, y in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["anchor", "uid", "place", "before", "after"])
+
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Every string of `span` bytes around a common anchor, by hash; a middle part stands for the anchor."""
+def _frequent_spans(around: DataFrame, span: int, k: int, hot: int, together) -> DataFrame:
+    """uid, start, stop like repeated_spans, by way of the distinct contexts."""
+    width = span - k
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Contexts by name; a task sends the bytes of one it remembers only once."""
+        sent: set[bytes] = set()
         for batch in batches:
-            for a in range(0, batch.num_rows, 2_000):
-                part = batch.slice(a, min(2_000, batch.num_rows - a))
-                uids, starts, names = [], [], []
-                for anchor, uid, p, b, f in zip(*(part.column(c).to_pylist() for c in ("anchor", "uid", "place", "before", "after")), strict=True):
-                    whole = b[::-1] + anchor.to_bytes(8, "little", signed=True) + f
-                    n = len(whole) - (width + 8) + 1
-                    for s in range(max(0, len(b) - width), max(0, n)):
-                        if s > len(b):
-                            break
-                        uids.append(uid)
-                        starts.append(p - len(b) + s)
-                        names.append(hashlib.blake2b(whole[s : s + width + 8] + (len(b) - s).to_bytes(2, "little"), digest_size=16).digest())
-                yield pa.record_batch([pa.array(uids, pa.int64()), pa.array(starts, pa.int64()), pa.array(names, pa.binary())], names=["uid", "start", "name"])
-
-    every = stage(around.join(common, "anchor", "left_semi").mapInArrow(strings, "uid long, start long, name binary"), "strings")
-    place = F.struct("uid", "start")
-    again = every.groupBy("name").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("name")
-    often = every.join(again, "name", "left_semi").select("uid", "start", (F.col("start") + span).alias("stop"))
-    return stage(rare.union(often), "spans")
+            before, after = batch.column("before").to_pylist(), batch.column("after").to_pylist()
+            names, b, f = [], [], []
+            for x, y in zip(before, after, strict=True):
+                name = hashlib.blake2b(len(x).to_bytes(2, "little") + x + y, digest_size=16).digest()
+                new = name not in sent
+                if new:
+                    if len(sent) >= SENT:
+                        sent.clear()
+                    sent.add(name)
+                names.append(name)
+                b.append(x if new else None)
+                f.append(y if new else None)
+            yield pa.record_batch([*batch.columns[:3], pa.array(names, pa.binary()), pa.array(b, pa.binary()), pa.array(f, pa.binary())], names=["anchor", "uid", "place", "name", "before", "after"])
+
+    placed = stage(around.mapInArrow(named, "anchor long, uid long, place int, name binary, before binary, after binary"), "placed")
+    distinct = stage(placed.groupBy("anchor", "name").agg(F.count("*").alias("n"), F.max("before").alias("before"), F.max("after").alias("after")), "contexts")
+    crowded = stage(distinct.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "crowded")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, "anchor"):
+            l, r = reach(table.column("anchor").to_numpy().view(np.uint64), _matrix(table.column("before"), width), _matrix(table.column("after"), width), width, table.column("n").to_numpy())
+            hit = np.flatnonzero(l >= 0)
+            kept = table.select(["anchor", "name"]).take(pa.array(hit)).combine_chunks()
+            yield from (pa.record_batch([x.column(0), x.column(1), pa.array(-l[hit][o : o + x.num_rows], pa.int64()), pa.array(k + r[hit][o : o + x.num_rows], pa.int64())], names=["anchor", "name", "start", "stop"]) for o, x in _numbered(kept))
+
+    fields = "anchor long, name binary, start long, stop long"
+    result = together(with_ids(distinct, crowded, "anchor", "left_anti")).mapInArrow(scan, fields)
+    if crowded.limit(1).count():
+
+        def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Every string of `span` bytes around the anchor by hash, with its start from the anchor."""
+            for batch in batches:
+                for o in range(0, batch.num_rows, 500):
+                    rows: list[list] = [[], [], [], [], []]
+                    part = batch.slice(o, min(500, batch.num_rows - o))
+                    for anchor, name, n, b, f in zip(*(part.column(c).to_pylist() for c in ("anchor", "name", "n", "before", "after")), strict=True):
+                        whole = b[::-1] + f
+                        for first in range(max(0, len(b) - width), min(len(b), len(whole) - width) + 1):
+                            string = hashlib.blake2b(anchor.to_bytes(8, "little", signed=True) + (len(b) - first).to_bytes(2, "little") + whole[first : first + width], digest_size=16).digest()
+                            for column, x in zip(rows, (anchor, name, n, first - len(b), string), strict=True):
+                                column.append(x)
+                    yield pa.record_batch([pa.array(x, y) for x, y in zip(rows, (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["anchor", "name", "n", "start", "string"])
+
+        every = stage(with_ids(distinct, crowded, "anchor", "left_semi").mapInArrow(strings, "anchor long, name binary, n long, start long, string binary"), "strings")
+        again = every.groupBy("string").agg(F.sum("n").alias("n")).where("n > 1").select("string")
+        found = every.join(again, "string", "left_semi").groupBy("anchor", "name").agg(F.min("start").alias("start"), (F.max("start") + span).alias("stop"))
+        result = result.unionByName(found)
+    out = placed.select("anchor", "name", "uid", "place").join(stage(result, "reached"), ["anchor", "name"])
+    return out.select("uid", (F.col("place") + F.col("start")).alias("start"), (F.col("place") + F.col("stop")).alias("stop"))
+
+
+def _numbered(table: pa.Table) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Batches of a table with the row that each begins at."""
+    at = 0
+    for batch in table.to_batches():
+        yield at, batch
+        at += batch.num_rows
 
 
 _FIELDS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -338,7 +400,7 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
     return removed, runs, b"".join(kept)
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = GRAM, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = GRAM, frequent: int = FREQUENT, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per input row."""
     ready(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -349,7 +411,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = GRAM, hot: int =
     copied = stage(classes.where("n > 1"), "copied")
     followers = stage(long.join(copied, "key").where("uid <> lead").select("uid").distinct(), "followers")
     some = with_ids(rows.where(F.octet_length("text") >= span).select("uid", "text"), followers, "uid", "left_anti")
-    spans = repeated_spans(some, span, k, hot)
+    spans = repeated_spans(some, span, k, frequent, hot)
     release(docs.sparkSession)
 
     whole = named.join(copied.select("key"), "key", "left_semi")
