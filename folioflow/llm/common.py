@@ -67,6 +67,35 @@ def with_ids(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
     return df.join(ids, key, how)
 
 
+def threshold(table: DataFrame, column: str, k: int) -> float | None:
+    """The k-th largest value: ranges of the values are counted and narrowed, 1,024 at a time."""
+    low, high, n = table.agg(F.min(column), F.max(column), F.count(column)).first()
+    if not n or k < 1:
+        return None
+    if k >= n:
+        return low
+    above = 0
+    while low < high:
+        width = (high - low) / 1024
+        if width <= 0 or low + width == low:
+            break
+        part = F.least(F.floor((F.col(column) - low) / width), F.lit(1023))
+        inside = table.where((F.col(column) >= low) & (F.col(column) <= high))
+        found = inside.groupBy(part.alias("p")).agg(F.count("*").alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).orderBy(F.desc("p")).collect()
+        for r in found:
+            if above + r["n"] >= k:
+                if (r["low"], r["high"]) == (low, high):
+                    width = 0
+                low, high = r["low"], r["high"]
+                break
+            above += r["n"]
+        if not width:
+            break
+    if low == high:
+        return low
+    return table.where((F.col(column) >= low) & (F.col(column) <= high)).select(column).orderBy(F.desc(column)).limit(k - above).agg(F.min(column)).first()[0]
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, nulls as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready, text_chunks
+from .common import ready, stage, text_chunks, threshold
 
 #: Documents that the model is learned from at most (expected; taken by a hash of the id), and the
-#: words and n-grams that it keeps, the most frequent ones.
+#: words and n-grams that it keeps at most, the most frequent ones.
 TRAIN_DOCS, KEEP_WORDS, KEEP_GRAMS = 20_000, 150_000, 150_000
 LONGEST = 5
 #: Unseen words whose scores a Python worker remembers.
@@ -80,7 +80,7 @@ class Model:
         return self.languages[best], float(odds[best] / odds.sum())
 
 
-def _table(counts: dict[str, dict[str, int]], languages: list[str], keep: int) -> tuple[dict[str, int], np.ndarray]:
+def _table(counts: dict[str, dict[str, int]], languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
     """Rows of log frequencies with add-a-half smoothing."""
     names = sorted(counts)
     place = {x: k for k, x in enumerate(languages)}
@@ -122,17 +122,17 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     fields = "lang string, gram string, n long"
 
     def most(counted: DataFrame, keep: int) -> dict[str, dict[str, int]]:
-        per = counted.groupBy("gram").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-        return {r["gram"]: r["by"] for r in per.orderBy(F.desc("total"), "gram").limit(keep).collect()}
-
-    counted = rows.mapInArrow(count, fields).groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
-    try:
-        shares = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
-        languages = sorted(shares)
-        known, table = _table(most(counted, KEEP_WORDS), languages, KEEP_WORDS)
-        pieces, piece_table = _table(most(counted.mapInArrow(cut, fields).groupBy("lang", "gram").agg(F.sum("n").alias("n")), KEEP_GRAMS), languages, KEEP_GRAMS)
-    finally:
-        counted.unpersist()
+        """The most frequent grams with their counts by language; those that tie at the last place are left out."""
+        per = stage(counted.groupBy("gram").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")), "grams")
+        if per.count() > keep:
+            per = per.where(F.col("total") > threshold(per, "total", keep + 1))
+        return {r["gram"]: r["by"] for r in per.collect()}  # `keep` rows at most
+
+    counted = stage(rows.mapInArrow(count, fields).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "words")
+    shares = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    languages = sorted(shares)
+    known, table = _table(most(counted, KEEP_WORDS), languages)
+    pieces, piece_table = _table(most(counted.mapInArrow(cut, fields).groupBy("lang", "gram").agg(F.sum("n").alias("n")), KEEP_GRAMS), languages)
     share = np.array([shares[x] for x in languages], dtype=np.float64)
     return Model(languages, share / max(share.sum(), 1), known, table, pieces, piece_table)
 

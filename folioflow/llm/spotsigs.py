@@ -106,12 +106,12 @@ _FIELDS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
 
-def _described(ids: list, texts: list[str], following: list[str], next_sets: list[np.ndarray] | None = None) -> pa.RecordBatch:
+def _described(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatch:
     """Rows of _FIELDS for texts and those that follow them."""
     raw = [t.encode() for t in texts]
     after = [edited(t, f).encode() for t, f in zip(texts, following, strict=True)]
     own, new = signature_sets(raw), signature_sets(after)
-    then = [*own[1:], *signature_sets([following[-1].encode()])] if next_sets is None else next_sets
+    then = [*own[1:], *signature_sets([following[-1].encode()])]  # texts follow one another
     return pa.record_batch([
         pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in after]),
         pa.array([fingerprint(x) for x in own]), pa.array([fingerprint(x) for x in new]),
@@ -128,51 +128,62 @@ def stability(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     spark = docs.sparkSession
     ready(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    dealt = rows.repartitionByRange(parallelism(spark), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    n = parallelism(spark)
+    bounds = sorted(set(rows.where("doc_id is not null").approxQuantile("doc_id", [k / n for k in range(1, n)], 0.2 / n))) if n > 1 else []
+    # a range's number is the bounds that its ids reach; fixed here, so that both walks below see the same ranges
+    span = F.size(F.filter(F.lit(bounds).cast("array<double>"), lambda x: x <= F.col("doc_id"))) if bounds else F.lit(0)
+    rows = rows.select("doc_id", "text", F.when(F.col("doc_id").isNull(), 0).otherwise(span).cast("int").alias("range"))
+    dealt = rows.repartition(n, "range").sortWithinPartitions("range", "doc_id", "text")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Described rows, with the range's first text in `head`; its last row only has `tail`, its text."""
-        schema = _SCHEMA.append(pa.field("head", pa.string())).append(pa.field("tail", pa.string())).append(pa.field("ends", pa.int64()))
-
-        def out(batch: pa.RecordBatch, head: str | None = None, tail: str | None = None, end: int | None = None) -> pa.RecordBatch:
-            n = batch.num_rows
-            more = [pa.array([x] + [None] * (n - 1), t) for x, t in ((head, pa.string()), (tail, pa.string()), (end, pa.int64()))]
-            return pa.record_batch([*batch.columns, *more], schema=schema)
-
-        blank = pa.record_batch([pa.array([None], f.type) for f in _SCHEMA], schema=_SCHEMA)
-        held: tuple[int | None, str] | None = None
+        """Described rows of all texts but the last of each range."""
+        held: tuple[int, int | None, str] | None = None
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            spans, ids, texts = (batch.column(c).to_pylist() for c in ("range", "doc_id", "text"))
             if not ids:
                 continue
-            if held is None:
-                yield out(blank, head=texts[0], end=ids[0])
-            else:
-                ids, texts = [held[0], *ids], [held[1], *texts]
-            for a, b in chunks(map(len, texts[:-1])) if len(texts) > 1 else ():
-                yield out(_described(ids[a:b], texts[a:b], texts[a + 1 : b + 1]))
-            held = ids[-1], texts[-1]
+            if held is not None:
+                spans, ids, texts = [held[0], *spans], [held[1], *ids], [held[2], *texts]
+            cuts = [0, *[k for k in range(1, len(spans)) if spans[k] != spans[k - 1]], len(spans)]
+            for x, y in zip(cuts, cuts[1:], strict=False):
+                if y - x > 1:
+                    for a, b in chunks(map(len, texts[x : y - 1])):
+                        yield _described(ids[x + a : x + b], texts[x + a : x + b], texts[x + a + 1 : x + b + 1])
+            held = spans[-1], ids[-1], texts[-1]
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The first and the last text of each range."""
+        names = ["range", "head", "doc_id", "tail"]
+        types = (pa.int32(), pa.string(), pa.int64(), pa.string())
+        held: list | None = None
+        for batch in batches:
+            spans = batch.column("range").to_numpy()
+            if not len(spans):
+                continue
+            lead = [0, *(np.flatnonzero(spans[1:] != spans[:-1]) + 1).tolist(), len(spans)]
+            for x, y in zip(lead, lead[1:], strict=False):
+                last = (batch.column("doc_id")[y - 1].as_py(), batch.column("text")[y - 1].as_py())
+                if held is not None and held[0] == spans[x]:
+                    held[2:] = last
+                    continue
+                if held is not None:
+                    yield pa.record_batch([pa.array([v], t) for v, t in zip(held, types, strict=True)], names=names)
+                held = [int(spans[x]), batch.column("text")[x].as_py(), *last]
         if held is not None:
-            yield out(blank, tail=held[1], end=held[0])
-
-    walked = stage(dealt.mapInArrow(walk, _FIELDS + ", head string, tail string, ends long"), "spots")
-    # two rows for each range of the table: as many as there are partitions
-    order = Window.orderBy(F.col("ends").asc_nulls_first(), F.col("is_tail"), F.col("own"))
-    edges = walked.where("head is not null or tail is not null").select("ends", F.col("tail").isNotNull().cast("int").alias("is_tail"), F.coalesce("head", "tail").alias("own"))
-    edges = edges.where("is_tail = 0").withColumn("k", F.row_number().over(order)).select("k", F.col("own").alias("head"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("tail")).unionByName(
-        edges.where("is_tail = 1").withColumn("k", F.row_number().over(order)).select("k", F.lit(None).cast("string").alias("head"), F.col("ends").alias("doc_id"), F.col("own").alias("tail"))
-    )
-    edges = edges.groupBy("k").agg(F.max("head").alias("head"), F.max("doc_id").alias("doc_id"), F.max("tail").alias("tail"))
-    every = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    edges = edges.withColumn("following", F.coalesce(F.lead("head").over(Window.orderBy("k")), F.first("head").over(every)))
+            yield pa.record_batch([pa.array([v], t) for v, t in zip(held, types, strict=True)], names=names)
+
+    # one row for each range: as many as there are partitions
+    edges = dealt.mapInArrow(ends, "range int, head string, doc_id long, tail string")
+    order = Window.orderBy("range")
+    first = F.first("head").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    edges = edges.select("doc_id", "tail", F.coalesce(F.lead("head").over(order), first).alias("following"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, t, f in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tail", "following")), strict=True):
-                yield _described([i], [t], [f], signature_sets([f.encode()]))
+                yield _described([i], [t], [f])
 
-    body = walked.where("head is null and tail is null").select(*_SCHEMA.names)
-    return body.unionByName(edges.select("doc_id", "tail", "following").mapInArrow(finish, _FIELDS))
+    return dealt.mapInArrow(walk, _FIELDS).unionByName(edges.mapInArrow(finish, _FIELDS))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

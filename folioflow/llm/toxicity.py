@@ -25,6 +25,8 @@ from .common import mix, ready, text_chunks
 BITS, SIZES = 20, (3, 4, 5, 6)
 #: Training documents of each label at most (expected; taken by a hash of the id).
 TRAIN_TOXIC, TRAIN_OTHER = 3_000, 5_000
+#: Buckets that the model is fitted on: those whose ratios are surest.
+KEEP = 20_000
 _PLACE = np.random.PCG64(31).random_raw(max(SIZES)) | np.uint64(1)
 
 
@@ -56,20 +58,29 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def train(rows: list[np.ndarray], y: np.ndarray, share: float, penalty: float = 3e-3, rounds: int = 60) -> Model:
-    """Logistic regression on ratio-scaled features; share: of toxic documents among all labelled."""
-    d = 1 << BITS
-    size = np.array([len(r) for r in rows])
+def ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int, keep: int = KEEP) -> np.ndarray:
+    """Log-count ratios of the `keep` buckets whose ratios are surest; the others are 0.
+
+    toxic, other: how many training texts of each label have the bucket.
+    """
+    ratio = np.log((toxic + 1) / (n_toxic + 2)) - np.log((other + 1) / (n_other + 2))
+    sure = np.abs(ratio) / np.sqrt(1 / (toxic + 1) + 1 / (other + 1))
+    sure[toxic + other < 3] = 0
+    out = np.zeros(len(ratio), dtype=np.float32)
+    best = np.argsort(-sure, kind="stable")[:keep]
+    best = best[sure[best] > 0]
+    out[best] = ratio[best]
+    return out
+
+
+def train(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, share: float, penalty: float = 3e-3, rounds: int = 80) -> Model:
+    """Logistic regression on ratio-scaled features; share: of toxic documents among all labelled.
+
+    rows: the texts' buckets with a ratio.
+    """
+    d = len(ratio)
     every = np.concatenate(rows)
-    of = np.repeat(np.arange(len(rows)), size)
-    toxic = np.bincount(every, y[of], minlength=d)
-    other = np.bincount(every, 1 - y[of], minlength=d)
-    seen = np.flatnonzero(toxic + other >= 3)  # rarer ones, and ones that tell little, weigh nothing
-    ratio = np.zeros(d, dtype=np.float32)
-    p, q = toxic[seen] + 1, other[seen] + 1
-    ratio[seen] = np.log(p / (y.sum() + 2)) - np.log(q / ((1 - y).sum() + 2))
-    use = np.abs(ratio[every]) >= 0.5
-    every, of = every[use], of[use]
+    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     scale = ratio[every]
     weights, intercept, sample = np.zeros(d, dtype=np.float32), 0.0, y.mean()
     m, v = np.zeros(d, dtype=np.float32), np.zeros(d, dtype=np.float32)
@@ -77,7 +88,7 @@ def train(rows: list[np.ndarray], y: np.ndarray, share: float, penalty: float =
     for t in range(1, rounds + 1):
         z = np.bincount(of, weights[every] * scale, minlength=len(rows)) + intercept
         miss = 1 / (1 + np.exp(-np.clip(z, -60, 60))) - y
-        g = (np.bincount(every, (miss[of] * scale), minlength=d) / len(rows)).astype(np.float32) + penalty * weights
+        g = (np.bincount(every, miss[of] * scale, minlength=d) / len(rows)).astype(np.float32) + penalty * weights
         gb = float(miss.mean())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
@@ -89,7 +100,7 @@ def train(rows: list[np.ndarray], y: np.ndarray, share: float, penalty: float =
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic: int = TRAIN_TOXIC, other: int = TRAIN_OTHER) -> Model:
-    """A model from labelled texts, of 2^BITS weights."""
+    """A model from labelled texts, of 2^BITS weights. Only the training texts' buckets with a ratio reach the driver."""
     ready(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     n = {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
@@ -99,15 +110,35 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     rows = rows.where(place < F.when(F.col("y") == 1, int((1 << 20) * min(1, toxic / n[1]))).otherwise(int((1 << 20) * min(1, other / n[0]))))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, 1 << BITS), dtype=np.int32)
+        texts_of = [0, 0]
+        for batch, texts in text_chunks(batches):
+            for y, t in zip(batch.column("y").to_pylist(), texts, strict=True):
+                seen[y, features(t.decode())] += 1
+                texts_of[y] += 1
+        used = np.flatnonzero(seen.any(0))
+        every = np.concatenate((used, [1 << BITS]))  # one more bucket counts the texts themselves
+        columns = [np.concatenate((seen[y, used], [texts_of[y]])) for y in (1, 0)]
+        yield pa.record_batch([pa.array(every, pa.int32()), *(pa.array(c, pa.int64()) for c in columns)], names=["f", "toxic", "other"])
+
+    counted = rows.mapInArrow(count, "f int, toxic long, other long").groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toArrow()  # 2^BITS + 1 rows at most
+    by = np.zeros((2, (1 << BITS) + 1))
+    at = counted.column("f").to_numpy()
+    by[0, at], by[1, at] = counted.column("toxic").to_numpy(), counted.column("other").to_numpy()
+    n_toxic, n_other = by[:, 1 << BITS].astype(int).tolist()
+    if not n_toxic or not n_other:
+        return Model(np.zeros(1 << BITS), float(np.log(n[1] / n[0])))
+    ratio = ratios(by[0, :-1], by[1, :-1], n_toxic, n_other)
+    sent = labelled.sparkSession.sparkContext.broadcast(ratio != 0)
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
-            yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), batch.column("y"), pa.array([features(t.decode()).tobytes() for t in texts], pa.binary())], names=["doc_id", "y", "f"])
+            own = [(f := features(t.decode()))[sent.value[f]].tobytes() for t in texts]
+            yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), batch.column("y"), pa.array(own, pa.binary())], names=["doc_id", "y", "f"])
 
-    got = sorted((r[0], r[1], bytes(r[2])) for r in rows.mapInArrow(describe, "doc_id long, y int, f binary").collect())  # bounded above
-    y = np.array([r[1] for r in got], dtype=np.float64)
-    if not 0 < y.sum() < len(y):
-        return Model(np.zeros(1 << BITS), float(np.log((n[1]) / n[0])))
-    return train([np.frombuffer(r[2], dtype=np.int32) for r in got], y, n[1] / total)
+    got = sorted((r[0], r[1], bytes(r[2])) for r in rows.mapInArrow(describe, "doc_id long, y int, f binary").collect())  # the training texts' chosen buckets
+    return train([np.frombuffer(r[2], dtype=np.int32) for r in got], np.array([r[1] for r in got], dtype=np.float64), ratio, n[1] / total)
 
 
 def predict(docs: DataFrame, model: Model, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -147,7 +147,7 @@ def test_importance_features_and_threshold(spark):
     values = [rng(k).choice([1.5, -2.0, 7.25, 7.25]) + k % 7 for k in range(200)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     for k in (1, 2, 17, 199, 200, 999):
-        assert importance.threshold(df, "v", k) == sorted(values, reverse=True)[min(k, 200) - 1]
+        assert common.threshold(df, "v", k) == sorted(values, reverse=True)[min(k, 200) - 1]
 
 
 # --- 3 ---
