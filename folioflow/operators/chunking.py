@@ -16,6 +16,7 @@ from ..config import EngineConfig
 from ..functions import tokens as T
 from ..schemas import CHUNK
 
+# Where sentences and paragraphs end.
 _SENTENCE_END = r"(?<=[.?!…])\s+(?=[\"'«“¿¡]?[A-ZÁÉÍÓÚÑ0-9])"
 _SENTENCE = re.compile(_SENTENCE_END)
 _PARAGRAPH = re.compile(r"\n\s*\n")

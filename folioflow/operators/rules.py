@@ -24,18 +24,37 @@ def gated(value: Column, confidence: Column) -> Column:
     return F.when(confidence != "NO_EXTRAIDO", value)
 
 
+# Phrases of opinions and report states, in the order in which they are tried.
+OPINIONS = (
+    ("Favorable", "sin salvedades|no reveló deficiencias significativas"),
+    ("Desfavorable", "se sostienen deficiencias|incumplimiento|desfavorable|adversa"),
+    ("Favorable con reservas", "excepto por|con salvedades|con reservas|calificada"),
+    ("Favorable", "favorable|razonablemente|limpia"),
+)
+STATES = (
+    ("No requerido", "no requerid|no aplica"),
+    ("Pendiente", "pendiente|en trámite|aún no"),
+    ("No disponible", "no disponible|vencid|dispensad|no entregad"),
+    ("Disponible", "disponible|entregad|existe"),
+)
+DATA_TYPES = (("pendiente", "pendiente|por definir"), ("proyectado", "proyectad|programad|estimad|previst"), ("realizado", "realizad|alcanzad|ejecutad|logrado"))
+UNITS = ("%", "km", "personas", "m²", "m³", "horas", "hectáreas", "kVA", "MVA", "l/s", "galones", "miles gal/día", "toneladas", "cantidad/año", "miles m²")
+
+
+def _first(text: Column | str, table: tuple[tuple[str, str], ...]) -> Column:
+    t = F.lower(text)
+    out = F.when(t.rlike(table[0][1]), table[0][0])
+    for name, pattern in table[1:]:
+        out = out.when(t.rlike(pattern), name)
+    return out
+
+
 def opinion(phrase: Column | str) -> Column:
-    p = F.lower(phrase)
-    return (
-        F.when(p.rlike("desfavorable|adversa|negativa"), "Desfavorable")
-        .when(p.rlike("salvedad|reserva|excepto por|calificada"), "Favorable con reservas")
-        .when(p.rlike("favorable|sin salvedades|limpia|razonablemente"), "Favorable")
-    )
+    return F.coalesce(_first(phrase, OPINIONS), F.lit("no se menciona"))
 
 
 def report_status(phrase: Column | str) -> Column:
-    p = F.lower(phrase)
-    return F.when(p.rlike("no requer|no aplica|dispensad"), "No requerido").when(p.rlike("pendiente|en proceso|por entregar"), "Pendiente").when(p.rlike("no disponible|no entregad|no se entreg"), "No disponible").when(p.rlike("disponible|entregad|recibid"), "Disponible")
+    return _first(phrase, STATES)
 
 
 def allowed_source(field: Column | str, source: Column | str) -> Column:
@@ -57,16 +76,23 @@ def amount(text: Column | str) -> Column:
 
 
 def goal(text: Column | str) -> tuple[Column, Column]:
-    """Number and unit of a goal such as "1.500 personas" or "2,5 ha"."""
-    raw = F.regexp_extract(text, r"^\s*([0-9][0-9.,]*)\s*(.*?)\s*$", 1)
-    number = F.when(raw.rlike(r"^\d{1,3}(\.\d{3})+$"), F.replace(raw, F.lit("."), F.lit(""))).otherwise(F.replace(raw, F.lit(","), F.lit(".")))
-    unit = F.regexp_extract(text, r"^\s*([0-9][0-9.,]*)\s*(.*?)\s*$", 2)
+    """Number and unit of a goal such as "1.500 personas", "1,500 personas" or "2,5 ha"."""
+    pattern = r"^\s*([0-9][0-9.,]*)\s*(.*?)\s*$"
+    raw, unit = F.regexp_extract(text, pattern, 1), F.regexp_extract(text, pattern, 2)
+    thousands = raw.rlike(r"^\d{1,3}([.,]\d{3})+$")
+    number = F.when(thousands, F.regexp_replace(raw, "[.,]", "")).otherwise(F.replace(raw, F.lit(","), F.lit(".")))
     return number.try_cast("double"), F.when(unit != "", unit)
 
 
+def goal_unit(unit: Column | str) -> Column:
+    """The unit of the catalogue that a unit's text begins with; the longest one counts."""
+    u = F.col(unit) if isinstance(unit, str) else unit
+    found = F.coalesce(*[F.when(F.startswith(F.lower(u), F.lit(x.lower())), F.lit(x)) for x in sorted(UNITS, key=len, reverse=True)])
+    return F.coalesce(found, F.when(u.rlike("^ha($|[^a-z])"), F.lit("hectáreas")))
+
+
 def data_type(text: Column | str) -> Column:
-    t = F.lower(text)
-    return F.when(t.rlike("pendiente|por definir"), "pendiente").when(t.rlike("proyectad|planific|previst|meta"), "proyectado").when(t.rlike("realizad|ejecutad|logrado|alcanzad"), "realizado")
+    return _first(text, DATA_TYPES)
 
 
 def partial_date(text: Column | str) -> Column:

@@ -414,13 +414,13 @@ def coverage_rollup(spark, sf_dir):
 _GOAL = "CASE p_partkey % 4 WHEN 0 THEN p_size || ' km' WHEN 1 THEN '1.' || lpad(CAST(p_size AS STRING), 3, '0') || ' personas' WHEN 2 THEN p_size || '%' ELSE p_size || ',5 ha' END"
 
 
-@query("SELECT p_partkey, CAST(CASE p_partkey % 4 WHEN 1 THEN 1000 + p_size WHEN 3 THEN p_size + 0.5 ELSE p_size END AS DOUBLE) AS number, ['km','personas','%','ha'][p_partkey % 4 + 1] AS unit FROM part")
+@query("SELECT p_partkey, CAST(CASE p_partkey % 4 WHEN 1 THEN 1000 + p_size WHEN 3 THEN p_size + 0.5 ELSE p_size END AS DOUBLE) AS number, ['km','personas','%','ha'][p_partkey % 4 + 1] AS unit, ['km','personas','%','hectáreas'][p_partkey % 4 + 1] AS unit_norm FROM part")
 def goal_unit_split(spark, sf_dir):
     number, unit = rules.goal(F.expr(_GOAL))
-    return _table(spark, sf_dir, "part").select("p_partkey", number.alias("number"), unit.alias("unit"))
+    return _table(spark, sf_dir, "part").select("p_partkey", number.alias("number"), unit.alias("unit"), rules.goal_unit(unit).alias("unit_norm"))
 
 
-@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Favorable' WHEN 1 THEN 'Favorable con reservas' WHEN 2 THEN 'Desfavorable' END AS opinion FROM documents")
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Favorable' WHEN 1 THEN 'Favorable con reservas' WHEN 2 THEN 'Desfavorable' ELSE 'no se menciona' END AS opinion FROM documents")
 def opinion_class(spark, sf_dir):
     phrases = F.array(*map(F.lit, ("presenta razonablemente la situación", "opinión favorable con salvedades", "Opinión DESFAVORABLE", "sin texto")))
     return _table(spark, sf_dir, "documents").select("doc_id", rules.opinion(F.get(phrases, (F.col("doc_id") % 4).cast("int"))).alias("opinion"))

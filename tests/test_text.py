@@ -112,9 +112,16 @@ def test_recovery_is_identity_on_objects(value):
     assert recovery.objects(json.dumps(value)) == [value]
 
 
+def test_phrases(spark):
+    df = spark.createDataFrame([("Sin salvedades",), ("excepto por",), ("hubo incumplimiento",), ("",)], "t string")
+    assert [r[0] for r in df.select(rules.opinion("t")).collect()] == ["Favorable", "Favorable con reservas", "Desfavorable", "no se menciona"]
+    df = spark.createDataFrame([("fue entregado",), ("no entregado",), ("no aplica",), ("en trámite",), ("x",)], "t string")
+    assert [r[0] for r in df.select(rules.report_status("t")).collect()] == ["Disponible", "No disponible", "No requerido", "Pendiente", None]
+
+
 def test_goals_and_dates(spark):
-    df = spark.createDataFrame([("230 km",), ("1.500 personas",), ("100%",), ("2,5 ha",)], "t string")
+    df = spark.createDataFrame([("230 km",), ("1.500 personas",), ("100%",), ("2,5 ha",), ("1,500 personas",)], "t string")
     n, u = rules.goal("t")
-    assert [tuple(r) for r in df.select(n, u).collect()] == [(230.0, "km"), (1500.0, "personas"), (100.0, "%"), (2.5, "ha")]
+    assert [tuple(r) for r in df.select(n, u).collect()] == [(230.0, "km"), (1500.0, "personas"), (100.0, "%"), (2.5, "ha"), (1500.0, "personas")]
     d = spark.createDataFrame([("Q1 2025",), ("2026",), ("2025-03-14",), ("?",)], "t string").select(rules.partial_date(F.col("t")).alias("d")).select("d.granularity", "d.start").collect()
     assert [(r[0], str(r[1])) for r in d] == [("quarter", "2025-01-01"), ("year", "2026-01-01"), ("day", "2025-03-14"), (None, "None")]
