@@ -90,4 +90,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_spotsigs": op10_spotsigs,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_lattice": """WITH RECURSIVE v AS (SELECT DISTINCT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL),
+u AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
+reach AS (SELECT DISTINCT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a), d AS (SELECT a, count(DISTINCT b) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, c.component_id, coalesce(c.component_id = e.vec_id, true) AS kept FROM embeddings e LEFT JOIN c ON c.a = e.vec_id LEFT JOIN d ON d.a = e.vec_id""",
+    "op7_minhash": r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+e AS (SELECT DISTINCT doc_id, unnest(s) AS x FROM s), n AS (SELECT doc_id, count(*) AS n FROM e GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM met JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)),
+reach AS (SELECT DISTINCT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, coalesce(c.component_id = s.doc_id, true) AS kept FROM s LEFT JOIN c ON c.a = s.doc_id""",
+}
