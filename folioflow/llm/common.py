@@ -251,6 +251,35 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[pa.Table]:
+    """Tables of at least `rows` rows, if there are as many, that end where a group of equal keys ends."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        ends = group_starts(table, keys)
+        if len(ends) > 1:
+            yield table.slice(0, int(ends[-1]))
+            table = table.slice(int(ends[-1]))
+        held, n = table.to_batches(), table.num_rows
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """Rows at which groups of equal keys begin."""
+    new = np.zeros(table.num_rows, dtype=bool)
+    new[:1] = True
+    for k in keys:
+        column = table.column(k).to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
 # --- connected components ----------------------------------------------------------------------
 
 

@@ -18,16 +18,18 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Forest, block_pairs, connected_components, digest, grouped, mix, parallelism, ready, stage
+from .common import Forest, block_pairs, connected_components, digest, group_starts, mix, parallelism, ready, stage, whole_groups
 
-#: A pair at the least cosine misses one table with a probability of 0.024, all six with 2e-10.
-TABLES, PROBES, SCALE = 6, 4, 5.0
+#: A pair at a cosine of 0.98 misses one table with a probability of 0.052, all six with 2e-8.
+TABLES, PROBES, SCALE = 6, 4, 6.0
 BLOCK = 1024
 
 
@@ -65,39 +67,48 @@ def decode(x: np.ndarray) -> np.ndarray:
 _CELL = np.random.PCG64(51).random_raw(9) | np.uint64(1)
 
 
-def cells(unit: np.ndarray, salt: int) -> np.ndarray:
-    """n x TABLES x (1 + PROBES) cell names of unit vectors: the home cell first."""
+@lru_cache(maxsize=64)
+def _projection(t: int, d: int) -> np.ndarray:
+    draw = np.random.default_rng((61, t, d)).normal(size=(d, 8))
+    return np.linalg.qr(draw)[0] if d >= 8 else draw / np.linalg.norm(draw, axis=1).mean()
+
+
+def cells(unit: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """n x TABLES x (1 + PROBES) cell names of unit vectors: the home cell first. Labels don't share cells."""
     n, d = unit.shape
+    salt = mix(labels.astype(np.int64).view(np.uint64) * _CELL[8] + np.uint64(d))[:, None]
     out = np.empty((n, TABLES, 1 + PROBES), dtype=np.int64)
     for t in range(TABLES):
-        draw = np.random.default_rng((61, t, d)).normal(size=(d, 8))
-        project = np.linalg.qr(draw)[0] if d >= 8 else draw / np.linalg.norm(draw, axis=1).mean()
-        x = unit @ project * SCALE
+        x = unit @ _projection(t, d) * SCALE
         home = decode(x)
         near = np.argsort(-((x - home) @ NEIGHBOURS.T), axis=1, kind="stable")[:, :PROBES]
         every = np.concatenate([home[:, None, :], home[:, None, :] + NEIGHBOURS[near]], axis=1)
-        whole = np.rint(2 * every).astype(np.int64).astype(np.uint64)
-        name = np.uint64((salt * 1_000_003 + t * 8191 + d) * int(_CELL[8]) % 2**64)
-        out[:, t] = mix((whole * _CELL[:8]).sum(2, dtype=np.uint64) ^ name).view(np.int64)
+        whole = np.rint(2 * every).astype(np.int64).view(np.uint64)
+        out[:, t] = mix((whole * _CELL[:8]).sum(2, dtype=np.uint64) ^ (salt + np.uint64(t))).view(np.int64)
     return out
 
 
 def _unit(column: pa.Array) -> np.ndarray:
-    x = np.array(column.to_pylist(), dtype=np.float64)
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def links(unit: np.ndarray, own: np.ndarray, here: int, side: np.ndarray | None, least: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Linked pairs (i < j) whose first common cell is `here`, by blocks of rows."""
-    out = []
+def links(unit: np.ndarray, labels: np.ndarray, here: int, side: np.ndarray | None, least: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs (i < j) of a cell's vectors whose first common cell is `here`, by blocks of rows."""
+    out, own = [], None
     for a in range(0, len(unit), 256):
-        cosine = unit[a : a + 256] @ unit.T
-        i, j = np.nonzero(cosine >= least - 1e-9)
+        i, j = np.nonzero(unit[a : a + 256] @ unit.T >= least - 1e-9)
         i += a
-        keep = i < j if side is None else (i < j) & (side[i] != side[j])
+        keep = (i < j) & (labels[i] == labels[j])
+        if side is not None:
+            keep &= side[i] != side[j]
         i, j = i[keep], j[keep]
         exact = np.einsum("ij,ij->i", unit[i], unit[j]) >= least
         i, j = i[exact], j[exact]
+        if not len(i):
+            continue
+        if own is None:  # most cells hold no linked pair
+            own = cells(unit, labels)
         for b in range(0, len(i), 50_000):
             p, q = i[b : b + 50_000], j[b : b + 50_000]
             first = np.zeros(len(p), dtype=np.int64)
@@ -117,8 +128,10 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_
     """vec_id, n_links, component_id, kept: one row per input row."""
     spark = vectors.sparkSession
     ready(spark)
+    vector = F.col(vector_col) if vectors.schema[vector_col].dataType.simpleString() in ("array<float>", "array<double>") else F.col(vector_col).cast("array<double>")
+    kind = vectors.select(vector.alias("v")).schema["v"].dataType.simpleString()
     label = F.lit(0) if label_col is None else F.col(label_col)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), label.cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), label.cast("long").alias("label"), vector.alias("v"))
     inf = float("inf")
     sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < inf)) & F.exists("v", lambda x: x != 0)
     usable = rows.where(F.coalesce(sound, F.lit(False)))
@@ -128,14 +141,14 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_
             keys = [digest(np.array([label, *v], dtype=np.float64) + 0.0) for label, v in zip(batch.column("label").to_pylist(), batch.column("v").to_pylist(), strict=True)]
             yield pa.record_batch([*batch.columns, pa.array(keys, pa.binary())], names=["vec_id", "label", "v", "key"])
 
-    named = stage(usable.mapInArrow(name, "vec_id long, label long, v array<double>, key binary"), "vectors")
+    named = stage(usable.mapInArrow(name, f"vec_id long, label long, v {kind}, key binary"), "vectors")
     classes = stage(named.groupBy("key").agg(F.min("vec_id").alias("node"), F.countDistinct("vec_id").alias("copies"), F.first("label").alias("label"), F.first("v").alias("v")), "classes")
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for g in _by_shape(batch):
-                own = _cells_of(g)
-                ids = np.repeat(g.column("node").to_numpy(), own.shape[1] * own.shape[2])
+            for part in _by_length(batch):
+                own = cells(_unit(part.column("v")), part.column("label").to_numpy())
+                ids = np.repeat(part.column("node").to_numpy(), own.shape[1] * own.shape[2])
                 home = np.tile(np.arange(own.shape[2]) == 0, len(own) * own.shape[1])
                 yield pa.record_batch([pa.array(own.ravel()), pa.array(ids), pa.array(home)], names=["cell", "node", "home"])
 
@@ -147,28 +160,28 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_
     dealt = dealt.repartition(parallelism(spark), "part").sortWithinPartitions("part", "cell", "node")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, ["part", "cell"]):
-            for g in _by_shape(group.combine_chunks()):
-                if g.num_rows < 2:
-                    continue
-                v, ids, copies = _unit(g.column("v")), g.column("node").to_numpy(), g.column("copies").to_numpy()
-                labels = np.array(g.column("label").to_pylist())
-                if len(np.unique(labels)) > 1:
-                    parts = [np.flatnonzero(labels == x) for x in np.unique(labels)]
-                else:
-                    parts = [np.arange(len(ids))]
-                for at in parts:
-                    side = None if g.column("alone")[0].as_py() else g.column("block").to_numpy()[at]
-                    own = cells(v[at], int(labels[at[0]]))
-                    n, forest = np.zeros(len(at), dtype=np.int64), Forest(len(at))
-                    for p, q in links(v[at], own, g.column("cell")[0].as_py(), side, least):
-                        n += np.bincount(p, copies[at][q], minlength=len(at)).astype(np.int64) + np.bincount(q, copies[at][p], minlength=len(at)).astype(np.int64)
-                        for x, y in zip(p.tolist(), q.tolist(), strict=True):
-                            forest.join(x, y)
+        for table in whole_groups(batches, ["part", "cell"]):
+            for rows in _by_length(table.combine_chunks().to_batches()[0]):
+                at = [*group_starts(rows, ["part", "cell"]).tolist(), rows.num_rows]
+                unit = _unit(rows.column("v"))
+                ids, labels, copies, blocks, here = (rows.column(c).to_numpy() for c in ("node", "label", "copies", "block", "cell"))
+                alone = rows.column("alone").to_numpy(zero_copy_only=False)
+                out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+                for x, y in zip(at, at[1:], strict=False):
+                    if y - x < 2:
+                        continue
+                    linked = links(unit[x:y], labels[x:y], here[x], None if alone[x] else blocks[x:y], least)
+                    if not linked:
+                        continue
+                    own, m, n, forest = copies[x:y], y - x, np.zeros(y - x, dtype=np.int64), Forest(y - x)
+                    for p, q in linked:
+                        n += (np.bincount(p, own[q], minlength=m) + np.bincount(q, own[p], minlength=m)).astype(np.int64)
+                        for i, j in zip(p.tolist(), q.tolist(), strict=True):
+                            forest.join(i, j)
                     hit = np.flatnonzero(n)
-                    if len(hit):
-                        roots = [ids[at[forest.find(int(k))]] for k in hit]
-                        yield pa.record_batch([pa.array(ids[at[hit]], pa.int64()), pa.array(n[hit], pa.int64()), pa.array(roots, pa.int64())], names=["node", "n", "root"])
+                    out.append((ids[x:y][hit], n[hit], ids[x:y][[forest.find(i) for i in hit.tolist()]]))
+                if out:
+                    yield pa.record_batch([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)], names=["node", "n", "root"])
 
     found = stage(dealt.mapInArrow(verify, "node long, n long, root long"), "links")
     degree = found.groupBy("node").agg(F.sum("n").alias("n"))
@@ -181,16 +194,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_
     return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
 
 
-def _by_shape(batch) -> Iterator:
-    """Rows of one vector length at a time."""
-    size = np.array([len(x) for x in batch.column("v").to_pylist()])
+def _by_length(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of one vector length at a time, in their order."""
+    size = pc.list_value_length(batch.column("v")).to_numpy()
     for n in np.unique(size):
         yield batch if (size == n).all() else batch.take(pa.array(np.flatnonzero(size == n)))
-
-
-def _cells_of(g) -> np.ndarray:
-    unit, labels = _unit(g.column("v")), np.array(g.column("label").to_pylist())
-    out = np.empty((len(unit), TABLES, 1 + PROBES), dtype=np.int64)
-    for x in np.unique(labels):
-        out[labels == x] = cells(unit[labels == x], int(x))
-    return out

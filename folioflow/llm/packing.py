@@ -18,7 +18,6 @@ import bisect
 import re
 import zlib
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -243,8 +242,6 @@ def ranks(cut: DataFrame, salts: int = 64) -> DataFrame:
 
 def pack(docs: DataFrame, file: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row per piece."""
-    if not Path(file).name:
-        raise ValueError("a tokenizer file is needed")
     spark = docs.sparkSession
     ready(spark)
     cut = stage(pieces(docs, file, capacity, id_col, text_col), "pieces")

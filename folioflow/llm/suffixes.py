@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, parallelism, ready, release, stage, text_chunks, with_ids
+from .common import mix, parallelism, ready, release, stage, text_chunks, whole_groups, with_ids
 
 SPAN, GRAM = 200, 64
 #: Occurrences from which on an anchor's equal contexts are merged first, and distinct contexts of one
@@ -214,26 +214,6 @@ def reach(anchor: np.ndarray, before: tuple[np.ndarray, np.ndarray], after: tupl
 # --- over a table -------------------------------------------------------------------------------
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 20_000) -> Iterator[pa.Table]:
-    """Tables of at least `rows` rows, if there are as many, that end where a key ends."""
-    held: list[pa.RecordBatch] = []
-    n = 0
-    for batch in batches:
-        held.append(batch)
-        n += batch.num_rows
-        if n < rows:
-            continue
-        table = pa.Table.from_batches(held)
-        keys = table.column(key).to_numpy()
-        ends = np.flatnonzero(keys[1:] != keys[:-1])
-        if len(ends):
-            yield table.slice(0, int(ends[-1]) + 1)
-            table = table.slice(int(ends[-1]) + 1)
-        held, n = table.to_batches(), table.num_rows
-    if n:
-        yield pa.Table.from_batches(held)
-
-
 def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = GRAM, frequent: int = FREQUENT, hot: int = HOT) -> DataFrame:
     """uid, start, stop: bytes of each text (uid, text) that lie in strings of `span` bytes starting at
     two places or more; spans overlap."""
@@ -293,7 +273,7 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = GRAM, frequent:
         return by_text.join(texts, "uid").mapInArrow(around, "anchor long, uid long, place int, before binary, after binary")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, "anchor"):
+        for table in whole_groups(batches, ["anchor"]):
             l, r = reach(table.column("anchor").to_numpy().view(np.uint64), _matrix(table.column("before"), width), _matrix(table.column("after"), width), width)
             hit = np.flatnonzero(l >= 0)
             place = table.column("place").to_numpy()[hit].astype(np.int64)
@@ -342,7 +322,7 @@ def _frequent_spans(around: DataFrame, span: int, k: int, hot: int, together) ->
     crowded = stage(distinct.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "crowded")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, "anchor"):
+        for table in whole_groups(batches, ["anchor"]):
             l, r = reach(table.column("anchor").to_numpy().view(np.uint64), _matrix(table.column("before"), width), _matrix(table.column("after"), width), width, table.column("n").to_numpy())
             hit = np.flatnonzero(l >= 0)
             kept = table.select(["anchor", "name"]).take(pa.array(hit)).combine_chunks()
