@@ -73,30 +73,35 @@ def ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int, kee
     return out
 
 
-def train(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, share: float, penalty: float = 3e-3, rounds: int = 80) -> Model:
-    """Logistic regression on ratio-scaled features; share: of toxic documents among all labelled.
+def train(every: np.ndarray, ends: np.ndarray, y: np.ndarray, ratio: np.ndarray, share: float, penalty: float = 3e-3, rounds: int = 80) -> tuple[np.ndarray, float]:
+    """Logistic regression on ratio-scaled features: the buckets' weights, scaled as well, and the intercept.
 
-    rows: the texts' buckets with a ratio.
+    every: the texts' buckets (places in ratio) one after the other; ends: where each text's end; share:
+    of toxic documents among all labelled. Texts are gone through in runs, so that little is held at once.
     """
-    d = len(ratio)
-    every = np.concatenate(rows)
-    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    scale = ratio[every]
-    weights, intercept, sample = np.zeros(d, dtype=np.float32), 0.0, y.mean()
-    m, v = np.zeros(d, dtype=np.float32), np.zeros(d, dtype=np.float32)
+    d, n = len(ratio), len(y)
+    begin = np.concatenate(([0], ends[:-1]))
+    runs = [(a, min(a + 500, n)) for a in range(0, n, 500)]
+    weights, intercept, sample = np.zeros(d), 0.0, y.mean()
+    m, v = np.zeros(d), np.zeros(d)
     mb = vb = 0.0
     for t in range(1, rounds + 1):
-        z = np.bincount(of, weights[every] * scale, minlength=len(rows)) + intercept
-        miss = 1 / (1 + np.exp(-np.clip(z, -60, 60))) - y
-        g = (np.bincount(every, miss[of] * scale, minlength=d) / len(rows)).astype(np.float32) + penalty * weights
-        gb = float(miss.mean())
+        scaled, g, gb = weights * ratio, np.zeros(d), 0.0
+        for a, b in runs:
+            own = every[begin[a] : ends[b - 1]]
+            of = np.repeat(np.arange(b - a), ends[a:b] - begin[a:b])
+            z = np.bincount(of, scaled[own], minlength=b - a) + intercept
+            miss = 1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[a:b]
+            g += np.bincount(own, miss[of], minlength=d)
+            gb += float(miss.sum())
+        g, gb = g * ratio / n + penalty * weights, gb / n
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         rate = 0.02 / (1 + t / 60)
         weights -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
         intercept -= rate * (mb / (1 - 0.9**t)) / (vb / (1 - 0.99**t) + 1e-12) ** 0.5
     intercept += np.log(share / (1 - share)) - np.log(sample / (1 - sample))
-    return Model(weights * ratio, float(intercept))
+    return weights * ratio, float(intercept)
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic: int = TRAIN_TOXIC, other: int = TRAIN_OTHER) -> Model:
@@ -130,15 +135,26 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     if not n_toxic or not n_other:
         return Model(np.zeros(1 << BITS), float(np.log(n[1] / n[0])))
     ratio = ratios(by[0, :-1], by[1, :-1], n_toxic, n_other)
-    sent = labelled.sparkSession.sparkContext.broadcast(ratio != 0)
+    chosen = np.flatnonzero(ratio)
+    if not len(chosen):
+        return Model(np.zeros(1 << BITS), float(np.log(n[1] / n[0])))
+    place_of = np.full(1 << BITS, -1, dtype=np.int32)
+    place_of[chosen] = np.arange(len(chosen))
+    ratio = ratio[chosen].astype(np.float64)
+    del counted, by, at
+    sent = labelled.sparkSession.sparkContext.broadcast(place_of)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
-            own = [(f := features(t.decode()))[sent.value[f]].tobytes() for t in texts]
-            yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), batch.column("y"), pa.array(own, pa.binary())], names=["doc_id", "y", "f"])
-
-    got = sorted((r[0], r[1], bytes(r[2])) for r in rows.mapInArrow(describe, "doc_id long, y int, f binary").collect())  # the training texts' chosen buckets
-    return train([np.frombuffer(r[2], dtype=np.int32) for r in got], np.array([r[1] for r in got], dtype=np.float64), ratio, n[1] / total)
+            own = [sent.value[features(t.decode())] for t in texts]
+            own = [x[x >= 0] for x in own]
+            yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), batch.column("y"), pa.array([len(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], names=["doc_id", "y", "n", "f"])
+
+    got = rows.mapInArrow(describe, "doc_id long, y int, n long, f binary").toArrow().sort_by("doc_id")  # the training texts' chosen buckets
+    every = np.frombuffer(b"".join(x.as_py() for x in got.column("f")), dtype=np.int32)
+    weights = np.zeros(1 << BITS, dtype=np.float32)
+    weights[chosen], intercept = train(every, np.cumsum(got.column("n").to_numpy()), got.column("y").to_numpy().astype(np.float64), ratio, n[1] / total)
+    return Model(weights, intercept)
 
 
 def predict(docs: DataFrame, model: Model, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
