@@ -60,8 +60,8 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_ids(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
-    """left_semi or left_anti join on an id; the ids are broadcast only when counted and few."""
+def with_ids(df: DataFrame, ids: DataFrame, key: str | list[str], how: str) -> DataFrame:
+    """Join with a table of ids; it is broadcast only when counted and few."""
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     return df.join(ids, key, how)

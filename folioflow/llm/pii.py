@@ -8,9 +8,10 @@ pattern is as good as the share of its occurrences whose instances are trusted,
 good as its patterns together. Instances of patterns that end with a high score become spans
 of the kind `id`, unless they overlap a span that is there already.
 
-Results for odd input: null and empty texts have no spans; rows with a null id are
-scanned but get no discovered spans; repeated rows get the same spans each; extra columns
-are ignored; an empty table gives an empty result.
+Results for odd input: null and empty texts have no spans; rows with a null id are scanned like
+others; discovered places belong to a text, not to an id, so rows of one id with different texts don't
+mix and equal texts get the same spans; extra columns are ignored; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _DIGIT = re.compile(r"[0-9@]")
+_NUMBER = re.compile(r"[0-9]+")
+_WORD = re.compile(r"\w+")
 _EDGE = ".,;:!?()[]{}<>\"'|&%$#*"
 
 
@@ -68,7 +71,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         out += [(a, 0, b) for a, b in emails(text)]
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+            if all(len(x) <= 3 and int(x or "0") <= 255 for x in (part.lstrip("0") for part in m[0].split("."))):
                 out.append((m.start(), 1, m.end()))
         for m in _CARD.finditer(text):
             if 12 <= m.end() - m.start() and 12 <= len(digits := _NOT_DIGIT.sub("", m[0])) <= 19 and luhn(digits):
@@ -84,12 +87,31 @@ def _hash(x: str) -> int:
     return int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def _plain(word: str) -> str:
+    return _NUMBER.sub("0", word.lower())
+
+
 def _before(text: str, at: int) -> list[str]:
-    return re.sub(r"[0-9]+", "0", text[max(0, at - 80) : at].lower()).split()[-2:]
+    """The last two whole words that end before a place; a word is a run of letters, digits and underscores."""
+    out: list[str] = []
+    for _ in range(2):
+        while at > 0 and not _in_word(text[at - 1]):
+            at -= 1
+        end = at
+        while at > 0 and _in_word(text[at - 1]):
+            at -= 1
+        if at < end:
+            out.insert(0, _plain(text[at:end]))
+    return out
 
 
 def _after(text: str, at: int) -> list[str]:
-    return re.sub(r"[0-9]+", "0", text[at : at + 80].lower()).split()[:1]
+    """The first whole word that begins after a place."""
+    return [_plain(m[0])] if (m := _WORD.search(text, at)) else []
+
+
+def _in_word(c: str) -> bool:
+    return c.isalnum() or c == "_"
 
 
 def patterns(text: str, start: int, end: int) -> list[str]:
@@ -140,8 +162,13 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join([f"{KINDS[k]}:{a}:{b}" for a, k, b in spans])
 
 
+def _key(text_col: str):
+    """16 bytes that name a text."""
+    return F.unhex(F.md5(F.col(text_col)))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, base (array of start, kind, end), found (array of start, stop, seed, instance, patterns)."""
+    """doc_id, key (names the text), base (array of start, kind, end), found (array of start, stop, seed, instance, patterns)."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())])
@@ -153,15 +180,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 base = base_spans(text)
                 bases.append([{"start": a, "kind": k, "stop": b} for a, k, b in base])
                 founds.append([{"start": a, "stop": b, "seed": s, "instance": _hash(text[a:b]), "patterns": [_hash(p) for p in patterns(text, a, b)]} for a, b, s in candidates(text, base)])
-            yield pa.record_batch([batch.column("doc_id"), pa.array(bases, pa.list_(span)), pa.array(founds, pa.list_(place))], names=["doc_id", "base", "found"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("key"), pa.array(bases, pa.list_(span)), pa.array(founds, pa.list_(place))], names=["doc_id", "key", "base", "found"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(walk, "doc_id long, base array<struct<start:int,kind:int,stop:int>>, found array<struct<start:int,stop:int,seed:boolean,instance:long,patterns:array<long>>>")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _key(text_col).alias("key"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(walk, "doc_id long, key binary, base array<struct<start:int,kind:int,stop:int>>, found array<struct<start:int,stop:int,seed:boolean,instance:long,patterns:array<long>>>")
 
 
 def discover(scanned: DataFrame, rounds: int = ROUNDS, trust: float = TRUST, least_seeds: int = LEAST_SEEDS) -> DataFrame:
-    """doc_id, extra (sorted array of start, stop): places that trusted patterns point to."""
-    places = scanned.where("doc_id is not null").select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
+    """key, extra (sorted array of start, stop): places in a text that trusted patterns point to."""
+    places = scanned.select("key", F.explode("found").alias("f")).select("key", "f.*")
     edges = places.select(F.explode("patterns").alias("pattern"), "instance", "seed").groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
     edges = stage(edges, "patterns")
     trusted = edges.where("seed").groupBy("instance").agg(F.lit(1.0).alias("score"))
@@ -175,20 +202,17 @@ def discover(scanned: DataFrame, rounds: int = ROUNDS, trust: float = TRUST, lea
         seeds = edges.where("seed").groupBy("instance").agg(F.lit(1.0).alias("score"))
         trusted = stage(seeds.union(pulled).groupBy("instance").agg(F.max("score").alias("score")), "trusted")
     fine = trusted.where(F.col("score") >= trust).select("instance")
-    return _pointed(places, good).join(fine, "instance", "left_semi").groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("extra"))
-
-
-def _pointed(places: DataFrame, good: DataFrame) -> DataFrame:
-    spread = places.where("not seed").select("doc_id", "start", "stop", "instance", F.explode("patterns").alias("pattern"))
-    return spread.join(good.select("pattern"), "pattern", "left_semi")
+    spread = places.where("not seed").select("key", "start", "stop", "instance", F.explode("patterns").alias("pattern"))
+    pointed = with_ids(spread, stage(good.select("pattern"), "good"), "pattern", "left_semi")
+    return with_ids(pointed, fine, "instance", "left_semi").groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("extra"))
 
 
 def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, base, extra: base spans and discovered places of every document."""
     ready(docs.sparkSession)
     scanned = stage(scan(docs, id_col, text_col), "scanned")
-    extra = discover(scanned)
-    return scanned.select("doc_id", "base").join(extra, "doc_id", "left")
+    extra = stage(discover(scanned), "extra")
+    return scanned.select("doc_id", "key", "base").join(extra, "key", "left").select("doc_id", "base", "extra")
 
 
 def digests(extracted: DataFrame) -> DataFrame:
@@ -240,7 +264,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coun
             yield pa.record_batch(list(columns.values()), names=names)
 
     nothing = F.lit(None).cast("array<struct<start:int,stop:int>>")
-    ids = extra.select(F.col("doc_id").alias(id_col))
-    rest = with_ids(docs, ids, id_col, "left_anti").withColumn(clash, nothing).select(*names, clash)
-    hit = with_ids(docs, ids, id_col, "left_semi").join(extra.select(F.col("doc_id").alias(id_col), F.col("extra").alias(clash)), id_col).select(*names, clash)
+    name = clash + "_key"
+    while name in names:
+        name += "_"
+    keyed, places = docs.withColumn(name, _key(text_col)), extra.select(F.col("key").alias(name), F.col("extra").alias(clash))
+    rest = with_ids(keyed, places.select(name), name, "left_anti").withColumn(clash, nothing).select(*names, clash)
+    hit = with_ids(keyed, places.select(name), name, "left_semi").join(places, name).select(*names, clash)
     return rest.mapInArrow(cover, schema).unionByName(hit.mapInArrow(cover, schema))
