@@ -41,6 +41,11 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _ends_plainly(body: str) -> bool:
+    """Whether marks after it are parts of their own: a last letter whose lower case ends in a combining mark takes them in."""
+    return body[-1].isalpha() and len(body[-1].lower()) == 1
+
+
 class Encoder:
     """Ids of whole texts; parts between white space are independent, so each is encoded once."""
 
@@ -53,7 +58,7 @@ class Encoder:
     def part(self, part: str) -> list[int]:
         """Ids of a part without white space: a letters-only part goes straight to the model."""
         body = part.rstrip(_MARKS)
-        if body and body != part and body[-1].isalpha():
+        if body and body != part and _ends_plainly(body):
             return self.part(body) + self.part(part[len(body) :])
         if part.isalpha() and max(part) < "Ā":
             return [t.id for t in self.model.tokenize(part.lower().encode().decode("latin-1").translate(self.letters))]
@@ -67,7 +72,7 @@ class Encoder:
             found = known.get(part)
             if found is None:
                 body = part.rstrip(_MARKS)
-                if body and body != part and body[-1].isalpha():
+                if body and body != part and _ends_plainly(body):
                     tail = part[len(body) :]
                     if (head := known.get(body)) is None:
                         head = self._keep(body)
@@ -226,6 +231,10 @@ def places(spark, made: list[tuple[tuple[int, ...], int]]) -> DataFrame:
     return spark.createDataFrame(rows, "length long, first long, last long, sequence long, offset long")
 
 
+#: Pieces of one length that a task numbers on average, at most.
+NUMBERED = 500_000
+
+
 def ranks(cut: DataFrame, salts: int = 64) -> DataFrame:
     """Adds rank: 0, 1, ... within each length. A length's rows are dealt over `salts` parts, whose
     counts give each part its first rank, so one common length isn't one task's work."""
@@ -249,7 +258,7 @@ def pack(docs: DataFrame, file: str, capacity: int = CAPACITY, id_col: str = "do
     if not histogram:
         return cut.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long"))
     where = places(spark, plan(histogram, capacity)).withColumnRenamed("length", "l")
-    ranked = ranks(cut)
+    ranked = ranks(cut, max(64, max(histogram.values()) // NUMBERED))
     at = (F.col("length") == F.col("l")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))
     out = ranked.join(F.broadcast(where), at)
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("sequence") + F.col("rank") - F.col("first")).alias("sequence_id"), "offset")
