@@ -11,11 +11,13 @@ domains, and any task can replay the few steps to find a document's rate.
 Results for odd input: null and empty texts have no tokens, the prior as posterior, and one copy;
 rows with a null id or domain are not learned from; repeated rows are rated each; extra
 columns are ignored; an empty table gives an empty result; with nothing to learn from,
-all rates are 1; a target for a domain that no document belongs to is an error.
+all rates are 1; the weight of a domain without documents goes to the other named ones; domains
+that no weight names keep the tokens that they have.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +30,8 @@ from .common import ready, stage, text_chunks, word_hashes
 BUCKETS = 1 << 15
 #: Labelled documents that the classifier is fitted on at most (expected; taken by a hash of the id).
 TRAIN_DOCS = 20_000
+#: Projected-gradient steps end when the largest miss, or its change, is below TOLERANCE of the largest target;
+#: a warning says so if STEPS did not suffice.
 STEPS, TOLERANCE = 60, 1e-6
 
 
@@ -56,22 +60,24 @@ def fit(labelled: DataFrame, domain_col: str, id_col: str = "doc_id", text_col:
     if n > train_docs:
         rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * train_docs / n))
 
+    domains = sorted(shares)
+    number = {x: k for k, x in enumerate(domains)}
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
+        total: dict[int, np.ndarray] = {}
         for batch, texts in text_chunks(batches):
             words, begin = word_hashes(texts)
-            at = (words & np.uint64(BUCKETS - 1)).astype(np.int64)
+            at = (words & np.uint64(BUCKETS - 1)).astype(np.int32)
             for domain, a, b in zip(batch.column("domain").to_pylist(), begin[:-1].tolist(), begin[1:].tolist(), strict=True):
-                own = total.setdefault(domain, np.zeros(BUCKETS, dtype=np.int64))
-                np.add.at(own, at[a:b], 1)
-        for domain, own in total.items():
+                own = total.setdefault(number[domain], np.zeros(BUCKETS, dtype=np.int32))
+                own += np.bincount(at[a:b], minlength=BUCKETS).astype(np.int32)
+        for k, own in total.items():
             used = np.flatnonzero(own)
-            yield pa.record_batch([pa.array([domain] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(own[used], pa.int64())], names=["domain", "f", "n"])
+            yield pa.record_batch([pa.array(np.full(len(used), k), pa.int32()), pa.array(used, pa.int32()), pa.array(own[used], pa.int64())], names=["domain", "f", "n"])
 
-    domains = sorted(shares)
     c = np.zeros((BUCKETS, len(domains)))
-    for domain, f, k in rows.mapInArrow(count, "domain string, f int, n long").groupBy("domain", "f").agg(F.sum("n")).collect():  # BUCKETS rows per domain at most
-        c[f, domains.index(domain)] = k
+    got = rows.mapInArrow(count, "domain int, f int, n long").groupBy("domain", "f").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows per domain at most
+    c[got.column("f").to_numpy(), got.column("domain").to_numpy()] = got.column("n").to_numpy()
     prior = np.array([shares[d] for d in domains], dtype=np.float64)
     table = np.log((c + 0.1) / (c.sum(0) + 0.1 * BUCKETS)) if domains else c
     return Classifier(domains, prior / max(prior.sum(), 1), table.astype(np.float32))
@@ -104,7 +110,8 @@ def solve(described: DataFrame, targets: np.ndarray, steps: int = STEPS) -> np.n
         second[k] = x
     second = second.reshape(d, d)
     inverse = np.linalg.inv(second + np.eye(d) * max(1e-12, 1e-9 * np.trace(second)))
-    taken = np.empty((0, d))
+    taken, last = np.empty((0, d)), None
+    limit = TOLERANCE * max(1.0, np.abs(targets).max())
     for _ in range(steps):
 
         def expected(batches: Iterator[pa.RecordBatch], taken: np.ndarray = taken) -> Iterator[pa.RecordBatch]:
@@ -117,9 +124,11 @@ def solve(described: DataFrame, targets: np.ndarray, steps: int = STEPS) -> np.n
         for k, x in described.mapInArrow(expected, "k int, x double").groupBy("k").agg(F.sum("x")).collect():  # one sum per domain
             now[k] = x
         miss = now - targets
-        if np.abs(miss).max() <= TOLERANCE * max(1.0, np.abs(targets).max()):
+        if np.abs(miss).max() <= limit or last is not None and np.abs(miss - last).max() <= limit:
             break
-        taken = np.vstack([taken, inverse @ miss])
+        taken, last = np.vstack([taken, inverse @ miss]), miss
+    else:
+        warnings.warn(f"targets are missed by up to {np.abs(miss).max():.3g} tokens after {steps} steps", stacklevel=2)
     return taken
 
 
@@ -143,13 +152,18 @@ class Mixer:
 
 def targets_of(totals: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Token targets in proportion to the weights: the least ones that no domain's own tokens exceed,
-    so that meeting them repeats documents instead of dropping them."""
-    weights = weights / weights.sum()
-    return weights * (totals[weights > 0] / weights[weights > 0]).max()
+    so that meeting them repeats documents instead of dropping them. Where a weight is 0, the target is
+    what the domain has."""
+    named = (weights > 0) & (totals > 0)
+    if not named.any():
+        return totals
+    weights = np.where(named, weights, 0) / weights[named].sum()
+    return np.where(named, weights * (totals[named] / weights[named]).max(), totals)
 
 
 def mix(docs: DataFrame, classifier: Classifier, weights: dict[str, float] | None, power: float = 0.7, seed: int = 0, text_col: str = "text") -> Mixer:
-    """Fits the rates. weights: of the domains; None takes their own shares to the given power."""
+    """Fits the rates. weights: of the domains, those not named are left as they are; None takes the
+    domains' own shares to the given power."""
     d = len(classifier.domains)
     if not d:
         return Mixer(Classifier(["all"], np.ones(1), np.zeros((BUCKETS, 1), np.float32)), np.empty((0, 1)), seed)
@@ -171,9 +185,7 @@ def mix(docs: DataFrame, classifier: Classifier, weights: dict[str, float] | Non
     if weights is None:
         wanted = (totals / totals.sum()) ** power
     else:
-        wanted = np.array([weights.get(x, 0.0) for x in classifier.domains])
-        if set(weights) - set(classifier.domains) or ((wanted > 0) & (totals <= 0)).any():
-            raise ValueError("a target names a domain without documents")
+        wanted = np.array([max(0.0, weights.get(x, 0.0)) for x in classifier.domains])
     return Mixer(classifier, solve(described, targets_of(totals, wanted)), seed)
 
 

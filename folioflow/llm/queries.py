@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from . import importance, langid, lattice, minhash, mixing, packing, pii, spotsigs, suffixes, toxicity
 from .common import with_ids
 
-#: Target weights of the languages for op5.
-MIX_WEIGHTS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
+#: The sources' target weights for op5 are their own shares to this power, which raises the small ones.
+MIX_POWER = 0.7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +51,7 @@ def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     labelled = with_ids(docs, _table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
-    return mixing.rated(docs, mixing.mix(docs, mixing.fit(labelled, "lang"), MIX_WEIGHTS))
+    return mixing.rated(docs, mixing.mix(docs, mixing.fit(labelled, "source"), None, MIX_POWER))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
