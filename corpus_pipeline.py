@@ -19,13 +19,10 @@ from pyspark.sql import functions as F
 
 from folioflow.llm import importance, minhash, mixing, packing, pii
 from folioflow.llm.common import release, shared_dir, with_ids
-from folioflow.llm.queries import tokenizer_file
+from folioflow.llm.queries import MIX_POWER, tokenizer_file
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Mixing raises the shares of the smaller languages to this power of their own.
-MIX_POWER = 0.7
-
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,9 +55,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats documents so that the languages' expected tokens meet tempered targets."""
+    """Repeats documents so that the sources' expected tokens meet tempered targets."""
     labelled = with_ids(docs, _table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
-    return mixing.apply(docs, mixing.mix(docs, mixing.fit(labelled, "lang"), None, MIX_POWER))
+    return mixing.apply(docs, mixing.mix(docs, mixing.fit(labelled, "source"), None, MIX_POWER))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
