@@ -10,15 +10,16 @@ members are told apart by what precedes them (left-extension diversity), which g
 maximal repeats in the interval and for each occurrence how far it repeats on both sides.
 No more than span - k bytes on either side are needed: longer repeats hold more anchors.
 
-Texts that are equal as a whole are represented by one of them. Of anchors that occur more
-than FREQUENT times only the distinct contexts are brought together, and where even those
-are more than HOT, the strings of `span` bytes in them are counted by aggregation instead,
-so no task holds an unbounded group.
+Texts that are equal as a whole are represented by one of them. An anchor that a task has met before
+is known to repeat, so only its first occurrence in each task goes to the place where anchors are
+compared. Of anchors that occur more than FREQUENT times only the distinct contexts are brought
+together, and where even those are more than HOT, the strings of `span` bytes in them are counted by
+aggregation instead, so no task holds an unbounded group. All three ways give the same spans.
 
 Results for odd input: null and empty texts have no bytes and nothing removed; texts shorter than
 `span` keep all; repeated rows are copies of each other; a null id is kept in the
-result and its text takes part; rows of one id must have one text; extra columns are
-ignored; an empty table gives an empty result.
+result and its text takes part; rows of one id may have different texts, each is judged for
+itself (a row is known by its id and its text's hash); extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,8 +38,9 @@ SPAN, GRAM = 200, 64
 #: Occurrences from which on an anchor's equal contexts are merged first, and distinct contexts of one
 #: anchor that a task may hold.
 FREQUENT, HOT = 1_000, 100_000
-#: Contexts that a task remembers having sent.
-SENT = 100_000
+#: Contexts that a task remembers having sent, and anchors that it remembers having met twice; what it
+#: forgets costs a row more, nothing else.
+SENT, MET = 100_000, 1_000_000
 SLICE = 1_000_000
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 _BYTES = np.random.PCG64(71).random_raw(256)
@@ -89,8 +91,6 @@ def _anchors(parts: list[tuple[int, int, bytes]], span: int, k: int) -> tuple[np
     ends = np.cumsum([len(p[2]) for p in parts])
     w, low = span - k + 1, (np.uint64(1) << _PLACE_BITS) - np.uint64(1)
     key = (h & ~low) | np.arange(len(h), dtype=np.uint64)
-    for e in ends[:-1].tolist():
-        key[max(0, e - k + 1) : e] = np.uint64(2**64 - 1)  # a k-gram of two texts
     n = len(key) - w + 1
     padded = np.full(-(-len(key) // w) * w, np.uint64(2**64 - 1))
     padded[: len(key)] = key
@@ -98,6 +98,8 @@ def _anchors(parts: list[tuple[int, int, bytes]], span: int, k: int) -> tuple[np
     left = np.minimum.accumulate(blocks, axis=1).ravel()
     right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(right[:n], left[w - 1 : w - 1 + n])
+    for e in ends[:-1].tolist():
+        least[max(0, e - span + 1) : e] = np.uint64(2**64 - 1)  # a string of two texts
     least = least[np.concatenate(([True], least[1:] != least[:-1]))]
     at = np.unique((least[least != np.uint64(2**64 - 1)] & low).astype(np.int64))
     part = np.searchsorted(ends, at, side="right")
@@ -166,13 +168,17 @@ def _text_key(*columns: np.ndarray) -> np.ndarray:
     return joined.view(f"S{joined.shape[1]}").ravel()
 
 
+def _two_bytes(n: np.ndarray) -> np.ndarray:
+    return n.astype(">u2").view(np.uint8).reshape(-1, 2)
+
+
 def reach(anchor: np.ndarray, before: tuple[np.ndarray, np.ndarray], after: tuple[np.ndarray, np.ndarray], need: int, copies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """How many bytes before and after its anchor each occurrence shares with others, in repeats
     with before + after >= need; -1 where there are none. before: reversed, so both read outward.
     copies: how many occurrences a row stands for."""
     (left, left_n), (right, right_n) = before, after
     n = len(anchor)
-    key = _text_key(anchor.astype(">u8").view(np.uint8).reshape(n, 8), right, right_n[:, None].astype(np.uint8), left, left_n[:, None].astype(np.uint8))
+    key = _text_key(anchor.astype(">u8").view(np.uint8).reshape(n, 8), right, _two_bytes(right_n), left, _two_bytes(left_n))
     order = np.argsort(key, kind="stable")
     fresh = np.concatenate(([True], key[order[1:]] != key[order[:-1]]))
     of = np.empty(n, dtype=np.int64)
@@ -199,7 +205,8 @@ def reach(anchor: np.ndarray, before: tuple[np.ndarray, np.ndarray], after: tupl
         own, own_n = left[first : first + m], left_n[first : first + m]
         for depth, lo, hi in lcp_intervals(lcp[first : first + m - 1].tolist()):
             rows = own[lo : hi + 1]
-            sort = np.argsort(rows.view(f"S{rows.shape[1]}").ravel(), kind="stable")
+            # the length decides between a context that ends and one that goes on with zero bytes
+            sort = np.argsort(_text_key(rows, _two_bytes(own_n[lo : hi + 1])), kind="stable")
             rows, rows_n = rows[sort], own_n[lo : hi + 1][sort]
             with_next = _shared(rows[1:], rows[:-1], np.minimum(rows_n[1:], rows_n[:-1]))
             best = np.zeros(len(rows), dtype=np.int64)
@@ -215,75 +222,92 @@ def reach(anchor: np.ndarray, before: tuple[np.ndarray, np.ndarray], after: tupl
 
 
 def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = GRAM, frequent: int = FREQUENT, hot: int = HOT) -> DataFrame:
-    """uid, start, stop: bytes of each text (uid, text) that lie in strings of `span` bytes starting at
-    two places or more; spans overlap."""
+    """uid, sub, start, stop: bytes of each text (uid, sub, text) that lie in strings of `span` bytes starting
+    at two places or more; spans overlap. uid and sub together name a text."""
     spark, width = texts.sparkSession, span - k
+    fields = "anchor long, uid long, sub long, place int"
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Anchors with state: 0 met once, 1 the first of several, 2 a further one; deal: where a row is sent."""
+        met = np.empty(0, np.uint64)
         for batch, raw in text_chunks(batches):
-            ids = batch.column("uid").to_numpy()
+            ids, subs = batch.column("uid").to_numpy(), batch.column("sub").to_numpy()
             number, place, h = anchors(raw, span, k)
-            yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(ids[number], pa.int64()), pa.array(place, pa.int32())], names=["anchor", "uid", "place"])
-
-    dealt = texts.mapInArrow(find, "anchor long, uid long, place int").repartition(parallelism(spark), "anchor").sortWithinPartitions("anchor")
+            known = np.isin(h, met)
+            _, first, of, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+            state = np.where(times[of] > 1, 2, 0)
+            state[first[times > 1]] = 1
+            state[known] = 2
+            met = np.union1d(met, h[state == 1])
+            if len(met) > MET:
+                met = np.empty(0, np.uint64)
+            deal = np.where(state == 2, mix(h + mix(ids[number].view(np.uint64)) + place.astype(np.uint64)), h)
+            yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(ids[number], pa.int64()), pa.array(subs[number], pa.int64()), pa.array(place, pa.int32()), pa.array(deal.view(np.int64)), pa.array(state, pa.int8())], names=["anchor", "uid", "sub", "place", "deal", "state"])
+
+    dealt = texts.mapInArrow(find, f"{fields}, deal long, state byte").repartition(parallelism(spark), "deal").sortWithinPartitions("deal")
 
     def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows whose anchor the row before or after has too; one row is held between batches."""
+        """Rows of anchors that repeat: met again in their own task, or next to a row of another."""
         last: pa.RecordBatch | None = None
         like_before = False
         for batch in batches:
+            state = batch.column("state").to_numpy()
+            own = [0, 1, 2, 3]
+            yield batch.filter(pa.array(state == 2)).select(own)
+            batch = batch.filter(pa.array(state < 2))
             if not batch.num_rows:
                 continue
-            key = batch.column("anchor").to_numpy()
+            key, sure = batch.column("anchor").to_numpy(), batch.column("state").to_numpy() == 1
             same = key[1:] == key[:-1]
             first = last is not None and last.column("anchor")[0].as_py() == key[0]
             if last is not None and (like_before or first):
-                yield last
-            back = np.concatenate(([first], same))
+                yield last.select(own)
+            back = np.concatenate(([first], same)) | sure
             keep = back[:-1] | same
-            yield batch.slice(0, batch.num_rows - 1).filter(pa.array(keep))
+            yield batch.slice(0, batch.num_rows - 1).filter(pa.array(keep)).select(own)
             last, like_before = batch.slice(batch.num_rows - 1), bool(back[-1])
         if last is not None and like_before:
-            yield last
+            yield last.select(own)
 
-    shared = stage(dealt.mapInArrow(several, "anchor long, uid long, place int"), "anchors")
+    shared = stage(dealt.mapInArrow(several, fields), "anchors")
     release(spark)
 
     def contexts(found: DataFrame) -> DataFrame:
-        """anchor, uid, place, before, after of the anchors found; a text goes with its own ones."""
-        by_text = found.groupBy("uid").agg(F.collect_list(F.struct("place", "anchor")).alias("found"))
+        """anchor, uid, sub, place, before, after of the anchors found; a text goes with its own ones."""
+        by_text = found.groupBy("uid", "sub").agg(F.collect_list(F.struct("place", "anchor")).alias("found"))
 
         def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch, raw in text_chunks(batches):
-                ids = batch.column("uid").to_pylist()
-                rows: list[list] = [[], [], [], [], []]
-                for i, (uid, t) in enumerate(zip(ids, raw, strict=True)):
+                ids, subs = batch.column("uid").to_pylist(), batch.column("sub").to_pylist()
+                rows: list[list] = [[], [], [], [], [], []]
+                for i, (uid, sub, t) in enumerate(zip(ids, subs, raw, strict=True)):
                     own = batch.column("found")[i].values
                     back = t[::-1]
                     for p, a in zip(own.field("place").to_pylist(), own.field("anchor").to_pylist(), strict=True):
                         begin = len(t) - p
-                        for column, x in zip(rows, (a, uid, p, back[begin : begin + width], t[p + k : p + k + width]), strict=True):
+                        for column, x in zip(rows, (a, uid, sub, p, back[begin : begin + width], t[p + k : p + k + width]), strict=True):
                             column.append(x)
                         if len(rows[0]) >= 10_000:
                             yield _context_batch(rows)
-                            rows = [[], [], [], [], []]
+                            rows = [[], [], [], [], [], []]
                 if rows[0]:
                     yield _context_batch(rows)
 
-        return by_text.join(texts, "uid").mapInArrow(around, "anchor long, uid long, place int, before binary, after binary")
+        return by_text.join(texts, ["uid", "sub"]).mapInArrow(around, f"{fields}, before binary, after binary")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["anchor"]):
             l, r = reach(table.column("anchor").to_numpy().view(np.uint64), _matrix(table.column("before"), width), _matrix(table.column("after"), width), width)
             hit = np.flatnonzero(l >= 0)
             place = table.column("place").to_numpy()[hit].astype(np.int64)
-            yield pa.record_batch([pa.array(table.column("uid").to_numpy()[hit], pa.int64()), pa.array(place - l[hit], pa.int64()), pa.array(place + k + r[hit], pa.int64())], names=["uid", "start", "stop"])
+            ids, subs = (table.column(c).to_numpy()[hit] for c in ("uid", "sub"))
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(subs, pa.int64()), pa.array(place - l[hit], pa.int64()), pa.array(place + k + r[hit], pa.int64())], names=["uid", "sub", "start", "stop"])
 
     def together(rows: DataFrame) -> DataFrame:
         return rows.repartition(parallelism(spark), "anchor").sortWithinPartitions("anchor")
 
     often = stage(shared.groupBy("anchor").count().where(F.col("count") > frequent).select("anchor"), "frequent")
-    spans = together(contexts(with_ids(shared, often, "anchor", "left_anti"))).mapInArrow(scan, "uid long, start long, stop long")
+    spans = together(contexts(with_ids(shared, often, "anchor", "left_anti"))).mapInArrow(scan, "uid long, sub long, start long, stop long")
     if often.limit(1).count():
         spans = stage(spans, "spans")
         release(spark)
@@ -292,32 +316,32 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = GRAM, frequent:
 
 
 def _context_batch(rows: list[list]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(x, y) for x, y in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["anchor", "uid", "place", "before", "after"])
+    return pa.record_batch([pa.array(x, y) for x, y in zip(rows, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["anchor", "uid", "sub", "place", "before", "after"])
 
 
 def _frequent_spans(around: DataFrame, span: int, k: int, hot: int, together) -> DataFrame:
-    """uid, start, stop like repeated_spans, by way of the distinct contexts."""
+    """uid, sub, start, stop like repeated_spans, by way of the distinct contexts."""
     width = span - k
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Contexts by name; a task sends the bytes of one it remembers only once."""
-        sent: set[bytes] = set()
+        """Contexts by name; a task sends the bytes of an anchor's context that it remembers only once."""
+        sent: set[tuple[int, bytes]] = set()
         for batch in batches:
             before, after = batch.column("before").to_pylist(), batch.column("after").to_pylist()
             names, b, f = [], [], []
-            for x, y in zip(before, after, strict=True):
+            for anchor, x, y in zip(batch.column("anchor").to_pylist(), before, after, strict=True):
                 name = hashlib.blake2b(len(x).to_bytes(2, "little") + x + y, digest_size=16).digest()
-                new = name not in sent
+                new = (anchor, name) not in sent  # contexts of different anchors may be equal
                 if new:
                     if len(sent) >= SENT:
                         sent.clear()
-                    sent.add(name)
+                    sent.add((anchor, name))
                 names.append(name)
                 b.append(x if new else None)
                 f.append(y if new else None)
-            yield pa.record_batch([*batch.columns[:3], pa.array(names, pa.binary()), pa.array(b, pa.binary()), pa.array(f, pa.binary())], names=["anchor", "uid", "place", "name", "before", "after"])
+            yield pa.record_batch([*batch.columns[:4], pa.array(names, pa.binary()), pa.array(b, pa.binary()), pa.array(f, pa.binary())], names=["anchor", "uid", "sub", "place", "name", "before", "after"])
 
-    placed = stage(around.mapInArrow(named, "anchor long, uid long, place int, name binary, before binary, after binary"), "placed")
+    placed = stage(around.mapInArrow(named, "anchor long, uid long, sub long, place int, name binary, before binary, after binary"), "placed")
     distinct = stage(placed.groupBy("anchor", "name").agg(F.count("*").alias("n"), F.max("before").alias("before"), F.max("after").alias("after")), "contexts")
     crowded = stage(distinct.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "crowded")
 
@@ -350,8 +374,8 @@ def _frequent_spans(around: DataFrame, span: int, k: int, hot: int, together) ->
         again = every.groupBy("string").agg(F.sum("n").alias("n")).where("n > 1").select("string")
         found = every.join(again, "string", "left_semi").groupBy("anchor", "name").agg(F.min("start").alias("start"), (F.max("start") + span).alias("stop"))
         result = result.unionByName(found)
-    out = placed.select("anchor", "name", "uid", "place").join(stage(result, "reached"), ["anchor", "name"])
-    return out.select("uid", (F.col("place") + F.col("start")).alias("start"), (F.col("place") + F.col("stop")).alias("stop"))
+    out = placed.select("anchor", "name", "uid", "sub", "place").join(stage(result, "reached"), ["anchor", "name"])
+    return out.select("uid", "sub", (F.col("place") + F.col("start")).alias("start"), (F.col("place") + F.col("stop")).alias("stop"))
 
 
 def _numbered(table: pa.Table) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -384,13 +408,18 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = GRAM, frequent: i
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per input row."""
     ready(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit(1), text)).alias("uid"), text.alias("text"))
-    named = stage(rows.select("doc_id", "uid", F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("key"), F.sha2("text", 256).alias("sha")), "texts")
+    doc = F.col(id_col).cast("long")
+    rows = docs.select(doc.alias("doc_id"), F.coalesce(doc, F.xxhash64(F.lit(1), text)).alias("uid"), F.xxhash64(text).alias("sub"), text.alias("text"))
+    named = stage(rows.select("doc_id", "uid", "sub", F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("key"), F.sha2("text", 256).alias("sha")), "texts")
     long = named.where(F.col("n_bytes") >= span)
     classes = long.groupBy("key").agg(F.min("uid").alias("lead"), F.count("*").alias("n"))
     copied = stage(classes.where("n > 1"), "copied")
-    followers = stage(long.join(copied, "key").where("uid <> lead").select("uid").distinct(), "followers")
-    some = with_ids(rows.where(F.octet_length("text") >= span).select("uid", "text"), followers, "uid", "left_anti")
+    followers = stage(long.join(copied, "key").where("uid <> lead").select("uid", "sub").distinct(), "followers")
+    some = with_ids(rows.where(F.octet_length("text") >= span).select("uid", "sub", "text"), followers, ["uid", "sub"], "left_anti")
+    twins = stage(long.groupBy("uid", "sub").count().where("count > 1").select("uid", "sub"), "twins")
+    if twins.limit(1).count():  # rows of one id and text
+        once = with_ids(some, twins, ["uid", "sub"], "left_semi").dropDuplicates(["uid", "sub"])
+        some = with_ids(some, twins, ["uid", "sub"], "left_anti").unionByName(once)
     spans = repeated_spans(some, span, k, frequent, hot)
     release(docs.sparkSession)
 
@@ -398,8 +427,8 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = GRAM, frequent: i
     empty = hashlib.sha256(b"").hexdigest()
     gone = whole.select("doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(empty).alias("kept_sha256"))
     rest = named.join(copied.select("key"), "key", "left_anti")
-    per = stage(spans.join(rest.select("uid"), "uid", "left_semi").groupBy("uid").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans")), "covered")
-    clean = rest.join(per.select("uid"), "uid", "left_anti").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"))
+    per = stage(spans.join(rest.select("uid", "sub"), ["uid", "sub"], "left_semi").groupBy("uid", "sub").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans")), "covered")
+    clean = rest.join(per.select("uid", "sub"), ["uid", "sub"], "left_anti").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in text_chunks(batches):
@@ -410,5 +439,5 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = GRAM, frequent: i
                 out.append((doc, len(t), removed, runs, hashlib.sha256(kept).hexdigest()))
             yield pa.record_batch([pa.array(x, y) for x, y in zip(zip(*out, strict=True), (pa.int64(),) * 4 + (pa.string(),), strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    touched = with_ids(rows, per.select("uid"), "uid", "left_semi").join(per, "uid").mapInArrow(cut, _FIELDS)
+    touched = with_ids(rows, per.select("uid", "sub"), ["uid", "sub"], "left_semi").join(per, ["uid", "sub"]).mapInArrow(cut, _FIELDS)
     return gone.unionByName(clean).unionByName(touched)
