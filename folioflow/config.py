@@ -19,6 +19,12 @@ SECTION_PATTERNS = (r"\n={50,}\n", r"\n-{50,}\n", r"\n--- DOCUMENT:.*?---\n", r"
 EXTENSIONS = ("pdf", "docx", "doc", "pptx", "ppt", "xlsx", "xls", "png", "jpg", "jpeg", "tiff", "bmp")
 
 
+# Overlap of a project's run; requests of a batch and its hours at most; seconds between messages.
+PROJECT_OVERLAP = 500
+BATCH_REQUESTS, BATCH_HOURS = 50_000, 24
+PACE_SECONDS = 420
+
+
 @dataclass(frozen=True)
 class EngineConfig:
     """compat: reproduce the known defects of the original behaviour instead of fixing them."""
@@ -32,6 +38,11 @@ class EngineConfig:
     prefixes: tuple[str, ...] = REQUIRED_PREFIXES
     section_patterns: tuple[str, ...] = SECTION_PATTERNS
 
+    @classmethod
+    def project(cls, **settings) -> EngineConfig:
+        """Settings of a whole project's run, whose overlap differs from a single document's."""
+        return cls(**{"overlap_tokens": PROJECT_OVERLAP, **settings})
+
     @classmethod
     def from_env(cls, prefix: str = "FOLIOFLOW_") -> EngineConfig:
         """Settings from environment variables named by field."""

@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -114,6 +114,18 @@ def recover_json_objects_compat(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: [canonical(x) for x in objects(t, compat=True)])
 
 
+def recovered(rows: DataFrame, column: str, name: str, compat: bool = False) -> DataFrame:
+    """rows with the array of objects in a text. Sound JSON, an object or an array of objects, is split in the
+    JVM; Python sees only the other texts."""
+    kind = F.schema_of_variant(F.try_parse_json(column))
+    one = F.from_json(F.concat(F.lit("["), F.col(column), F.lit("]")), "array<string>")
+    sound = F.when(F.startswith(kind, F.lit("OBJECT<")), one).when(F.startswith(kind, F.lit("ARRAY<OBJECT<")), F.filter(F.from_json(F.col(column), "array<string>"), lambda x: x.isNotNull()))
+    slow = (recover_json_objects_compat if compat else recover_json_objects).asNondeterministic()
+    made = rows.withColumn("_sound", sound)
+    made = made.withColumn("_other", slow(F.when(F.col("_sound").isNull(), F.col(column))))
+    return made.withColumn(name, F.coalesce("_sound", "_other")).drop("_sound", "_other")
+
+
 @F.pandas_udf(StringType())
 def extract_json(texts: pd.Series) -> pd.Series:
     return texts.map(extract)

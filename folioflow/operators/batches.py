@@ -2,12 +2,71 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import Protocol
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEAD_STATUSES, LIVE_STATUSES
+from ..config import BATCH_HOURS, DEAD_STATUSES, LIVE_STATUSES
+from .routing import batch_files, documents_info, request_line
+
+STATUS = "batch_id string, status string, created_at long, completed_at long, failed_at long, total int, completed int, failed int, output_file_id string, error_file_id string, message string"
+
+
+class Service(Protocol):
+    """A batch service. Methods may raise; they are called on executors (status) and on the driver (submit)."""
+
+    def submit(self, path: str, project: str, part: int) -> str: ...
+
+    def status(self, batch_id: str) -> dict: ...
+
+
+def submit(made: DataFrame, service: Service, path: str, stamp: Column | None = None) -> DataFrame:
+    """Writes requests (of routing.requests) and submits them: batch_id, project_name, status, created_at, manifest of documents.
+
+    Every project's lines are cut into batches that the service takes and written below path by project and
+    part; the driver only sees one row per batch. A project without requests has no batch.
+    """
+    spark = made.sparkSession
+    parts = batch_files(made).groupBy("project_name").agg(F.count("*").alias("n_parts"))
+    # a hash deals a project's requests over its batches, one more than needed, so that none is overfull
+    some = F.when(F.col("n_parts") > 1, F.col("n_parts") + F.ceil(F.col("n_parts") / 20)).otherwise(1)
+    numbered = made.join(parts, "project_name").withColumn("part", F.pmod(F.xxhash64("custom_id"), some))
+    numbered.select("project_name", "part", request_line().alias("value")).write.mode("overwrite").partitionBy("project_name", "part").text(f"{path}/requests")
+    written = spark.read.schema("value string, project_name string, part long").text(f"{path}/requests").groupBy("project_name", "part").count().orderBy("project_name", "part").collect()  # one row per batch
+    rows = [(service.submit(f"{path}/requests/project_name={r['project_name']}/part={r['part']}", r["project_name"], r["part"]), r["project_name"], int(r["part"]), r["count"]) for r in written]
+    infos = spark.createDataFrame(rows, "batch_id string, project_name string, part long, n_requests long")
+    docs = documents_info(made).groupBy("project_name").agg(F.count("*").alias("n_documents"))
+    return infos.join(docs, "project_name").withColumn("status", F.lit("submitted")).withColumn("created_at", F.current_timestamp() if stamp is None else stamp).withColumn("completion_window", F.lit(f"{BATCH_HOURS}h"))
+
+
+def pending_changes(infos: DataFrame) -> DataFrame:
+    """State rows of submitted projects: pending, with their last batch."""
+    return infos.groupBy("project_name").agg(F.max("batch_id").alias("jobBatchId")).select(F.col("project_name").alias("id"), F.col("project_name").alias("folderName"), F.lit(True).alias("isBatchPending"), "jobBatchId")
+
+
+def status(infos: DataFrame, service: Service) -> DataFrame:
+    """STATUS of each batch, asked by executors. A request that fails is the status "error"; counts that a service
+    doesn't give are 0."""
+
+    def ask(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = [x.split() for x in STATUS.split(", ")]
+        schema = pa.schema([(name, {"long": pa.int64(), "int": pa.int32()}.get(kind, pa.string())) for name, kind in fields])
+        for frame in found:
+            rows = []
+            for batch in frame.column("batch_id").to_pylist():
+                try:
+                    answer = service.status(batch)
+                    counts = answer.get("request_counts") or {}
+                    row = {**{k: answer.get(k) for k in schema.names}, **{k: int(counts.get(k) or 0) for k in ("total", "completed", "failed")}}
+                except Exception as e:  # noqa: BLE001 the service's failure is data
+                    row = {"status": "error", "message": f"{type(e).__name__}: {e}", "total": 0, "completed": 0, "failed": 0}
+                rows.append({**row, "batch_id": batch})
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return infos.select("batch_id").distinct().mapInArrow(ask, STATUS)
 
 
 def is_batch_info(name: Column | str) -> Column:

@@ -64,7 +64,7 @@ class Packer:
 
     def pack(self, parts: list[str]) -> list[dict]:
         out: list[dict] = []
-        current, held = "", 0
+        current, held, last = "", 0, ""  # last: what the seam to the next part is counted with
 
         def flush(last: int) -> None:
             if current.strip():
@@ -77,10 +77,9 @@ class Packer:
                 out += self.numbered(self.split_large(part), len(out))
                 current, held = "", 0
                 continue
-            joined = f"{current}\n\n{part}" if current else part
-            total = held + n if self.compat else self.count(joined) if current else n
+            total = held + n + (self.seam(last, part, n) if current else 0)
             if total <= self.max:
-                current, held = joined, total
+                current, held, last = f"{current}\n\n{part}" if current else part, total, part
                 continue
             flush(i - 1)
             lead = T.tail(current, min(self.overlap, max(0, self.max - n)), self.file)
@@ -90,10 +89,17 @@ class Packer:
                 out += self.numbered(self.split_large(part), len(out))
                 current, held = "", 0
             else:
-                current, held = candidate, n
+                current, held, last = candidate, n, candidate
         flush(len(parts) - 1)
         return out
 
+    def seam(self, last: str, part: str, n: int) -> int:
+        """Tokens that joining two parts adds. Words end at white space, so they add up; byte pairs may differ
+        around the blank line, which the part before it decides. compat doesn't count them."""
+        if self.compat or self.file is None:
+            return 0
+        return self.count(f"{last}\n\n{part}") - self.count(last) - n
+
     def numbered(self, chunks: list[dict], first: int) -> list[dict]:
         """compat keeps the numbers that a nested split starts anew."""
         return chunks if self.compat else [{**c, "index": first + k} for k, c in enumerate(chunks)]
@@ -145,6 +151,22 @@ def stored_chunks(chunked: DataFrame) -> DataFrame:
     return each.select("project_name", F.format_string("%s_chunk_%03d", stem, F.col("c.index")).alias("document_name"), F.col("c.index").alias("chunk_index"), "c.content", "c.tokens", "c.sections_range", F.col("document_name").alias("original_document"), F.size("chunks").alias("total_chunks"), "chunking_strategy")
 
 
+def fixed_windows(column: Column | str, size: int) -> Column:
+    """Slices of `size` characters, as array: what is left to do with a text without paragraphs and sentences. A text
+    is cut up before its slices are exploded, so no slice carries the whole."""
+    c = F.col(column) if isinstance(column, str) else column
+    n = F.ceil(F.length(c) / size).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda k: F.substring(c, k * size + 1, F.lit(size)))
+    return F.when(n > 0, cut).otherwise(F.array().cast("array<string>"))
+
+
+def project_chunks(chunked: DataFrame) -> DataFrame:
+    """Chunks of projects whose documents were joined first: named {project}_chunk_000, of {project}_concatenated."""
+    each = chunked.select("*", F.explode("chunks").alias("c"))
+    name = F.concat("project_name", F.lit("_concatenated"))
+    return each.select("project_name", F.format_string("%s_chunk_%03d", "project_name", F.col("c.index")).alias("document_name"), F.col("c.index").alias("chunk_index"), "c.content", "c.tokens", "c.sections_range", name.alias("original_document"), F.size("chunks").alias("total_chunks"), "chunking_strategy")
+
+
 def corpus_records(chunks: DataFrame, cfg: EngineConfig, stamp: Column | None = None) -> DataFrame:
     """The twelve fields of a corpus record."""
     return chunks.select(

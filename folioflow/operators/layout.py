@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import LAYOUT
+from ..schemas import LAYOUT, RAW_LAYOUT
 
 #: A provider turns (name, bytes) into JSON of the layout structure, or raises.
 Provider = Callable[[str, bytes], str]
@@ -40,8 +40,7 @@ def analyze(raw: DataFrame, provider: Provider) -> DataFrame:
             yield rows[["project_name", "document_name", "file_size"]].assign(answer=answers, error_message=errors)
 
     got = raw.select("project_name", "document_name", "content", "file_size").mapInPandas(call, "project_name string, document_name string, file_size long, answer string, error_message string")
-    layout = F.from_json("answer", LAYOUT)
-    return got.select("project_name", "document_name", "file_size", layout.alias("json_data"), "error_message").withColumns({
+    return got.select("project_name", "document_name", "file_size", structured("answer").alias("json_data"), "error_message").withColumns({
         "content": F.coalesce(F.when(F.col("json_data.content") != "", F.col("json_data.content")), markdown("json_data"), F.lit("")),
         "confidence_score": average_confidence("json_data"),
         "processing_status": F.when(F.col("error_message").isNull(), "success").otherwise("error"),
@@ -62,7 +61,8 @@ def table_markdown(table: Column) -> Column:
     last_row, last_column = F.array_max(F.transform(cells, lambda c: c["row_index"])), F.array_max(F.transform(cells, lambda c: c["column_index"]))
 
     def line(r: Column) -> Column:
-        texts = F.transform(F.sequence(F.lit(0), last_column), lambda k: F.coalesce(F.get(F.transform(F.filter(cells, lambda c: (c["row_index"] == r) & (c["column_index"] == k)), lambda c: c["content"]), F.lit(0)), F.lit("")))
+        own = F.filter(cells, lambda c: c["row_index"] == r)
+        texts = F.transform(F.sequence(F.lit(0), last_column), lambda k: F.coalesce(F.get(F.filter(own, lambda c: c["column_index"] == k), F.lit(0))["content"], F.lit("")))
         row = F.concat(F.lit("| "), F.array_join(texts, " | "), F.lit(" |"))
         rule = F.concat(F.lit("\n|"), F.repeat(F.lit(" --- |"), last_column + 1))
         return F.when(r == 0, F.concat(row, rule)).otherwise(row)
@@ -85,9 +85,52 @@ def markdown(layout: str) -> Column:
 
 def polygon_points(flat: Column, compat: bool = False) -> Column:
     """[x0, y0, x1, y1, ...] as points; compat skips bare numbers, so nothing is left."""
+    none = F.array().cast("array<struct<x:double,y:double>>")
     if compat:
-        return F.array().cast("array<struct<x:double,y:double>>")
-    return F.transform(F.sequence(F.lit(0), F.floor(F.size(flat) / 2) - 1), lambda k: F.struct(F.get(flat, 2 * k).cast("double").alias("x"), F.get(flat, 2 * k + 1).cast("double").alias("y")))
+        return none
+    points = F.transform(F.sequence(F.lit(0), F.greatest(F.floor(F.size(flat) / 2) - 1, F.lit(0))), lambda k: F.struct(F.get(flat, 2 * k).cast("double").alias("x"), F.get(flat, 2 * k + 1).cast("double").alias("y")))
+    return F.when(flat.isNotNull(), F.when(F.size(flat) >= 2, points).otherwise(none))
+
+
+def polygon(raw: Column, compat: bool = False) -> Column:
+    """Points of a polygon whose elements are JSON texts: objects with x and y, or arrays of two and more; bare
+    numbers are taken in pairs. Other elements are skipped."""
+    bare = F.filter(F.transform(raw, lambda e: e.try_cast("double")), lambda e: e.isNotNull())
+
+    def point(e: Column) -> Column:
+        x, y = (F.coalesce(F.get_json_object(e, f"$.{name}"), F.get_json_object(e, f"$[{k}]")).try_cast("double") for k, name in enumerate("xy"))
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    made = F.filter(F.transform(raw, point), lambda p: p["x"].isNotNull() & p["y"].isNotNull())
+    return F.when(raw.isNull(), F.array().cast("array<struct<x:double,y:double>>")).when(F.size(bare) > 0, polygon_points(bare, compat)).otherwise(made)
+
+
+def _text(c: Column) -> Column:
+    """Text of an element that is a text or an object with a content."""
+    return F.coalesce(F.when(F.startswith(F.ltrim(c), F.lit("{")), F.coalesce(F.get_json_object(c, "$.content"), F.lit(""))), c, F.lit(""))
+
+
+def structured(answer: Column | str, compat: bool = False) -> Column:
+    """A provider's JSON answer as the layout structure: parts numbered in their order, spans of 1 and empty
+    captions, keys and values where none are given, polygons as points."""
+    raw = F.from_json(answer, RAW_LAYOUT)
+
+    def each(name: str, make) -> Column:
+        return F.coalesce(F.transform(raw[name], make), F.array())
+
+    def cell(c: Column) -> Column:
+        return F.struct(c["content"].alias("content"), c["row_index"].alias("row_index"), c["column_index"].alias("column_index"), F.coalesce(c["row_span"], F.lit(1)).alias("row_span"), F.coalesce(c["column_span"], F.lit(1)).alias("column_span"), c["confidence"].alias("confidence"), c["kind"].alias("kind"))
+
+    def region(r: Column) -> Column:
+        return F.struct(r["page_number"].alias("page_number"), polygon(r["polygon"], compat).alias("polygon"))
+
+    tables = each("tables", lambda t, i: F.struct(i.alias("table_id"), t["row_count"].alias("row_count"), t["column_count"].alias("column_count"), t["confidence"].alias("confidence"), F.coalesce(F.transform(t["cells"], cell), F.array()).alias("cells")))
+    figures = F.coalesce(raw["figures"], raw["images"], F.array())
+    images = F.transform(figures, lambda f, i: F.struct(i.alias("figure_id"), _text(f["caption"]).alias("caption"), f["confidence"].alias("confidence"), F.coalesce(F.transform(f["bounding_regions"], region), F.array()).alias("bounding_regions")))
+    pairs = each("key_value_pairs", lambda p: F.struct(_text(p["key"]).alias("key"), _text(p["value"]).alias("value"), p["confidence"].alias("confidence")))
+    paragraphs = each("paragraphs", lambda p, i: F.struct(i.alias("paragraph_id"), p["content"].alias("content"), p["role"].alias("role"), p["confidence"].alias("confidence")))
+    made = F.struct(raw["content"].alias("content"), tables.alias("tables"), images.alias("images"), pairs.alias("key_value_pairs"), paragraphs.alias("paragraphs"))
+    return F.when(raw.isNotNull(), made).cast(LAYOUT)
 
 
 def rollup(docs: DataFrame) -> DataFrame:
@@ -102,14 +145,30 @@ def run_status(total: Column, listed: Column, failed_listing: Column) -> Column:
 
 
 def corpus(docs: DataFrame, order: str = "document_name") -> DataFrame:
-    """Per project one text: a banner, counts, and each successful document under its name."""
-    part = F.concat(F.lit("--- DOCUMENT: "), "document_name", F.lit(" ---\n"), "content", F.lit("\n" + "-" * 50 + "\n"))
-    ok = docs.where("processing_status = 'success'").groupBy("project_name").agg(F.array_sort(F.collect_list(F.struct(order, part.alias("part")))).alias("parts"))
-    counted = rollup(docs).join(ok, "project_name", "left")
+    """project_name, part, content: a project's text in parts that follow one another: part "" is the banner with the
+    counts, then comes each successful document under its name, by `order`. A project of any size is never
+    one row; sinks.write_corpus writes the parts in order."""
+    text = F.concat(F.lit("--- DOCUMENT: "), "document_name", F.lit(" ---\n"), "content", F.lit("\n" + "-" * 50 + "\n"))
+    parts = docs.where("processing_status = 'success'").select("project_name", F.col(order).cast("string").alias("part"), text.alias("content"))
     banner = F.lit("=" * 80)
     head = F.concat(banner, F.lit("\nPROJECT: "), "project_name", F.lit("\nDocuments: "), F.col("total").cast("string"), F.lit(", successful: "), F.col("successful").cast("string"), F.lit("\n"), banner, F.lit("\n"))
-    body = F.array_join(F.transform(F.coalesce("parts", F.array().cast(ok.schema["parts"].dataType)), lambda x: x["part"]), "")
-    return counted.select("project_name", F.concat(head, body).alias("content"))
+    return rollup(docs).select("project_name", F.lit("").alias("part"), head.alias("content")).unionByName(parts)
+
+
+def processed_files(docs: DataFrame, compat: bool = False) -> DataFrame:
+    """project_name, file_name, value: a record per successful document, and each project's metadata."""
+    from ..sources.sinks import as_json, layout_file_name
+
+    names = [c for c in docs.columns if c != "project_name"]
+    each = docs.where("processing_status = 'success'").select("project_name", layout_file_name("document_name", compat).alias("file_name"), as_json(*names).alias("value"))
+    about = rollup(docs).select("project_name", F.concat("project_name", F.lit("_metadata.json")).alias("file_name"), as_json("project_name", "total", "successful", "failed", "skipped").alias("value"))
+    return each.unionByName(about)
+
+
+def markdown_files(docs: DataFrame) -> DataFrame:
+    """project_name, file_name, value: a markdown file per successful document."""
+    name = F.concat(F.regexp_replace("document_name", r"\.[^.]*$", ""), F.lit(".md"))
+    return docs.where("processing_status = 'success'").select("project_name", name.alias("file_name"), F.concat(F.lit("# "), "document_name", F.lit("\n\n"), "content").alias("value"))
 
 
 def pending(raw: DataFrame, layouts: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PROMPT_TYPES
@@ -50,8 +50,7 @@ def objects(responses: DataFrame, compat: bool = False) -> DataFrame:
 
     The id gets a part number where a response holds several objects.
     """
-    recover = recovery.recover_json_objects_compat if compat else recovery.recover_json_objects
-    ok = responses.where("error is null").withColumn("found", recover("content"))
+    ok = recovery.recovered(responses.where("error is null"), "content", "found", compat)
     raw = F.to_json(F.struct(F.col("content").alias("_raw_text"), F.lit("no JSON object").alias("_parse_error")))
     every = F.when(F.size("found") > 0, F.col("found")).otherwise(F.array(raw))
     each = ok.withColumn("n", F.size(every)).select("*", F.posexplode(every).alias("k", "object"))
@@ -61,25 +60,25 @@ def objects(responses: DataFrame, compat: bool = False) -> DataFrame:
 
 def flatten_disbursements(items: DataFrame, column: str = "object") -> DataFrame:
     """Nested disbursements to one row each, planned ones first; the list's tag wins over the row, the row
-    over the metadata. Other objects pass."""
-    text = F.col(column)
-    inner = F.get_json_object(text, "$.desembolsos")
-    kind = "map<string,string>"
+    over the metadata. Numbers, booleans and nested values keep their types. Other objects pass."""
+    v, kind = F.try_parse_json(column), "map<string,variant>"
 
     def rows(name: str, tag: str) -> Column:
-        found = F.coalesce(F.from_json(F.get_json_object(text, f"$.desembolsos.{name}"), f"array<{kind}>"), F.array().cast(f"array<{kind}>"))
-        return F.transform(F.filter(found, lambda r: r.isNotNull()), lambda r: _merged(r, meta, tag))
+        found = F.coalesce(F.try_variant_get(v, f"$.desembolsos.{name}", "array<variant>"), F.array().cast("array<variant>"))
+        each = F.transform(found, lambda r: F.try_variant_get(r, "$", kind))
+        return F.transform(F.filter(each, lambda r: r.isNotNull()), lambda r: _merged(r, meta, tag))
 
-    meta = F.coalesce(F.from_json(F.get_json_object(text, "$.metadata"), kind), F.create_map().cast(kind))
+    meta = F.coalesce(F.try_variant_get(v, "$.metadata", kind), F.create_map().cast(kind))
     nested = F.concat(rows("proyectados", "proyectado"), rows("realizados", "realizado"))
-    out = F.when(F.substring(inner, 1, 1) == "{", F.transform(nested, lambda m: F.to_json(m))).otherwise(F.array(text))
+    whole = F.try_variant_get(v, "$.desembolsos", kind)
+    out = F.when(whole.isNotNull(), F.transform(nested, lambda m: F.to_json(m))).otherwise(F.array(F.col(column)))
     return items.select(*[c for c in items.columns if c != column], F.posexplode(out).alias("row", column))
 
 
 def _merged(row: Column, meta: Column, tag: str) -> Column:
     own = F.map_filter(row, lambda k, v: k != "tipo_registro_norm")
     more = F.map_filter(meta, lambda k, v: ~F.map_contains_key(row, k) & (k != "tipo_registro_norm"))
-    return F.map_concat(own, more, F.create_map(F.lit("tipo_registro_norm"), F.lit(tag)))
+    return F.map_concat(own, more, F.create_map(F.lit("tipo_registro_norm"), F.lit(tag).cast("variant")))
 
 
 def statistics(responses: DataFrame, items: DataFrame, by: list[str], local: bool = False) -> DataFrame:
@@ -123,11 +122,81 @@ def document_files(items: DataFrame, compat: bool = False) -> DataFrame:
     path = F.concat_ws("/", F.initcap("prompt_type"), F.concat("document_name", F.lit(".json")))
     rows = items.where("prompt_type is not null").withColumn("path", path)
     if compat:
-        last = Window.partitionBy("path").orderBy(F.desc("item_id"))
-        return rows.withColumn("rn", F.row_number().over(last)).where("rn = 1").select("path", F.col("object").alias("value"))
+        return rows.groupBy("path").agg(F.max_by("object", "item_id").alias("value"))
     return rows.groupBy("path").agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "object"))), lambda x: x["object"]), ","), F.lit("]")).alias("value"))
 
 
+# The fields of each type's record, in order. TRIPLE is a value with its confidence and evidence.
+TRIPLE = "triple"
+RECORD_FIELDS: dict[str, tuple[tuple[str, str | None], ...]] = {
+    "auditoria": (
+        ("codigo_CFA", TRIPLE), ("codigo_CFX", TRIPLE), ("estado_informe_SSC", TRIPLE), ("estado_informe_SSC_norm", "null"),
+        ("informe_auditoria_externa_se_entrego_SSC", TRIPLE), ("informe_auditoria_externa_se_entrego_SSC_norm", "null"),
+        ("concepto_control_interno", TRIPLE), ("concepto_control_interno_norm", "no se menciona"), ("concepto_licitacion", TRIPLE), ("concepto_licitacion_norm", "no se menciona"),
+        ("concepto_uso_recursos", TRIPLE), ("concepto_uso_recursos_norm", "no se menciona"), ("concepto_unidad_ejecutora", TRIPLE), ("concepto_unidad_ejecutora_norm", "no se menciona"),
+        ("fecha_vencimiento_SSC", TRIPLE), ("fecha_cambio_estado_informe_SSC", TRIPLE), ("fecha_extraccion", None), ("fecha_ultima_revision", TRIPLE),
+        ("status_auditoria_SSC", "Pendiente"), ("nombre_archivo", "unknown"), ("texto_justificacion", None),
+    ),
+    "productos": (
+        ("codigo_CFA", TRIPLE), ("codigo_CFX", TRIPLE), ("descripcion_producto", TRIPLE), ("meta_producto", TRIPLE), ("meta_unidad", TRIPLE), ("meta_num", None), ("meta_unidad_norm", None),
+        ("fuente_indicador", TRIPLE), ("fecha_cumplimiento_meta", TRIPLE), ("tipo_dato", TRIPLE), ("tipo_dato_norm", None), ("caracteristica", TRIPLE), ("caracteristica_norm", None),
+        ("check_producto", "No"), ("fecha_extraccion", None), ("fecha_ultima_revision", TRIPLE), ("nombre_archivo", "unknown"),
+    ),
+    "desembolsos": (
+        ("codigo_CFA", TRIPLE), ("tipo_registro", TRIPLE), ("tipo_registro_norm", None), ("fecha_desembolso", TRIPLE), ("monto_original", TRIPLE), ("moneda", TRIPLE), ("monto_usd", TRIPLE),
+        ("fuente_etiqueta", TRIPLE), ("fuente_norm", None), ("fecha_extraccion", None), ("fecha_ultima_revision", TRIPLE), ("nombre_archivo", "unknown"),
+    ),
+}
+PREVIEW = 200
+
+
+def default_record(kind: str, content: Column, stamp: Column) -> Column:
+    """A type's record in which nothing was extracted, as JSON text, with the beginning of the text that it stands for."""
+    none = F.lit(None).cast("string")
+    triple = F.struct(none.alias("value"), F.lit("NO_EXTRAIDO").alias("confidence"), none.alias("evidence"))
+    given = {"fecha_extraccion": F.date_format(stamp, "yyyy-MM-dd HH:mm"), "texto_justificacion": F.struct(none.alias("quote"))}
+    fields = [(triple if v == TRIPLE else given.get(name, F.lit(v).cast("string"))).alias(name) for name, v in RECORD_FIELDS[kind]]
+    notes = [F.lit("no JSON object").alias("_parse_error"), F.left(content, F.lit(PREVIEW)).alias("_original_content_preview")]
+    return F.to_json(F.struct(*fields, *notes), {"ignoreNullFields": "false"})
+
+
+def materialise(items: DataFrame, column: str = "object", kind: str = "prompt_type", stamp: Column | None = None) -> DataFrame:
+    """The JSON that a result file should hold, in place of each item's text.
+
+    The raw text of an unparsed response is searched again: one object stands for itself, several become an
+    array. Without any, a wrapper leaves its other fields or the raw text as a string; text that is no JSON
+    becomes its type's default record. Empty objects and arrays become null.
+    """
+    stamp = F.current_timestamp() if stamp is None else stamp
+    names = items.columns
+    v = F.try_parse_json(column)
+    fields = F.try_variant_get(v, "$", "map<string,variant>")
+    wrapped = F.coalesce(F.map_contains_key(fields, "_raw_text"), F.lit(False))
+    plain = v.isNull() | F.schema_of_variant(v).isin("STRING", "VOID")
+    raw = F.when(wrapped, F.get_json_object(column, "$._raw_text")).when(plain, F.coalesce(F.try_variant_get(v, "$", "string"), F.col(column)))
+    rest = F.map_filter(fields, lambda k, _: ~k.isin("_raw_text", "_parse_error"))
+    useful = F.size(F.map_filter(rest, lambda _, x: ~F.is_variant_null(x))) > 0
+    default = F.coalesce(*[F.when(F.col(kind) == t, default_record(t, raw, stamp)) for t in TYPES], default_record(TYPES[0], raw, stamp))
+    known = recovery.recovered(items.withColumn("_raw", raw), "_raw", "_found")
+    found = F.col("_found")
+    out = F.when(F.size(found) == 1, F.get(found, F.lit(0))).when(F.size(found) > 1, F.concat(F.lit("["), F.array_join(found, ","), F.lit("]")))
+    out = out.when(wrapped & useful, F.to_json(rest)).when(wrapped, F.to_json(raw.cast("variant")))
+    out = out.when(plain & (F.trim(raw) != ""), default).when(~plain & ~F.col(column).rlike(r"^\s*(\{\s*\}|\[\s*\])\s*$"), F.col(column))
+    return known.withColumn(column, out).select(*names)
+
+
+def contents_by_type(responses: DataFrame) -> DataFrame:
+    """prompt_type, contents: the extracted JSON (or the text, where there is none) of every response that has any, in order of their ids."""
+    rows = responses.where("error is null and content <> ''").select("custom_id", prompt_type("custom_id").alias("prompt_type"), recovery.extract_json("content").alias("content"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("custom_id", "content"))), lambda x: x["content"])
+    return rows.where("prompt_type is not null").groupBy("prompt_type").agg(listed.alias("contents"))
+
+
+def error_lines(errors: DataFrame) -> DataFrame:
+    """n_errors of a batch's error file (value): lines that aren't blank."""
+    return errors.agg(F.count_if(F.trim("value") != "").alias("n_errors"))
+
+
 def quarantine(items: DataFrame) -> DataFrame:
     """Items without a usable id or type."""
     return items.where("prompt_type is null or document_name is null")

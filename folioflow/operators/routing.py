@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import PROMPT_PREFIXES, PROMPT_TYPES, EngineConfig
+from ..config import BATCH_REQUESTS, PROMPT_PREFIXES, PROMPT_TYPES, EngineConfig
 
 #: Our own prompt texts; a table of other texts can be passed instead.
 PROMPTS = {
@@ -80,8 +80,12 @@ def requests(docs: DataFrame, cfg: EngineConfig, style: str = "project", texts:
     return rows.select("custom_id", F.lit("POST").alias("method"), F.lit("/chat/completions").alias("url"), body.alias("body"), "project_name", "document_name", "prompt_number", "prompt_type", "prefix")
 
 
+def request_line() -> Column:
+    return F.to_json(F.struct("custom_id", "method", "url", "body"), {"ignoreNullFields": "false"})
+
+
 def request_lines(made: DataFrame) -> DataFrame:
-    return made.select(F.to_json(F.struct("custom_id", "method", "url", "body"), {"ignoreNullFields": "false"}).alias("value"))
+    return made.select(request_line().alias("value"))
 
 
 def documents_info(made: DataFrame) -> DataFrame:
@@ -97,8 +101,20 @@ def inputs(layouts: DataFrame, chunks: DataFrame) -> DataFrame:
     return whole.unionByName(chunks.select("project_name", "document_name", "content"))
 
 
-def dispatch(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Messages for one document, for a whole project, and those without their required fields."""
+def message_kind() -> Column:
+    """single (one document), whole (a project), or rejected: without a required field."""
     sound = F.col("project_name").isNotNull() & F.col("queue_type").isNotNull()
     single = F.coalesce(F.col("document_name") != "", F.lit(False))
-    return messages.where(sound & single), messages.where(sound & ~single), messages.where(~sound)
+    return F.when(~sound, "rejected").when(single, "single").otherwise("whole")
+
+
+def dispatch(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Messages for one document, for a whole project, and those without their required fields."""
+    return tuple(messages.where(message_kind() == k) for k in ("single", "whole", "rejected"))
+
+
+def batch_files(made: DataFrame) -> DataFrame:
+    """project_name, part, n_requests: how a project's requests are cut into batches that the service takes."""
+    per = made.groupBy("project_name").agg(F.count("*").alias("n"))
+    parts = per.select("project_name", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / BATCH_REQUESTS) - 1)).alias("part"))
+    return parts.select("project_name", "part", F.least(F.lit(BATCH_REQUESTS), F.col("n") - F.col("part") * BATCH_REQUESTS).alias("n_requests"))

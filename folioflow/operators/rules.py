@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Confidences of an extracted field.
@@ -62,10 +62,17 @@ def allowed_source(field: Column | str, source: Column | str) -> Column:
 
 
 def dedup_disbursements(rows: DataFrame, keys: tuple[str, ...] = ("period", "currency", "record_type"), source: str = "source", revised: str = "revised") -> DataFrame:
-    """One row per period, currency and record type: the best source's latest revision."""
+    """One row per period, currency and record type: the best source's latest revision, of equal ones the greatest by
+    its other columns. An aggregate, so no key's rows are gathered."""
     rank = F.coalesce(F.array_position(F.array(*map(F.lit, SOURCE_ORDER)), F.col(source)), F.lit(0))
-    best = Window.partitionBy(*keys).orderBy(F.when(rank == 0, 99).otherwise(rank), F.col(revised).desc_nulls_last())
-    return rows.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").drop("_rn")
+    rest = [c for c in rows.columns if c not in keys]
+    order = F.struct(F.when(rank == 0, -99).otherwise(-rank), F.col(revised), *rest)
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row")).select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in rows.columns])
+
+
+def repeated_keys(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Keys of more than one row: there are none where one row per key is due."""
+    return rows.groupBy(*keys).count().where("count > 1")
 
 
 def amount(text: Column | str) -> Column:
@@ -75,6 +82,12 @@ def amount(text: Column | str) -> Column:
     return F.when(comma_decimal, F.replace(F.replace(bare, F.lit("."), F.lit("")), F.lit(","), F.lit("."))).when(bare.rlike(r"^-?\d{1,3}(\.\d{3})+$"), F.replace(bare, F.lit("."), F.lit(""))).otherwise(F.replace(bare, F.lit(","), F.lit(""))).try_cast("decimal(38,6)")
 
 
+def usd_amount(text: Column | str) -> Column:
+    """An amount that says itself that it is in US dollars; others are null, since nothing is converted."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.when(c.rlike(r"(?i)US\s?\$|U\$S|\bUSD\b"), amount(c))
+
+
 def goal(text: Column | str) -> tuple[Column, Column]:
     """Number and unit of a goal such as "1.500 personas", "1,500 personas" or "2,5 ha"."""
     pattern = r"^\s*([0-9][0-9.,]*)\s*(.*?)\s*$"

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from ..config import EngineConfig
 from ..functions import recovery
-from ..functions.tokens import count_tokens
+from ..functions.tokens import TOKEN_PATTERN, count_tokens
 from ..operators import batches, chunking, layout, results, routing, rules
 from ..schemas import corpus_chunk_error
 from ..session import reachable
-from ..sources import sinks
+from ..sources import sinks, store
 from ..streaming import flows
 from .pipeline import views
 
@@ -79,9 +79,20 @@ def document_type_heuristic(spark, sf_dir):
     return views(spark, sf_dir).select("doc_id", routing.document_type(F.expr(_KIND)).alias("folder"))
 
 
-@query(f"WITH {_DOCS} SELECT project_name, count(*) AS n_documents, min(document_name) AS first_name FROM v_docs GROUP BY ALL")
+_FILES = f"""{_DOCS}, files AS (SELECT *, ['raw','raw/sub','processed/DI','processed/chunks',''][doc_id % 5 + 1] AS folder, length(content) AS file_size FROM v_docs)"""
+
+
+def files(spark, sf_dir) -> DataFrame:
+    """Listing rows made of documents: raw ones, nested ones, records, chunks, and stray objects at the top."""
+    folders = F.array(*map(F.lit, ("raw", "raw/sub", "processed/DI", "processed/chunks", "")))
+    return views(spark, sf_dir).withColumn("folder", F.get(folders, (F.col("doc_id") % 5).cast("int"))).withColumn("file_size", F.length("content").cast("long"))
+
+
+@query(f"WITH {_FILES} SELECT project_name, count(*) FILTER (WHERE folder LIKE 'raw%') AS n_documents, min(document_name) FILTER (WHERE folder LIKE 'raw%') AS first_name FROM files WHERE folder <> '' GROUP BY ALL")
 def project_listing(spark, sf_dir):
-    return views(spark, sf_dir).groupBy("project_name").agg(F.count("*").alias("n_documents"), F.min("document_name").alias("first_name"))
+    f = files(spark, sf_dir)
+    raw = store.list_raw_documents(f).groupBy("project_name").agg(F.count("*").alias("n_documents"), F.min("document_name").alias("first_name"))
+    return store.list_projects(f).join(raw, "project_name", "left").select("project_name", F.coalesce("n_documents", F.lit(0).cast("long")).alias("n_documents"), "first_name")
 
 
 @query(f"WITH {_DOCS} SELECT project_name, count(*) AS total, count(*) FILTER (WHERE processing_status = 'success') AS successful, count(*) FILTER (WHERE processing_status = 'error') AS failed, count(*) FILTER (WHERE processing_status LIKE 'skipped%') AS skipped FROM v_docs GROUP BY ALL")
@@ -89,14 +100,26 @@ def project_rollup(spark, sf_dir):
     return layout.rollup(views(spark, sf_dir))
 
 
-@query(f"WITH {_DOCS} SELECT doc_id, project_name, document_name FROM v_docs WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+_DONE = f"""{_DOCS}, done AS (SELECT doc_id FROM v_docs WHERE doc_id % 4 = 0 AND processing_status = 'success' AND doc_id % 8 <> 0), cut AS (SELECT doc_id FROM labels)"""
+
+
+def _statuses(spark, sf_dir) -> DataFrame:
+    """Documents of which some have a record (a failed or an empty one doesn't count) and those with labels have chunks."""
+    v = views(spark, sf_dir)
+    layouts = v.where("doc_id % 4 = 0").withColumn("content", F.when(F.col("doc_id") % 8 == 0, "").otherwise(F.lit("x")))
+    labelled = v.join(_table(spark, sf_dir, "labels"), "doc_id", "left_semi")
+    chunks = labelled.select("project_name", F.col("document_name").alias("original_document"), F.explode(F.array(F.lit(0), F.lit(1))).alias("chunk_index"))
+    return layout.pending(v.select("doc_id", "project_name", "document_name"), layouts, chunks)
+
+
+@query(f"WITH {_DONE} SELECT doc_id, project_name, document_name FROM v_docs WHERE doc_id NOT IN (SELECT doc_id FROM done) AND doc_id NOT IN (SELECT doc_id FROM cut)")
 def pending_documents_anti(spark, sf_dir):
-    return views(spark, sf_dir).select("doc_id", "project_name", "document_name").join(_table(spark, sf_dir, "labels"), "doc_id", "left_anti")
+    return _statuses(spark, sf_dir).where("status is null").drop("status")
 
 
-@query(f"WITH {_DOCS} SELECT doc_id, project_name, document_name FROM v_docs WHERE doc_id IN (SELECT doc_id FROM labels)")
+@query(f"WITH {_DONE} SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM done) THEN 'skipped_already_processed' ELSE 'skipped_already_chunked' END AS status FROM v_docs WHERE doc_id IN (SELECT doc_id FROM done) OR doc_id IN (SELECT doc_id FROM cut)")
 def chunked_documents_semi(spark, sf_dir):
-    return views(spark, sf_dir).select("doc_id", "project_name", "document_name").join(_table(spark, sf_dir, "labels"), "doc_id", "left_semi")
+    return _statuses(spark, sf_dir).where("status is not null").select("doc_id", "status")
 
 
 @query(f"WITH {_DOCS} SELECT project_name, document_name, length(content) AS n_chars FROM v_docs WHERE doc_id % 3 <> 0 UNION ALL SELECT project_name, replace(document_name, '.pdf', '_chunk_000'), length(content) FROM v_docs WHERE doc_id % 3 = 0")
@@ -106,11 +129,11 @@ def di_union_chunks(spark, sf_dir):
     return routing.inputs(v, chunks).select("project_name", "document_name", F.length("content").cast("long").alias("n_chars"))
 
 
-@query(f"""WITH {_DOCS}, s AS (SELECT project_name, string_agg('--- DOCUMENT: ' || document_name || ' ---' || chr(10) || content || chr(10) || repeat('-', 50) || chr(10), '' ORDER BY document_name) AS body FROM v_docs WHERE processing_status = 'success' GROUP BY ALL),
+@query(f"""WITH {_DOCS}, s AS (SELECT project_name, document_name AS part, '--- DOCUMENT: ' || document_name || ' ---' || chr(10) || content || chr(10) || repeat('-', 50) || chr(10) AS c FROM v_docs WHERE processing_status = 'success'),
 t AS (SELECT project_name, count(*) AS total, count(*) FILTER (WHERE processing_status = 'success') AS ok FROM v_docs GROUP BY ALL)
-SELECT project_name, length(c) AS n_chars, md5(c) AS digest FROM (SELECT project_name, repeat('=', 80) || chr(10) || 'PROJECT: ' || project_name || chr(10) || 'Documents: ' || total || ', successful: ' || ok || chr(10) || repeat('=', 80) || chr(10) || coalesce(body, '') AS c FROM t LEFT JOIN s USING (project_name))""")
+SELECT project_name, part, length(c) AS n_chars, md5(c) AS digest FROM (SELECT project_name, '' AS part, repeat('=', 80) || chr(10) || 'PROJECT: ' || project_name || chr(10) || 'Documents: ' || total || ', successful: ' || ok || chr(10) || repeat('=', 80) || chr(10) AS c FROM t UNION ALL SELECT * FROM s)""")
 def concat_corpus(spark, sf_dir):
-    return layout.corpus(views(spark, sf_dir)).select("project_name", F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("digest"))
+    return layout.corpus(views(spark, sf_dir)).select("project_name", "part", F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("digest"))
 
 
 @query(f"WITH {_ROUTED} SELECT project_name || '_' || replace(document_name, '.pdf', '') || '_prompt' || prompt_number AS custom_id, project_name || '_' || replace(document_name, '.pdf', '') || '_' || prompt_type AS file_id FROM routed")
@@ -136,15 +159,14 @@ def batch_info_rollup(spark, sf_dir):
 
 @query(f"WITH {_DOCS} SELECT doc_id, project_name, document_name FROM v_docs ORDER BY length(content) DESC, doc_id LIMIT 10")
 def top_documents(spark, sf_dir):
-    return views(spark, sf_dir).orderBy(F.length("content").desc(), "doc_id").limit(10).select("doc_id", "project_name", "document_name")
+    return store.top(views(spark, sf_dir), F.length("content"), 10, "doc_id").select("doc_id", "project_name", "document_name")
 
 
 @query(f"WITH {_DOCS} SELECT count(*) FILTER (WHERE doc_id % 4 = 0) AS single, count(*) FILTER (WHERE doc_id % 4 IN (1, 2)) AS whole, count(*) FILTER (WHERE doc_id % 4 = 3) AS rejected FROM v_docs")
 def message_dispatch(spark, sf_dir):
     v = views(spark, sf_dir)
     m = v.select("project_name", F.when(F.col("doc_id") % 4 != 3, "processing").alias("queue_type"), F.when(F.col("doc_id") % 4 == 0, F.col("document_name")).when(F.col("doc_id") % 4 == 1, "").alias("document_name"))
-    parts = [p.select(F.lit(k).alias("k")) for p, k in zip(routing.dispatch(m), ("single", "whole", "rejected"), strict=True)]
-    return parts[0].union(parts[1]).union(parts[2]).agg(*[F.count_if(F.col("k") == k).alias(k) for k in ("single", "whole", "rejected")])
+    return m.agg(*[F.count_if(routing.message_kind() == k).alias(k) for k in ("single", "whole", "rejected")])
 
 
 # --- text and chunks ----------------------------------------------------------------------------
@@ -165,7 +187,11 @@ def sections(spark, sf_dir):
     return each.groupBy("doc_id").agg(F.count("*").alias("n_sections"), F.max(F.length("s").cast("long")).alias("longest"))
 
 
-@query()
+#: RE2 has no lookaround: what stands around the white space is kept by groups, and a mark takes its place.
+_SENTENCES = r"""string_split(regexp_replace({}, '([.?!…])[ \t\n\x0B\f\r]+(["''«“¿¡]?[A-ZÁÉÍÓÚÑ0-9])', '\1' || chr(1) || '\2', 'g'), chr(1))"""
+
+
+@query(f"SELECT doc_id, CAST(len(list_filter({_SENTENCES.format('text')}, lambda x: trim(x) <> '')) AS INTEGER) AS n_sentences FROM documents")
 def sentences(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", F.size(chunking.sentences("text")).alias("n_sentences"))
 
@@ -177,10 +203,41 @@ def token_counts(spark, sf_dir):
 
 @query("SELECT doc_id, k AS piece, length(substr(text, CAST(k * 600 + 1 AS BIGINT), 600)) AS n_chars, md5(substr(text, CAST(k * 600 + 1 AS BIGINT), 600)) AS digest FROM (SELECT doc_id, text, unnest(range((length(text) + 599) // 600)) AS k FROM documents)")
 def chunk_fixed_window(spark, sf_dir):
-    n = F.floor((F.length("text") + 599) / 600)
-    each = _table(spark, sf_dir, "documents").where("length(text) > 0").select("doc_id", "text", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("piece"))
-    part = F.substring("text", (F.col("piece") * 600 + 1).cast("int"), F.lit(600))
-    return each.select("doc_id", "piece", F.length(part).cast("long").alias("n_chars"), F.md5(part).alias("digest"))
+    each = _table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.fixed_windows("text", 600)).alias("piece", "part"))
+    return each.select("doc_id", F.col("piece").cast("long").alias("piece"), F.length("part").cast("long").alias("n_chars"), F.md5("part").alias("digest"))
+
+
+def _packing_sql(limit: int, overlap: int) -> str:
+    """The packer as a recursion over the parts of a text: sections, sentences of large sections, slices of large sentences,
+    and cuts, at which what is held is let go."""
+
+    def n(x: str) -> str:
+        return f"len(regexp_extract_all({x}, '{TOKEN_PATTERN}'))"
+
+    def strip(x: str) -> str:
+        return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+
+    tail = rf"CASE WHEN k = 0 THEN '' WHEN held <= k THEN cur ELSE array_to_string(list_slice(regexp_extract_all(cur, '(?:{TOKEN_PATTERN})\s*'), held - k + 1, held), '') END"
+    return rf"""WITH RECURSIVE {_DOCS}, d AS (SELECT doc_id, project_name, document_name, content, {n('content')} AS total FROM v_docs),
+s AS (SELECT doc_id, i, m, p, {n('p')} AS n FROM (SELECT doc_id, unnest(parts) AS p, unnest(range(len(parts))) AS i, len(parts) AS m FROM (SELECT doc_id, list_filter(list_transform(string_split(content, chr(10)), lambda x: {strip('x')}), lambda x: x <> '') AS parts FROM d WHERE total > {limit}))),
+z AS (SELECT doc_id, i, j, mj, p, {n('p')} AS n FROM (SELECT doc_id, i, unnest(parts) AS p, unnest(range(len(parts))) AS j, len(parts) AS mj FROM (SELECT doc_id, i, list_filter(list_transform({_SENTENCES.format('p')}, lambda x: {strip('x')}), lambda x: x <> '') AS parts FROM s WHERE n > {limit}))),
+l AS (SELECT doc_id, i, j, unnest(c) AS p, unnest(range(len(c))) AS k FROM (SELECT doc_id, i, j, list_transform(range((n + {limit - 1}) // {limit}), lambda b: array_to_string(list_slice(t, b * {limit} + 1, (b + 1) * {limit}), '')) AS c FROM (SELECT *, regexp_extract_all(p, '(?:{TOKEN_PATTERN})\s*') AS t FROM z WHERE n > {limit}))),
+u AS (SELECT doc_id, i, -1 AS j, -1 AS k, 'part' AS kind, p, n, i - 1 AS label FROM s WHERE n <= {limit}
+ UNION ALL SELECT doc_id, i, -2, -1, 'cut', '', 0, i FROM s WHERE n > {limit}
+ UNION ALL SELECT doc_id, i, j, 0, 'part', p, n, j - 1 FROM z WHERE n <= {limit}
+ UNION ALL SELECT doc_id, i, j, -1, 'cut', '', 0, j FROM z WHERE n > {limit} AND mj > 1
+ UNION ALL SELECT doc_id, i, j, k, 'slice', p, {n('p')}, k FROM l
+ UNION ALL SELECT DISTINCT doc_id, i, 1000000, 0, 'cut', '', 0, mj - 1 FROM z WHERE mj > 1
+ UNION ALL SELECT DISTINCT doc_id, 1000000, 0, 0, 'cut', '', 0, m - 1 FROM s),
+w AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i, j, k) AS pos FROM u),
+r AS (SELECT doc_id, CAST(0 AS BIGINT) AS pos, '' AS cur, CAST(0 AS BIGINT) AS held, CAST(NULL AS VARCHAR) AS body, CAST(0 AS BIGINT) AS body_n, '' AS range FROM (SELECT DISTINCT doc_id FROM w)
+ UNION ALL SELECT doc_id, pos, CASE WHEN kind <> 'part' THEN '' WHEN cur = '' THEN p WHEN fits THEN cur || chr(10) || chr(10) || p WHEN trim(lead) = '' THEN p ELSE lead || chr(10) || chr(10) || p END,
+  CASE WHEN kind <> 'part' THEN 0 WHEN cur = '' THEN n WHEN fits THEN held + n ELSE n + least(k, held) END,
+  CASE WHEN kind = 'slice' THEN p WHEN cur <> '' AND NOT fits THEN cur END, CASE WHEN kind = 'slice' THEN n ELSE held END, CASE WHEN kind = 'slice' THEN 'Sección ' || label ELSE 'Hasta sección ' || label END
+  FROM (SELECT *, {tail} AS lead FROM (SELECT r.doc_id, w.pos, r.cur, r.held, w.kind, w.p, w.n, w.label, w.kind = 'part' AND r.held + w.n <= {limit} AS fits, greatest(0, least({overlap}, {limit} - w.n)) AS k FROM r JOIN w ON w.doc_id = r.doc_id AND w.pos = r.pos + 1))),
+c AS (SELECT doc_id, body AS content, body_n AS tokens, range AS sections_range, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS k, count(*) OVER (PARTITION BY doc_id) AS total_chunks, 'sections_with_overlap' AS chunking_strategy FROM r WHERE body IS NOT NULL
+ UNION ALL SELECT doc_id, content, total, 'Documento completo', 0, 1, 'none' FROM d WHERE total <= {limit})
+SELECT d.project_name, format('{{}}_chunk_{{:03d}}', replace(d.document_name, '.pdf', ''), c.k) AS document_name, CAST(c.k AS INTEGER) AS chunk_index, c.content, CAST(c.tokens AS INTEGER) AS tokens, c.sections_range, CAST(c.total_chunks AS INTEGER) AS total_chunks, c.chunking_strategy FROM c JOIN d USING (doc_id)"""
 
 
 def _chunked(spark, sf_dir, overlap: int) -> DataFrame:
@@ -188,12 +245,12 @@ def _chunked(spark, sf_dir, overlap: int) -> DataFrame:
     return chunking.stored_chunks(chunking.chunk(views(spark, sf_dir), cfg)).drop("original_document")
 
 
-@query()
+@query(_packing_sql(256, 0))
 def chunk_packed_no_overlap(spark, sf_dir):
     return _chunked(spark, sf_dir, 0)
 
 
-@query()
+@query(_packing_sql(256, 32))
 def chunk_packed_overlap(spark, sf_dir):
     return _chunked(spark, sf_dir, 32)
 
@@ -254,8 +311,7 @@ def expired_batches_24h(spark, sf_dir):
 
 @query("SELECT event_id, user_id, event_type, lag(event_type) OVER w AS before, lead(event_type) OVER w AS after FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def status_timeline(spark, sf_dir):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.lag("event_type").over(w).alias("before"), F.lead("event_type").over(w).alias("after"))
+    return flows.moves(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")).drop("ts")
 
 
 @query("SELECT strftime(time_bucket(INTERVAL 5 MINUTES, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
@@ -312,8 +368,8 @@ def response_statistics(spark, sf_dir):
 
 @query("SELECT user_id, count(*) AS total, count(*) FILTER (WHERE event_type <> 'error') AS successful, count(*) FILTER (WHERE event_type = 'error') AS failed, round(100.0 * count(*) FILTER (WHERE event_type <> 'error') / count(*), 6) AS success_rate FROM events GROUP BY ALL")
 def result_status_stats(spark, sf_dir):
-    ok = F.count_if(F.col("event_type") != "error")
-    return _table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("total"), ok.alias("successful"), F.count_if(F.col("event_type") == "error").alias("failed"), F.round(100.0 * ok / F.count("*"), 6).alias("success_rate"))
+    e = _table(spark, sf_dir, "events").select("user_id", F.when(F.col("event_type") == "error", "status 500").alias("error"))
+    return results.statistics(e, e.where("error is null"), ["user_id"]).select("user_id", "total", "successful", "failed", F.round("success_rate", 6).alias("success_rate"))
 
 
 @query(f"""WITH {_ITEMS} SELECT regexp_replace(stem, '^[^_]*_', '') AS document_name, CASE number WHEN 1 THEN 'auditoria' WHEN 2 THEN 'productos' WHEN 3 THEN 'desembolsos' END AS prompt_type, count(*) AS n_objects FROM items GROUP BY ALL""")
@@ -339,14 +395,18 @@ def batch_summary(spark, sf_dir):
 
 
 @query("""WITH r AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN 'proyectado' ELSE 'realizado' END AS tag, CAST(l_linenumber AS VARCHAR) AS monto FROM lineitem)
-SELECT l_orderkey, tag AS tipo, monto, CASE WHEN monto = '2' THEN 'own' ELSE 'meta' END AS origen FROM r""")
+SELECT l_orderkey, tag AS tipo, monto, CASE WHEN monto = '2' THEN 'own' ELSE 'meta' END AS origen, 'BIGINT' AS monto_type, CAST(monto AS INTEGER) + 1 AS campo_value, monto = '2' AS firme, 'BOOLEAN' AS firme_type FROM r""")
 def flatten_nested(spark, sf_dir):
-    line = F.when(F.col("l_linenumber") == 2, F.struct(F.col("l_linenumber").cast("string").alias("monto"), F.lit("x").alias("tipo_registro_norm"), F.lit("own").alias("origen"))).otherwise(F.struct(F.col("l_linenumber").cast("string").alias("monto"), F.lit("x").alias("tipo_registro_norm"), F.lit(None).cast("string").alias("origen")))
+    amount, triple, firm = F.col("l_linenumber").alias("monto"), F.struct((F.col("l_linenumber") + 1).alias("value"), F.lit("EXTRAIDO_DIRECTO").alias("confidence")).alias("campo"), (F.col("l_linenumber") == 2).alias("firme")
+    line = F.struct(amount, triple, firm, F.lit("x").alias("tipo_registro_norm"), F.when(F.col("l_linenumber") == 2, "own").alias("origen"))
     rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_linenumber") % 2 == 0).alias("planned"), line.alias("r"))
     nested = rows.groupBy("l_orderkey").agg(F.collect_list(F.when(F.col("planned"), F.col("r"))).alias("proyectados"), F.collect_list(F.when(~F.col("planned"), F.col("r"))).alias("realizados"))
     made = nested.select("l_orderkey", F.to_json(F.struct(F.struct("proyectados", "realizados").alias("desembolsos"), F.struct(F.lit("meta").alias("origen"), F.lit("y").alias("tipo_registro_norm")).alias("metadata"))).alias("object"))
     flat = results.flatten_disbursements(made)
-    return flat.select("l_orderkey", *[F.get_json_object("object", f"$.{p}").alias(n) for n, p in (("tipo", "tipo_registro_norm"), ("monto", "monto"), ("origen", "origen"))])
+    v = F.parse_json("object")
+    texts = [F.variant_get(v, f"$.{p}", "string").alias(n) for n, p in (("tipo", "tipo_registro_norm"), ("monto", "monto"), ("origen", "origen"))]
+    kinds = [F.schema_of_variant(F.variant_get(v, f"$.{p}", "variant")).alias(f"{p}_type") for p in ("monto", "firme")]
+    return flat.select("l_orderkey", *texts, *kinds, F.variant_get(v, "$.campo.value", "int").alias("campo_value"), F.variant_get(v, "$.firme", "boolean").alias("firme"))
 
 
 _CUT = "left(props, CAST(length(props) - event_id % 3 AS INT))"
@@ -371,7 +431,7 @@ def consolidate_latest(spark, sf_dir):
 
 @query("SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events")
 def json_path_props(spark, sf_dir):
-    return _table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+    return store.with_value(_table(spark, sf_dir, "events"), "props").select("event_id", F.try_variant_get("value", "$.k", "int").alias("k"))
 
 
 # --- layout and rules ---------------------------------------------------------------------------
@@ -430,3 +490,6 @@ def opinion_class(spark, sf_dir):
 def amount_parse(spark, sf_dir):
     text = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("US$ "), F.format_number("o_totalprice", 2))).otherwise(F.concat(F.lit("Bs "), F.translate(F.format_number("o_totalprice", 2), ",.", ".,")))
     return _table(spark, sf_dir, "orders").select("o_orderkey", rules.amount(text).cast("decimal(18,2)").alias("amount"))
+
+
+from . import records  # noqa: E402,F401 registers more queries

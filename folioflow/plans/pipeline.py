@@ -6,16 +6,18 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..config import EngineConfig
-from ..functions import recovery
+from ..functions import names, recovery, tokens
 from ..operators import batches, chunking, layout, results, routing
 from ..sources import store
+from ..streaming import flows
 
 
 @dataclass
 class Pipeline:
-    """Raw documents to requests, and responses to results. Every step is a DataFrame; nothing is written here."""
+    """Raw documents to requests, and responses to results. Every step is a DataFrame; only submit and the streams write."""
 
     spark: SparkSession
     cfg: EngineConfig = field(default_factory=EngineConfig)
@@ -46,11 +48,74 @@ class Pipeline:
         folders = None if state is None else store.pending_folders(state)
         return batches.pending(infos, status, markers, folders, self.cfg.compat)
 
+    def submit(self, layouts: DataFrame, chunks: DataFrame, service: batches.Service, path: str) -> DataFrame:
+        """Writes and submits the requests of all projects; a row per batch."""
+        return batches.submit(self.requests(layouts, chunks), service, path)
+
+    def process(self, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Result lines (batch_id, value) to typed items and the statistics of every batch."""
+        parsed, items = self.results(lines)
+        return results.materialise(items), results.statistics(parsed, results.objects(parsed, self.cfg.compat), ["batch_id"])
+
+    def stream_ingest(self, queue: str, raw: DataFrame, provider: layout.Provider, out: str, trigger: dict | None = None, max_files: int = 6) -> StreamingQuery:
+        """Takes in messages and writes what they ask for below out: layouts, chunks and request lines.
+
+        raw: the raw documents of all projects; a micro-batch reads those of its messages. Each micro-batch
+        overwrites its own folders, so one that is repeated leaves nothing twice. Documents that earlier
+        ones have written are not analysed again.
+        """
+
+        def work(messages: DataFrame, epoch: int) -> None:
+            whole, single = (messages.where(routing.message_kind() == k) for k in ("whole", "single"))
+            asked = raw.join(whole.select("project_name").distinct(), "project_name", "left_semi")
+            asked = asked.unionByName(raw.join(single.select("project_name", "document_name").distinct(), ["project_name", "document_name"], "left_semi")).dropDuplicates(["project_name", "document_name"])
+            layouts = self.ingest(asked, provider, *self._done(f"{out}/layouts", f"{out}/chunks", epoch))
+            layouts.write.mode("overwrite").parquet(f"{out}/layouts/epoch={epoch}")
+            written = self.spark.read.parquet(f"{out}/layouts/epoch={epoch}")
+            self.chunk(written).write.mode("overwrite").parquet(f"{out}/chunks/epoch={epoch}")
+            chunks = self.spark.read.parquet(f"{out}/chunks/epoch={epoch}")
+            made = self.requests(written.where("processing_status = 'success'"), chunks)
+            made.select("project_name", routing.request_line().alias("value")).write.mode("overwrite").partitionBy("project_name").text(f"{out}/requests/epoch={epoch}")
+
+        stream = flows.messages(self.spark, queue, max_files)
+        return stream.writeStream.foreachBatch(work).option("checkpointLocation", f"{out}/_checkpoint").trigger(**(trigger or {"availableNow": True})).start()
+
+    def _done(self, layouts: str, chunks: str, epoch: int) -> tuple[DataFrame, DataFrame]:
+        """Layouts and chunks of earlier micro-batches."""
+        kinds = ((layouts, "project_name string, document_name string, content string, processing_status string, epoch long"), (chunks, "project_name string, original_document string, chunk_index int, epoch long"))
+        found = []
+        for path, schema in kinds:
+            at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            there = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+            rows = self.spark.read.schema(schema).parquet(path) if there else self.spark.createDataFrame([], schema)
+            found.append(rows.where(F.col("epoch") < epoch))
+        return found[0], found[1]
+
+    def stream_results(self, lines: str, out: str, trigger: dict | None = None) -> StreamingQuery:
+        """Takes in files of result lines, named {batch_id}.jsonl, and writes typed items and statistics below out, each
+        micro-batch to its own folders."""
+
+        def work(rows: DataFrame, epoch: int) -> None:
+            items, statistics = self.process(rows)
+            items.write.mode("overwrite").parquet(f"{out}/items/epoch={epoch}")
+            statistics.write.mode("overwrite").parquet(f"{out}/statistics/epoch={epoch}")
+
+        name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.jsonl)?$", 1)
+        stream = self.spark.readStream.text(lines).select(name.alias("batch_id"), "value")
+        return stream.writeStream.foreachBatch(work).option("checkpointLocation", f"{out}/_checkpoint").trigger(**(trigger or {"availableNow": True})).start()
+
 
 def register(spark: SparkSession) -> None:
-    """SQL names: recover_json_objects(text), extract_json(text), and chunk_table(text, max_tokens, overlap)."""
+    """SQL names: recover_json_objects(text), extract_json(text), repair_json(text), count_tokens(text),
+    normalize_name(text), and chunk_table(text, max_tokens, overlap). Those that need no Python are SQL functions."""
     from pyspark.sql.functions import udtf
 
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION count_tokens(text STRING) RETURNS INT RETURN regexp_count(text, r'{tokens.TOKEN_PATTERN}')")
+    quoted = "CASE WHEN (length(text) - length(replace(text, '\"', ''))) % 2 = 1 THEN concat(text, '\"') ELSE text END"
+    bare = f"regexp_replace(regexp_replace({quoted}, r'\\s+$', ''), ',$', '')"
+    close = " , ".join(f"repeat('{b}', greatest(0, (length({bare}) - length(replace({bare}, '{a}', ''))) - (length({bare}) - length(replace({bare}, '{b}', '')))))" for a, b in ("{}", "[]"))
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION repair_json(text STRING) RETURNS STRING RETURN concat({bare}, {close})")
+    spark.udf.register("normalize_name", names.nfc)
     spark.udf.register("recover_json_objects", recovery.recover_json_objects)
     spark.udf.register("extract_json", recovery.extract_json)
 

@@ -12,6 +12,14 @@ KEY_VALUE = "struct<key:string,value:string,confidence:double>"
 PARAGRAPH = "struct<paragraph_id:int,content:string,role:string,confidence:double>"
 LAYOUT = f"struct<content:string,tables:array<{TABLE}>,images:array<{IMAGE}>,key_value_pairs:array<{KEY_VALUE}>,paragraphs:array<{PARAGRAPH}>>"
 
+#: What providers answer: captions, keys and values as texts or objects, polygons in any form.
+RAW_FIGURE = "struct<caption:string,confidence:double,bounding_regions:array<struct<page_number:int,polygon:array<string>>>>"
+RAW_LAYOUT = (
+    f"struct<content:string,tables:array<struct<row_count:int,column_count:int,confidence:double,cells:array<{CELL}>>>,"
+    f"figures:array<{RAW_FIGURE}>,images:array<{RAW_FIGURE}>,"
+    f"key_value_pairs:array<{KEY_VALUE}>,paragraphs:array<struct<content:string,role:string,confidence:double>>>"
+)
+
 RAW_DOCUMENT = "project_name string, document_name string, path string, content binary, file_size long, modified_at timestamp"
 LAYOUT_DOCUMENT = (
     "project_name string, document_name string, content string, metadata struct<filename:string,file_size:long,content_length:long,processing_status:string,"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import corpus_chunk_error
@@ -42,6 +42,51 @@ def chunk_files(chunks: DataFrame) -> DataFrame:
     return each.unionByName(whole)
 
 
+# Media types by file ending.
+MIME = {
+    "pdf": "application/pdf", "docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document", "doc": "application/msword",
+    "txt": "text/plain", "xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet", "xls": "application/vnd.ms-excel",
+}
+
+
+def mime_type(name: Column | str) -> Column:
+    ending = F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1))
+    known = F.create_map(*[F.lit(x) for pair in MIME.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, ending), F.lit("application/octet-stream"))
+
+
+def write_raw(raw: DataFrame, path: str) -> None:
+    """Raw documents (project_name, document_name, content) with their media types, by project."""
+    raw.withColumn("content_type", mime_type("document_name")).write.mode("overwrite").partitionBy("project_name").parquet(path)
+
+
+def write_files(files: DataFrame, path: str) -> None:
+    """Files (project_name, file_name, value), one line of JSON each, by project."""
+    rows = files.select("project_name", as_json("file_name", "value").alias("value"))
+    rows.write.mode("overwrite").partitionBy("project_name").text(path)
+
+
+def write_corpus(parts: DataFrame, path: str) -> None:
+    """Corpus parts in order below a folder per project; a project may spread over many files, whose names sort in the
+    order of their parts. Part boundaries are kept by line ends alone."""
+    ordered = parts.repartitionByRange("project_name", "part").sortWithinPartitions("project_name", "part")
+    ordered.select("project_name", F.rtrim(F.col("content"), F.lit("\n")).alias("value")).write.mode("overwrite").partitionBy("project_name").text(path)
+
+
+def result_files(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A batch's results by document and by type, one JSON text each: batch_id, key, value."""
+    named = items.where("prompt_type is not null and document_name is not null")
+
+    def nested(outer: str, inner: str) -> DataFrame:
+        listed = F.transform(F.array_sort(F.collect_list(F.struct("item_id", "object"))), lambda x: x["object"])
+        per = named.groupBy("batch_id", outer, inner).agg(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("array"))
+        field = F.concat(F.to_json(F.col(inner).cast("variant")), F.lit(":"), "array")
+        body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(inner, field.alias("f")))), lambda x: x["f"]), ",")
+        return per.groupBy("batch_id", F.col(outer).alias("key")).agg(F.concat(F.lit("{"), body, F.lit("}")).alias("value"))
+
+    return nested("document_name", "prompt_type"), nested("prompt_type", "document_name")
+
+
 def layout_file_name(name: Column | str, compat: bool = False) -> Column:
     """Stem + .json; compat replaces .pdf and .docx wherever they stand and leaves other names alone."""
     if compat:
@@ -52,8 +97,9 @@ def layout_file_name(name: Column | str, compat: bool = False) -> Column:
 def upsert(state: DataFrame, changes: DataFrame, key: str, order: str) -> DataFrame:
     """The state with changed rows replaced: per key the row with the greatest order, changes first at ties."""
     both = state.withColumn("_new", F.lit(0)).unionByName(changes.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    newest = Window.partitionBy(key).orderBy(F.col(order).desc_nulls_last(), F.desc("_new"))
-    return both.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn", "_new")
+    rest = [c for c in both.columns if c not in (key, "_new")]
+    kept = both.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(order, "_new")).alias("_row"))
+    return kept.select(*[F.col(c) if c == key else F.col("_row")[c].alias(c) for c in both.columns if c != "_new"])
 
 
 def last_writer_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -37,8 +37,9 @@ def listing(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     return files.select("path", project.alias("project_name"), folder.alias("folder"), name.alias("document_name"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_at"))
 
 
-def list_projects(files: DataFrame) -> DataFrame:
-    return files.where("folder <> ''").select("project_name").distinct()
+def list_projects(files: DataFrame, ordered: bool = False) -> DataFrame:
+    found = files.where("folder <> ''").select("project_name").distinct()
+    return found.orderBy("project_name") if ordered else found
 
 
 def in_folder(files: DataFrame, folder: str) -> DataFrame:
@@ -84,8 +85,32 @@ def read_processed(spark: SparkSession, root: str, folder: str = LAYOUT) -> Data
     """content as text, and value as a variant where the text is JSON."""
     whole = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     project, inner, name = parts("path", root)
-    rows = whole.select(project.alias("project_name"), inner.alias("folder"), name.alias("document_name"), "content", F.try_parse_json("content").alias("value"))
-    return in_folder(rows, folder).drop("folder")
+    rows = whole.select(project.alias("project_name"), inner.alias("folder"), name.alias("document_name"), "content")
+    return in_folder(with_value(rows), folder).drop("folder")
+
+
+def with_value(rows: DataFrame, content: str = "content") -> DataFrame:
+    """Adds value: the content as a variant, null where it isn't JSON."""
+    return rows.withColumn("value", F.try_parse_json(content))
+
+
+def top(files: DataFrame, by: Column, n: int, *ties: str) -> DataFrame:
+    """The n rows with the most of something; Spark keeps n rows per task and merges them."""
+    return files.orderBy(by.desc(), *ties).limit(n)
+
+
+def download(spark: SparkSession, root: str, wanted: DataFrame, folder: str = RAW) -> DataFrame:
+    """wanted (project_name, document_name) with the bytes of the object of that name in any Unicode form; content is null
+    where there is none. Only the objects that are found are read."""
+    found = find_documents(wanted, in_folder(listing(spark, root), folder))
+    bytes_of = read_binary(spark, root, folder).select("path", "content", "file_size")
+    return found.join(bytes_of, "path", "left").select("project_name", "document_name", "stored", "path", "content", "file_size")
+
+
+def names_with_prefix(containers: dict[str, DataFrame], prefix: str, container: str) -> DataFrame:
+    """Names of a container's objects whose project path starts with a prefix, sorted."""
+    found = list_with_prefix(containers[container], prefix)
+    return found.select(F.concat_ws("/", "project_name", "folder", "document_name").alias("name")).orderBy("name")
 
 
 def find_documents(wanted: DataFrame, files: DataFrame) -> DataFrame:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import DEAD_STATUSES
+from ..config import DEAD_STATUSES, PACE_SECONDS
 from ..schemas import QUEUE_MESSAGE
 
 
@@ -18,20 +16,47 @@ def messages(spark: SparkSession, path: str, max_files: int = 6) -> DataFrame:
     return lines.select(F.from_json("value", QUEUE_MESSAGE).alias("m")).select("m.*").where("project_name is not null and queue_type is not null")
 
 
-def send(messages: DataFrame, path: str) -> None:
-    """Adds messages to an intake directory."""
-    messages.select(F.to_json(F.struct(*messages.columns)).alias("value")).write.mode("append").text(path)
+def send(messages: DataFrame, path: str, limit: int | None = None, dry_run: bool = False) -> DataFrame:
+    """Adds messages to an intake directory, the first `limit` by project if one is given; a dry run only returns them."""
+    chosen = messages if limit is None else messages.orderBy("project_name").limit(limit)
+    if not dry_run:
+        chosen.select(F.to_json(F.struct(*chosen.columns)).alias("value")).write.mode("append").text(path)
+    return chosen
+
+
+def project_messages(projects: DataFrame, queue_type: str = "processing") -> DataFrame:
+    """One message per project."""
+    return projects.select("project_name", F.lit(queue_type).alias("queue_type")).distinct()
+
+
+def paced(seconds: int = PACE_SECONDS) -> dict:
+    """Trigger that leaves time between the messages it takes in; with one file per trigger, between any two."""
+    return {"processingTime": f"{seconds} seconds"}
+
 
+def queue_info(spark: SparkSession, path: str) -> DataFrame:
+    """Files and messages of an intake directory, how many lack a required field, and its oldest and latest file."""
+    lines = spark.read.text(path).select(F.from_json("value", QUEUE_MESSAGE).alias("m"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("at"))
+    bad = F.col("m.project_name").isNull() | F.col("m.queue_type").isNull()
+    return lines.agg(F.count_distinct("file").alias("files"), F.count("*").alias("messages"), F.count_if(bad).alias("rejected"), F.min("at").alias("oldest"), F.max("at").alias("latest"))
 
-def each_once(stream: DataFrame, keys: list[str], write: Callable[[DataFrame], None], done: Callable[[], DataFrame | None], checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Writes rows whose keys haven't been written before, in this or an earlier run: a repeated batch writes nothing."""
 
-    def commit(rows: DataFrame, _: int) -> None:
-        fresh = rows.dropDuplicates(keys)
-        known = done()
-        write(fresh if known is None else fresh.join(known.select(*keys), keys, "left_anti"))
+def peek(spark: SparkSession, path: str, n: int = 32) -> DataFrame:
+    """The first n messages, without taking them."""
+    return spark.read.text(path).select(F.from_json("value", QUEUE_MESSAGE).alias("m")).select("m.*").limit(n)
 
-    return stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+def each_once(stream: DataFrame, keys: list[str], path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Writes rows of each key once, as Parquet below path.
+
+    The keys seen are the stream's state, so no batch reads what earlier ones have written. Every micro-batch
+    overwrites its own folder: one that is repeated after a failure replaces what it had written in part.
+    """
+
+    def commit(rows: DataFrame, epoch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    return stream.dropDuplicates(keys).writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def latest_status(stream: DataFrame, ttl: str = "24 hours") -> DataFrame:
@@ -47,6 +72,13 @@ def unique_batches(stream: DataFrame, ttl: str = "24 hours") -> DataFrame:
     return stream.withWatermark("ts", ttl).dropDuplicatesWithinWatermark(["batch_id"])
 
 
+def moves(rows: DataFrame, key: str = "user_id", status: str = "event_type", order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
+    """History of states: every row with the state before and after it. A window per key; a key's own history is
+    sorted, which spills, and nothing is gathered."""
+    w = Window.partitionBy(key).orderBy(*order)
+    return rows.withColumn("before", F.lag(status).over(w)).withColumn("after", F.lead(status).over(w))
+
+
 def tumbling(events: DataFrame, size: str = "5 minutes", late: str | None = None, by: str = "event_type") -> DataFrame:
     """Counts per window and kind; with a watermark for streams."""
     rows = events.withWatermark("ts", late) if late else events
