@@ -32,13 +32,44 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Tables that stage() has written and nobody has deleted.
+_STAGED: list[str] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back, which cuts lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/folioflow/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._staged = path
+    _STAGED.append(path)
+    return out
+
+
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that nothing reads any more."""
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables; only for those that no result reads."""
+    for t in tables:
+        delete(t.sparkSession, t._staged)
+        _STAGED.remove(t._staged)
+
+
+def discard_since(spark: SparkSession, mark: int) -> None:
+    """Delete the tables staged after the first `mark` ones, once what was made of them is written."""
+    delete(spark, *_STAGED[mark:])
+    del _STAGED[mark:]
+
+
+def staged() -> int:
+    return len(_STAGED)
 
 
 def ready(spark: SparkSession) -> None:
@@ -283,30 +314,31 @@ def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
 # --- connected components ----------------------------------------------------------------------
 
 
-def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that undirected edges (a, b) lead to.
 
-    Alternating large-star and small-star steps; every step is two aggregations and
-    joins, so no node's neighbours are gathered. Tables between the steps lie in the
-    shared folder. Nodes without an edge don't appear.
+    Alternating large-star and small-star steps, which end after about as many rounds as the logarithm of the
+    nodes; every step is an aggregation and a join, so no node's neighbours are gathered. The least
+    neighbours are written before they are joined: then both sides of a join are plain exchanges, of which
+    adaptive plans split the node that has most neighbours. Tables of a round are deleted after the next
+    one. Nodes without an edge don't appear.
     """
 
     def parents(e: DataFrame) -> DataFrame:
         return stage(e.where("u > v").distinct(), "edges")
 
     e = parents(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
-    for _ in range(rounds):
-        several = e.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-        if not several and not e.join(e.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count():
-            break
+    while True:
         both = e.union(e.select("v", "u").toDF("u", "v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        e = parents(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))))
-    else:
-        raise RuntimeError("components did not settle")
+        below, above = F.count_if(F.col("v") < F.col("u")), F.count_if(F.col("v") > F.col("u"))
+        least = stage(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), ((below > 1) | (below > 0) & (above > 0)).alias("open")), "least")
+        if not least.where("open").limit(1).count():  # every node has one parent, and no parent has one
+            break
+        large = stage(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct(), "large")
+        lower = stage(large.groupBy("u").agg(F.min("v").alias("m")), "lower")
+        small = large.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        done, e = (e, least, large, lower), parents(small.union(lower.select("u", F.col("m").alias("v"))))
+        discard(*done)
     star = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return star.union(star.select(F.col("component").alias("node"), "component").distinct())
 
