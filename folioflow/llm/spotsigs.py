@@ -3,7 +3,8 @@
 Every common word (an antecedent) starts a chain of the next content words, taken
 `distance` apart; the hashes of the chains are a text's signature set. The fingerprint
 is that set as text: sorted hexadecimal hashes, comma-joined. Likeness is the Jaccard
-coefficient of two sets; sets whose sizes rule the threshold out are not compared.
+coefficient of two sets. Sets are partitioned by their length, and sets of partitions that aren't
+neighbours are not compared; the comparison of others ends where the threshold is out of reach.
 
 Results for odd input: a null or blank text has an empty fingerprint; a text with words but
 no chain has one signature, of its whole word sequence; two empty fingerprints have likeness 1; repeated
@@ -14,11 +15,12 @@ empty table gives an empty result; the only row of a table is its own next row.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, digest, parallelism, ready, sequence_hash, stage, text_chunks, word_hashes
@@ -35,6 +37,9 @@ ANTECEDENTS = (
 CHAIN, DISTANCE = 2, 1
 #: Documents and signatures that a block of a large candidate group holds on average, at most.
 BLOCK_DOCS, BLOCK_SIGNATURES = 1024, 1_300_000
+#: Likenesses below this are reported as 0, and pairs that can't reach it are not compared; signatures that
+#: are compared before the bound is looked at again.
+LEAST, RUN = 0.1, 512
 _MARKS = b".,!?:;|&%$#*()[]\"'"
 
 
@@ -86,14 +91,33 @@ def fingerprint(signatures: np.ndarray) -> str:
     return ",".join([joined[k + 4 : k + 16] for k in range(0, len(joined), 16)])
 
 
-def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
-    """Jaccard coefficient; 0 without a comparison where the sizes keep it below `least`."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    if min(len(a), len(b)) < least * max(len(a), len(b)):
+def partition(n: int, least: float = LEAST) -> int:
+    """Number of the length partition of sets of n signatures: sets at a likeness of `least` or more lie in the same
+    partition or in neighbouring ones."""
+    return int(math.log(n) / -math.log(least) + 1e-9) if n else -1
+
+
+def likeness(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float:
+    """Jaccard coefficient of two sets in ascending order; 0 if it is below `least`.
+
+    Sets of partitions that aren't neighbours, or of sizes too far apart, are not compared; others are gone
+    through in runs of their hashes, until what may still be shared can't reach the threshold.
+    """
+    n, m = len(a), len(b)
+    if not n or not m:
+        return float(n == m)
+    if abs(partition(n, least) - partition(m, least)) > 1 or min(n, m) < least * max(n, m):
         return 0.0
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both)
+    need = least * (n + m) / (1 + least) - 1e-9  # shared signatures at the threshold
+    both = x = y = 0
+    while x < n and y < m:
+        if both + min(n - x, m - y) < need:
+            return 0.0
+        top = min(a[min(x + RUN, n) - 1], b[min(y + RUN, m) - 1])
+        u, v = int(np.searchsorted(a, top, "right")), int(np.searchsorted(b, top, "right"))
+        both += len(np.intersect1d(a[x:u], b[y:v], assume_unique=True))
+        x, y = u, v
+    return both / (n + m - both) if both >= need else 0.0
 
 
 def edited(text: str, following: str) -> str:
@@ -122,18 +146,21 @@ def _described(ids: list, texts: list[str], following: list[str]) -> pa.RecordBa
 def stability(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of all texts and of their edits, and how alike they stay.
 
-    The table is dealt out by ranges of the id and sorted within each; a text needs the one
-    after it, so only each range's last text waits for another range's first one.
+    The table is dealt out by ranges of the id and sorted within each; a text needs the one after it, so
+    only each range's last text waits for the next range's first one. Likenesses below LEAST are 0.
     """
     spark = docs.sparkSession
     ready(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = parallelism(spark)
-    bounds = sorted(set(rows.where("doc_id is not null").approxQuantile("doc_id", [k / n for k in range(1, n)], 0.2 / n))) if n > 1 else []
-    # a range's number is the bounds that its ids reach; fixed here, so that both walks below see the same ranges
+    lowest = rows.agg(F.min("doc_id")).first()[0]
+    quantiles = rows.where("doc_id is not null").approxQuantile("doc_id", [k / n for k in range(1, n)], 0.2 / n) if n > 1 and lowest is not None else []
+    bounds = sorted({x for x in quantiles if x > lowest})
+    # a range's number is the bounds that its ids reach; bounds are ids, so no range is empty. They are fixed here,
+    # so that both walks below see the same ranges
     span = F.size(F.filter(F.lit(bounds).cast("array<double>"), lambda x: x <= F.col("doc_id"))) if bounds else F.lit(0)
     rows = rows.select("doc_id", "text", F.when(F.col("doc_id").isNull(), 0).otherwise(span).cast("int").alias("range"))
-    dealt = rows.repartition(n, "range").sortWithinPartitions("range", "doc_id", "text")
+    dealt = rows.repartitionByRange(n, "range").sortWithinPartitions("range", "doc_id", "text")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Described rows of all texts but the last of each range."""
@@ -152,31 +179,31 @@ def stability(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             held = spans[-1], ids[-1], texts[-1]
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The first and the last text of each range."""
-        names = ["range", "head", "doc_id", "tail"]
-        types = (pa.int32(), pa.string(), pa.int64(), pa.string())
-        held: list | None = None
+        """The last text of each range, and its first one under the number of the range before."""
+        names = ["range", "doc_id", "tail", "head"]
+        types = (pa.int32(), pa.int64(), pa.string(), pa.string())
+
+        def rows(*found: tuple) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)], names=names)
+
+        last: tuple | None = None
         for batch in batches:
             spans = batch.column("range").to_numpy()
             if not len(spans):
                 continue
             lead = [0, *(np.flatnonzero(spans[1:] != spans[:-1]) + 1).tolist(), len(spans)]
             for x, y in zip(lead, lead[1:], strict=False):
-                last = (batch.column("doc_id")[y - 1].as_py(), batch.column("text")[y - 1].as_py())
-                if held is not None and held[0] == spans[x]:
-                    held[2:] = last
-                    continue
-                if held is not None:
-                    yield pa.record_batch([pa.array([v], t) for v, t in zip(held, types, strict=True)], names=names)
-                held = [int(spans[x]), batch.column("text")[x].as_py(), *last]
-        if held is not None:
-            yield pa.record_batch([pa.array([v], t) for v, t in zip(held, types, strict=True)], names=names)
-
-    # one row for each range: as many as there are partitions
-    edges = dealt.mapInArrow(ends, "range int, head string, doc_id long, tail string")
-    order = Window.orderBy("range")
-    first = F.first("head").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    edges = edges.select("doc_id", "tail", F.coalesce(F.lead("head").over(order), first).alias("following"))
+                if last is None or last[0] != spans[x]:
+                    if last is not None:
+                        yield rows(last)
+                    yield rows(((int(spans[x]) - 1) % (len(bounds) + 1), None, None, batch.column("text")[x].as_py()))
+                last = (int(spans[x]), batch.column("doc_id")[y - 1].as_py(), batch.column("text")[y - 1].as_py(), None)
+        if last is not None:
+            yield rows(last)
+
+    # two rows for each range
+    edges = dealt.mapInArrow(ends, "range int, doc_id long, tail string, head string")
+    edges = edges.groupBy("range").agg(F.max("doc_id").alias("doc_id"), F.max("tail").alias("tail"), F.max("head").alias("following"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
