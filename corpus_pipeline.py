@@ -6,7 +6,9 @@ documents; the last returns the packed pieces.
 
 A stage that drops documents finds the ids to drop first and joins them away, so texts
 are shuffled only when those ids are too many to broadcast. Rows with a null id are never
-dropped; rows that repeat an id share its fate.
+dropped; rows that repeat an id share its fate, and near_duplicates keeps one of them, the least by its
+columns. Null and empty texts are neither rejected nor duplicates; they are packed as the closing id alone.
+Empty tables give empty results. Columns of any other name are carried along by all stages but the last.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import importance, minhash, mixing, packing, pii
-from folioflow.llm.common import release, shared_dir, with_ids
+from folioflow.llm.common import delete, discard_since, release, shared_dir, stage, staged, with_ids
 from folioflow.llm.queries import MIX_POWER, tokenizer_file
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -43,10 +45,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps the document with the smallest id of each group of near-duplicates, once."""
     found = minhash.near_duplicates(docs, shingle=5, percent=80, n_bands=30)
     out = _without(docs, found.where("not kept"))
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not repeated:
+    repeated = stage(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if not repeated.limit(1).count():
         return out
-    return out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id is null"))
+    rest = [c for c in docs.columns if c != "doc_id"]
+    once = with_ids(out, repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
+    return with_ids(out, repeated, "doc_id", "left_anti").unionByName(once.select("doc_id", *[F.col("row")[c].alias(c) for c in rest]).select(*docs.columns))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,12 +82,17 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; every stage's table goes to the shared folder."""
+    """All stages over documents; every stage's table goes to the shared folder. What a stage has staged, and the
+    table that it read, are deleted once its own table is written."""
     base = f"{shared_dir(spark)}/folioflow/pipeline-{uuid.uuid4().hex}"
-    docs = _table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        path = f"{base}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+    docs, last = _table(spark, sf_dir, "documents"), None
+    for k, (name, step) in enumerate(STAGES):
+        path, mark = f"{base}/{k}-{name}", staged()
+        step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        discard_since(spark, mark)
+        if last:
+            delete(spark, last)
+        last = path
         release(spark)
     return docs.select([F.col(c) for c in docs.columns])
