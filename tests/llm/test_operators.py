@@ -81,6 +81,27 @@ def test_word_hashes_and_chunks():
     assert list(common.chunks([5, 5, 5], 10)) == [(0, 2), (2, 3)] and list(common.chunks([0, 0])) == [(0, 2)] and list(common.chunks([99], 10)) == [(0, 1)]
 
 
+def test_very_long_texts(spark):
+    """Every text operator takes a text of some megabytes beside short ones; a hot id and a text that fills a slice included."""
+    r = rng(41)
+    long = " ".join(f"w{r.randrange(50_000)}" for _ in range(350_000))
+    rows = [(1, long), (2, long[: len(long) // 2] + " changed"), (3, "short text of the others"), (4, long)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "toxic": (F.col("doc_id") % 2).cast("int")})
+    assert len(long) > 2 * suffixes.SLICE
+    assert importance.resample(df, df.where("doc_id = 3").select("doc_id")).count() == 4
+    assert {x["n_email"] for x in pii.digests(pii.extract(df)).collect()} == {0}
+    cut = {x["doc_id"]: x for x in suffixes.remove_repeats(df).collect()}
+    assert cut[1]["n_removed"] == cut[4]["n_removed"] == len(long) and 0 < cut[2]["n_removed"] >= len(long) // 2 and cut[3]["n_removed"] == 0
+    assert mixing.rated(df, mixing.mix(df, mixing.fit(df, "lang"), None)).count() == 4
+    pieces = packing.pack(df.where("doc_id <> 4"), queries.tokenizer_file()).collect()
+    assert sum(x["length"] for x in pieces if x["doc_id"] == 1) > 350_000 and max(x["offset"] + x["length"] for x in pieces) <= 4096
+    assert {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(df).collect()} == {1: 1, 2: 2, 3: 3, 4: 1}
+    assert {x["lang_pred"] for x in langid.predict(df, langid.fit(df), F.lit(False)).collect()} == {"en"}
+    assert toxicity.predict(df, toxicity.fit(df), F.lit(False)).count() == 4
+    prints = {x["doc_id"]: x["fingerprint"] for x in spotsigs.stability(df).collect()}
+    assert prints[1] == prints[4] != prints[2]
+
+
 # --- 1 ---
 
 
@@ -108,6 +129,50 @@ def test_lattice(spark):
     assert lattice.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_lattice_compares_labels_of_any_type(spark):
+    v = [1.0, 2.0, 3.0]
+    near = [1.01, 2.0, 3.0]
+    for kind, a, b in (("string", "x", "y"), ("double", 0.5, 0.75), ("boolean", True, False), ("date", None, None)):
+        df = spark.createDataFrame([(1, v, a), (2, near, a), (3, v, b)], f"vec_id long, embedding array<double>, label {kind}")
+        got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in lattice.near_duplicates(df).collect())
+        assert got == ([(1, 0, 1), (2, 0, 2), (3, 0, 3)] if a is None else [(1, 1, 1), (2, 1, 1), (3, 0, 3)])
+    zero = spark.createDataFrame([(1, [1e200, 2e200], 0.0), (2, [1e-200, 2e-200], -0.0), (3, [1e200, -2e200], 0.0)], "vec_id long, embedding array<double>, label double")
+    assert sorted((r["vec_id"], r["n_links"]) for r in lattice.near_duplicates(zero).collect()) == [(1, 1), (2, 1), (3, 0)]
+
+
+@pytest.mark.parametrize("d", [2, 8, 16, 64, 384])
+@pytest.mark.parametrize("level", range(6))
+def test_lattice_recall_at_the_least_cosine(d, level):
+    """Of pairs at a cosine of 0.9801 a table finds the stated share, all tables together every one."""
+    g = np.random.default_rng((d, level))
+    n, (most, *_, found) = 300, lattice.LEVELS[level]
+    a, b = g.normal(size=(n, d)), g.normal(size=(n, d))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b = 0.9801 * a + np.sqrt(1 - 0.9801**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    grid = lattice.grid(int(min(most, 10**9)), 0.98)
+    salt = np.zeros(n, np.int64)
+    x, y = lattice.cells(a, salt, grid), lattice.cells(b, salt, grid)
+    met = (x == y[:, :, :1]).any(2) | (y == x[:, :, :1]).any(2)
+    assert met.any(1).all() and met.mean() > found - 0.03
+
+
+@pytest.mark.parametrize("d", [64, 384])
+def test_lattice_candidates_stay_few(d):
+    """Random vectors that share a cell with one that is at home there, on average over all tables: flat from 4,000 to 40,000."""
+    g = np.random.default_rng(d)
+    for n in (4_000, 40_000):
+        grid = lattice.grid(n, 0.98)
+        x = g.normal(size=(n, d))
+        own = np.concatenate([lattice.cells(u / np.linalg.norm(u, axis=1, keepdims=True), np.zeros(len(u), np.int64), grid) for u in np.array_split(x, n // 2_000)])
+        total = 0
+        for t in range(grid.tables):
+            home, times = np.unique(own[:, t, 0], return_counts=True)
+            at = np.minimum(np.searchsorted(home, own[:, t].ravel()), len(home) - 1)
+            total += int(times[at][home[at] == own[:, t].ravel()].sum()) - n
+        assert total / n < 120
+
+
 def test_lattice_decoding():
     x = np.random.default_rng(1).normal(size=(300, 8)) * 2
     best = lattice.decode(x)
@@ -150,6 +215,51 @@ def test_importance_features_and_threshold(spark):
         assert common.threshold(df, "v", k) == sorted(values, reverse=True)[min(k, 200) - 1]
 
 
+def test_importance_against_plain_counts(spark):
+    """Weights, keys, k and the drawn documents from tokens, dictionaries and a sort."""
+    rows = [(i, t, g) for i, t, g in quality_rows(160)] + [(500, "", False), (501, "Solo", True), (502, "same Same SAME same", False)]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    good = spark.createDataFrame([(i,) for i, _, g in rows if g], "doc_id long")
+    noise = {r["doc_id"]: (r["h"], (r["u"] % (1 << 52) + 0.5) / float(1 << 52)) for r in df.select("doc_id", (F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2)) == 1).alias("h"), F.pmod(F.xxhash64(F.lit(0), "doc_id"), F.lit(1 << 52)).alias("u")).collect()}
+
+    def name(token):  # the bucket of a token or of a pair, from a text of nothing else
+        return importance.features([token.encode()])[0].tolist()
+
+    def plain(text):
+        tokens = re.findall(r"[A-Za-z0-9]+|[^A-Za-z0-9\s]+", text)
+        out = [(0, name(t)[0]) for t in tokens]
+        for a, b in zip(tokens, tokens[1:], strict=False):
+            gap = " " if bool(re.match("[A-Za-z0-9]", a)) == bool(re.match("[A-Za-z0-9]", b)) else ""
+            out.append((1, name(f"{a}{gap}{b}")[1]))
+        return out
+
+    found = {i: plain(t) for i, t, _ in rows}
+    raw = Counter(f for x in found.values() for f in x)
+    target = Counter(f for i, _, g in rows if g and not noise[i][0] for f in found[i])
+    ratio = {}
+    for part in (0, 1):
+        size = importance.BUCKETS + 1
+        n_raw, n_target = (sum(v for (p, _), v in c.items() if p == part) for c in (raw, target))
+        for f in (f for f in raw if f[0] == part):
+            q = (raw[f] + 1) / (n_raw + size)
+            ratio[f] = np.log((target[f] + size * q) / (n_target + size)) - np.log(q)
+    weight = {i: float(np.mean([ratio[f] for f in x]) * min(len(x), importance.LENGTH)) if x else 0.0 for i, x in found.items()}
+    key = {i: w - np.log(-np.log(noise[i][1])) for i, w in weight.items()}
+    held = sorted(weight[i] for i, _, g in rows if g and noise[i][0])
+    k = sum(w >= held[0] - importance.SLACK for w in weight.values())
+    least = sorted(key.values(), reverse=True)[k - 1]
+    for r in importance.resample(df, good).collect():
+        i = r["doc_id"]
+        assert r["log_weight"] == pytest.approx(weight[i], abs=1e-9) and r["gumbel_key"] == pytest.approx(key[i], abs=1e-9)
+        assert r["kept"] == (key[i] >= least - 1e-9)
+
+
+def test_importance_ties_at_the_last_place(spark):
+    df = spark.createDataFrame([(None, "same words here")] * 5 + [(1, "other words there")], "doc_id long, text string")
+    got = importance.resample(df, spark.createDataFrame([(1,)], "doc_id long")).collect()
+    assert len({r["kept"] for r in got if r["doc_id"] is None}) == 1  # equal keys stay together
+
+
 # --- 3 ---
 
 SHAPES = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
@@ -174,6 +284,22 @@ def test_base_spans_equal_the_patterns():
         text = "".join(r.choice(pieces) for _ in range(r.randrange(1, 9)))
         assert pii.base_spans(text) == plain_spans(text), text
     assert pii.base_spans("a" * 200_000 + "1" * 200_000) == []
+    assert pii.base_spans("0" * 5000 + ".1.1.1") == [(0, 1, 5006)] and pii.base_spans("9" * 5000 + ".1.1.1") == []
+
+
+def test_pii_contexts_hold_whole_words():
+    word = "z" * 500
+    assert pii.patterns(f"{word} id: QX-1 {word}!", 505, 509) == [f"{word} id _", f"id _ {word}"]
+    assert pii.patterns("QX-1", 0, 4) == []
+
+
+def test_pii_of_rows_that_share_an_id(spark):
+    rows = [(i, f"member number {i}a@mail{i}.org thanks") for i in range(12)]
+    rows += [(20, "member number QX-77812-Z thanks"), (20, "hello world this is a long clean text here"), (None, "member number QX-99 thanks")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = [r["text"] for r in pii.redact(df).where("doc_id = 20 or doc_id is null").collect()]
+    assert sorted(clean) == ["hello world this is a long clean text here", "member number [ID] thanks", "member number [ID] thanks"]
+    assert sorted(r["n_id"] for r in pii.digests(pii.extract(df)).where("doc_id = 20 or doc_id is null").collect()) == [0, 1, 1]
 
 
 def test_pii(spark, empty):
@@ -222,6 +348,53 @@ def test_suffixes(spark, docs, empty, span, k, frequent, hot):
     assert suffixes.remove_repeats(empty, span, k, frequent, hot).count() == 0
 
 
+@pytest.mark.parametrize("frequent", [2, 1_000])
+def test_suffixes_of_adversarial_contexts(spark, frequent):
+    """Two anchors with equal contexts, texts that share an id, contexts that end in zero bytes, repeated rows."""
+    r = rng(21)
+
+    def noise(n):
+        return "".join(chr(r.randrange(97, 123)) for _ in range(n))
+
+    x, y, g1, g2 = noise(136), noise(136), noise(64), noise(64)
+    rows = [(i, noise(50) + x + (g1 if i % 2 else g2) + y + noise(50)) for i in range(6)]
+    shared = noise(300)
+    rows += [(10, noise(200) + shared + noise(40)), (10, noise(500)), (11, noise(20) + shared), (12, shared + "\0" * 150 + noise(90)), (13, shared + "\0" * 80), (14, shared)]
+    rows += [(20, noise(400))] * 3 + [(None, noise(260)), (None, noise(260) + shared)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    got = [tuple(g) for g in suffixes.remove_repeats(df, frequent=frequent).collect()]
+    assert sorted(got, key=str) == brute_removed([(i, t.encode()) for i, t in rows], 200)
+
+
+def test_reach_with_zero_bytes():
+    r = rng(22)
+    for _ in range(200):
+        n = r.randrange(2, 9)
+        sides = [[bytes(r.choice(b"\0\0a") for _ in range(r.randrange(0, 5))) for _ in range(n)] for _ in range(2)]
+        key = np.zeros(n, np.uint64)
+        l, h = suffixes.reach(key, suffixes._matrix(suffixes.pa.array(sides[0]), 4), suffixes._matrix(suffixes.pa.array(sides[1]), 4), 3)
+
+        def common(a, b):
+            return next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+
+        for i in range(n):
+            pairs = [(common(sides[0][i], sides[0][j]), common(sides[1][i], sides[1][j])) for j in range(n) if j != i]
+            good = [p for p in pairs if sum(p) >= 3]
+            assert (l[i], h[i]) == ((max(p[0] for p in good), max(p[1] for p in good)) if good else (-1, -1))
+
+
+def test_anchors_of_long_texts():
+    r = rng(23)
+    text = bytes(r.randrange(97, 101) for _ in range(5_000))
+    whole = suffixes.anchors([text, text[:700]])
+    old, suffixes.SLICE = suffixes.SLICE, 900
+    try:
+        cut = suffixes.anchors([text, text[:700]])
+    finally:
+        suffixes.SLICE = old
+    assert all((a == b).all() for a, b in zip(whole, cut, strict=True))
+
+
 def test_interval_tree():
     text = b"abracadabra banana abracadabra bandana"
     found = dict(suffixes.maximal_repeats(text, 3))
@@ -268,8 +441,40 @@ def test_mixing(spark, empty):
     rows_out = mixing.apply(df, mixer)
     assert rows_out.columns == df.columns and rows_out.count() == sum(g["copies"] for g in got)
     assert mixing.rated(empty, mixing.mix(empty, mixing.fit(empty, "lang"), None)).count() == 0
-    with pytest.raises(ValueError, match="without documents"):
-        mixing.mix(df, mixing.fit(df, "lang"), {"en": 0.5, "xx": 0.5})
+    # a domain that isn't there passes its weight on, one that isn't named keeps its tokens
+    got = mixing.rated(df, mixing.mix(df, mixing.fit(df, "lang"), {"en": 0.3, "de": 0.3, "xx": 0.4})).collect()
+    tokens = {x: sum(g["rate"] * g["n_tokens"] * g[f"p_{x}"] for g in got) for x in weights}
+    assert tokens["en"] == pytest.approx(tokens["de"], rel=1e-4) and tokens["fr"] == pytest.approx(sum(g["n_tokens"] * g["p_fr"] for g in got), rel=1e-4)
+
+
+def test_mixing_against_dense_computation(spark):
+    """Posteriors from plain counts, and rates from the same descent on the whole matrix."""
+    r, rows = rng(16), []
+    for i in range(120):
+        lang = "ab"[i % 3 > 0]
+        rows.append((i, " ".join(r.choice([f"{lang}{r.randrange(20)}", f"c{r.randrange(20)}"]) for _ in range(r.randrange(1, 30))), lang))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = mixing.fit(df, "lang")
+    got = {g["doc_id"]: g for g in mixing.rated(df, mixing.mix(df, model, {"a": 0.5, "b": 0.5})).collect()}
+    count = {x: Counter() for x in "ab"}
+    for _, t, lang in rows:
+        h, _b = common.word_hashes([t.encode()])
+        count[lang].update((h & np.uint64(mixing.BUCKETS - 1)).tolist())
+    share = {x: sum(lang == x for *_, lang in rows) / len(rows) for x in "ab"}
+    p = np.empty((len(rows), 2))
+    for i, t, _ in rows:
+        at = (common.word_hashes([t.encode()])[0] & np.uint64(mixing.BUCKETS - 1)).tolist()
+        logs = [np.log(share[x]) + sum(np.log((count[x][f] + 0.1) / (sum(count[x].values()) + 0.1 * mixing.BUCKETS)) for f in at) for x in "ab"]
+        p[i] = np.exp(np.array(logs) - max(logs)) / np.exp(np.array(logs) - max(logs)).sum()
+        assert [got[i]["p_a"], got[i]["p_b"]] == pytest.approx(p[i].tolist(), abs=1e-4)
+    t = np.array([len(x.split()) for _, x, _ in rows], dtype=float)
+    totals = t @ p
+    targets = np.array([0.5, 0.5]) * 2 * totals.max()
+    rate, inverse = np.ones(len(rows)), np.linalg.inv((p * t[:, None]).T @ p)
+    for _ in range(200):
+        rate = np.maximum(0, rate - p @ (inverse @ ((t * rate) @ p - targets)))
+    assert [got[i]["rate"] for i, *_ in rows] == pytest.approx(rate.tolist(), abs=2e-3)
+    assert all(g["copies"] in (int(g["rate"]), int(g["rate"]) + 1) for g in got.values())
 
 
 # --- 6 ---
@@ -298,6 +503,16 @@ def test_packing(spark, docs, empty):
     assert packing.pack(empty, queries.tokenizer_file()).count() == 0
 
 
+def test_ids_equal_the_tokenizers_on_any_text():
+    from tokenizers import Tokenizer
+
+    plain, own, r = Tokenizer.from_file(queries.tokenizer_file()), packing.Encoder(queries.tokenizer_file()), rng(24)
+    letters = ["İ", "I", "ı", "é", "e\u0301", "\u0307", "ß", "ǰ", "Σ", "漢", "𝔘", "ﬁ", "a", "B", "7", "'", "_", "-", "’", "\u200d", "😀", "\x1c", "\x85", "\u00a0", "\u3000", "\u2028", "\n", " ", "<|endoftext|>", *".,!?:;|&%$#*"]
+    for _ in range(4000):
+        text = "".join(r.choice(letters) if r.random() < 0.9 else chr(r.choice([r.randrange(1, 0xD800), r.randrange(0xE000, 0x11000)])) for _ in range(r.randrange(1, 12)))
+        assert own.encode(text) == plain.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_plan_uses_the_histogram_up():
     g = np.random.default_rng(2)
     histogram = Counter(np.clip(g.lognormal(5, 1, 20_000).astype(int), 1, 1000).tolist())
@@ -357,6 +572,35 @@ def test_large_groups_are_verified_by_index():
     assert [forest.find(i) for i in range(60)] == want
 
 
+def test_links_between_sides():
+    r = rng(10)
+    base = prose(r, 60)
+    sets = common.shingle_sets([edit(r, base, 0.05).encode() for _ in range(50)], 3)
+    plain = [set(x.tolist()) for x in sets]
+    for cut, few in ((1, 50), (20, 50), (5, 12)):
+        side = np.array([int(k >= cut) for k in range(few)])
+        got = verify.jaccard_links(sets[:few], side, 80)
+        want = classes(list(range(few)), lambda i, j, side=side: side[i] != side[j] and 100 * len(plain[i] & plain[j]) >= 80 * len(plain[i] | plain[j]))
+        assert [got.find(i) for i in range(few)] == want
+
+
+@pytest.mark.parametrize("block", [3, 256])
+def test_groups_whose_members_link_past_their_first(spark, block):
+    """Chains in which only neighbours link, and two clusters that nothing but a proposal joins."""
+    words = [f"w{k}" for k in range(400)]
+    rows = [(i, " ".join(words[8 * i : 8 * i + 100])) for i in range(12)]
+    rows += [(100 + i, " ".join(["same"] * 3 + words[200 : 300] + [f"x{i}"])) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = spark.createDataFrame([(0, i) for i, _ in rows[1:]], "a long, b long")
+    sizes = df.select(F.col("doc_id").alias("node"), F.lit(100).alias("n"))
+    for percent in (80, 90):
+        got = {x["node"]: x["component"] for x in verify.components(pairs, df, sizes, lambda t: common.shingle_sets(t, 3), percent, block, 100_000).collect()}
+        sets = [shingles(t, 3) for _, t in rows]
+        ids = [i for i, _ in rows]
+        want = dict(zip(ids, classes(ids, lambda i, j: 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])), strict=True))
+        assert {i: got.get(i, i) for i in ids} == want
+
+
 def test_signature_shifts_one_permutation():
     s = [np.array([3, 99, 12345], dtype=np.uint64)]
     got = minhash.signatures(s, 4)[0]
@@ -386,6 +630,46 @@ def test_langid(spark, empty):
     assert model.back_off("zzz") is None and model.back_off("üb") is not None
 
 
+def test_langid_against_plain_counts(spark):
+    """Scores by dictionaries: log frequencies of known words, else means over the longest n-grams that are known."""
+    r, rows = rng(31), []
+    words = {"en": ["the", "thing", "other"], "de": ["der", "schön", "über"]}
+    for i in range(60):
+        lang = ("en", "de")[i % 2]
+        rows.append((i, " ".join(r.choice(words[lang]) + (r.choice(words[lang]) if r.random() < 0.3 else "") for _ in range(r.randrange(1, 9))), lang))
+    more = [(100, "othering schönes xq", None), (101, "zzz", None), (102, "THE über-other", None), (103, "the der", None), (104, "qqq", None)]
+    df = spark.createDataFrame(rows + more, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    count = {x: {"w": Counter(), "g": Counter()} for x in words}
+    for _, t, lang in rows:
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            count[lang]["w"][w] += 1
+            for n in range(1, 6):
+                padded = f"^{w}$" if n > 1 else w
+                for a in range(len(padded) - n + 1):
+                    count[lang]["g"][padded[a : a + n]] += 1
+    known = {k: set(count["en"][k]) | set(count["de"][k]) for k in "wg"}
+
+    def log(lang, k, x):
+        return np.log((count[lang][k][x] + 0.5) / (sum(count[lang][k].values()) + 0.5 * (len(known[k]) + 1)))
+
+    langs = sorted(words)
+    for g in langid.predict(df, model, F.lit(False)).collect():
+        text = next(t for i, t, _ in rows + more if i == g["doc_id"])
+        total = np.log([0.5, 0.5])
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            if w in known["w"]:
+                total = total + [log(x, "w", w) for x in langs]
+                continue
+            for n in range(5, 0, -1):
+                padded = f"^{w}$" if n > 1 else w
+                if some := [p for a in range(len(padded) - n + 1) if (p := padded[a : a + n]) in known["g"]]:
+                    total = total + [np.mean([log(x, "g", p) for p in some]) for x in langs]
+                    break
+        odds = np.exp(total - total.max())
+        assert g["lang_pred"] == langs[int(odds.argmax())] and g["score"] == pytest.approx(odds.max() / odds.sum(), abs=1e-4), text
+
+
 # --- 9 ---
 
 
@@ -409,9 +693,101 @@ def test_toxicity(spark, empty):
     assert one.score("blurg") < 0.5 and toxicity.predict(empty, toxicity.fit(df.limit(0)), F.lit(True)).count() == 0
 
 
+def test_toxicity_against_dense_computation(spark):
+    """n-grams from the text, ratios from plain counts, and the same descent on the whole matrix."""
+    r, rows = rng(32), []
+    for i in range(120):
+        w = prose(r, 12, 30).split()
+        if i % 4 == 0:
+            w[r.randrange(12)] = r.choice(["blurg", "snarfle"])
+        rows.append((i, " ".join(w), int(i % 4 == 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = []
+    for _, t, _ in rows:
+        padded = f" {t.lower()} "
+        assert len({padded[a : a + n] for n in toxicity.SIZES for a in range(len(padded) - n + 1)}) == pytest.approx(len(toxicity.features(t)), abs=3)  # buckets may meet
+        found.append(toxicity.features(t))
+    y = np.array([z for *_, z in rows], dtype=float)
+    x = np.zeros((len(rows), 1 << toxicity.BITS), dtype=np.int8)
+    for i, f in enumerate(found):
+        x[i, f] = 1
+    used = np.flatnonzero(x.any(0))
+    x = x[:, used].astype(float)
+    a, b = x[y == 1].sum(0), x[y == 0].sum(0)
+    ratio = np.log((a + 1) / (y.sum() + 2)) - np.log((b + 1) / ((1 - y).sum() + 2))
+    sure = np.abs(ratio) / np.sqrt(1 / (a + 1) + 1 / (b + 1))
+    sure[a + b < 3] = 0
+    ratio[sure == 0] = 0
+    assert (sure > 0).sum() < toxicity.KEEP
+    z = x * ratio
+    w, c, m, v, mb, vb = np.zeros(len(used)), 0.0, 0.0, 0.0, 0.0, 0.0
+    for t in range(1, 81):
+        miss = 1 / (1 + np.exp(-(z @ w + c))) - y
+        g, gb = z.T @ miss / len(y) + 3e-3 * w, miss.mean()
+        m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
+        rate = 0.02 / (1 + t / 60)
+        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
+        c -= rate * (mb / (1 - 0.9**t)) / (vb / (1 - 0.99**t) + 1e-12) ** 0.5
+    want = 1 / (1 + np.exp(-(z @ w + c)))
+    got = {g["doc_id"]: g["score"] for g in toxicity.predict(df.select("doc_id", "text"), toxicity.fit(df), F.lit(False)).collect()}
+    assert [got[i] for i, *_ in rows] == pytest.approx(want.tolist(), abs=2e-3)
+
+
 # --- 10 ---
 
 
+def plain_chains(text):
+    """Signatures as tuples of words: a common word and the two content words after it."""
+    words = "".join(" " if c in ".,!?:;|&%$#*()[]\"'" else c for c in text)
+    words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in re.split(r"[\x20\x09-\x0D]+", words) if w]
+    common, out = set(spotsigs.ANTECEDENTS), set()
+    for k, w in enumerate(words):
+        if w in common:
+            content = [x for x in words[k + 1 :] if x not in common][:2]
+            if len(content) == 2:
+                out.add((w, *content))
+    return out or ({tuple(words)} if words else set())
+
+
+def test_spotsigs_against_plain_chains(spark):
+    r = rng(33)
+    some = ["the", "of", "Is", "la", "und", *[f"c{k}" for k in range(12)], "x.", "(y)", "\n"]
+    rows = [(i, " ".join(r.choice(some) for _ in range(r.randrange(0, 60)))) for i in range(80)]
+    rows += [(k + 100, t if k % 2 else t[: len(t) * 9 // 10]) for k, (_, t) in enumerate(rows[:30])] + [(None, "the a b"), (200, None), (201, "of " * 5), (50, "second row of an id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = defaultdict(list)
+    for g in spotsigs.stability(df).collect():
+        got[-1 if g["doc_id"] is None else g["doc_id"]].append(g)
+    order = sorted(((-1 if i is None else i, t or "") for i, t in rows), key=lambda x: (x[0], x[1]))
+
+    def like(a, b):
+        a, b = plain_chains(a), plain_chains(b)
+        j = len(a & b) / len(a | b) if a | b else 1.0
+        return j if j >= spotsigs.LEAST else 0.0
+
+    for (i, t), (_, f) in zip(order, order[1:] + order[:1], strict=True):
+        new = spotsigs.edited(t, f)
+        g = next(x for x in got[i] if x["edited_sha256"] == hashlib.sha256(new.encode()).hexdigest() and x["n_chars"] == len(t))
+        assert len(list(filter(None, g["fingerprint"].split(",")))) == len(plain_chains(t))
+        assert (g["near_edited"], g["near_next"]) == pytest.approx((like(t, new), like(t, f)))
+
+
+@pytest.mark.parametrize("least", [0.1, 0.5, 0.8])
+def test_pruned_likeness_loses_nothing(least):
+    g = np.random.default_rng(34)
+    old, spotsigs.RUN = spotsigs.RUN, 7
+    try:
+        for _ in range(400):
+            a = np.unique(g.integers(0, 60, size=g.integers(0, 60)).astype(np.uint64))
+            b = np.unique(np.concatenate([a[g.random(len(a)) < g.random()], g.integers(0, 90, size=g.integers(0, 30)).astype(np.uint64)]))
+            j = len(np.intersect1d(a, b)) / len(np.union1d(a, b)) if len(a) + len(b) else 1.0
+            assert spotsigs.likeness(a, b, least) == pytest.approx(j if j >= least else 0.0)
+            if j >= least and len(a) and len(b):
+                assert abs(spotsigs.partition(len(a), least) - spotsigs.partition(len(b), least)) <= 1
+    finally:
+        spotsigs.RUN = old
+
+
 def test_spotsigs(spark, docs, empty):
     got = spotsigs.stability(docs).collect()
     rows = sorted(((-1 if r[0] is None else r[0], r[1] or "") for r in corpus()), key=lambda x: (x[0], x[1]))

@@ -1,5 +1,7 @@
 """The pipeline against its stages by brute force, and the registered queries."""
 
+from collections import Counter
+
 import __spark_entry__ as entry
 import corpus_pipeline
 import pytest
@@ -51,5 +53,58 @@ def test_stages(spark, tmp_path):
             assert after == set(before) and all(r["offset"] + r["length"] <= 4096 for r in rows)
 
 
+ODD = "doc_id long, text string, lang string, source string, n_chars long, key string, noise double, component_id long, part int, u long, pii_extra string, mix_u double"
+
+
+def odd_rows():
+    base = " ".join(f"w{k % 37} x{k % 11}" for k in range(60))
+    long = " ".join(f"v{k * k % 9973}" for k in range(60_000))
+    texts = [base, base, base + " end", None, "", "one", "mail me: a.b@example.org or 10.0.0.1", long, " ".join(f"z{k}" for k in range(90))]
+    rows = [(i, t, "en" if i % 2 else None, f"s{i % 3}" if i % 4 else None, None if t is None else len(t), "k", 1.0, 7, 1, 2, "p", 0.5) for i, t in enumerate(texts)]
+    return [*rows, rows[6], (None, texts[8], None, None, None, None, None, None, None, None, None, None), (20, "first text of an id", "en", "s0", 19, *[None] * 7), (20, "second text of an id", "en", "s0", 20, *[None] * 7)]
+
+
+@pytest.fixture(scope="module")
+def odd_dir(spark, tmp_path_factory):
+    at = tmp_path_factory.mktemp("odd")
+    spark.createDataFrame(odd_rows(), ODD).repartition(3).write.parquet(str(at / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(9)] + [(None, 1, 0), (5, None, None), (5, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(at / "labels.parquet"))
+    return str(at)
+
+
+def test_stages_take_odd_rows(spark, odd_dir):
+    docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, docs, odd_dir).collect()
+        ids = Counter(r["doc_id"] for r in rows)
+        if name == "packing":
+            assert set(ids) == {r[0] for r in odd_rows()} and sum(r["length"] for r in rows if r["doc_id"] in (3, 4)) == 2  # the closing id alone
+            continue
+        assert list(rows[0].asDict()) == docs.columns
+        kept = {(r["doc_id"], r["text"]) for r in rows}
+        if name == "quality":
+            assert {(3, None), (4, ""), (None, odd_rows()[8][1])} <= kept
+        elif name == "near_duplicates":
+            assert set(ids) == {None, 0, 3, 4, 5, 6, 7, 8, 20} and max(ids.values()) == 1 and (20, "first text of an id") in kept and (2, docs.where("doc_id = 2").first()["text"]) not in kept
+        elif name == "personal_data":
+            assert ids == Counter(r[0] for r in odd_rows()) and (6, "mail me: [EMAIL] or [IP]") in kept and (3, None) in kept and {t for i, t in kept if i == 20} == {"first text of an id", "second text of an id"}
+        else:
+            assert set(ids) == {r[0] for r in odd_rows()}
+
+
+def test_stages_take_empty_tables(spark, odd_dir, tmp_path):
+    docs = spark.read.parquet(f"{odd_dir}/documents.parquet").limit(0)
+    spark.read.parquet(f"{odd_dir}/labels.parquet").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    for _, stage in corpus_pipeline.STAGES:
+        for sf in (odd_dir, str(tmp_path)):
+            assert stage(spark, docs, sf).count() == 0
+
+
+def test_run_deletes_what_it_staged(spark, odd_dir):
+    mark = common.staged()
+    out = corpus_pipeline.run(spark, odd_dir)
+    assert out.count() > 0 and common.staged() == mark
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, f"{DATA}/sf0.001").count() > 0
