@@ -81,11 +81,20 @@ def _merged(row: Column, meta: Column, tag: str) -> Column:
     return F.map_concat(own, more, F.create_map(F.lit("tipo_registro_norm"), F.lit(tag).cast("variant")))
 
 
-def statistics(responses: DataFrame, items: DataFrame, by: list[str], local: bool = False) -> DataFrame:
-    """Successes are objects, failures lines. local: the total counts parseable lines only."""
-    failed = responses.groupBy(*by).agg(F.count_if(F.col("error").isNotNull()).alias("failed"), F.count_if(F.col("error").isNull() | (F.col("error") != "not JSON")).alias("lines"), F.count_if(F.col("error").isNull()).alias("lines_ok"))
-    good = items.groupBy(*by).agg(F.count("*").alias("objects_ok"))
-    joined = failed.join(good, by, "left").withColumn("objects_ok", F.coalesce("objects_ok", F.lit(0)))
+def statistics(responses: DataFrame, items: DataFrame | None = None, by: list[str] | None = None, local: bool = False, compat: bool = False) -> DataFrame:
+    """Successes are objects, failures lines. local: the total counts parseable lines only.
+
+    Without items the objects are counted as the responses are read, in one pass; with them, theirs are counted.
+    """
+    by, error = by or ["batch_id"], F.col("error")
+    lines = [F.count_if(error.isNotNull()).alias("failed"), F.count_if(error.isNull() | (error != "not JSON")).alias("lines"), F.count_if(error.isNull()).alias("lines_ok")]
+    if items is None:
+        counted = recovery.recovered(responses.withColumn("_content", F.when(error.isNull(), F.col("content"))), "_content", "_found", compat)
+        found = F.when(error.isNull(), F.greatest(F.size("_found"), F.lit(1))).otherwise(0)
+        joined = counted.groupBy(*by).agg(*lines, F.sum(found).alias("objects_ok"))
+    else:
+        good = items.groupBy(*by).agg(F.count("*").alias("objects_ok"))
+        joined = responses.groupBy(*by).agg(*lines).join(good, by, "left").withColumn("objects_ok", F.coalesce("objects_ok", F.lit(0)))
     total = F.col("lines") if local else F.col("objects_ok") + F.col("failed")
     successful = F.col("lines_ok") if local else F.col("objects_ok")
     rate = F.coalesce(F.try_divide(100.0 * successful, total), F.lit(0.0))

@@ -363,7 +363,7 @@ def response_objects(spark, sf_dir):
 SELECT batch_id, ok + failed AS total, ok AS successful, failed, round(100.0 * ok / (ok + failed), 6) AS success_rate FROM f JOIN s USING (batch_id)""")
 def response_statistics(spark, sf_dir):
     parsed = results.parse_lines(_lines(spark, sf_dir))
-    return results.statistics(parsed, results.objects(parsed), ["batch_id"]).select("batch_id", "total", "successful", "failed", F.round("success_rate", 6).alias("success_rate"))
+    return results.statistics(parsed, by=["batch_id"]).select("batch_id", "total", "successful", "failed", F.round("success_rate", 6).alias("success_rate"))
 
 
 @query("SELECT user_id, count(*) AS total, count(*) FILTER (WHERE event_type <> 'error') AS successful, count(*) FILTER (WHERE event_type = 'error') AS failed, round(100.0 * count(*) FILTER (WHERE event_type <> 'error') / count(*), 6) AS success_rate FROM events GROUP BY ALL")

@@ -55,7 +55,7 @@ class Pipeline:
     def process(self, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Result lines (batch_id, value) to typed items and the statistics of every batch."""
         parsed, items = self.results(lines)
-        return results.materialise(items), results.statistics(parsed, results.objects(parsed, self.cfg.compat), ["batch_id"])
+        return results.materialise(items), results.statistics(parsed, by=["batch_id"], compat=self.cfg.compat)
 
     def stream_ingest(self, queue: str, raw: DataFrame, provider: layout.Provider, out: str, trigger: dict | None = None, max_files: int = 6) -> StreamingQuery:
         """Takes in messages and writes what they ask for below out: layouts, chunks and request lines.

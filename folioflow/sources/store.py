@@ -127,11 +127,19 @@ def find_documents(wanted: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def similar_names(missing: DataFrame, files: DataFrame) -> DataFrame:
-    """Stored names that hold the stem of a missing name, whatever their case."""
-    stem = F.lower(F.regexp_replace("document_name", r"\.[^.]*$", ""))
-    a = missing.select("project_name", "document_name", stem.alias("stem"))
-    b = files.select("project_name", F.col("document_name").alias("stored"))
-    return a.join(b, "project_name").where(F.contains(F.lower("stored"), F.col("stem"))).drop("stem")
+    """Stored names that hold the stem of a missing name, whatever their case; an empty stem is in none.
+
+    A name that holds a stem holds its first three letters, so those are joined on, not whole projects.
+    """
+    stem, name = F.lower(F.regexp_replace("document_name", r"\.[^.]*$", "")), F.lower("document_name")
+    a = missing.select("project_name", "document_name", stem.alias("stem"), F.left(stem, F.lit(3)).alias("gram")).where("stem <> ''")
+
+    def grams_of(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(name)), lambda k: F.substring(name, k, F.lit(n)))
+
+    grams = F.array_distinct(F.concat(*map(grams_of, (1, 2, 3))))
+    b = files.where("document_name <> ''").select("project_name", F.col("document_name").alias("stored"), F.explode(grams).alias("gram"))
+    return a.join(b, ["project_name", "gram"]).where(F.contains(F.lower("stored"), F.col("stem"))).drop("stem", "gram")
 
 
 def exist_in(wanted: DataFrame, files: DataFrame, folder: str) -> DataFrame:

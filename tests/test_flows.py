@@ -31,6 +31,8 @@ def test_store_listings_and_name_forms(spark, tmp_path):
     wanted = spark.createDataFrame([("P1", "IXP-informé.pdf"), ("P1", "no.pdf")], "project_name string, document_name string")
     found = {r["document_name"]: r["path"] for r in store.find_documents(wanted, store.list_raw_documents(files)).collect()}
     assert found["IXP-informé.pdf"] and found["no.pdf"] is None
+    similar = store.similar_names(spark.createDataFrame([("P1", "ROP-X.docx"), ("P1", "x.doc"), ("P2", "rop-x"), ("P1", ".pdf")], "project_name string, document_name string"), store.list_raw_documents(files))
+    assert sorted((r["document_name"], unicodedata.normalize("NFC", r["stored"])) for r in similar.collect()) == [("ROP-X.docx", "ROP-x.pdf"), ("x.doc", "IXP-informé.pdf"), ("x.doc", "ROP-x.pdf")]
     assert names(store.read_binary(spark, str(root)).where("file_size = 8")) and names(store.read_processed(spark, str(root))) == ["a.json"]
 
 
