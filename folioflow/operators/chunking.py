@@ -20,6 +20,8 @@ from ..schemas import CHUNK
 _SENTENCE_END = r"(?<=[.?!…])\s+(?=[\"'«“¿¡]?[A-ZÁÉÍÓÚÑ0-9])"
 _SENTENCE = re.compile(_SENTENCE_END)
 _PARAGRAPH = re.compile(r"\n\s*\n")
+# How a chunk's sections are named.
+WHOLE, UP_TO, SLICE = "Documento completo", "Hasta sección {}", "Sección {}"
 
 
 def paragraphs(column: Column | str, pattern: str = r"\n\s*\n") -> Column:
@@ -68,7 +70,7 @@ class Packer:
 
         def flush(last: int) -> None:
             if current.strip():
-                out.append({"index": len(out), "content": current, "tokens": held, "sections_range": f"Hasta sección {last}"})
+                out.append({"index": len(out), "content": current, "tokens": held, "sections_range": UP_TO.format(last)})
 
         for i, part in enumerate(parts):
             n = self.count(part)
@@ -117,14 +119,14 @@ class Packer:
             spans = T.tokenizer(self.file).spans(text)
             starts = [0, *[spans[k][0] for k in range(self.max, len(spans), self.max)], len(text)]
             cuts = [text[a:b] for a, b in zip(starts, starts[1:], strict=False)]
-        return [{"index": k, "content": c, "tokens": self.count(c), "sections_range": f"Sección {k}"} for k, c in enumerate(cuts) if c.strip()]
+        return [{"index": k, "content": c, "tokens": self.count(c), "sections_range": SLICE.format(k)} for k, c in enumerate(cuts) if c.strip()]
 
 
 def chunk_text(text: str, cfg: EngineConfig, file: str | None = None) -> list[dict]:
     """Chunks of one text, as chunk() makes them."""
     n = T.count(text, file)
     if n <= cfg.max_tokens:
-        return [{"index": 0, "content": text, "tokens": n, "sections_range": "Documento completo"}]
+        return [{"index": 0, "content": text, "tokens": n, "sections_range": WHOLE}]
     return Packer(cfg.max_tokens, cfg.overlap_tokens, cfg.compat, file).pack(split_sections(text, cfg.section_patterns, cfg.compat))
 
 
@@ -137,7 +139,7 @@ def chunk(docs: DataFrame, cfg: EngineConfig, content: str = "content", file: st
     def packed(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: [] if t is None else chunk_text(t, cfg, file))
 
-    one = F.array(F.struct(F.lit(0).alias("index"), F.col(content).alias("content"), F.col("total_tokens").cast("int").alias("tokens"), F.lit("Documento completo").alias("sections_range")))
+    one = F.array(F.struct(F.lit(0).alias("index"), F.col(content).alias("content"), F.col("total_tokens").cast("int").alias("tokens"), F.lit(WHOLE).alias("sections_range")))
     # a Python function runs for every row of its stage, so short texts are hidden from it; as
     # nondeterministic, the optimizer doesn't copy it into filters
     made = counted.withColumn("_long", packed.asNondeterministic()(F.when(long, F.col(content))))
