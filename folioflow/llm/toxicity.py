@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, ready, text_chunks
+from .common import mix, ready, stage, text_chunks
 
 BITS, SIZES = 20, (3, 4, 5, 6)
 #: Training documents of each label at most (expected; taken by a hash of the id).
@@ -58,19 +58,15 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int, keep: int = KEEP) -> np.ndarray:
-    """Log-count ratios of the `keep` buckets whose ratios are surest; the others are 0.
+def ratios(counted: DataFrame, n_toxic: int, n_other: int, keep: int = KEEP) -> DataFrame:
+    """f, ratio: log-count ratios of the `keep` buckets whose ratios are surest, at ties those with the smaller number.
 
-    toxic, other: how many training texts of each label have the bucket.
+    counted: f, toxic, other: how many training texts of each label have the bucket.
     """
-    ratio = np.log((toxic + 1) / (n_toxic + 2)) - np.log((other + 1) / (n_other + 2))
-    sure = np.abs(ratio) / np.sqrt(1 / (toxic + 1) + 1 / (other + 1))
-    sure[toxic + other < 3] = 0
-    out = np.zeros(len(ratio), dtype=np.float32)
-    best = np.argsort(-sure, kind="stable")[:keep]
-    best = best[sure[best] > 0]
-    out[best] = ratio[best]
-    return out
+    toxic, other = F.col("toxic") + 1, F.col("other") + 1
+    ratio = F.log(toxic / (n_toxic + 2)) - F.log(other / (n_other + 2))
+    rated = counted.where("toxic + other >= 3").select("f", ratio.alias("ratio"), (F.abs(ratio) / F.sqrt(1 / toxic + 1 / other)).alias("sure"))
+    return rated.where("sure > 0").orderBy(F.desc("sure"), "f").limit(keep).select("f", "ratio")
 
 
 def train(every: np.ndarray, ends: np.ndarray, y: np.ndarray, ratio: np.ndarray, share: float, penalty: float = 3e-3, rounds: int = 80) -> tuple[np.ndarray, float]:
@@ -127,21 +123,17 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
         columns = [np.concatenate((seen[y, used], [texts_of[y]])) for y in (1, 0)]
         yield pa.record_batch([pa.array(every, pa.int32()), *(pa.array(c, pa.int64()) for c in columns)], names=["f", "toxic", "other"])
 
-    counted = rows.mapInArrow(count, "f int, toxic long, other long").groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toArrow()  # 2^BITS + 1 rows at most
-    by = np.zeros((2, (1 << BITS) + 1))
-    at = counted.column("f").to_numpy()
-    by[0, at], by[1, at] = counted.column("toxic").to_numpy(), counted.column("other").to_numpy()
-    n_toxic, n_other = by[:, 1 << BITS].astype(int).tolist()
-    if not n_toxic or not n_other:
+    counted = stage(rows.mapInArrow(count, "f int, toxic long, other long").groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "buckets")
+    texts_of = counted.where(F.col("f") == 1 << BITS).first()
+    if texts_of is None or not texts_of["toxic"] or not texts_of["other"]:
         return Model(np.zeros(1 << BITS), float(np.log(n[1] / n[0])))
-    ratio = ratios(by[0, :-1], by[1, :-1], n_toxic, n_other)
-    chosen = np.flatnonzero(ratio)
-    if not len(chosen):
+    kept = ratios(counted.where(F.col("f") < 1 << BITS), texts_of["toxic"], texts_of["other"]).toArrow()  # KEEP rows at most
+    if not kept.num_rows:
         return Model(np.zeros(1 << BITS), float(np.log(n[1] / n[0])))
+    kept = kept.sort_by("f")
+    chosen, ratio = kept.column("f").to_numpy(), kept.column("ratio").to_numpy()
     place_of = np.full(1 << BITS, -1, dtype=np.int32)
     place_of[chosen] = np.arange(len(chosen))
-    ratio = ratio[chosen].astype(np.float64)
-    del counted, by, at
     sent = labelled.sparkSession.sparkContext.broadcast(place_of)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
