@@ -27,7 +27,7 @@ from .common import block_pairs, digest, group_starts, mix, parallelism, ready,
 from .verify import components
 
 #: Documents and shingles that a block of a large candidate group holds on average, at most.
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_300_000
+BLOCK_DOCS, BLOCK_SHINGLES = 256, 400_000
 #: How far below the threshold the share of equal coordinates may lie: a pair at a likeness of 0.85 falls below
 #: 0.65 of 120 coordinates with a probability of 2e-8, one at 0.8 below 0.6 of 150 with 1e-8.
 SLACK = 0.2

@@ -36,7 +36,7 @@ ANTECEDENTS = (
 ).split()
 CHAIN, DISTANCE = 2, 1
 #: Documents and signatures that a block of a large candidate group holds on average, at most.
-BLOCK_DOCS, BLOCK_SIGNATURES = 1024, 1_300_000
+BLOCK_DOCS, BLOCK_SIGNATURES = 256, 400_000
 #: Likenesses below this are reported as 0, and pairs that can't reach it are not compared; signatures that
 #: are compared before the bound is looked at again.
 LEAST, RUN = 0.1, 512
