@@ -541,11 +541,11 @@ def test_nnls_is_projected():
 # --- 7 ---
 
 
-@pytest.mark.parametrize(("k", "percent", "block"), [(3, 85, 1024), (3, 85, 3), (5, 80, 1024)])
-def test_minhash(docs, empty, k, percent, block):
+@pytest.mark.parametrize(("k", "percent", "block", "n_bands"), [(3, 85, 256, 24), (3, 85, 3, 24), (5, 80, 256, 30)])
+def test_minhash(docs, empty, k, percent, block, n_bands):
     old, minhash.BLOCK_DOCS = minhash.BLOCK_DOCS, block
     try:
-        got = minhash.near_duplicates(docs, shingle=k, percent=percent, n_bands=30).collect()
+        got = minhash.near_duplicates(docs, shingle=k, percent=percent, n_bands=n_bands).collect()
     finally:
         minhash.BLOCK_DOCS = old
     texts = {r[0]: r[1] for r in corpus() if r[0] is not None}
