@@ -83,33 +83,37 @@ def fit(labelled: DataFrame, domain_col: str, id_col: str = "doc_id", text_col:
     return Classifier(domains, prior / max(prior.sum(), 1), table.astype(np.float32))
 
 
-def rates(tokens: np.ndarray, posteriors: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    """Replays the steps: each moves a rate against its domains' misses and projects it to >= 0."""
+def rates(tokens: np.ndarray, posteriors: np.ndarray, steps: np.ndarray, least: float = 0.0) -> np.ndarray:
+    """Replays the steps: each moves a rate against its domains' misses and projects it to >= least."""
     out = np.ones(len(posteriors))
     for step in steps:
-        out = np.maximum(0, out - posteriors @ step)
-    return np.where(tokens > 0, out, 1.0)
+        out = np.maximum(least, out - posteriors @ step)
+    return np.where((tokens > 0) & (np.abs(out - 1) > 1e-6), out, 1.0)
 
 
-def solve(described: DataFrame, targets: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """Steps (n x domains) of projected gradient on 1/2 |expected - targets|^2.
-
-    Rates are measured in the metric of their tokens, and the misses are scaled by the domains'
-    second moments, so the step size is 1 in the directions that matter.
-    """
-    d = len(targets)
+def moments(described: DataFrame, d: int) -> np.ndarray:
+    """Inverse of the domains' second moments, weighted by tokens."""
 
-    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((d, d))
         for t, p in _columns(batches, d):
             total += (p * t[:, None]).T @ p
         yield pa.record_batch([pa.array(np.arange(d * d), pa.int32()), pa.array(total.ravel())], names=["k", "x"])
 
     second = np.zeros(d * d)
-    for k, x in described.mapInArrow(moments, "k int, x double").groupBy("k").agg(F.sum("x")).collect():  # domains^2 sums
+    for k, x in described.mapInArrow(add, "k int, x double").groupBy("k").agg(F.sum("x")).collect():  # domains^2 sums
         second[k] = x
     second = second.reshape(d, d)
-    inverse = np.linalg.inv(second + np.eye(d) * max(1e-12, 1e-9 * np.trace(second)))
+    return np.linalg.inv(second + np.eye(d) * max(1e-12, 1e-9 * np.trace(second)))
+
+
+def solve(described: DataFrame, targets: np.ndarray, inverse: np.ndarray, least: float = 0.0, steps: int = STEPS) -> np.ndarray:
+    """Steps (n x domains) of projected gradient on 1/2 |expected - targets|^2.
+
+    Rates are measured in the metric of their tokens, and the misses are scaled by the inverse of the domains'
+    second moments, so the step size is 1 in the directions that matter.
+    """
+    d = len(targets)
     taken, last = np.empty((0, d)), None
     limit = TOLERANCE * max(1.0, np.abs(targets).max())
     for _ in range(steps):
@@ -117,7 +121,7 @@ def solve(described: DataFrame, targets: np.ndarray, steps: int = STEPS) -> np.n
         def expected(batches: Iterator[pa.RecordBatch], taken: np.ndarray = taken) -> Iterator[pa.RecordBatch]:
             total = np.zeros(d)
             for t, p in _columns(batches, d):
-                total += (t * rates(t, p, taken)) @ p
+                total += (t * rates(t, p, taken, least)) @ p
             yield pa.record_batch([pa.array(np.arange(d), pa.int32()), pa.array(total)], names=["k", "x"])
 
         now = np.zeros(d)
@@ -141,13 +145,13 @@ def _columns(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[tuple[np.nda
 class Mixer:
     """A fitted classifier and the steps that give every document its rate."""
 
-    def __init__(self, classifier: Classifier, steps: np.ndarray, seed: int):
-        self.classifier, self.steps, self.seed = classifier, steps, seed
+    def __init__(self, classifier: Classifier, steps: np.ndarray, seed: int, least: float = 0.0):
+        self.classifier, self.steps, self.seed, self.least = classifier, steps, seed, least
 
     def rate(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tokens, posteriors and rates."""
         t, p = self.classifier.posteriors(texts)
-        return t, p, rates(t, p, self.steps)
+        return t, p, rates(t, p, self.steps, self.least)
 
 
 def targets_of(totals: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -161,8 +165,9 @@ def targets_of(totals: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.where(named, weights * (totals[named] / weights[named]).max(), totals)
 
 
-def mix(docs: DataFrame, classifier: Classifier, weights: dict[str, float] | None, power: float = 0.7, seed: int = 0, text_col: str = "text") -> Mixer:
-    """Fits the rates. weights: of the domains, those not named are left as they are; None takes the
+def mix(docs: DataFrame, classifier: Classifier, weights: dict[str, float] | None, power: float = 0.7, seed: int = 0, text_col: str = "text", least: float = 0.0) -> Mixer:
+    """Fits the rates, which are `least` at least; with 1 no document is dropped, and where memberships are too soft to
+    meet the targets so, they are missed by as little as possible. weights: of the domains, those not named are left as they are; None takes the
     domains' own shares to the given power."""
     d = len(classifier.domains)
     if not d:
@@ -186,7 +191,13 @@ def mix(docs: DataFrame, classifier: Classifier, weights: dict[str, float] | Non
         wanted = (totals / totals.sum()) ** power
     else:
         wanted = np.array([max(0.0, weights.get(x, 0.0)) for x in classifier.domains])
-    return Mixer(classifier, solve(described, targets_of(totals, wanted)), seed)
+    inverse = moments(described, d)
+    targets = targets_of(totals, wanted)
+    if (wanted > 0).all() and (lowest := (inverse @ targets).min()) > 0:
+        # unconstrained rates are the posteriors times these numbers, so none falls below 1 once the targets are
+        # raised in proportion until the least of them is 1
+        targets = targets / min(1.0, lowest)
+    return Mixer(classifier, solve(described, targets, inverse, least), seed, least)
 
 
 def rated(docs: DataFrame, mixer: Mixer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -471,10 +471,24 @@ def test_mixing_against_dense_computation(spark):
     totals = t @ p
     targets = np.array([0.5, 0.5]) * 2 * totals.max()
     rate, inverse = np.ones(len(rows)), np.linalg.inv((p * t[:, None]).T @ p)
+    targets /= min(1, (inverse @ targets).min())
     for _ in range(200):
         rate = np.maximum(0, rate - p @ (inverse @ ((t * rate) @ p - targets)))
     assert [got[i]["rate"] for i, *_ in rows] == pytest.approx(rate.tolist(), abs=2e-3)
-    assert all(g["copies"] in (int(g["rate"]), int(g["rate"]) + 1) for g in got.values())
+    assert all(g["copies"] in (int(g["rate"]), int(g["rate"]) + 1) for g in got.values()) and min(g["copies"] for g in got.values()) >= 1
+
+
+def test_mixing_drops_nothing_where_texts_tell_little(spark):
+    """Domains that differ in size only: posteriors are noise; every document stays, and the shares come nearer to the targets."""
+    r = rng(17)
+    rows = [(i, prose(r, r.randrange(1, 60), 50), "abcd"[0 if i % 10 < 7 else i % 10 - 6]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.rated(df, mixing.mix(df, mixing.fit(df, "source"), None, least=1.0)).collect()
+    assert min(g["rate"] for g in got) >= 1 and min(g["copies"] for g in got) >= 1
+    own = np.array([sum(g["n_tokens"] * g[f"p_{x}"] for g in got) for x in "abcd"])
+    made = np.array([sum(g["rate"] * g["n_tokens"] * g[f"p_{x}"] for g in got) for x in "abcd"])
+    wanted = own**0.7 / (own**0.7).sum()
+    assert np.abs(made / made.sum() - wanted).max() < 0.5 * np.abs(own / own.sum() - wanted).max()
 
 
 # --- 6 ---
