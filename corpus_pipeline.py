@@ -59,9 +59,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats documents so that the sources' expected tokens meet tempered targets."""
+    """Repeats documents so that the sources' expected tokens meet tempered targets; none is dropped."""
     labelled = with_ids(docs, _table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
-    return mixing.apply(docs, mixing.mix(docs, mixing.fit(labelled, "source"), None, MIX_POWER))
+    return mixing.apply(docs, mixing.mix(docs, mixing.fit(labelled, "source"), None, MIX_POWER, least=1.0))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
