@@ -135,15 +135,16 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     place_of = np.full(1 << BITS, -1, dtype=np.int32)
     place_of[chosen] = np.arange(len(chosen))
     sent = labelled.sparkSession.sparkContext.broadcast(place_of)
+    kind = np.uint16 if len(chosen) <= 1 << 16 else np.int32  # the driver holds the training texts' places
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
             own = [sent.value[features(t.decode())] for t in texts]
             own = [x[x >= 0] for x in own]
-            yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), batch.column("y"), pa.array([len(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], names=["doc_id", "y", "n", "f"])
+            yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), batch.column("y"), pa.array([len(x) for x in own], pa.int64()), pa.array([x.astype(kind).tobytes() for x in own], pa.binary())], names=["doc_id", "y", "n", "f"])
 
     got = rows.mapInArrow(describe, "doc_id long, y int, n long, f binary").toArrow().sort_by("doc_id")  # the training texts' chosen buckets
-    every = np.frombuffer(b"".join(x.as_py() for x in got.column("f")), dtype=np.int32)
+    every = np.frombuffer(b"".join(x.as_py() for x in got.column("f")), dtype=kind)
     weights = np.zeros(1 << BITS, dtype=np.float32)
     weights[chosen], intercept = train(every, np.cumsum(got.column("n").to_numpy()), got.column("y").to_numpy().astype(np.float64), ratio, n[1] / total)
     return Model(weights, intercept)
