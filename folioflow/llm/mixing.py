@@ -33,6 +33,8 @@ TRAIN_DOCS = 20_000
 #: Projected-gradient steps end when the largest miss, or its change, is below TOLERANCE of the largest target;
 #: a warning says so if STEPS did not suffice.
 STEPS, TOLERANCE = 60, 1e-6
+#: Words from which on a text is summed up by bucket.
+LONG = 4_096
 
 
 class Classifier:
@@ -45,7 +47,11 @@ class Classifier:
         at = (words & np.uint64(BUCKETS - 1)).astype(np.int64)
         out = np.tile(np.log(self.prior), (len(texts), 1))
         for i, (a, b) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)):
-            if b > a:
+            if b - a > LONG:  # its words' rows would take a multiple of its size; those of its buckets are bounded
+                n = np.bincount(at[a:b], minlength=BUCKETS)
+                used = np.flatnonzero(n)
+                out[i] += n[used].astype(np.float64) @ self.table[used].astype(np.float64)
+            elif b > a:
                 out[i] += self.table[at[a:b]].sum(0, dtype=np.float64)
         out = np.exp(out - out.max(1, keepdims=True))
         return np.diff(begin), out / out.sum(1, keepdims=True)
