@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, langid, lattice, minhash, mixing, packing, pii, spotsigs, suffixes, toxicity
+from . import fertility, impacts, importance, langid, lattice, minhash, mixing, packing, pii, spotsigs, suffixes, toxicity, whitening
 from .common import with_ids
 
 #: The sources' target weights for op5 are their own shares to this power, which raises the small ones.
@@ -19,6 +19,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary_files() -> tuple[list[str], str]:
+    """Vocabularies for the tokeniser's quality rules and the pattern of the rank files; FOLIOFLOW_VOCABULARIES names other ones (comma-joined)."""
+    import public_tokenizers
+
+    files = os.environ.get("FOLIOFLOW_VOCABULARIES")
+    return files.split(",") if files else [public_tokenizers.path(x) for x in ("piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken")], public_tokenizers.PATTERN
+
+
 def tokenizer_file() -> str:
     """Vocabulary for packing; FOLIOFLOW_TOKENIZER names another file."""
     if path := os.environ.get("FOLIOFLOW_TOKENIZER"):
@@ -77,6 +85,18 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.stability(_table(spark, sf_dir, "documents"))
 
 
+def op11_impacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impacts.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.rules(_table(spark, sf_dir, "documents"), *vocabulary_files())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice": op1_lattice,
     "op2_importance": op2_importance,
@@ -88,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_toxicity": op9_toxicity,
     "op10_spotsigs": op10_spotsigs,
+    "op11_impacts": op11_impacts,
+    "op12_whitening": op12_whitening,
+    "op13_fertility": op13_fertility,
 }
 
 ORACLES: dict[str, str] = {
@@ -105,4 +128,10 @@ links AS (SELECT a, b FROM met JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
 reach AS (SELECT DISTINCT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
 c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, coalesce(c.component_id = s.doc_id, true) AS kept FROM s LEFT JOIN c ON c.a = s.doc_id""",
+    "op11_impacts": r"""WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+d AS (SELECT r, doc_id, w, len(w) AS n FROM t WHERE len(w) > 0), s AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM d),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM d) GROUP BY ALL), f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL)) GROUP BY ALL),
+x AS (SELECT item_id, r, any_value(doc_id) AS doc_id, CAST(sum(times * CAST(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * nd) // l)))) AS BIGINT) AS score FROM q JOIN p USING (term) JOIN f USING (term) CROSS JOIN s GROUP BY item_id, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM x WHERE score > 0) WHERE rank <= 10""",
 }
