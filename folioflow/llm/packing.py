@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -42,8 +43,8 @@ def _byte_letters() -> dict[int, str]:
 
 
 def _ends_plainly(body: str) -> bool:
-    """Whether marks after it are parts of their own: a last letter whose lower case ends in a combining mark takes them in."""
-    return body[-1].isalpha() and len(body[-1].lower()) == 1
+    """Whether marks after it are parts of their own: a last letter whose normal form, in lower case, ends in a combining mark takes them in."""
+    return body[-1].isalpha() and len(unicodedata.normalize("NFC", body[-1].lower())) == 1
 
 
 class Encoder:
