@@ -34,7 +34,14 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters, in lower case; numerals such as a superscript two are no letters."""
+    out = []
+    for w in _WORD.findall(text.lower()):
+        if w.isalpha():
+            out.append(w)
+        else:
+            out += "".join(c if c.isalpha() else " " for c in w).split()
+    return out
 
 
 def grams(word: str, n: int) -> list[str]:
