@@ -37,9 +37,8 @@ ANTECEDENTS = (
 CHAIN, DISTANCE = 2, 1
 #: Documents and signatures that a block of a large candidate group holds on average, at most.
 BLOCK_DOCS, BLOCK_SIGNATURES = 256, 400_000
-#: Likenesses below this are reported as 0, and pairs that can't reach it are not compared; signatures that
-#: are compared before the bound is looked at again.
-LEAST, RUN = 0.1, 512
+#: Signatures that are compared before the bound is looked at again.
+RUN = 512
 _MARKS = b".,!?:;|&%$#*()[]\"'"
 
 
@@ -91,14 +90,15 @@ def fingerprint(signatures: np.ndarray) -> str:
     return ",".join([joined[k + 4 : k + 16] for k in range(0, len(joined), 16)])
 
 
-def partition(n: int, least: float = LEAST) -> int:
+def partition(n: int, least: float) -> int:
     """Number of the length partition of sets of n signatures: sets at a likeness of `least` or more lie in the same
     partition or in neighbouring ones."""
     return int(math.log(n) / -math.log(least) + 1e-9) if n else -1
 
 
-def likeness(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float:
-    """Jaccard coefficient of two sets in ascending order; 0 if it is below `least`.
+def likeness(a: np.ndarray, b: np.ndarray, least: float | None = None) -> float:
+    """Jaccard coefficient of two sets in ascending order; 0 if it is below `least`, by default the smallest
+    one above 0 that sets of their sizes can have.
 
     Sets of partitions that aren't neighbours, or of sizes too far apart, are not compared; others are gone
     through in runs of their hashes, until what may still be shared can't reach the threshold.
@@ -106,6 +106,8 @@ def likeness(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float:
     n, m = len(a), len(b)
     if not n or not m:
         return float(n == m)
+    if least is None:
+        least = 1 / (n + m)
     if abs(partition(n, least) - partition(m, least)) > 1 or min(n, m) < least * max(n, m):
         return 0.0
     need = least * (n + m) / (1 + least) - 1e-9  # shared signatures at the threshold
@@ -147,7 +149,7 @@ def stability(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """Fingerprints of all texts and of their edits, and how alike they stay.
 
     The table is dealt out by ranges of the id and sorted within each; a text needs the one after it, so
-    only each range's last text waits for the next range's first one. Likenesses below LEAST are 0.
+    only each range's last text waits for the next range's first one.
     """
     spark = docs.sparkSession
     ready(spark)
