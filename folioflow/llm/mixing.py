@@ -18,6 +18,7 @@ that no weight names keep the tokens that they have.
 from __future__ import annotations
 
 import warnings
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,9 @@ from pyspark.sql import functions as F
 from .common import ready, stage, text_chunks, word_hashes
 
 BUCKETS = 1 << 15
+#: Domains with weights of their own, those with most labelled documents; all others are pooled by a hash of
+#: their names into so many domains, so models, posteriors and targets are bounded whatever the number of names.
+OWN_DOMAINS, POOLS = 96, 32
 #: Labelled documents that the classifier is fitted on at most (expected; taken by a hash of the id).
 TRAIN_DOCS = 20_000
 #: Projected-gradient steps end when the largest miss, or its change, is below TOLERANCE of the largest target;
@@ -38,8 +42,18 @@ LONG = 4_096
 
 
 class Classifier:
-    def __init__(self, domains: list[str], prior: np.ndarray, table: np.ndarray):
-        self.domains, self.prior, self.table = domains, prior, table
+    def __init__(self, domains: list[str], prior: np.ndarray, table: np.ndarray, pool: str | None = None):
+        """pool: what the names of pooled domains begin with."""
+        self.domains, self.prior, self.table, self.pool = domains, prior, table, pool
+
+    def weights(self, given: dict[str, float]) -> np.ndarray:
+        """Weights of the domains; a pool's is the sum of its members'."""
+        out = dict.fromkeys(self.domains, 0.0)
+        for name, w in given.items():
+            at = name if name in out or self.pool is None else f"{self.pool}{zlib.crc32(name.encode()) % POOLS}"
+            if at in out:
+                out[at] += max(0.0, w)
+        return np.array([out[x] for x in self.domains])
 
     def posteriors(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of the texts (n) and their posteriors (n x domains)."""
@@ -58,10 +72,20 @@ class Classifier:
 
 
 def fit(labelled: DataFrame, domain_col: str, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS) -> Classifier:
-    """Naive Bayes on hashed words; BUCKETS weights per domain."""
+    """Naive Bayes on hashed words; BUCKETS weights per domain, of which OWN_DOMAINS + POOLS are told apart."""
     ready(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(domain_col).cast("string").alias("domain")).where("doc_id is not null and domain is not null")
-    shares = {r[0]: r[1] for r in rows.groupBy("domain").count().collect()}
+    named = rows.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(OWN_DOMAINS + 1).collect()
+    pool = None
+    if len(named) > OWN_DOMAINS:
+        own = [r[0] for r in named[:OWN_DOMAINS]]
+        pool = "pool "
+        while any(x.startswith(pool) for x in own):
+            pool += "- "
+        pooled = F.concat(F.lit(pool), (F.crc32(F.col("domain").cast("binary")) % POOLS).cast("string"))
+        rows = rows.withColumn("domain", F.when(F.col("domain").isin(own), F.col("domain")).otherwise(pooled))
+        named = rows.groupBy("domain").count().collect()
+    shares = {r[0]: r[1] for r in named}
     n = sum(shares.values())
     if n > train_docs:
         rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * train_docs / n))
@@ -86,7 +110,7 @@ def fit(labelled: DataFrame, domain_col: str, id_col: str = "doc_id", text_col:
     c[got.column("f").to_numpy(), got.column("domain").to_numpy()] = got.column("n").to_numpy()
     prior = np.array([shares[d] for d in domains], dtype=np.float64)
     table = np.log((c + 0.1) / (c.sum(0) + 0.1 * BUCKETS)) if domains else c
-    return Classifier(domains, prior / max(prior.sum(), 1), table.astype(np.float32))
+    return Classifier(domains, prior / max(prior.sum(), 1), table.astype(np.float32), pool)
 
 
 def rates(tokens: np.ndarray, posteriors: np.ndarray, steps: np.ndarray, least: float = 0.0) -> np.ndarray:
@@ -196,7 +220,7 @@ def mix(docs: DataFrame, classifier: Classifier, weights: dict[str, float] | Non
     if weights is None:
         wanted = (totals / totals.sum()) ** power
     else:
-        wanted = np.array([max(0.0, weights.get(x, 0.0)) for x in classifier.domains])
+        wanted = classifier.weights(weights)
     inverse = moments(described, d)
     targets = targets_of(totals, wanted)
     if (wanted > 0).all() and (lowest := (inverse @ targets).min()) > 0:
@@ -207,20 +231,22 @@ def mix(docs: DataFrame, classifier: Classifier, weights: dict[str, float] | Non
 
 
 def rated(docs: DataFrame, mixer: Mixer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, one p_<domain> per domain, rate, copies: the rate rounded up or down at random by
-    its fraction, by a hash of the id."""
+    """doc_id, n_tokens, posteriors (a map from domain to its share), rate, copies: the rate rounded up or down at
+    random by its fraction, by a hash of the id."""
     ready(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(mixer)
-    names = [f"p_{x}" for x in mixer.classifier.domains]
+    domains = pa.array(mixer.classifier.domains, pa.string())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
             t, p, r = sent.value.rate(texts)
             copies = np.floor(r + batch.column("u").to_numpy()).astype(np.int64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(t, pa.int64()), *(pa.array(p[:, k]) for k in range(len(names))), pa.array(r), pa.array(copies)], names=["doc_id", "n_tokens", *names, "rate", "copies"])
+            n, d = p.shape
+            shares = pa.MapArray.from_arrays(pa.array(np.arange(n + 1) * d, pa.int32()), domains.take(pa.array(np.tile(np.arange(d), n))), pa.array(p.ravel()))
+            yield pa.record_batch([batch.column("doc_id"), pa.array(t, pa.int64()), shares, pa.array(r), pa.array(copies)], names=["doc_id", "n_tokens", "posteriors", "rate", "copies"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), _uniform(mixer.seed, id_col, text_col).alias("u"))
-    return rows.mapInArrow(score, "doc_id long, n_tokens long, " + "".join(f"`{x}` double, " for x in names) + "rate double, copies long")
+    return rows.mapInArrow(score, "doc_id long, n_tokens long, posteriors map<string,double>, rate double, copies long")
 
 
 def _uniform(seed: int, id_col: str, text_col: str):
