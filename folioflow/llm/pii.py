@@ -5,8 +5,10 @@ are the seed entities: the words around them give lexical patterns. Every token
 that looks like an identifier (it holds a digit or an @ and at least five characters) is an instance
 of the patterns around it. Spark scores the graph of patterns and instances in rounds: a
 pattern is as good as the share of its occurrences whose instances are trusted, an instance as
-good as its patterns together. Instances of patterns that end with a high score become spans
-of the kind `id`, unless they overlap a span that is there already.
+good as its patterns together. Patterns of two words back off to single words, left or right; as
+common words stand before everything, those have to be surer: the lower bound of the share of trusted
+instances counts, and its odds have to exceed those among all instances several times. Instances of
+patterns that end with a high score become spans of the kind `id`, unless they overlap a span that is there already.
 
 Results for odd input: null and empty texts have no spans; rows with a null id are scanned like
 others; discovered places belong to a text, not to an id, so rows of one id with different texts don't
@@ -27,7 +29,9 @@ from pyspark.sql import functions as F
 from .common import ready, stage, text_chunks, with_ids
 
 KINDS = ("email", "ip", "card", "phone", "id")
-ROUNDS, TRUST, LEAST_SEEDS = 3, 0.6, 3
+#: Rounds end when the trusted instances no longer change; ROUNDS at most. Single words need trusted instances at a
+#: lower bound (of Z standard errors) whose odds are LIFT times those of all instances.
+ROUNDS, TRUST, LEAST_SEEDS, LIFT, Z = 10, 0.6, 3, 3.0, 1.645
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -115,16 +119,25 @@ def _in_word(c: str) -> bool:
 
 
 def patterns(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of a place: two words before it; one before and one after."""
+    """Lexical patterns of a place: two words before it; one before and one after; the single word before or after."""
     left, right = _before(text, start), _after(text, end)
     out = []
     if len(left) == 2:
         out.append(f"{left[0]} {left[1]} _")
     if left and right:
         out.append(f"{left[-1]} _ {right[0]}")
+    if left:
+        out.append(f"{left[-1]} _")
+    if right:
+        out.append(f"_ {right[0]}")
     return out
 
 
+def _named(pattern: str) -> int:
+    """Hash of a pattern; those of a single word are odd."""
+    return _hash(pattern) | 1 if pattern.count(" ") == 1 else _hash(pattern) & ~1
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
     """(start, end, whether it is a seed) of the seeds and of tokens that look like identifiers."""
     out = [(a, b, True) for a, _, b in base]
@@ -179,34 +192,70 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 text = t.decode()
                 base = base_spans(text)
                 bases.append([{"start": a, "kind": k, "stop": b} for a, k, b in base])
-                founds.append([{"start": a, "stop": b, "seed": s, "instance": _hash(text[a:b]), "patterns": [_hash(p) for p in patterns(text, a, b)]} for a, b, s in candidates(text, base)])
+                founds.append([{"start": a, "stop": b, "seed": s, "instance": _hash(text[a:b]), "patterns": [_named(p) for p in patterns(text, a, b)]} for a, b, s in candidates(text, base)])
             yield pa.record_batch([batch.column("doc_id"), batch.column("key"), pa.array(bases, pa.list_(span)), pa.array(founds, pa.list_(place))], names=["doc_id", "key", "base", "found"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _key(text_col).alias("key"), F.col(text_col).alias("text"))
     return rows.mapInArrow(walk, "doc_id long, key binary, base array<struct<start:int,kind:int,stop:int>>, found array<struct<start:int,stop:int,seed:boolean,instance:long,patterns:array<long>>>")
 
 
+def graph(scanned: DataFrame) -> DataFrame:
+    """pattern, instance, n (their common places), seed: the edges of the graph."""
+    places = scanned.select(F.explode("found").alias("f")).select("f.*")
+    return places.select(F.explode("patterns").alias("pattern"), "instance", "seed").groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
+
+
+def good_patterns(edges: DataFrame, trusted: DataFrame, base: float, trust: float = TRUST, least_seeds: int = LEAST_SEEDS) -> DataFrame:
+    """pattern, p: patterns that enough trusted instances (instance, score) support. base: share of seeds among all instances."""
+    score = F.coalesce("score", F.lit(0.0))
+    known = edges.join(trusted, "instance", "left")
+    of = known.groupBy("pattern").agg((F.sum(F.col("n") * score) / F.sum("n")).alias("p"), F.count_if(score >= trust).alias("support"), F.count("*").alias("m"), F.sum(score).alias("k"))
+    share, m = F.col("k") / F.col("m"), F.col("m")
+    lower = (share + Z * Z / (2 * m) - Z * F.sqrt(F.greatest(share * (1 - share), F.lit(0.0)) / m + Z * Z / (4 * m * m))) / (1 + Z * Z / m)
+    odds = LIFT * base / (1 - base) if base < 1 else float("inf")
+    sure = (lower >= trust) & (lower >= odds * (1 - lower))
+    single = F.col("pattern").bitwiseAND(F.lit(1)) == 1
+    return of.where((F.col("support") >= least_seeds) & (F.col("p") >= trust) & (~single | sure)).select("pattern", "p")
+
+
 def discover(scanned: DataFrame, rounds: int = ROUNDS, trust: float = TRUST, least_seeds: int = LEAST_SEEDS) -> DataFrame:
     """key, extra (sorted array of start, stop): places in a text that trusted patterns point to."""
-    places = scanned.select("key", F.explode("found").alias("f")).select("key", "f.*")
-    edges = places.select(F.explode("patterns").alias("pattern"), "instance", "seed").groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
-    edges = stage(edges, "patterns")
-    trusted = edges.where("seed").groupBy("instance").agg(F.lit(1.0).alias("score"))
+    edges = stage(graph(scanned), "patterns")
+    seeds = edges.where("seed").groupBy("instance").agg(F.lit(1.0).alias("score"))
+    every, own = edges.groupBy("instance").agg(F.max("seed").alias("seed")).agg(F.count("*"), F.count_if("seed")).first()
+    base = own / every if every else 0.0
+    trusted, before = stage(seeds, "trusted"), None
     for _ in range(rounds):
-        known = edges.join(trusted, "instance", "left")
-        score = F.coalesce("score", F.lit(0.0))
-        good = known.groupBy("pattern").agg((F.sum(F.col("n") * score) / F.sum("n")).alias("p"), F.count_if(score >= trust).alias("support"))
-        good = good.where((F.col("support") >= least_seeds) & (F.col("p") >= trust))
+        good = stage(good_patterns(edges, trusted, base, trust, least_seeds), "good")
         doubt = F.sum(F.log(F.greatest(1 - F.col("p"), F.lit(1e-9))))
         pulled = edges.where("not seed").join(good, "pattern").groupBy("instance").agg((1 - F.exp(doubt)).alias("score"))
-        seeds = edges.where("seed").groupBy("instance").agg(F.lit(1.0).alias("score"))
         trusted = stage(seeds.union(pulled).groupBy("instance").agg(F.max("score").alias("score")), "trusted")
+        now = tuple(trusted.agg(F.count("*"), F.bit_xor(F.xxhash64("instance", F.round("score", 9)))).first())
+        if now == before:
+            break
+        before = now
     fine = trusted.where(F.col("score") >= trust).select("instance")
+    places = scanned.select("key", F.explode("found").alias("f")).select("key", "f.*")
     spread = places.where("not seed").select("key", "start", "stop", "instance", F.explode("patterns").alias("pattern"))
-    pointed = with_ids(spread, stage(good.select("pattern"), "good"), "pattern", "left_semi")
+    pointed = with_ids(spread, good.select("pattern"), "pattern", "left_semi")
     return with_ids(pointed, fine, "instance", "left_semi").groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("extra"))
 
 
+def hidden_recall(docs: DataFrame, part: int = 5, id_col: str = "doc_id", text_col: str = "text") -> dict[str, int]:
+    """Hides every `part`-th seed entity (by a hash) from the discovery and counts what the patterns find of them.
+
+    hidden: places of hidden seeds; again: those that were found; others: places that were found beside them, which
+    hold no seed. Places are counted once per different text.
+    """
+    ready(docs.sparkSession)
+    own = "named_struct('start', x.start, 'stop', x.stop, 'seed', x.seed and not {h}, 'instance', x.instance, 'patterns', x.patterns)".format(h=(h := f"pmod(xxhash64(x.instance), {part}) = 0"))
+    scanned = stage(scan(docs, id_col, text_col).dropDuplicates(["key"]), "scanned")
+    places = scanned.select("key", F.explode("found").alias("x")).select("key", "x.start", "x.stop", F.expr(f"x.seed and {h}").alias("hidden"))
+    found = discover(scanned.withColumn("found", F.expr(f"transform(found, x -> {own})"))).select("key", F.explode("extra").alias("e")).select("key", "e.start", "e.stop", F.lit(True).alias("found"))
+    r = places.join(found, ["key", "start", "stop"], "left").agg(F.count_if("hidden"), F.count_if(F.col("hidden") & F.col("found")), F.count_if(~F.col("hidden") & F.col("found"))).first()
+    return dict(zip(("hidden", "again", "others"), r, strict=True))
+
+
 def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, base, extra: base spans and discovered places of every document."""
     ready(docs.sparkSession)
