@@ -17,8 +17,31 @@ _FENCED = re.compile(r"```(?:json)?\s*\n?(.*?)```", re.DOTALL)
 _LOOSE_COMMA = re.compile(r",(\s*[}\]])")
 
 
+#: Levels of objects and arrays; text that is nested deeper is no JSON, in the JVM's parser either.
+DEPTH = 1_000
+_NESTING = re.compile(r'"(?:[^"\\]|\\.)*+"|[{}\[\]]', re.DOTALL)
+
+
+def too_deep(text: str) -> bool:
+    """Whether brackets outside strings are nested deeper than DEPTH."""
+    if text.count("{") + text.count("[") <= DEPTH:
+        return False
+    depth = 0
+    for m in _NESTING.finditer(text):
+        mark = m[0]
+        if mark in "{[":
+            depth += 1
+            if depth > DEPTH:
+                return True
+        elif mark in "}]":
+            depth -= 1
+    return False
+
+
 def _loads(text: str):
     """The parsed value, or None. Repeated keys keep the last value; NaN and infinities become null."""
+    if too_deep(text):
+        return None
     try:
         return json.loads(text, parse_constant=lambda _: None)
     except ValueError:

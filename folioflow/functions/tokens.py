@@ -10,8 +10,10 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# White space, as Python and Unicode have it. What `\s` means differs between Java, Python and RE2.
+WHITE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 #: Words and single marks; the same count in Java, Python and RE2.
-TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+TOKEN_PATTERN = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{WHITE}]"
 _PYTHON_TOKEN = re.compile(r"\w+|[^\w\s]")
 
 

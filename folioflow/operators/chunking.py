@@ -21,6 +21,7 @@ _SENTENCE_END = r"(?<=[.?!…])\s+(?=[\"'«“¿¡]?[A-ZÁÉÍÓÚÑ0-9])"
 _SENTENCE = re.compile(_SENTENCE_END)
 _PARAGRAPH = re.compile(r"\n\s*\n")
 # How a chunk's sections are named.
+SOURCE = "document_intelligence_chunking"
 WHOLE, UP_TO, SLICE = "Documento completo", "Hasta sección {}", "Sección {}"
 
 
@@ -169,13 +170,14 @@ def project_chunks(chunked: DataFrame) -> DataFrame:
     return each.select("project_name", F.format_string("%s_chunk_%03d", "project_name", F.col("c.index")).alias("document_name"), F.col("c.index").alias("chunk_index"), "c.content", "c.tokens", "c.sections_range", name.alias("original_document"), F.size("chunks").alias("total_chunks"), "chunking_strategy")
 
 
-def corpus_records(chunks: DataFrame, cfg: EngineConfig, stamp: Column | None = None) -> DataFrame:
-    """The twelve fields of a corpus record."""
+def corpus_records(chunks: DataFrame, cfg: EngineConfig, stamp: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The twelve fields of a corpus record, after columns to keep."""
     return chunks.select(
+        *keep,
         F.format_string("%s_chunk_%03d", "project_name", "chunk_index").alias("id_chunk"), F.col("project_name").alias("proyecto"), F.col("content").alias("contenido"),
         F.col("tokens").cast("int").alias("tokens"), F.col("chunk_index").cast("int").alias("indice_chunk"), F.col("sections_range").alias("rango_secciones"),
         F.col("chunking_strategy").alias("estrategia_chunking"), F.lit(cfg.max_tokens).alias("max_tokens_configurado"), F.lit(cfg.overlap_tokens).alias("overlap_tokens"),
-        (F.current_timestamp() if stamp is None else stamp).cast("string").alias("timestamp_procesamiento"), F.lit("document_layout").alias("fuente"), F.lit("1.0").alias("version_esquema"),
+        (F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss") if stamp is None else stamp.cast("string")).alias("timestamp_procesamiento"), F.lit(SOURCE).alias("fuente"), F.lit("1.0").alias("version_esquema"),
     )
 
 

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from ..schemas import LAYOUT, RAW_LAYOUT
 
+# What stands in a project's banner and between markdown's parts.
+BANNER, PROCESSOR = "=" * 80, "Azure Document Intelligence"
+TABLE_HEADING, PAIRS_HEADING = "\n## Table {}\n\n", "\n## Key-Value Pairs\n\n"
+
 #: A provider turns (name, bytes) into JSON of the layout structure, or raises.
 Provider = Callable[[str, bytes], str]
 
@@ -56,31 +60,45 @@ def average_confidence(layout: str) -> Column:
 
 
 def table_markdown(table: Column) -> Column:
-    """Rows of cells between bars; columns run to the table's last one; a rule follows the first row only."""
-    cells = table["cells"]
-    last_row, last_column = F.array_max(F.transform(cells, lambda c: c["row_index"])), F.array_max(F.transform(cells, lambda c: c["column_index"]))
+    """Rows of cells between bars; columns run to the table's last one; a rule follows row 0 only; of cells in one
+    place the last counts. Cells are sorted by place once, and each is written after as many bars as there are columns
+    between it and the one before, so the work follows the cells."""
+    cells = F.coalesce(table["cells"], F.array())
+    width = F.array_max(F.transform(cells, lambda c: c["column_index"])) + 1
+    entries = F.array_sort(F.transform(cells, lambda c, i: F.struct(c["row_index"].alias("row"), c["column_index"].alias("column"), i.alias("i"), F.coalesce(c["content"], F.lit("")).alias("content"))))
+    placed = F.filter(entries, lambda e, i: ~F.coalesce((F.get(entries, i + 1)["row"] == e["row"]) & (F.get(entries, i + 1)["column"] == e["column"]), F.lit(False)))
+    rule = F.concat(F.lit("\n|"), F.repeat(F.lit(" --- |"), width))
+
+    def ending(e: Column) -> Column:
+        return F.concat(F.repeat(F.lit(" | "), width - 1 - e["column"]), F.lit(" |"), F.when(e["row"] == 0, rule).otherwise(""))
 
-    def line(r: Column) -> Column:
-        own = F.filter(cells, lambda c: c["row_index"] == r)
-        texts = F.transform(F.sequence(F.lit(0), last_column), lambda k: F.coalesce(F.get(F.filter(own, lambda c: c["column_index"] == k), F.lit(0))["content"], F.lit("")))
-        row = F.concat(F.lit("| "), F.array_join(texts, " | "), F.lit(" |"))
-        rule = F.concat(F.lit("\n|"), F.repeat(F.lit(" --- |"), last_column + 1))
-        return F.when(r == 0, F.concat(row, rule)).otherwise(row)
+    def cell(e: Column, i: Column) -> Column:
+        before = F.get(placed, i - 1)
+        first = F.concat(F.lit("| "), F.repeat(F.lit(" | "), e["column"]))
+        lead = F.when(i == 0, first).when(before["row"] == e["row"], F.repeat(F.lit(" | "), e["column"] - before["column"])).otherwise(F.concat(ending(before), F.lit("\n"), first))
+        return F.concat(lead, e["content"])
 
-    rows = F.filter(F.sequence(F.lit(0), last_row), lambda r: F.exists(cells, lambda c: c["row_index"] == r))
-    return F.when(F.size(cells) > 0, F.array_join(F.transform(rows, line), "\n")).otherwise("")
+    return F.when(F.size(cells) > 0, F.concat(F.array_join(F.transform(placed, cell), ""), ending(F.element_at(placed, -1)))).otherwise("")
 
 
 def key_value_markdown(pairs: Column) -> Column:
-    return F.array_join(F.transform(pairs, lambda p: F.concat(F.lit("**"), F.coalesce(p["key"], F.lit("")), F.lit("**: "), F.coalesce(p["value"], F.lit("")))), "\n")
+    """A line and a blank line per pair."""
+    return F.array_join(F.transform(pairs, lambda p: F.concat(F.lit("**"), F.coalesce(p["key"], F.lit("")), F.lit("**: "), F.coalesce(p["value"], F.lit("")), F.lit("\n\n"))), "")
 
 
 def markdown(layout: str) -> Column:
-    """Text, tables and key-value pairs, with blank lines between."""
-    tables = F.array_join(F.transform(F.col(f"{layout}.tables"), table_markdown), "\n\n")
-    pairs = key_value_markdown(F.col(f"{layout}.key_value_pairs"))
-    blocks = F.array(F.col(f"{layout}.content"), tables, pairs)
-    return F.array_join(F.filter(blocks, lambda x: x.isNotNull() & (x != "")), "\n\n")
+    """Text, tables and key-value pairs under their headings."""
+    content, tables, pairs = (F.col(f"{layout}.{k}") for k in ("content", "tables", "key_value_pairs"))
+
+    def table(t: Column, i: Column) -> Column:
+        heading = F.replace(F.lit(TABLE_HEADING), F.lit("{}"), (i + 1).cast("string"))
+        rows = table_markdown(t)
+        return F.concat(heading, F.when(rows != "", F.concat(rows, F.lit("\n"))).otherwise(""), F.lit("\n"))
+
+    body = F.when(content != "", F.concat(content, F.lit("\n\n"))).otherwise("")
+    listed = F.array_join(F.transform(F.coalesce(tables, F.array()), table), "")
+    about = F.when(F.size(F.coalesce(pairs, F.array())) > 0, F.concat(F.lit(PAIRS_HEADING), key_value_markdown(pairs))).otherwise("")
+    return F.concat(F.coalesce(body, F.lit("")), listed, about)
 
 
 def polygon_points(flat: Column, compat: bool = False) -> Column:
@@ -148,10 +166,11 @@ def corpus(docs: DataFrame, order: str = "document_name") -> DataFrame:
     """project_name, part, content: a project's text in parts that follow one another: part "" is the banner with the
     counts, then comes each successful document under its name, by `order`. A project of any size is never
     one row; sinks.write_corpus writes the parts in order."""
-    text = F.concat(F.lit("--- DOCUMENT: "), "document_name", F.lit(" ---\n"), "content", F.lit("\n" + "-" * 50 + "\n"))
+    text = F.concat(F.lit("\n\n--- DOCUMENT: "), "document_name", F.lit(" ---\n\n"), F.coalesce("content", F.lit("")), F.lit("\n\n" + "-" * 50 + "\n\n"))
     parts = docs.where("processing_status = 'success'").select("project_name", F.col(order).cast("string").alias("part"), text.alias("content"))
-    banner = F.lit("=" * 80)
-    head = F.concat(banner, F.lit("\nPROJECT: "), "project_name", F.lit("\nDocuments: "), F.col("total").cast("string"), F.lit(", successful: "), F.col("successful").cast("string"), F.lit("\n"), banner, F.lit("\n"))
+    c = {k: F.col(k).cast("string") for k in ("total", "successful", "skipped")}
+    counts = F.concat(F.lit("PROCESSED DOCUMENTS: "), c["successful"], F.lit("/"), c["total"], F.lit("\nSKIPPED DOCUMENTS: "), c["skipped"])
+    head = F.concat(F.lit(f"\n\n{BANNER}\n\nPROJECT: "), F.upper("project_name"), F.lit("\n"), counts, F.lit(f"\nPROCESSOR: {PROCESSOR}\n{BANNER}\n\n"))
     return rollup(docs).select("project_name", F.lit("").alias("part"), head.alias("content")).unionByName(parts)
 
 

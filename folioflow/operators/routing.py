@@ -15,6 +15,11 @@ PROMPTS = {
 }
 
 
+# The first message of every request, and what stands between prompt and document.
+SYSTEM_MESSAGE = "Eres un Analista experto en documentos de auditoría. Tu tarea es extraer información específica siguiendo un formato estructurado y emitiendo conceptos normalizados para entregar en formato JSON lo solicitado."
+DOCUMENT_MARK = "\n\nDocumento:\n"
+
+
 def has_required_prefix(name: Column | str, prefixes: tuple[str, ...] = EngineConfig.prefixes) -> Column:
     return F.upper(name).rlike("^(" + "|".join(prefixes) + ")")
 
@@ -69,10 +74,10 @@ def requests(docs: DataFrame, cfg: EngineConfig, style: str = "project", texts:
     """One request per document or chunk and prompt: its id, line and manifest columns."""
     spark = docs.sparkSession
     routed = route(docs).join(F.broadcast(prompts(spark, texts)), "prompt_type")
-    message = F.concat("prompt_text", F.lit("\n\nDocument content:\n"), F.coalesce("content", F.lit("")))
+    message = F.concat("prompt_text", F.lit(DOCUMENT_MARK), F.coalesce("content", F.lit("")))
     body = F.struct(
         F.lit(cfg.model).alias("model"),
-        F.array(F.struct(F.lit("user").alias("role"), message.alias("content"))).alias("messages"),
+        F.array(F.struct(F.lit("system").alias("role"), F.lit(SYSTEM_MESSAGE).alias("content")), F.struct(F.lit("user").alias("role"), message.alias("content"))).alias("messages"),
         F.lit(cfg.max_completion_tokens).alias("max_completion_tokens"),
         F.lit(cfg.temperature).alias("temperature"),
     )
@@ -89,9 +94,24 @@ def request_lines(made: DataFrame) -> DataFrame:
 
 
 def documents_info(made: DataFrame) -> DataFrame:
-    """Per document its prefix and the prompts applied, in order of their numbers."""
+    """Per document its type, folder, prefix and the prompts applied, in order of their numbers."""
     applied = F.transform(F.array_sort(F.collect_list(F.struct("prompt_number", "prompt_type"))), lambda x: x["prompt_type"])
-    return made.groupBy("project_name", "document_name", "prefix").agg(applied.alias("prompts_applied"), F.count("*").alias("n_requests"))
+    return made.groupBy("project_name", "document_name", "prefix").agg(applied.alias("prompts_applied"), F.count("*").alias("n_requests")).withColumns({"document_type": document_type("document_name"), "subfolder": subfolder("document_name")})
+
+
+def subfolder(name: Column | str) -> Column:
+    """Folder that a request's text comes from."""
+    return F.when(F.contains(name, F.lit("_chunk_")), "chunks").otherwise("DI")
+
+
+def payloads(made: DataFrame, stamp: Column | None = None) -> DataFrame:
+    """A record per request with its prompt and context: what a batch's payload manifest lists."""
+    user = F.get(F.col("body.messages"), F.lit(1))["content"]
+    cut = F.instr(user, F.lit(DOCUMENT_MARK))
+    return made.select(
+        "project_name", "custom_id", "prompt_number", "prompt_type", F.left(user, cut - 1).alias("prompt_text"), F.substring(user, cut + len(DOCUMENT_MARK), F.length(user)).alias("context"), "document_name",
+        document_type("document_name").alias("document_type"), subfolder("document_name").alias("subfolder"), "prefix", (F.current_timestamp() if stamp is None else stamp).cast("string").alias("created_at"),
+    )
 
 
 def inputs(layouts: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import EngineConfig
 from ..functions import recovery
 from ..functions.tokens import TOKEN_PATTERN, count_tokens
-from ..operators import batches, chunking, layout, results, routing, rules
+from ..operators import batches, chunking, layout, projects, results, routing, rules
 from ..schemas import corpus_chunk_error
 from ..session import reachable
 from ..sources import sinks, store
@@ -129,9 +129,11 @@ def di_union_chunks(spark, sf_dir):
     return routing.inputs(v, chunks).select("project_name", "document_name", F.length("content").cast("long").alias("n_chars"))
 
 
-@query(f"""WITH {_DOCS}, s AS (SELECT project_name, document_name AS part, '--- DOCUMENT: ' || document_name || ' ---' || chr(10) || content || chr(10) || repeat('-', 50) || chr(10) AS c FROM v_docs WHERE processing_status = 'success'),
-t AS (SELECT project_name, count(*) AS total, count(*) FILTER (WHERE processing_status = 'success') AS ok FROM v_docs GROUP BY ALL)
-SELECT project_name, part, length(c) AS n_chars, md5(c) AS digest FROM (SELECT project_name, '' AS part, repeat('=', 80) || chr(10) || 'PROJECT: ' || project_name || chr(10) || 'Documents: ' || total || ', successful: ' || ok || chr(10) || repeat('=', 80) || chr(10) AS c FROM t UNION ALL SELECT * FROM s)""")
+_CORPUS = """corpus AS (SELECT project_name, document_name AS part, chr(10) || chr(10) || '--- DOCUMENT: ' || document_name || ' ---' || chr(10) || chr(10) || coalesce(content, '') || chr(10) || chr(10) || repeat('-', 50) || chr(10) || chr(10) AS c FROM v_docs WHERE processing_status = 'success'
+ UNION ALL SELECT project_name, '', chr(10) || chr(10) || repeat('=', 80) || chr(10) || chr(10) || 'PROJECT: ' || upper(project_name) || chr(10) || 'PROCESSED DOCUMENTS: ' || count(*) FILTER (WHERE processing_status = 'success') || '/' || count(*) || chr(10) || 'SKIPPED DOCUMENTS: ' || count(*) FILTER (WHERE processing_status LIKE 'skipped%') || chr(10) || 'PROCESSOR: Azure Document Intelligence' || chr(10) || repeat('=', 80) || chr(10) || chr(10) FROM v_docs GROUP BY project_name)"""
+
+
+@query(f"WITH {_DOCS}, {_CORPUS} SELECT project_name, part, length(c) AS n_chars, md5(c) AS digest FROM corpus")
 def concat_corpus(spark, sf_dir):
     return layout.corpus(views(spark, sf_dir)).select("project_name", "part", F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("digest"))
 
@@ -144,10 +146,10 @@ def request_ids(spark, sf_dir):
 _LENGTHS = ", ".join(f"('{k}', {len(v)})" for k, v in routing.PROMPTS.items())
 
 
-@query(f"WITH {_ROUTED}, p AS (SELECT * FROM (VALUES {_LENGTHS}) p(prompt_type, n)) SELECT project_name, prompt_number, count(*) AS n_requests, CAST(sum(length(content) + n + 20) AS BIGINT) AS message_chars FROM routed JOIN p USING (prompt_type) GROUP BY ALL")
+@query(f"WITH {_ROUTED}, p AS (SELECT * FROM (VALUES {_LENGTHS}) p(prompt_type, n)) SELECT project_name, prompt_number, count(*) AS n_requests, CAST(sum(length(content) + n + 13) AS BIGINT) AS message_chars FROM routed JOIN p USING (prompt_type) GROUP BY ALL")
 def request_manifest_size(spark, sf_dir):
     made = routing.requests(views(spark, sf_dir), EngineConfig())
-    size = F.length(F.get(F.col("body.messages"), F.lit(0))["content"]).cast("long")
+    size = F.length(F.get(F.col("body.messages"), F.lit(1))["content"]).cast("long")
     return made.groupBy("project_name", "prompt_number").agg(F.count("*").alias("n_requests"), F.sum(size).alias("message_chars"))
 
 
@@ -207,7 +209,11 @@ def chunk_fixed_window(spark, sf_dir):
     return each.select("doc_id", F.col("piece").cast("long").alias("piece"), F.length("part").cast("long").alias("n_chars"), F.md5("part").alias("digest"))
 
 
-def _packing_sql(limit: int, overlap: int) -> str:
+_EACH = """SELECT d.project_name, format('{{}}_chunk_{{:03d}}', replace(d.document_name, '.pdf', ''), c.k) AS document_name, CAST(c.k AS INTEGER) AS chunk_index, c.content, CAST(c.tokens AS INTEGER) AS tokens, c.sections_range, CAST(c.total_chunks AS INTEGER) AS total_chunks, c.chunking_strategy FROM c JOIN d USING (doc_id)""".format()
+_WHOLE = """SELECT doc_id AS project_name, format('{{}}_chunk_{{:03d}}', doc_id, c.k) AS document_name, CAST(c.k AS INTEGER) AS chunk_index, c.content, CAST(c.tokens AS INTEGER) AS tokens, c.sections_range, doc_id || '_concatenated' AS original_document, CAST(c.total_chunks AS INTEGER) AS total_chunks, c.chunking_strategy, d.total AS total_tokens FROM c JOIN d USING (doc_id)""".format()
+
+
+def _packing_sql(limit: int, overlap: int, texts: str = f"{_DOCS}, t AS (SELECT doc_id, project_name, document_name, content FROM v_docs)", result: str = _EACH) -> str:
     """The packer as a recursion over the parts of a text: sections, sentences of large sections, slices of large sentences,
     and cuts, at which what is held is let go."""
 
@@ -218,7 +224,7 @@ def _packing_sql(limit: int, overlap: int) -> str:
         return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
 
     tail = rf"CASE WHEN k = 0 THEN '' WHEN held <= k THEN cur ELSE array_to_string(list_slice(regexp_extract_all(cur, '(?:{TOKEN_PATTERN})\s*'), held - k + 1, held), '') END"
-    return rf"""WITH RECURSIVE {_DOCS}, d AS (SELECT doc_id, project_name, document_name, content, {n('content')} AS total FROM v_docs),
+    return rf"""WITH RECURSIVE {texts}, d AS (SELECT *, {n('content')} AS total FROM t),
 s AS (SELECT doc_id, i, m, p, {n('p')} AS n FROM (SELECT doc_id, unnest(parts) AS p, unnest(range(len(parts))) AS i, len(parts) AS m FROM (SELECT doc_id, list_filter(list_transform(string_split(content, chr(10)), lambda x: {strip('x')}), lambda x: x <> '') AS parts FROM d WHERE total > {limit}))),
 z AS (SELECT doc_id, i, j, mj, p, {n('p')} AS n FROM (SELECT doc_id, i, unnest(parts) AS p, unnest(range(len(parts))) AS j, len(parts) AS mj FROM (SELECT doc_id, i, list_filter(list_transform({_SENTENCES.format('p')}, lambda x: {strip('x')}), lambda x: x <> '') AS parts FROM s WHERE n > {limit}))),
 l AS (SELECT doc_id, i, j, unnest(c) AS p, unnest(range(len(c))) AS k FROM (SELECT doc_id, i, j, list_transform(range((n + {limit - 1}) // {limit}), lambda b: array_to_string(list_slice(t, b * {limit} + 1, (b + 1) * {limit}), '')) AS c FROM (SELECT *, regexp_extract_all(p, '(?:{TOKEN_PATTERN})\s*') AS t FROM z WHERE n > {limit}))),
@@ -237,7 +243,7 @@ r AS (SELECT doc_id, CAST(0 AS BIGINT) AS pos, '' AS cur, CAST(0 AS BIGINT) AS h
   FROM (SELECT *, {tail} AS lead FROM (SELECT r.doc_id, w.pos, r.cur, r.held, w.kind, w.p, w.n, w.label, w.kind = 'part' AND r.held + w.n <= {limit} AS fits, greatest(0, least({overlap}, {limit} - w.n)) AS k FROM r JOIN w ON w.doc_id = r.doc_id AND w.pos = r.pos + 1))),
 c AS (SELECT doc_id, body AS content, body_n AS tokens, range AS sections_range, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS k, count(*) OVER (PARTITION BY doc_id) AS total_chunks, 'sections_with_overlap' AS chunking_strategy FROM r WHERE body IS NOT NULL
  UNION ALL SELECT doc_id, content, total, 'Documento completo', 0, 1, 'none' FROM d WHERE total <= {limit})
-SELECT d.project_name, format('{{}}_chunk_{{:03d}}', replace(d.document_name, '.pdf', ''), c.k) AS document_name, CAST(c.k AS INTEGER) AS chunk_index, c.content, CAST(c.tokens AS INTEGER) AS tokens, c.sections_range, CAST(c.total_chunks AS INTEGER) AS total_chunks, c.chunking_strategy FROM c JOIN d USING (doc_id)"""
+{result}"""
 
 
 def _chunked(spark, sf_dir, overlap: int) -> DataFrame:
@@ -255,6 +261,24 @@ def chunk_packed_overlap(spark, sf_dir):
     return _chunked(spark, sf_dir, 32)
 
 
+@query(_packing_sql(256, 32, f"{_DOCS}, {_CORPUS}, t AS (SELECT project_name AS doc_id, string_agg(c, '' ORDER BY part) AS content FROM corpus GROUP BY project_name)", _WHOLE))
+def project_chunks(spark, sf_dir):
+    """Chunks of every project's concatenated text, which is spread over rows and ranges."""
+    cfg = EngineConfig.project(max_tokens=256, overlap_tokens=32, section_patterns=(r"\n",))
+    return projects.chunk_projects(layout.corpus(views(spark, sf_dir)), cfg)
+
+
+_WIDE = r"regexp_replace(regexp_replace(text, ' ', chr(160), 'g'), '(e)', '\1' || chr(12288), 'g')"
+
+
+@query(rf"SELECT doc_id, CAST(len(regexp_extract_all({_WIDE}, '{TOKEN_PATTERN}')) AS INTEGER) AS n_tokens, CAST(len(regexp_extract_all({_WIDE}, '{TOKEN_PATTERN}')) AS INTEGER) AS chunk_tokens FROM documents")
+def token_counts_wide_spaces(spark, sf_dir):
+    """Counts of the JVM and of the packer in Python, over texts with no-break and ideographic spaces."""
+    wide = F.regexp_replace(F.replace("text", F.lit(" "), F.lit("\u00a0")), "(e)", "$1\u3000")
+    cut = chunking.chunk(_table(spark, sf_dir, "documents").select("doc_id", wide.alias("content")), EngineConfig(max_tokens=64, overlap_tokens=0))
+    return cut.select("doc_id", F.col("total_tokens").alias("n_tokens"), F.aggregate("chunks", F.lit(0), lambda a, c: a + c["tokens"]).alias("chunk_tokens"))
+
+
 @query(f"""WITH {_DOCS} SELECT format('{{}}_chunk_{{:03d}}', project_name, doc_id % 7) AS id_chunk, project_name AS proyecto, CASE WHEN doc_id % 13 = 0 THEN '' ELSE md5(content) END AS contenido, CASE WHEN doc_id % 17 = 0 THEN -1 ELSE 5 END AS tokens,
 CASE WHEN doc_id % 17 = 0 THEN 'tokens is negative' WHEN doc_id % 13 = 0 THEN 'contenido is blank' END AS reason FROM v_docs""")
 def corpus_validation(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
@@ -11,7 +11,7 @@ from ..operators import batches, chunking, layout, results, routing, rules
 from ..schemas import metadata_error
 from ..sources import sinks, store
 from ..streaming import flows
-from .catalog import _BATCHES, _DOCS, _FILES, _batches, _ids, _table, files, query
+from .catalog import _BATCHES, _DOCS, _FILES, _ROUTED, _batches, _ids, _table, files, query
 from .pipeline import views
 
 # --- listings and state -------------------------------------------------------------------------
@@ -26,9 +26,9 @@ def listing_folders(spark, sf_dir):
     return every.groupBy("project_name").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in kinds])
 
 
-@query(f"WITH {_FILES} SELECT doc_id, document_name FROM files WHERE project_name || '/' || folder LIKE 'PRJ003/raw%' AND document_name LIKE '%1%'")
+@query(f"WITH {_FILES} SELECT doc_id, document_name FROM files WHERE project_name || '/' || folder LIKE 'PRJ003/processed%' AND document_name LIKE '%1%'")
 def listing_prefix(spark, sf_dir):
-    return store.list_with_prefix(files(spark, sf_dir), "PRJ003/raw", "1").select("doc_id", "document_name")
+    return store.list_with_prefix(files(spark, sf_dir), "PRJ003/processed", "1").select("doc_id", "document_name")
 
 
 @query(f"WITH {_FILES} SELECT project_name || '/' || CASE WHEN folder = '' THEN '' ELSE folder || '/' END || document_name AS name FROM files WHERE project_name = 'PRJ003' AND folder LIKE 'processed%' AND doc_id % 2 = 1")
@@ -37,9 +37,9 @@ def listing_container_names(spark, sf_dir):
     return store.names_with_prefix({"even": f.where("doc_id % 2 = 0"), "odd": f.where("doc_id % 2 = 1")}, "PRJ003/processed", "odd")
 
 
-@query(f"WITH {_FILES}, w AS (SELECT doc_id, project_name, document_name FROM v_docs WHERE doc_id % 3 = 0) SELECT w.doc_id, EXISTS (SELECT 1 FROM files f WHERE f.doc_id = w.doc_id AND f.folder LIKE 'raw%') AS in_raw, EXISTS (SELECT 1 FROM files f WHERE f.doc_id = w.doc_id AND f.folder = 'processed/DI') AS in_processed FROM w")
+@query(f"WITH {_FILES}, w AS (SELECT doc_id, project_name, document_name FROM v_docs) SELECT w.doc_id, EXISTS (SELECT 1 FROM files f WHERE f.doc_id = w.doc_id AND f.folder LIKE 'raw%') AS in_raw, EXISTS (SELECT 1 FROM files f WHERE f.doc_id = w.doc_id AND f.folder = 'processed/DI') AS in_processed FROM w")
 def documents_exist(spark, sf_dir):
-    f, wanted = files(spark, sf_dir), views(spark, sf_dir).where("doc_id % 3 = 0").select("doc_id", "project_name", "document_name")
+    f, wanted = files(spark, sf_dir), views(spark, sf_dir).select("doc_id", "project_name", "document_name")
     out = wanted
     for name, folder in (("in_raw", store.RAW), ("in_processed", store.LAYOUT)):
         out = out.join(store.exist_in(wanted, f, folder).select("doc_id", F.lit(True).alias(name)), "doc_id", "left")
@@ -121,10 +121,9 @@ def layout_structured(spark, sf_dir):
     )
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 THEN 'body' || chr(10) || chr(10) ELSE '' END || '| ' || o_orderkey || ' | b |' || chr(10) || '| --- | --- |' || chr(10) || chr(10) || '**k**: ' || o_orderstatus || chr(10) || '**only**: ' AS markdown, CAST(0.5 AS DOUBLE) AS confidence FROM orders""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 THEN 'body' || chr(10) || chr(10) ELSE '' END || chr(10) || '## Table 1' || chr(10) || chr(10) || '| ' || o_orderkey || ' | b |' || chr(10) || '| --- | --- |' || chr(10) || chr(10) || chr(10) || '## Table 2' || chr(10) || chr(10) || chr(10) || chr(10) || '## Key-Value Pairs' || chr(10) || chr(10) || '**k**: ' || o_orderstatus || chr(10) || chr(10) || '**only**: ' || chr(10) || chr(10) AS markdown, CAST(0.5 AS DOUBLE) AS confidence FROM orders""")
 def layout_markdown(spark, sf_dir):
-    # the second table has no cells; its empty text leaves its blank line, which the parts' joining drops
-    return _structured(spark, sf_dir).select("o_orderkey", F.regexp_replace(layout.markdown("d"), "\n{3,}", "\n\n").alias("markdown"), layout.average_confidence("d").alias("confidence"))
+    return _structured(spark, sf_dir).select("o_orderkey", layout.markdown("d").alias("markdown"), layout.average_confidence("d").alias("confidence"))
 
 
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber // 2 = 0 THEN '' ELSE array_to_string(list_transform(range(l_linenumber // 2), lambda k: CAST(2 * k + 1 AS DOUBLE) || ':' || CAST(2 * k + 2 AS DOUBLE)), ' ') END AS points FROM lineitem")
@@ -157,17 +156,23 @@ def markdown_documents(spark, sf_dir):
 # --- chunks and requests ------------------------------------------------------------------------
 
 
-def _cut(spark, sf_dir) -> DataFrame:
-    v = views(spark, sf_dir).withColumn("tokens", F.length("content"))
-    return v.select("project_name", "document_name", F.explode(F.sequence(F.lit(0), (F.col("doc_id") % 3).cast("int"))).alias("chunk_index"), F.md5("content").alias("content"), "tokens", F.lit("r").alias("sections_range"))
-
-
-@query(f"""WITH {_DOCS}, c AS (SELECT project_name, replace(document_name, '.pdf', '') AS stem, document_name, unnest(range(doc_id % 3 + 1)) AS k, md5(content) AS body, length(content) AS tokens, doc_id % 3 + 1 AS n FROM v_docs),
-r AS (SELECT *, '{{"document_name":"' || document_name || '","chunk_index":' || k || ',"content":"' || body || '","tokens":' || tokens || ',"sections_range":"r"}}' AS record, format('{{}}_chunk_{{:03d}}', stem, k) AS name FROM c)
-SELECT project_name, name || '.md' AS file_name, '# ' || name || chr(10) || chr(10) || '- tokens: ' || tokens || chr(10) || '- sections: r' || chr(10) || chr(10) || body AS value FROM r
-UNION ALL SELECT project_name, name || '.jsonl', record FROM r UNION ALL SELECT project_name, stem || '_complete.jsonl', string_agg(record, chr(10) ORDER BY k) FROM r WHERE n > 1 GROUP BY project_name, stem""")
+@query(f"""WITH {_DOCS}, c AS (SELECT project_name, row_number() OVER w - 1 AS k, coalesce(content, '') AS content, length(coalesce(content, '')) AS tokens, count(*) OVER (PARTITION BY project_name) AS n, CAST(sum(length(coalesce(content, ''))) OVER (PARTITION BY project_name) AS BIGINT) AS total FROM v_docs WINDOW w AS (PARTITION BY project_name ORDER BY doc_id)),
+r AS (SELECT project_name, k, n, CAST(to_json({{'id_chunk': format('{{}}_chunk_{{:03d}}', project_name, k), 'proyecto': project_name, 'contenido': content, 'tokens': tokens, 'indice_chunk': k, 'rango_secciones': 'Hasta sección ' || k, 'estrategia_chunking': 'sections_with_overlap', 'max_tokens_configurado': 100000, 'overlap_tokens': 500, 'timestamp_procesamiento': '2024-01-01 00:00:00', 'fuente': 'document_intelligence_chunking', 'version_esquema': '1.0'}}) AS VARCHAR) AS record FROM c WHERE trim(regexp_replace(content, '\\s+', ' ', 'g')) <> ''),
+f AS (SELECT project_name, format('docs/{{}}_chunk_{{:03d}}.md', project_name, k) AS file_name, 0 AS line, '# Chunk ' || k || ' - Proyecto ' || project_name || chr(10) || chr(10) || '**Tokens:** ' || format('{{:,}}', tokens) || '  ' || chr(10) || '**Rango:** Hasta sección ' || k || '  ' || chr(10) || '**Estrategia:** sections_with_overlap  ' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || content || chr(10) AS value FROM c
+ UNION ALL SELECT project_name, format('agents_output/corpus_chunk_{{:03d}}.jsonl', k), 0, record FROM r UNION ALL SELECT project_name, 'agents_output/corpus_document_intelligence.jsonl', k, record FROM r WHERE n > 1
+ UNION ALL SELECT project_name, 'docs/' || project_name || '_chunking_metadata.json', k + 1, CAST(to_json({{'index': k, 'content': content, 'tokens': tokens, 'sections_range': 'Hasta sección ' || k}}) AS VARCHAR) || CASE WHEN k + 1 < n THEN ',' ELSE '' END FROM c
+ UNION ALL SELECT DISTINCT project_name, 'docs/' || project_name || '_chunking_metadata.json', 0, '{{"project_name":"' || project_name || '","total_tokens":' || total || ',"requires_chunking":true,"chunks":[' FROM c
+ UNION ALL SELECT DISTINCT project_name, 'docs/' || project_name || '_chunking_metadata.json', n + 1, '],"chunking_strategy":"sections_with_overlap","max_tokens_per_chunk":100000,"overlap_tokens":500}}' FROM c)
+SELECT project_name, file_name, CAST(line AS INTEGER) AS line, md5(value) AS digest FROM f""")
 def chunk_files(spark, sf_dir):
-    return sinks.chunk_files(_cut(spark, sf_dir))
+    """Files of projects whose documents stand in for chunks."""
+    content, of = F.coalesce("content", F.lit("")), Window.partitionBy("project_name")
+    k = (F.row_number().over(of.orderBy("doc_id")) - 1).alias("chunk_index")
+    size = F.length(content)
+    made = views(spark, sf_dir).select("project_name", k, content.alias("content"), size.alias("tokens"), F.count("*").over(of).alias("total_chunks"), F.sum(size).over(of).alias("total_tokens"), F.lit("sections_with_overlap").alias("chunking_strategy"))
+    made = made.withColumn("sections_range", F.concat(F.lit("Hasta sección "), F.col("chunk_index").cast("string")))
+    f = sinks.chunk_files(made, EngineConfig.project(), F.lit("2024-01-01 00:00:00"))
+    return f.select("project_name", "file_name", F.col("line").cast("int").alias("line"), F.md5("value").alias("digest"))
 
 
 @query(f"WITH {_DOCS}, p AS (SELECT project_name, count(*) AS n FROM v_docs GROUP BY ALL), c AS (SELECT project_name, n, unnest(range(n % 4 + 1)) AS k FROM p) SELECT project_name, format('{{}}_chunk_{{:03d}}', project_name, k) AS document_name, project_name || '_concatenated' AS original_document, CAST(n % 4 + 1 AS INTEGER) AS total_chunks FROM c")
@@ -190,12 +195,22 @@ def document_request_ids(spark, sf_dir):
     return routing.requests(views(spark, sf_dir).withColumn("document_name", name), EngineConfig(), "document").select("custom_id")
 
 
-@query(f"WITH {_DOCS}, r AS (SELECT project_name, replace(document_name, '.pdf', '') AS stem, content FROM v_docs WHERE document_name LIKE 'IXP%') SELECT project_name || '_' || stem || '_prompt1' AS custom_id, md5('{routing.PROMPTS['auditoria']}' || chr(10) || chr(10) || 'Document content:' || chr(10) || content) AS digest, 1000 AS budget FROM r")
+_TEXTS = ", ".join(f"('{k}', '{v.replace(chr(39), chr(39) * 2)}')" for k, v in routing.PROMPTS.items())
+
+
+@query(f"WITH {_ROUTED}, p AS (SELECT * FROM (VALUES {_TEXTS}) p(prompt_type, prompt_text)) SELECT project_name || '_' || replace(document_name, '.pdf', '') || '_prompt' || prompt_number AS custom_id, 'system,user' AS roles, md5('{routing.SYSTEM_MESSAGE}') AS first_digest, md5(prompt_text || chr(10) || chr(10) || 'Documento:' || chr(10) || coalesce(content, '')) AS digest, 1000 AS budget FROM routed JOIN p USING (prompt_type)")
 def request_line_bodies(spark, sf_dir):
-    lines = routing.request_lines(routing.requests(views(spark, sf_dir).where("document_name like 'IXP%'"), EngineConfig()))
-    read = F.from_json("value", "custom_id string, body struct<messages:array<struct<content:string>>,max_completion_tokens:int>")
+    lines = routing.request_lines(routing.requests(views(spark, sf_dir), EngineConfig()))
+    read = F.from_json("value", "custom_id string, body struct<messages:array<struct<role:string,content:string>>,max_completion_tokens:int>")
     r = lines.select(read.alias("r"))
-    return r.select("r.custom_id", F.md5(F.get("r.body.messages", F.lit(0))["content"]).alias("digest"), F.col("r.body.max_completion_tokens").alias("budget"))
+    messages = [F.md5(F.get("r.body.messages", F.lit(k))["content"]) for k in range(2)]
+    return r.select("r.custom_id", F.array_join(F.transform("r.body.messages", lambda m: m["role"]), ",").alias("roles"), messages[0].alias("first_digest"), messages[1].alias("digest"), F.col("r.body.max_completion_tokens").alias("budget"))
+
+
+@query(f"WITH {_ROUTED}, p AS (SELECT * FROM (VALUES {_TEXTS}) p(prompt_type, prompt_text)) SELECT project_name, project_name || '_' || replace(document_name, '.pdf', '') || '_prompt' || prompt_number AS custom_id, prompt_number, prompt_type, prompt_text, md5(coalesce(content, '')) AS context, document_name, CASE WHEN lower(document_name) LIKE '%ixp%' OR lower(document_name) LIKE '%auditor%' THEN 'Auditoria' WHEN lower(document_name) LIKE '%des%' THEN 'Desembolsos' WHEN lower(document_name) LIKE '%prd%' OR lower(document_name) LIKE '%producto%' THEN 'Productos' ELSE 'Auditoria' END AS document_type, 'DI' AS subfolder, prefix, '2024-01-01' AS created_at FROM routed JOIN p USING (prompt_type)")
+def payload_manifest(spark, sf_dir):
+    made = routing.payloads(routing.requests(views(spark, sf_dir), EngineConfig()), F.lit("2024-01-01"))
+    return made.withColumn("context", F.md5("context"))
 
 
 # --- batches and results ------------------------------------------------------------------------
@@ -314,9 +329,9 @@ def repeated_keys(spark, sf_dir):
     return rules.repeated_keys(_table(spark, sf_dir, "events"), ("user_id", "event_type"))
 
 
-@query("SELECT 0 AS n_repeated")
+@query("SELECT strftime(o_orderdate, '%Y-%m') AS period, o_orderpriority AS currency, o_orderstatus AS record_type, CAST(1 AS BIGINT) AS n_kept, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL")
 def one_row_per_key(spark, sf_dir):
     o = _table(spark, sf_dir, "orders")
     rows = o.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("period"), F.col("o_orderpriority").alias("currency"), F.col("o_orderstatus").alias("record_type"), F.lit("ROP").alias("source"))
     kept = rules.dedup_disbursements(rows, revised="o_orderkey")
-    return rules.repeated_keys(kept, ("period", "currency", "record_type")).agg(F.count("*").cast("int").alias("n_repeated"))
+    return kept.groupBy("period", "currency", "record_type").agg(F.count("*").alias("n_kept"), F.max("o_orderkey").alias("o_orderkey"))

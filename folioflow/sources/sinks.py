@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import corpus_chunk_error
+from ..config import EngineConfig
+from ..operators.chunking import corpus_records
+from ..schemas import CORPUS_FIELDS, corpus_chunk_error
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -30,16 +32,31 @@ def write_jsonl(df: DataFrame, path: str, rejected: str | None = None, error=cor
         checked.where("reason is not null").select(as_json(*checked.columns).alias("value")).write.mode("overwrite").text(rejected)
 
 
-def chunk_files(chunks: DataFrame) -> DataFrame:
-    """project_name, file_name, value: a markdown file and a one-line record per chunk, and for documents of
-    several chunks one file of all records in order."""
-    stem = F.format_string("%s_chunk_%03d", F.regexp_replace("document_name", r"\.[^.]*$", ""), "chunk_index")
-    head = F.concat(F.lit("# "), stem, F.lit("\n\n- tokens: "), F.col("tokens").cast("string"), F.lit("\n- sections: "), F.coalesce("sections_range", F.lit("")), F.lit("\n\n"))
-    record = as_json("document_name", "chunk_index", "content", "tokens", "sections_range")
-    each = chunks.select("project_name", F.explode(F.array(F.struct(F.concat(stem, F.lit(".md")).alias("file_name"), F.concat(head, "content").alias("value")), F.struct(F.concat(stem, F.lit(".jsonl")).alias("file_name"), record.alias("value")))).alias("f")).select("project_name", "f.*")
-    per = chunks.groupBy("project_name", "document_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", record.alias("r")))), lambda x: x["r"]), "\n").alias("value"), F.count("*").alias("n"))
-    whole = per.where("n > 1").select("project_name", F.concat(F.regexp_replace("document_name", r"\.[^.]*$", ""), F.lit("_complete.jsonl")).alias("file_name"), "value")
-    return each.unionByName(whole)
+def chunk_files(chunks: DataFrame, cfg: EngineConfig, stamp: Column | None = None, metadata: bool = True) -> DataFrame:
+    """project_name, file_name, line, value: the files of a project's chunks (project_name, chunk_index, content, tokens, sections_range,
+    chunking_strategy, total_chunks, total_tokens). A markdown file and a file with one corpus record per chunk, for
+    several chunks one file of all records, and one about the whole. Files of a whole project are rows that follow one another by
+    `line`, so none holds a project. Records that the validator refuses are left out."""
+    number = F.format_string("_chunk_%03d", "chunk_index")
+    head = F.concat(F.lit("# Chunk "), F.col("chunk_index").cast("string"), F.lit(" - Proyecto "), "project_name", F.lit("\n\n**Tokens:** "), F.format_number("tokens", 0), F.lit("  \n**Rango:** "), F.coalesce("sections_range", F.lit("")), F.lit("  \n**Estrategia:** "), "chunking_strategy", F.lit("  \n\n---\n\n"))
+    text = chunks.select("project_name", F.concat(F.lit("docs/"), "project_name", number, F.lit(".md")).alias("file_name"), F.lit(0).alias("line"), F.concat(head, "content", F.lit("\n")).alias("value"))
+    records = corpus_records(chunks, cfg, stamp, keep=("project_name", "chunk_index", "total_chunks"))
+    sound = records.where(corpus_chunk_error(records).isNull()).select("project_name", "chunk_index", "total_chunks", as_json(*CORPUS_FIELDS).alias("value"))
+    each = sound.select("project_name", F.concat(F.lit("agents_output/corpus"), number, F.lit(".jsonl")).alias("file_name"), F.lit(0).alias("line"), "value")
+    every = sound.where("total_chunks > 1").select("project_name", F.lit("agents_output/corpus_document_intelligence.jsonl").alias("file_name"), F.col("chunk_index").alias("line"), "value")
+    out = text.unionByName(each).unionByName(every)
+    if not metadata:
+        return out
+    about = F.concat(F.lit("docs/"), "project_name", F.lit("_chunking_metadata.json")).alias("file_name")
+    item = F.concat(as_json(F.col("chunk_index").alias("index"), "content", "tokens", "sections_range"), F.when(F.col("chunk_index") + 1 < F.col("total_chunks"), ",").otherwise(""))
+    items = chunks.select("project_name", about, (F.col("chunk_index") + 1).alias("line"), item.alias("value"))
+    per = chunks.groupBy("project_name").agg(F.max("total_chunks").alias("n"), F.max("chunking_strategy").alias("s"), F.max("total_tokens").alias("t"))
+    needed = F.col("s") != "none"
+    first = F.concat(F.lit('{"project_name":'), F.to_json(F.col("project_name").cast("variant")), F.lit(',"total_tokens":'), F.col("t").cast("string"), F.lit(',"requires_chunking":'), needed.cast("string"), F.lit(',"chunks":['))
+    limits = F.when(needed, F.lit(f',"max_tokens_per_chunk":{cfg.max_tokens},"overlap_tokens":{cfg.overlap_tokens}')).otherwise("")
+    last = F.concat(F.lit('],"chunking_strategy":"'), "s", F.lit('"'), limits, F.lit("}"))
+    ends = per.select("project_name", about, F.explode(F.array(F.struct(F.lit(0).alias("line"), first.alias("value")), F.struct((F.col("n") + 1).cast("int").alias("line"), last.alias("value")))).alias("e")).select("project_name", "file_name", "e.line", "e.value")
+    return out.unionByName(items).unionByName(ends)
 
 
 # Media types by file ending.
@@ -68,9 +85,9 @@ def write_files(files: DataFrame, path: str) -> None:
 
 def write_corpus(parts: DataFrame, path: str) -> None:
     """Corpus parts in order below a folder per project; a project may spread over many files, whose names sort in the
-    order of their parts. Part boundaries are kept by line ends alone."""
+    order of their parts. Every part ends with a line end, which the writer adds."""
     ordered = parts.repartitionByRange("project_name", "part").sortWithinPartitions("project_name", "part")
-    ordered.select("project_name", F.rtrim(F.col("content"), F.lit("\n")).alias("value")).write.mode("overwrite").partitionBy("project_name").text(path)
+    ordered.select("project_name", F.expr("left(content, length(content) - 1)").alias("value")).write.mode("overwrite").partitionBy("project_name").text(path)
 
 
 def result_files(items: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -120,8 +120,8 @@ def test_written_files(spark, tmp_path):
     for project in "PQ":
         text = "".join(f.read_text() for f in sorted((tmp_path / "corpus" / f"project_name={project}").glob("part-*.txt")))
         names = [f"IXP-{k}.pdf" for k in range(6) if (k % 2 == 1) == (project == "P")]
-        parts = "".join(f"--- DOCUMENT: {n} ---\ntext {n[4]}\n{'-' * 50}\n" for n in names)
-        assert text == f"{'=' * 80}\nPROJECT: {project}\nDocuments: 3, successful: 3\n{'=' * 80}\n{parts}"
+        parts = "".join(f"\n\n--- DOCUMENT: {n} ---\n\ntext {n[4]}\n\n{'-' * 50}\n\n" for n in names)
+        assert text == f"\n\n{'=' * 80}\n\nPROJECT: {project}\nPROCESSED DOCUMENTS: 3/3\nSKIPPED DOCUMENTS: 0\nPROCESSOR: Azure Document Intelligence\n{'=' * 80}\n\n{parts}"
     sinks.write_raw(spark.createDataFrame([("P", "a.pdf", b"x")], "project_name string, document_name string, content binary"), str(tmp_path / "raw"))
     assert spark.read.parquet(str(tmp_path / "raw")).first()["content_type"] == "application/pdf"
     sinks.write_files(layout.processed_files(docs), str(tmp_path / "files"))

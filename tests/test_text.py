@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -125,3 +126,29 @@ def test_goals_and_dates(spark):
     assert [tuple(r) for r in df.select(n, u).collect()] == [(230.0, "km"), (1500.0, "personas"), (100.0, "%"), (2.5, "ha"), (1500.0, "personas")]
     d = spark.createDataFrame([("Q1 2025",), ("2026",), ("2025-03-14",), ("?",)], "t string").select(rules.partial_date(F.col("t")).alias("d")).select("d.granularity", "d.start").collect()
     assert [(r[0], str(r[1])) for r in d] == [("quarter", "2025-01-01"), ("year", "2026-01-01"), ("day", "2025-03-14"), (None, "None")]
+
+
+@pytest.mark.parametrize("text", ["[" * 200_000, '{"a":' * 200_000, '{"a":' * 900 + "1" + "}" * 900, '```json\n' + "[{" * 100_000])
+def test_deep_nesting_ends(spark, text):
+    """Text nested beyond DEPTH is no JSON and raises nothing; up to it, it is read."""
+    rows = spark.createDataFrame([(text,)], "value string")
+    found = recovery.recovered(rows, "value", "objects").select("objects", recovery.extract_json("value").alias("x")).first()
+    assert found["objects"] == ([text] if len(text) < 10_000 else []) and found["x"] is not None
+    assert recovery.too_deep(text) == (len(text) > 10_000)
+
+
+def test_strings_dont_nest():
+    assert not recovery.too_deep('{"a": "' + "[" * 5000 + '"}') and recovery.objects('{"a": "' + "[" * 5000 + '"}') == [{"a": "[" * 5000}]
+
+
+def test_one_count_for_all_white_space(spark):
+    from folioflow.functions import tokens
+    from folioflow.operators import chunking
+
+    spaces = "".join(chr(c) for c in range(0x3100) if chr(c).isspace())
+    texts = [f"a{s}b,{s}{s}c." for s in spaces] + ["word " * 120 + "　x" * 81, "²½ Ⅷ ñ_é 日本　語"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, content string")
+    for r in rows.select("i", tokens.count_tokens("content").alias("n")).collect():
+        assert r["n"] == tokens.count(texts[r["i"]]), ascii(texts[r["i"]])
+    for r in chunking.chunk(rows, EngineConfig(max_tokens=201, overlap_tokens=0)).collect():
+        assert not r["requires_chunking"] and r["chunks"][0]["sections_range"] == chunking.WHOLE
