@@ -6,8 +6,8 @@ documents; the last returns the packed pieces.
 
 A stage that drops documents finds the ids to drop first and joins them away, so texts
 are shuffled only when those ids are too many to broadcast. Rows with a null id are never
-dropped; rows that repeat an id share its fate, and near_duplicates keeps one of them, the least by its
-columns. Null and empty texts are neither rejected nor duplicates; they are packed as the closing id alone.
+dropped; rows that repeat an id share its fate, and near_duplicates keeps one of them, the least by a digest of
+its columns. Null and empty texts are neither rejected nor duplicates; they are packed as the closing id alone.
 Empty tables give empty results. Columns of any other name are carried along by all stages but the last.
 """
 
@@ -49,7 +49,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     if not repeated.limit(1).count():
         return out
     rest = [c for c in docs.columns if c != "doc_id"]
-    once = with_ids(out, repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
+    # maps and variants have no order, so the row whose JSON has the least digest stays
+    digest = F.sha2(F.to_json(F.struct(*rest)), 256)
+    once = with_ids(out, repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*rest), digest).alias("row"))
     return with_ids(out, repeated, "doc_id", "left_anti").unionByName(once.select("doc_id", *[F.col("row")[c].alias(c) for c in rest]).select(*docs.columns))
 
 
