@@ -114,12 +114,14 @@ def orphans(infos: DataFrame, markers: DataFrame) -> DataFrame:
 
 
 def pending(infos: DataFrame, status: DataFrame, markers: DataFrame, folders: DataFrame | None = None, compat: bool = False) -> DataFrame:
-    """batch_id, project_name, status, is_orphaned: live and orphaned batches, each once; a live row's fields win."""
+    """batch_id, project_name, status, is_orphaned and the other fields of the infos: live and orphaned batches, each once. Both kinds
+    are rows of the same latest infos, so no field has to be merged."""
     known = with_status(latest_info(infos), status)
-    a = live(known, markers, folders, compat).select("batch_id", "project_name", "status")
-    b = orphans(known, markers).select("batch_id", F.col("project_name").alias("p"), F.col("status").alias("s"), F.lit(True).alias("o"))
-    met = a.join(b, "batch_id", "full_outer")
-    return met.select("batch_id", F.coalesce("project_name", "p").alias("project_name"), F.coalesce("status", "s").alias("status"), F.coalesce("o", F.lit(False)).alias("is_orphaned"))
+    a = live(known, markers, folders, compat).select("batch_id", F.lit(True).alias("is_live"))
+    b = orphans(known, markers).select("batch_id", F.lit(True).alias("is_orphaned"))
+    met = known.join(a, "batch_id", "left").join(b, "batch_id", "left").where("is_live or is_orphaned")
+    rest = [c for c in known.columns if c not in ("batch_id", "project_name", "status")]
+    return met.select("batch_id", "project_name", "status", F.coalesce("is_orphaned", F.lit(False)).alias("is_orphaned"), *rest)
 
 
 def dead(infos: DataFrame, status: DataFrame) -> DataFrame:

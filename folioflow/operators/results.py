@@ -195,10 +195,10 @@ def materialise(items: DataFrame, column: str = "object", kind: str = "prompt_ty
 
 
 def contents_by_type(responses: DataFrame) -> DataFrame:
-    """prompt_type, contents: the extracted JSON (or the text, where there is none) of every response that has any, in order of their ids."""
+    """prompt_type, custom_id, content: the extracted JSON (or the text, where there is none) of every response that has any. A row
+    per response; sinks.write_contents writes them by type in the order of their ids."""
     rows = responses.where("error is null and content <> ''").select("custom_id", prompt_type("custom_id").alias("prompt_type"), recovery.extract_json("content").alias("content"))
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("custom_id", "content"))), lambda x: x["content"])
-    return rows.where("prompt_type is not null").groupBy("prompt_type").agg(listed.alias("contents"))
+    return rows.where("prompt_type is not null").select("prompt_type", "custom_id", "content")
 
 
 def error_lines(errors: DataFrame) -> DataFrame:

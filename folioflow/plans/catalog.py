@@ -303,7 +303,7 @@ def _batches(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 @query(f"""WITH {_BATCHES}, a AS (SELECT * FROM st WHERE status IN ('validating','in_progress','finalizing','completed') AND NOT (status = 'completed' AND batch_id IN (SELECT batch_id FROM mk)) AND project_name IN ('PRJ001', 'PRJ003', 'PRJ004')),
 b AS (SELECT * FROM st WHERE status = 'completed' AND batch_id NOT IN (SELECT batch_id FROM mk))
-SELECT batch_id, coalesce(a.project_name, b.project_name) AS project_name, coalesce(a.status, b.status) AS status, b.batch_id IS NOT NULL AS is_orphaned FROM a FULL OUTER JOIN b USING (batch_id)""")
+SELECT batch_id, coalesce(a.project_name, b.project_name) AS project_name, coalesce(a.status, b.status) AS status, b.batch_id IS NOT NULL AS is_orphaned, coalesce(a.doc_id, b.doc_id) AS created_at FROM a FULL OUTER JOIN b USING (batch_id)""")
 def pending_orphan_merge(spark, sf_dir):
     folders = spark.createDataFrame([("PRJ001",), ("PRJ003",), ("PRJ004",)], "folderName string")
     return batches.pending(*_batches(spark, sf_dir), folders)
@@ -516,4 +516,4 @@ def amount_parse(spark, sf_dir):
     return _table(spark, sf_dir, "orders").select("o_orderkey", rules.amount(text).cast("decimal(18,2)").alias("amount"))
 
 
-from . import records  # noqa: E402,F401 registers more queries
+from . import queues, records  # noqa: E402,F401 registers more queries

@@ -10,9 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import EngineConfig
 from ..functions import names, recovery, tokens
-from ..operators import batches, chunking, layout, results, routing
+from ..operators import batches, chunking, layout, ledger, projects, results, routing
 from ..sources import store
+from ..sources.epochs import Epochs
+from ..sources.staging import staged
 from ..streaming import flows
+from ..streaming import service as flows_of_service
 
 
 @dataclass
@@ -52,58 +55,78 @@ class Pipeline:
         """Writes and submits the requests of all projects; a row per batch."""
         return batches.submit(self.requests(layouts, chunks), service, path)
 
+    def submit_once(self, layouts: DataFrame, chunks: DataFrame, desk: ledger.Desk, path: str) -> DataFrame:
+        """Submits the requests that the ledger below path doesn't hold yet; all confirmed shards."""
+        return ledger.submit(self.requests(layouts, chunks), desk, path)
+
+    def chunk_projects(self, layouts: DataFrame) -> DataFrame:
+        """Chunks of the projects' concatenated texts."""
+        return projects.chunk_projects(layout.corpus(layouts), self.cfg)
+
     def process(self, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Result lines (batch_id, value) to typed items and the statistics of every batch."""
         parsed, items = self.results(lines)
         return results.materialise(items), results.statistics(parsed, by=["batch_id"], compat=self.cfg.compat)
 
     def stream_ingest(self, queue: str, raw: DataFrame, provider: layout.Provider, out: str, trigger: dict | None = None, max_files: int = 6) -> StreamingQuery:
-        """Takes in messages and writes what they ask for below out: layouts, chunks and request lines.
+        """Takes in messages and writes what they ask for below out: the tables layouts, chunks, requests (text by project) and keys.
 
-        raw: the raw documents of all projects; a micro-batch reads those of its messages. Each micro-batch
-        overwrites its own folders, so one that is repeated leaves nothing twice. Documents that earlier
-        ones have written are not analysed again.
+        raw: the raw documents of all projects; a micro-batch reads those of its messages. Each micro-batch is one
+        published epoch (sources.epochs), so one that is repeated leaves nothing twice. Documents that earlier
+        ones have written are not analysed again: their names stand in `keys`, dealt over buckets by project, of which
+        a micro-batch reads its own projects' only, and no contents.
         """
+        epochs = Epochs(self.spark, out)
 
         def work(messages: DataFrame, epoch: int) -> None:
+            if epochs.done(epoch):
+                return
             whole, single = (messages.where(routing.message_kind() == k) for k in ("whole", "single"))
             asked = raw.join(whole.select("project_name").distinct(), "project_name", "left_semi")
             asked = asked.unionByName(raw.join(single.select("project_name", "document_name").distinct(), ["project_name", "document_name"], "left_semi")).dropDuplicates(["project_name", "document_name"])
-            layouts = self.ingest(asked, provider, *self._done(f"{out}/layouts", f"{out}/chunks", epoch))
-            layouts.write.mode("overwrite").parquet(f"{out}/layouts/epoch={epoch}")
-            written = self.spark.read.parquet(f"{out}/layouts/epoch={epoch}")
-            self.chunk(written).write.mode("overwrite").parquet(f"{out}/chunks/epoch={epoch}")
-            chunks = self.spark.read.parquet(f"{out}/chunks/epoch={epoch}")
-            made = self.requests(written.where("processing_status = 'success'"), chunks)
-            made.select("project_name", routing.request_line().alias("value")).write.mode("overwrite").partitionBy("project_name").text(f"{out}/requests/epoch={epoch}")
+            layouts = staged(self.ingest(asked, provider, *self._done(epochs, messages)), "layouts")
+            chunks = staged(self.chunk(layouts), "chunks")
+            made = self.requests(layouts.where("processing_status = 'success'"), chunks)
+            known = layouts.where("processing_status = 'success' and content <> ''").select("project_name", "document_name", F.lit("layout").alias("kind"))
+            cut = chunks.where("chunk_index = 0").select("project_name", F.col("original_document").alias("document_name"), F.lit("chunks").alias("kind"))
+            tables = {"layouts": layouts, "chunks": chunks, "requests": made.select("project_name", routing.request_line().alias("value")), "keys": known.unionByName(cut).withColumn("bucket", _bucket())}
+            epochs.write(epoch, tables, {"requests": ["project_name"], "keys": ["bucket"]}, {"requests": "text"})
 
         stream = flows.messages(self.spark, queue, max_files)
         return stream.writeStream.foreachBatch(work).option("checkpointLocation", f"{out}/_checkpoint").trigger(**(trigger or {"availableNow": True})).start()
 
-    def _done(self, layouts: str, chunks: str, epoch: int) -> tuple[DataFrame, DataFrame]:
-        """Layouts and chunks of earlier micro-batches."""
-        kinds = ((layouts, "project_name string, document_name string, content string, processing_status string, epoch long"), (chunks, "project_name string, original_document string, chunk_index int, epoch long"))
-        found = []
-        for path, schema in kinds:
-            at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            there = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-            rows = self.spark.read.schema(schema).parquet(path) if there else self.spark.createDataFrame([], schema)
-            found.append(rows.where(F.col("epoch") < epoch))
-        return found[0], found[1]
+    def _done(self, epochs: Epochs, messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Documents that earlier micro-batches have laid out and cut, of the messages' projects."""
+        buckets = [r[0] for r in messages.select(_bucket()).distinct().collect()]  # KEY_BUCKETS at most
+        keys = epochs.read("keys", "project_name string, document_name string, kind string, bucket int").where(F.col("bucket").isin(buckets))
+        layouts = keys.where("kind = 'layout'").select("project_name", "document_name", F.lit("kept").alias("content"), F.lit("success").alias("processing_status"))
+        return layouts, keys.where("kind = 'chunks'").select("project_name", F.col("document_name").alias("original_document"), F.lit(0).alias("chunk_index"))
 
     def stream_results(self, lines: str, out: str, trigger: dict | None = None) -> StreamingQuery:
-        """Takes in files of result lines, named {batch_id}.jsonl, and writes typed items and statistics below out, each
-        micro-batch to its own folders."""
+        """Takes in files of result lines, named {batch_id}.jsonl, and writes the tables items and statistics below out, each
+        micro-batch as one published epoch."""
+        epochs = Epochs(self.spark, out)
 
         def work(rows: DataFrame, epoch: int) -> None:
             items, statistics = self.process(rows)
-            items.write.mode("overwrite").parquet(f"{out}/items/epoch={epoch}")
-            statistics.write.mode("overwrite").parquet(f"{out}/statistics/epoch={epoch}")
+            epochs.write(epoch, {"items": items, "statistics": statistics})
 
         name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.jsonl)?$", 1)
         stream = self.spark.readStream.text(lines).select(name.alias("batch_id"), "value")
         return stream.writeStream.foreachBatch(work).option("checkpointLocation", f"{out}/_checkpoint").trigger(**(trigger or {"availableNow": True})).start()
 
+    def stream_service(self, service: str, argument: str, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+        """Polls a batch service (package.module:Class) and writes what its ended batches have come to (streaming.service)."""
+        return flows_of_service.tick(flows_of_service.moves(self.spark, service, argument), out, checkpoint, self.cfg, trigger)
+
+
+#: Buckets of the keys of what is done.
+KEY_BUCKETS = 64
+
+
+def _bucket():
+    return F.pmod(F.xxhash64("project_name"), F.lit(KEY_BUCKETS)).cast("int").alias("bucket")
+
 
 def register(spark: SparkSession) -> None:
     """SQL names: recover_json_objects(text), extract_json(text), repair_json(text), count_tokens(text),

@@ -283,10 +283,10 @@ def extract_json(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", recovery.extract_json(text).alias("found"))
 
 
-@query("""WITH r AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'auditoria' WHEN 1 THEN 'productos' WHEN 2 THEN 'desembolsos' END AS prompt_type FROM documents WHERE doc_id % 10 <> 9) SELECT prompt_type, count(*) AS n, md5(string_agg('{"a":' || doc_id || '}', ',' ORDER BY custom_id COLLATE "C")) AS digest FROM (SELECT *, 'PRJ' || (doc_id % 10) || '_IXP-' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '_chunk_002' ELSE '' END || '_prompt' || (doc_id % 4 + 1) AS custom_id FROM r) WHERE prompt_type IS NOT NULL GROUP BY ALL""".replace(' COLLATE "C"', ""))
+@query("""WITH r AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'auditoria' WHEN 1 THEN 'productos' WHEN 2 THEN 'desembolsos' END AS prompt_type FROM documents WHERE doc_id % 10 <> 9) SELECT prompt_type, 'PRJ' || (doc_id % 10) || '_IXP-' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '_chunk_002' ELSE '' END || '_prompt' || (doc_id % 4 + 1) AS custom_id, '{"a":' || doc_id || '}' AS content FROM r WHERE prompt_type IS NOT NULL""")
 def contents_by_type(spark, sf_dir):
     rows = _ids(spark, sf_dir).select("custom_id", F.concat(F.lit('```json\n{"a":'), F.col("doc_id").cast("string"), F.lit("}\n```")).alias("content"), F.when(F.col("doc_id") % 10 == 9, "status 429").alias("error"))
-    return results.contents_by_type(rows).select("prompt_type", F.size("contents").cast("long").alias("n"), F.md5(F.array_join("contents", ",")).alias("digest"))
+    return results.contents_by_type(rows)
 
 
 @query(f"""WITH i AS (SELECT 'batch_' || (doc_id % 5) AS batch_id, 'D' || (doc_id % 40) AS d, {_TYPE} AS t, doc_id FROM documents), p AS (SELECT batch_id, d, t, '[' || string_agg('{{"a":' || doc_id || '}}', ',' ORDER BY lpad(CAST(doc_id AS VARCHAR), 9, '0')) || ']' AS a FROM i WHERE t IS NOT NULL GROUP BY ALL)

@@ -104,6 +104,12 @@ def result_files(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nested("document_name", "prompt_type"), nested("prompt_type", "document_name")
 
 
+def write_contents(contents: DataFrame, path: str) -> None:
+    """Contents (prompt_type, custom_id, content) as JSON lines by type, in the order of their ids over a type's files."""
+    ordered = contents.repartitionByRange("prompt_type", "custom_id").sortWithinPartitions("prompt_type", "custom_id")
+    ordered.select("prompt_type", as_json("custom_id", "content").alias("value")).write.mode("overwrite").partitionBy("prompt_type").text(path)
+
+
 def layout_file_name(name: Column | str, compat: bool = False) -> Column:
     """Stem + .json; compat replaces .pdf and .docx wherever they stand and leaves other names alone."""
     if compat:

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DEAD_STATUSES, PACE_SECONDS
 from ..schemas import QUEUE_MESSAGE
+from ..sources.epochs import Epochs
 
 
 def messages(spark: SparkSession, path: str, max_files: int = 6) -> DataFrame:
@@ -46,17 +47,19 @@ def peek(spark: SparkSession, path: str, n: int = 32) -> DataFrame:
     return spark.read.text(path).select(F.from_json("value", QUEUE_MESSAGE).alias("m")).select("m.*").limit(n)
 
 
-def each_once(stream: DataFrame, keys: list[str], path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Writes rows of each key once, as Parquet below path.
+def each_once(stream: DataFrame, keys: list[str], path: str, checkpoint: str, trigger: dict | None = None, within: tuple[str, str] | None = None) -> StreamingQuery:
+    """Writes rows of each key once, as the table `rows` of published epochs below path (sources.epochs), so readers never see
+    a micro-batch in part.
 
-    The keys seen are the stream's state, so no batch reads what earlier ones have written. Every micro-batch
-    overwrites its own folder: one that is repeated after a failure replaces what it had written in part.
+    The keys seen are the stream's state, so no batch reads what earlier ones have written. within: a time column and
+    how long a key may come again; older keys are forgotten. Without it they are kept for ever.
     """
 
     def commit(rows: DataFrame, epoch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        Epochs(rows.sparkSession, path).write(epoch, {"rows": rows})
 
-    return stream.dropDuplicates(keys).writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    once = stream.withWatermark(*within).dropDuplicatesWithinWatermark(keys) if within else stream.dropDuplicates(keys)
+    return once.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def latest_status(stream: DataFrame, ttl: str = "24 hours") -> DataFrame:

@@ -9,6 +9,7 @@ from folioflow.config import EngineConfig
 from folioflow.operators import batches, layout, results, routing
 from folioflow.plans.pipeline import Pipeline, register
 from folioflow.schemas import validate
+from folioflow.sources.epochs import Epochs
 from folioflow.sources import sinks, store
 from folioflow.streaming import flows
 
@@ -56,7 +57,7 @@ def test_layout_replay(spark):
     answer = {"content": "", "tables": [{"table_id": 0, "row_count": 2, "column_count": 2, "confidence": 0.5, "cells": [{"content": "a", "row_index": 0, "column_index": 0}, {"content": "b", "row_index": 0, "column_index": 1}, {"content": "c", "row_index": 1, "column_index": 1}]}], "images": [], "key_value_pairs": [{"key": "k", "value": "v", "confidence": 1.0}], "paragraphs": [{"confidence": 0.0}]}
     raw = spark.createDataFrame([("P", "a.pdf", b"1", 1), ("P", "b.pdf", b"2", 1)], "project_name string, document_name string, content binary, file_size long")
     got = {r["document_name"]: r for r in layout.analyze(raw, layout.Replay({"a.pdf": json.dumps(answer)})).collect()}
-    assert got["a.pdf"]["content"] == "| a | b |\n| --- | --- |\n|  | c |\n\n**k**: v" and got["a.pdf"]["confidence_score"] == 0.75
+    assert got["a.pdf"]["content"] == "\n## Table 1\n\n| a | b |\n| --- | --- |\n|  | c |\n\n\n## Key-Value Pairs\n\n**k**: v\n\n" and got["a.pdf"]["confidence_score"] == 0.75
     assert got["b.pdf"]["processing_status"] == "error" and "KeyError" in got["b.pdf"]["error_message"]
     flat = spark.createDataFrame([([0.0, 0.0, 1.0, 1.0],), ([],), ([1.0],), (None,), ([1.0, 2.0, 3.0],)], "p array<double>")
     assert [r[0] and len(r[0]) for r in flat.select(layout.polygon_points(F.col("p"))).collect()] == [2, [], [], None, 1]
@@ -106,7 +107,7 @@ def test_streams_dont_depend_on_micro_batches(spark, tmp_path):
             (src / f"again{run}.json").write_text(json.dumps(rows[0]))
             q = flows.each_once(flows.messages(spark, str(src), 1), ["operation_id"], out, str(tmp_path / f"cp{files}"))
             q.awaitTermination()
-        tables.append(sorted(r["operation_id"] for r in spark.read.parquet(out).collect()))
+        tables.append(sorted(r["operation_id"] for r in Epochs(spark, out).read("rows", "operation_id string").collect()))
     assert tables[0] == tables[1] == sorted(str(k) for k in range(9))
 
 
