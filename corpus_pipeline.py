@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from folioflow.llm import importance, minhash, mixing, packing, pii
 from folioflow.llm.common import delete, discard_since, release, shared_dir, stage, staged, with_ids
 from folioflow.llm.queries import MIX_POWER, tokenizer_file
+from folioflow.sources.staging import spread
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -87,7 +88,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; every stage's table goes to the shared folder. What a stage has staged, and the
     table that it read, are deleted once its own table is written."""
     base = f"{shared_dir(spark)}/folioflow/pipeline-{uuid.uuid4().hex}"
-    docs, last = _table(spark, sf_dir, "documents"), None
+    docs, last = spread(_table(spark, sf_dir, "documents")), None
     for k, (name, step) in enumerate(STAGES):
         path, mark = f"{base}/{k}-{name}", staged()
         step(spark, docs, sf_dir).write.parquet(path)

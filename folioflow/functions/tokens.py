@@ -24,6 +24,9 @@ class Tokenizer(Protocol):
 class WordTokenizer:
     """Words and marks, as TOKEN_PATTERN has them. White space isn't counted."""
 
+    def count(self, text: str) -> int:
+        return len(_PYTHON_TOKEN.findall(text))
+
     def spans(self, text: str) -> list[tuple[int, int]]:
         return [m.span() for m in _PYTHON_TOKEN.finditer(text)]
 
@@ -47,7 +50,8 @@ def tokenizer(file: str | None = None) -> Tokenizer:
 
 
 def count(text: str, file: str | None = None) -> int:
-    return len(tokenizer(file).spans(text))
+    known = tokenizer(file)
+    return known.count(text) if isinstance(known, WordTokenizer) else len(known.spans(text))
 
 
 def tail(text: str, n: int, file: str | None = None) -> str:

@@ -14,6 +14,7 @@ from ..operators import batches, chunking, layout, projects, results, routing, r
 from ..schemas import corpus_chunk_error
 from ..session import reachable
 from ..sources import sinks, store
+from ..sources.staging import spread
 from ..streaming import flows
 from .pipeline import views
 
@@ -248,7 +249,7 @@ c AS (SELECT doc_id, body AS content, body_n AS tokens, range AS sections_range,
 
 def _chunked(spark, sf_dir, overlap: int) -> DataFrame:
     cfg = EngineConfig(max_tokens=256, overlap_tokens=overlap, section_patterns=(r"\n",))
-    return chunking.stored_chunks(chunking.chunk(views(spark, sf_dir), cfg)).drop("original_document")
+    return chunking.stored_chunks(chunking.chunk(spread(views(spark, sf_dir)), cfg)).drop("original_document")
 
 
 @query(_packing_sql(256, 0))
@@ -265,7 +266,7 @@ def chunk_packed_overlap(spark, sf_dir):
 def project_chunks(spark, sf_dir):
     """Chunks of every project's concatenated text, which is spread over rows and ranges."""
     cfg = EngineConfig.project(max_tokens=256, overlap_tokens=32, section_patterns=(r"\n",))
-    return projects.chunk_projects(layout.corpus(views(spark, sf_dir)), cfg)
+    return projects.chunk_projects(layout.corpus(spread(views(spark, sf_dir))), cfg)
 
 
 _WIDE = r"regexp_replace(regexp_replace(text, ' ', chr(160), 'g'), '(e)', '\1' || chr(12288), 'g')"
@@ -275,7 +276,7 @@ _WIDE = r"regexp_replace(regexp_replace(text, ' ', chr(160), 'g'), '(e)', '\1' |
 def token_counts_wide_spaces(spark, sf_dir):
     """Counts of the JVM and of the packer in Python, over texts with no-break and ideographic spaces."""
     wide = F.regexp_replace(F.replace("text", F.lit(" "), F.lit("\u00a0")), "(e)", "$1\u3000")
-    cut = chunking.chunk(_table(spark, sf_dir, "documents").select("doc_id", wide.alias("content")), EngineConfig(max_tokens=64, overlap_tokens=0))
+    cut = chunking.chunk(spread(_table(spark, sf_dir, "documents")).select("doc_id", wide.alias("content")), EngineConfig(max_tokens=64, overlap_tokens=0))
     return cut.select("doc_id", F.col("total_tokens").alias("n_tokens"), F.aggregate("chunks", F.lit(0), lambda a, c: a + c["tokens"]).alias("chunk_tokens"))
 
 

@@ -10,6 +10,7 @@ from ..functions import names, recovery
 from ..operators import batches, chunking, layout, results, routing, rules
 from ..schemas import metadata_error
 from ..sources import sinks, store
+from ..sources.staging import spread
 from ..streaming import flows
 from .catalog import _BATCHES, _DOCS, _FILES, _ROUTED, _batches, _ids, _table, files, query
 from .pipeline import views
@@ -185,7 +186,7 @@ def project_chunk_names(spark, sf_dir):
 
 @query(rf"WITH {_DOCS}, t AS (SELECT project_name, len(regexp_extract_all(content, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s]')) AS n FROM v_docs) SELECT project_name, count(*) FILTER (WHERE n > 5000) AS chunked, count(*) FILTER (WHERE n <= 5000) AS not_chunked FROM t GROUP BY ALL")
 def chunk_summary(spark, sf_dir):
-    done = chunking.chunk(views(spark, sf_dir), EngineConfig.project(max_tokens=5000, section_patterns=(r"\n",)))
+    done = chunking.chunk(spread(views(spark, sf_dir)), EngineConfig.project(max_tokens=5000, section_patterns=(r"\n",)))
     return chunking.chunk_summary(done).select("project_name", "chunked", "not_chunked")
 
 

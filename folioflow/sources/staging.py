@@ -29,3 +29,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def exists(spark: SparkSession, path: str) -> bool:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a few small files, dealt over all cores; other tables as they are.
+
+    A file is read by as many tasks as it has row groups, so a table in fewer files than there are cores and of less than a
+    split per core would leave most of them idle in costly per-row work. A large table has splits enough, and isn't shuffled.
+    """
+    spark, files = df.sparkSession, df.inputFiles()
+    cores = spark.sparkContext.defaultParallelism
+    if not files or len(files) >= cores:
+        return df
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in files]
+    size = sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+    split = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return df.repartition(cores) if size < cores * split else df
