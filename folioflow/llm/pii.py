@@ -226,7 +226,7 @@ def discover(scanned: DataFrame, rounds: int = ROUNDS, trust: float = TRUST, lea
     base = own / every if every else 0.0
     trusted, before = stage(seeds, "trusted"), None
     for _ in range(rounds):
-        good = stage(good_patterns(edges, trusted, base, trust, least_seeds), "good")
+        good = good_patterns(edges, trusted, base, trust, least_seeds)
         doubt = F.sum(F.log(F.greatest(1 - F.col("p"), F.lit(1e-9))))
         pulled = edges.where("not seed").join(good, "pattern").groupBy("instance").agg((1 - F.exp(doubt)).alias("score"))
         trusted = stage(seeds.union(pulled).groupBy("instance").agg(F.max("score").alias("score")), "trusted")
@@ -237,7 +237,7 @@ def discover(scanned: DataFrame, rounds: int = ROUNDS, trust: float = TRUST, lea
     fine = trusted.where(F.col("score") >= trust).select("instance")
     places = scanned.select("key", F.explode("found").alias("f")).select("key", "f.*")
     spread = places.where("not seed").select("key", "start", "stop", "instance", F.explode("patterns").alias("pattern"))
-    pointed = with_ids(spread, good.select("pattern"), "pattern", "left_semi")
+    pointed = with_ids(spread, stage(good.select("pattern"), "good"), "pattern", "left_semi")
     return with_ids(pointed, fine, "instance", "left_semi").groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("extra"))
 
 

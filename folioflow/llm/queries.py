@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import spread
 from . import fertility, impacts, importance, langid, lattice, minhash, mixing, packing, pii, spotsigs, suffixes, toxicity, whitening
 from .common import with_ids
 
@@ -16,7 +17,7 @@ MIX_POWER = 0.7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def vocabulary_files() -> tuple[list[str], str]:
