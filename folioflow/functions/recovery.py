@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from .tokens import WHITE
+
 _OPEN_FENCE = re.compile(r"\A```(?:json)?[ \t]*\n?")
 _CLOSE_FENCE = re.compile(r"\n?```\s*\Z")
 _FENCED = re.compile(r"```(?:json)?\s*\n?(.*?)```", re.DOTALL)
@@ -137,16 +139,61 @@ def recover_json_objects_compat(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: [canonical(x) for x in objects(t, compat=True)])
 
 
+def unfenced(column: Column) -> Column:
+    """unfence() in SQL functions."""
+    strip = lambda c: F.regexp_replace(c, rf"\A[{WHITE}]+|[{WHITE}]+\z", "")
+    c = strip(column)
+    bare = F.regexp_replace(F.regexp_replace(c, r"\A```(?:json)?[ \t]*\n?", ""), rf"\n?```[{WHITE}]*\z", "")
+    return F.when(F.startswith(c, F.lit("```")), strip(bare)).otherwise(c)
+
+
+def balanced_parts(column: Column) -> Column:
+    """balanced() in SQL functions: the text's marks (quotes, braces and escapes, and the runs between them) are gone through once,
+    with the depth of braces, whether the place is in a string, and where the current object began."""
+    marks = F.regexp_extract_all(column, F.lit(r'(?s)\\.|[{}"]|\\|[^{}"\\]+'), F.lit(0))
+    cut = "array<struct<a:int,b:int>>"
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(False).alias("inside"), F.lit(0).alias("begin"), F.array().cast(cut).alias("cuts"))
+
+    def step(s: Column, mark: Column) -> Column:
+        escaped = F.startswith(mark, F.lit("\\")) & (F.length(mark) == 2)
+        # an escape counts in strings only; outside, its character is read as if it stood alone
+        own, place = F.when(escaped, F.substring(mark, 2, 1)).otherwise(mark), s["at"] + escaped.cast("int")
+        quote = (own == '"') & ~(s["inside"] & escaped)
+        opens, closes = ~s["inside"] & (own == "{"), ~s["inside"] & (own == "}") & (s["depth"] > 0)
+        depth = s["depth"] + opens.cast("int") - closes.cast("int")
+        ends = closes & (depth == 0)
+        return F.struct(
+            (s["at"] + F.length(mark)).alias("at"), depth.alias("depth"), F.when(quote, ~s["inside"] & (s["depth"] > 0)).otherwise(s["inside"]).alias("inside"),
+            F.when(opens & (s["depth"] == 0), place).otherwise(s["begin"]).alias("begin"),
+            F.when(ends, F.array_append(s["cuts"], F.struct(s["begin"].alias("a"), (place + 1).alias("b")))).otherwise(s["cuts"]).cast(cut).alias("cuts"),
+        )
+
+    cuts = F.aggregate(marks, start, step)["cuts"]
+    return F.transform(cuts, lambda c: F.substring(column, c["a"] + 1, c["b"] - c["a"]))
+
+
 def recovered(rows: DataFrame, column: str, name: str, compat: bool = False) -> DataFrame:
-    """rows with the array of objects in a text. Sound JSON, an object or an array of objects, is split in the
-    JVM; Python sees only the other texts."""
-    kind = F.schema_of_variant(F.try_parse_json(column))
-    one = F.from_json(F.concat(F.lit("["), F.col(column), F.lit("]")), "array<string>")
-    sound = F.when(F.startswith(kind, F.lit("OBJECT<")), one).when(F.startswith(kind, F.lit("ARRAY<OBJECT<")), F.filter(F.from_json(F.col(column), "array<string>"), lambda x: x.isNotNull()))
+    """rows with the array of objects in a text. Sound JSON, fenced or not, an object or an array of objects, is split in the JVM,
+    and so are texts all of whose balanced parts are sound objects; Python sees only the others, which have to be mended."""
+    clash = "_body"
+    while clash in rows.columns:
+        clash += "_"
+    # a column of its own, so that its parts are not cut anew wherever they are named
+    made = rows.withColumn(clash, unfenced(F.col(column)))
+    body = F.col(clash)
+    kind = F.schema_of_variant(F.try_parse_json(body))
+    normal = lambda c: F.get(F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>"), F.lit(0))
+    sound = F.when(F.startswith(kind, F.lit("OBJECT<")), F.array(normal(body))).when(F.startswith(kind, F.lit("ARRAY<OBJECT<")), F.filter(F.from_json(body, "array<string>"), lambda x: x.isNotNull()))
+    if not compat:
+        parts = F.when(kind.isNull() & F.contains(body, F.lit("{")), balanced_parts(body))
+        fine = (F.size("_parts") > 0) & F.forall("_parts", lambda p: F.coalesce(F.startswith(F.schema_of_variant(F.try_parse_json(p)), F.lit("OBJECT<")), F.lit(False)))
+        made = made.withColumn("_parts", parts)
+        sound = F.coalesce(sound, F.when(fine, F.transform("_parts", normal)))
     slow = (recover_json_objects_compat if compat else recover_json_objects).asNondeterministic()
-    made = rows.withColumn("_sound", sound)
+    made = made.withColumn("_sound", sound)
+    made = made.withColumn("_sound", F.when(F.forall("_sound", lambda x: x.isNotNull()), F.col("_sound")))
     made = made.withColumn("_other", slow(F.when(F.col("_sound").isNull(), F.col(column))))
-    return made.withColumn(name, F.coalesce("_sound", "_other")).drop("_sound", "_other")
+    return made.withColumn(name, F.coalesce("_sound", "_other")).drop(clash, "_parts", "_sound", "_other")
 
 
 @F.pandas_udf(StringType())

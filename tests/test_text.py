@@ -152,3 +152,19 @@ def test_one_count_for_all_white_space(spark):
         assert r["n"] == tokens.count(texts[r["i"]]), ascii(texts[r["i"]])
     for r in chunking.chunk(rows, EngineConfig(max_tokens=201, overlap_tokens=0)).collect():
         assert not r["requires_chunking"] and r["chunks"][0]["sections_range"] == chunking.WHOLE
+
+
+def test_balanced_parts_in_the_jvm_equal_python(spark):
+    """Random marks, escapes and strings; and whole texts of several objects, fenced or not."""
+    import random
+
+    r = random.Random(7)
+    texts = ["".join(r.choice(['"', "{", "}", "\\", "a", '{"k": "v"}', " ", "\n", "é", '"}', "[", ",", '{"a": {"b": "}{"}}', '\\"']) for _ in range(r.randrange(0, 14))) for _ in range(1500)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    for x in rows.select("i", recovery.balanced_parts(F.col("value")).alias("p")).collect():
+        assert x["p"] == list(recovery.balanced(texts[x["i"]])), texts[x["i"]]
+    bits = ['{"a": 1}', '{"b": [1, {"c": "x}"}]}', "words", "```json\n", "```", "\n", '{"d": "\\""}', '{"cut": [1,', "[1, 2]", "{}", '{"n": NaN}', '{"k":1,"k":2}', "　"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(1, 6))) for _ in range(600)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    for x in recovery.recovered(rows, "value", "found").collect():
+        assert x["found"] == [recovery.canonical(o) for o in recovery.objects(texts[x["i"]])], texts[x["i"]]
