@@ -9,12 +9,19 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import DEAD_STATUSES, PACE_SECONDS
 from ..schemas import QUEUE_MESSAGE
 from ..sources.epochs import Epochs
+from . import intake
 
 
 def messages(spark: SparkSession, path: str, max_files: int = 6) -> DataFrame:
-    """A directory of JSON messages as a stream; broken lines are dropped."""
+    """A directory of JSON messages as a stream; broken lines are what refused() has."""
     lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
-    return lines.select(F.from_json("value", QUEUE_MESSAGE).alias("m")).select("m.*").where("project_name is not null and queue_type is not null")
+    return intake.examined(lines).where("cause is null").select("m.*")
+
+
+def refused(spark: SparkSession, path: str, max_files: int = 6) -> DataFrame:
+    """The lines that messages() leaves out, as a stream, with their cause: a dead-letter table once each_once or another writer
+    has them."""
+    return intake.dead_letters(spark.readStream.option("maxFilesPerTrigger", max_files).text(path))
 
 
 def send(messages: DataFrame, path: str, limit: int | None = None, dry_run: bool = False) -> DataFrame:

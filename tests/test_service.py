@@ -13,7 +13,7 @@ from folioflow.functions.running import running_max
 from folioflow.operators import ledger, routing
 from folioflow.sources.epochs import Epochs
 from folioflow.sources.state import StateTable
-from folioflow.streaming import intake, service
+from folioflow.streaming import flows, intake, service
 
 
 class Died(Exception):
@@ -179,6 +179,18 @@ def test_dead_letters(spark):
     assert sorted(x["cause"] for x in got) == sorted(["empty", "empty", "empty", "not JSON", "no object", "no project_name", "no queue_type", "no project_name"])
 
 
+def test_broken_messages_become_dead_letters(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = ['{"project_name": "P", "queue_type": "q"}', "{broken", '{"project_name": " ", "queue_type": "q"}', '{"queue_type": "q"}']
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    src = str(tmp_path / "in")
+    flows.each_once(flows.messages(spark, src), ["project_name"], str(tmp_path / "m"), str(tmp_path / "cm")).awaitTermination()
+    flows.each_once(flows.refused(spark, src), ["value"], str(tmp_path / "d"), str(tmp_path / "cd")).awaitTermination()
+    assert [r[0] for r in Epochs(spark, str(tmp_path / "m")).read("rows", "project_name string").collect()] == ["P"]
+    dead = {r["value"]: r["cause"] for r in Epochs(spark, str(tmp_path / "d")).read("rows", "value string, cause string").collect()}
+    assert dead == {lines[1]: "not JSON", lines[2]: "no project_name", lines[3]: "no project_name"}
+
+
 @pytest.mark.parametrize("burst", [1, 3])
 def test_pacing(spark, burst):
     """Against a bucket that is emptied and filled message by message."""
