@@ -109,8 +109,9 @@ def repeated_words(codes: np.ndarray) -> int:
         return 0
     width = int(codes.max()) + 1
     pairs = codes[:-1].astype(np.int64) * width + codes[1:]
-    _, pairs = np.unique(pairs, return_inverse=True)
-    _, at, times = np.unique(pairs[:-1].astype(np.int64) * width + codes[2:], return_inverse=True, return_counts=True)
+    if width >= 1 << 21:  # three codes don't fit into 63 bits
+        pairs = np.unique(pairs, return_inverse=True)[1].astype(np.int64)
+    _, at, times = np.unique(pairs[:-1] * width + codes[2:], return_inverse=True, return_counts=True)
     again = times[at] > 1
     inside = np.zeros(n + 2, dtype=bool)
     for k in range(3):

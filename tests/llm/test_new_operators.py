@@ -254,6 +254,13 @@ def test_verdicts_against_plain_bands(spark, files):
     assert not any(found[k]["kept"] for k in range(700, 705))
 
 
+@given(st.lists(st.integers(0, 3), max_size=40), st.sampled_from([0, 1_000_000, 3_000_000]))
+def test_repeated_words(codes, shift):
+    windows = Counter(zip(codes, codes[1:], codes[2:], strict=False))
+    inside = {i + j for i in range(len(codes) - 2) if windows[tuple(codes[i : i + 3])] > 1 for j in range(3)}
+    assert fertility.repeated_words(np.array(codes, dtype=np.int64) + shift) == len(inside)
+
+
 def test_scripts():
     assert fertility.script("Straße 12") == "LATIN"
     assert fertility.script("привет ab") == "CYRILLIC"
