@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import PROMPT_TYPES
 from ..functions import recovery
+from ..functions.running import running_sums
 from ..schemas import RESPONSE
+from ..sources.staging import staged
 
 TYPES = tuple(PROMPT_TYPES.values())
 _NUMBER = r"_prompt(\d+)"
@@ -195,10 +197,19 @@ def materialise(items: DataFrame, column: str = "object", kind: str = "prompt_ty
 
 
 def contents_by_type(responses: DataFrame) -> DataFrame:
-    """prompt_type, custom_id, content: the extracted JSON (or the text, where there is none) of every response that has any. A row
-    per response; sinks.write_contents writes them by type in the order of their ids."""
-    rows = responses.where("error is null and content <> ''").select("custom_id", prompt_type("custom_id").alias("prompt_type"), recovery.extract_json("content").alias("content"))
-    return rows.where("prompt_type is not null").select("prompt_type", "custom_id", "content")
+    """prompt_type, custom_id, content, position, n: the extracted JSON (or the text, where there is none) of every response that has any,
+    its place in its type's list, from 1, and the length of that list. Lists are in the order of ids, and of contents where an
+    id comes more than once. A row per response, so no list is ever one row or in one task: places are found from ids alone, and only
+    the responses of one id meet. sinks.write_contents writes them by type in the order of their ids."""
+    kind = prompt_type("custom_id").alias("prompt_type")
+    kept = responses.where("error is null and content <> ''").select(kind, "custom_id", "content").where("prompt_type is not null")
+    ids = staged(kept.groupBy("prompt_type", "custom_id").agg(F.count("*").alias("times")), "ids")
+    sizes = ids.groupBy("prompt_type").agg(F.sum("times").alias("n"))
+    before = running_sums(ids, ["prompt_type"], ["custom_id"], ["times"]).drop("times")
+    texts = kept.select("prompt_type", "custom_id", recovery.extract_json("content").alias("content"))
+    own = F.row_number().over(Window.partitionBy("prompt_type", "custom_id").orderBy("content"))
+    placed = texts.join(before, ["prompt_type", "custom_id"]).withColumn("position", F.col("before_times") + own)
+    return placed.join(F.broadcast(sizes), "prompt_type").select("prompt_type", "custom_id", "content", "position", "n")
 
 
 def error_lines(errors: DataFrame) -> DataFrame:

@@ -284,7 +284,8 @@ def extract_json(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", recovery.extract_json(text).alias("found"))
 
 
-@query("""WITH r AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'auditoria' WHEN 1 THEN 'productos' WHEN 2 THEN 'desembolsos' END AS prompt_type FROM documents WHERE doc_id % 10 <> 9) SELECT prompt_type, 'PRJ' || (doc_id % 10) || '_IXP-' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '_chunk_002' ELSE '' END || '_prompt' || (doc_id % 4 + 1) AS custom_id, '{"a":' || doc_id || '}' AS content FROM r WHERE prompt_type IS NOT NULL""")
+@query("""WITH r AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'auditoria' WHEN 1 THEN 'productos' WHEN 2 THEN 'desembolsos' END AS prompt_type FROM documents WHERE doc_id % 10 <> 9), c AS (SELECT prompt_type, 'PRJ' || (doc_id % 10) || '_IXP-' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '_chunk_002' ELSE '' END || '_prompt' || (doc_id % 4 + 1) AS custom_id, '{"a":' || doc_id || '}' AS content FROM r WHERE prompt_type IS NOT NULL)
+SELECT prompt_type, custom_id, content, row_number() OVER (PARTITION BY prompt_type ORDER BY custom_id, content) AS position, count(*) OVER (PARTITION BY prompt_type) AS n FROM c""")
 def contents_by_type(spark, sf_dir):
     rows = _ids(spark, sf_dir).select("custom_id", F.concat(F.lit('```json\n{"a":'), F.col("doc_id").cast("string"), F.lit("}\n```")).alias("content"), F.when(F.col("doc_id") % 10 == 9, "status 429").alias("error"))
     return results.contents_by_type(rows)
